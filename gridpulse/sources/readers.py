@@ -61,7 +61,7 @@ def normalise_columns(df: DataFrame) -> DataFrame:
 
 
 def _snake(name: str) -> str:
-    s = name.strip().lower().replace("²", "2")
+    s = re.sub(r"(?<=[a-z])(?=[A-Z])", "_", name.strip()).lower().replace("²", "2")
     s = re.sub(r"[^0-9a-z]+", "_", s)
     return s.strip("_")
 
