@@ -28,11 +28,27 @@ def parse_time_window(df: DataFrame, text_col: str, lo: str, hi: str,
     Unparsable text becomes NULL and so fails the range test.
     """
     out_col = out_col or text_col
-    parsed = (df.filter(F.col(text_col).isNotNull())
+    text = F.col(text_col)
+    if pattern == FIXED_PATTERN and _fixed(lo) and _fixed(hi):
+        # The strict parse accepts only zero-padded 19-character text, whose
+        # lexicographic order is time order: the range test runs on the text
+        # itself (pushed to the scan) and the parse only rejects bad text.
+        kept = df.filter(text.isNotNull() & (text >= F.lit(lo)) & (text <= F.lit(hi))
+                         & parse_timestamp(text_col, pattern).isNotNull())
+        return kept.withColumn(out_col, parse_timestamp(text_col, pattern))
+    parsed = (df.filter(text.isNotNull())
                 .withColumn(out_col, parse_timestamp(text_col, pattern)))
     return parsed.filter(in_time_range(out_col, lo, hi))
 
 
+FIXED_PATTERN = "yyyy-MM-dd HH:mm:ss"
+
+
+def _fixed(bound) -> bool:
+    import re
+    return isinstance(bound, str) and re.fullmatch(r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}", bound) is not None
+
+
 def drop_incomplete(df: DataFrame, subset) -> DataFrame:
     return df.na.drop(subset=list(subset))
 

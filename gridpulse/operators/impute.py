@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridpulse.functions.scalars import col_of, nan_to_null
-from gridpulse.operators.scan import CHUNK, with_chunk
+from gridpulse.operators.scan import CHUNK, null_safe_join, with_chunk
 
 __all__ = ["fill_gaps", "ffill", "bfill"]
 
@@ -65,7 +65,7 @@ def fill_gaps(df: DataFrame, keys, order, values, chunk=None) -> DataFrame:
                       .withColumn(f"_cnv_{v}", F.lit(None).cast("double"))
                       .withColumn(f"_cnp_{v}", F.lit(None).cast("long")))
     else:
-        out = local.join(_carry(local, keys, values), on=[*keys, CHUNK], how="inner")
+        out = null_safe_join(local, _carry(local, keys, values), [*keys, CHUNK])
 
     gpos = (F.col("_off") + F.col("_rn")).cast("double")
     result = []

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from gridpulse.functions.scalars import col_of
 
-__all__ = ["with_chunk", "series_positions", "running_extrema"]
+__all__ = ["with_chunk", "series_positions", "running_extrema", "null_safe_join"]
 
 CHUNK = "_chunk"
 
@@ -25,6 +25,22 @@ def with_chunk(df: DataFrame, chunk) -> DataFrame:
     return df.withColumn(CHUNK, expr)
 
 
+def null_safe_join(left: DataFrame, summary: DataFrame, on) -> DataFrame:
+    """Left join of per-(series, chunk) summaries back onto the rows.
+
+    Null-safe equality keeps NULL keys as their own series and, because it
+    lets the optimizer infer no extra filters, both sides keep identical
+    subplans, so the shuffle they share is computed once and reused."""
+    on = list(on)
+    right = summary.select(*[F.col(c).alias(f"_j_{c}") for c in on],
+                           *[c for c in summary.columns if c not in on])
+    cond = None
+    for c in on:
+        t = left[c].eqNullSafe(right[f"_j_{c}"])
+        cond = t if cond is None else cond & t
+    return left.join(right, cond, "left").drop(*[f"_j_{c}" for c in on])
+
+
 def series_positions(df: DataFrame, keys, order, chunk=None,
                      pos: str = "_pos", length: str = "_len") -> DataFrame:
     """Add a 0-based row position within each series (ordered by ``order``)
@@ -37,14 +53,16 @@ def series_positions(df: DataFrame, keys, order, chunk=None,
     df = with_chunk(df, chunk)
     w1 = Window.partitionBy(*keys, CHUNK).orderBy(*order)
     local = df.withColumn("_rn", F.row_number().over(w1))
-    counts = df.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_cnt"))
+    # counts come from the windowed rows (already clustered by series and
+    # chunk), so both branches share one scan and one shuffle
+    counts = local.groupBy(*keys, CHUNK).agg(F.max("_rn").cast("long").alias("_cnt"))
     w2 = Window.partitionBy(*keys).orderBy(CHUNK)
     offsets = counts.select(
         *keys, CHUNK,
         F.coalesce(F.sum("_cnt").over(w2.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"),
         F.sum("_cnt").over(Window.partitionBy(*keys)).alias(length))
-    out = local.join(offsets, on=[*keys, CHUNK], how="inner")
+    out = null_safe_join(local, offsets, [*keys, CHUNK])
     return (out.withColumn(pos, (F.col("_off") + F.col("_rn") - 1).cast("long"))
                .drop("_off", "_rn", CHUNK))
 
@@ -70,7 +88,7 @@ def running_extrema(df: DataFrame, order, value: str, chunk=None, keys=(),
     w2 = spec2.rowsBetween(Window.unboundedPreceding, -1)
     carried = per_chunk.select(*keys, CHUNK, F.min("_clo").over(w2).alias("_plo"),
                                F.max("_chi").over(w2).alias("_phi"))
-    out = local.join(carried, on=[*keys, CHUNK], how="inner")
+    out = null_safe_join(local, carried, [*keys, CHUNK])
     return (out.withColumn(lo, F.least("_llo", "_plo"))
                .withColumn(hi, F.greatest("_lhi", "_phi"))
                .drop("_llo", "_lhi", "_plo", "_phi", CHUNK))

@@ -52,8 +52,13 @@ def hourly_production(ev: DataFrame, day=None) -> DataFrame:
     ev = _window(ev, day)
     return (ev.groupBy(floor_ntz("ts", "hour").alias("hour_utc"),
                        F.col("user_id").alias("municipality_number"))
-              .pivot("event_type", EVENT_TYPES)
-              .agg(F.sum(F.col("value").cast(MONEY))))
+              .agg(*_wide_sums(F.col("value").cast(MONEY), {t: t for t in EVENT_TYPES})))
+
+
+def _wide_sums(value, names: dict):
+    """One column per event type as conditional sums: a single aggregation
+    (``pivot`` would add a second aggregate and a second shuffle)."""
+    return [F.sum(F.when(F.col("event_type") == F.lit(t), value)).alias(c) for t, c in names.items()]
 
 
 def hourly_consumption(ev: DataFrame, day=None) -> DataFrame:
@@ -70,16 +75,16 @@ def price_area():
 
 def hourly_prodcon(ev: DataFrame) -> DataFrame:
     types = list(EXCHANGE_BY_TYPE)
-    wide = (ev.filter(F.col("event_type").isin(types))
+    return (ev.filter(F.col("event_type").isin(types))
               .groupBy(floor_ntz("ts", "hour").alias("hour_utc"), price_area().alias("price_area"))
-              .pivot("event_type", types)
-              .agg(F.sum(F.col("value").cast(MONEY) - F.lit(40))))
-    return wide.select("hour_utc", "price_area",
-                       *[F.col(t).alias(EXCHANGE_BY_TYPE[t]) for t in types])
+              .agg(*_wide_sums(F.col("value").cast(MONEY) - F.lit(40), EXCHANGE_BY_TYPE)))
 
 
 def weather_observations(ev: DataFrame) -> DataFrame:
-    k = k_of()
+    # k is projected once and referenced by name: an expensive expression
+    # referenced several times is then evaluated once per row
+    ev = ev.select("event_id", "ts", "user_id", "value", "event_type", "props", k_of().alias("_k"))
+    k = F.col("_k")
     text = (F.when(k == 0, F.lit(None).cast("string"))
              .when(k == 1, F.lit("not-a-time"))
              .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")))
