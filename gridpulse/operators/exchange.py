@@ -22,7 +22,7 @@ from gridpulse.sources.dims import (COUNTRY_BY_EXCHANGE, EXCHANGE_COLUMNS, LEVEL
 __all__ = [
     "exchange_long", "country_dim", "zone_country_exchange", "zone_summaries",
     "neighbour_utilisation", "daily_cumulative", "zone_share", "country_share",
-    "net_locations",
+    "net_locations", "neighbour_trade_literal",
 ]
 
 
@@ -166,3 +166,40 @@ def net_locations(prodcon: DataFrame, countries: DataFrame, day, areas=PRICE_ARE
     out = F.broadcast(countries).join(totals, "exchange_column")
     return out.filter(F.col("value").isNotNull() & (F.col("value") != 0)) \
               .select(F.col("country").alias("name"), "lat", "lon", "value")
+
+
+def neighbour_trade_literal(prodcon: DataFrame, roles: DataFrame, day, year_end=None,
+                            measures=EXCHANGE_COLUMNS, ts: str = "hour_utc",
+                            area: str = "price_area", swapped=("Great Britain",), areas=PRICE_AREAS,
+                            thresholds=LEVEL_THRESHOLDS, names=LEVEL_NAMES,
+                            size_factor: float = NEIGHBOUR_SIZE_FACTOR) -> DataFrame:
+    """Neighbour figures with the role columns taken literally: each
+    neighbour's export is the net sum of its ``export_column`` and its import
+    the net sum of its ``import_column`` (the two swap for ``swapped``
+    names). Day values count the given zones only, cumulative and year
+    totals every row. One pass of net sums per exchange column, then two
+    lookups."""
+    d, end = _day(day), _day(year_end or _dt.date(_day(day).year, 12, 31))
+    long = exchange_long(prodcon, measures, ts, area)
+    sums = long.groupBy("exchange_column").agg(
+        F.coalesce(F.sum(F.when(on_day(ts, d) & F.col(area).isin(list(areas)), F.col("mwh"))),
+                   F.lit(0)).alias("day_net"),
+        F.coalesce(F.sum(F.when(up_to_day(ts, d), F.col("mwh"))), F.lit(0)).alias("cum_net"),
+        F.coalesce(F.sum(F.when(up_to_day(ts, end), F.col("mwh"))), F.lit(0)).alias("year_net"))
+    sums = F.broadcast(sums)  # one row per exchange column: at most len(measures) rows
+    r = roles.filter(~F.col("is_dk"))
+    swap = F.col("name").isin(list(swapped))
+    r = r.select("name", "lat", "lon",
+                 F.when(swap, F.col("import_column")).otherwise(F.col("export_column")).alias("_exp_col"),
+                 F.when(swap, F.col("export_column")).otherwise(F.col("import_column")).alias("_imp_col"))
+    e = sums.select(F.col("exchange_column").alias("_exp_col"), F.col("day_net").alias("day_export"),
+                    F.col("cum_net").alias("cum_export"), F.col("year_net").alias("year_export"))
+    i = sums.select(F.col("exchange_column").alias("_imp_col"), F.col("day_net").alias("day_import"),
+                    F.col("cum_net").alias("cum_import"), F.col("year_net").alias("year_import"))
+    out = r.join(e, "_exp_col", "left").join(i, "_imp_col", "left").na.fill(
+        0, ["day_export", "cum_export", "year_export", "day_import", "cum_import", "year_import"])
+    out = (out.withColumn("current_use", F.abs("cum_import") + F.abs("cum_export"))
+              .withColumn("yearly_max", F.abs("year_import") + F.abs("year_export")))
+    out = (out.withColumn("level", level("current_use", "yearly_max", thresholds, names))
+              .withColumn("size", abs_sum_size("cum_export", "cum_import", size_factor)))
+    return out.drop("_exp_col", "_imp_col").withColumnRenamed("name", "country")

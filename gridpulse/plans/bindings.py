@@ -15,7 +15,8 @@ from gridpulse.functions.jsonx import replace_exact
 from gridpulse.functions.scalars import fmt2, floor_ntz
 from gridpulse.operators.aggregate import day_totals, first_non_null, zero_filled
 from gridpulse.operators.clean import null_profile
-from gridpulse.operators.exchange import (country_dim, daily_cumulative, neighbour_utilisation,
+from gridpulse.operators.exchange import (country_dim, daily_cumulative, neighbour_trade_literal,
+                                          neighbour_utilisation,
                                           net_locations, zone_country_exchange, zone_share,
                                           country_share, zone_summaries)
 from gridpulse.operators.joins import reverse_lookup
@@ -144,6 +145,13 @@ def neighbour_util(spark: SparkSession, sf: str) -> DataFrame:
     return n.select("country", *[r4(c).alias(c) for c in num], "level", "text")
 
 
+def neighbour_trade_literal_q(spark: SparkSession, sf: str) -> DataFrame:
+    n = neighbour_trade_literal(_prodcon(spark, sf), trade_roles_frame(spark), S.SLIDER_DAY, S.YEAR_END)
+    num = ["day_export", "cum_export", "year_export", "day_import", "cum_import", "year_import",
+           "current_use", "yearly_max", "size"]
+    return n.select("country", "lat", "lon", *[r4(c).alias(c) for c in num], "level")
+
+
 def zone_dots(spark: SparkSession, sf: str) -> DataFrame:
     """Zone markers (per-country texts joined) and neighbour markers in one list."""
     pc, countries, roles = _prodcon(spark, sf), _countries(spark), trade_roles_frame(spark)
@@ -254,6 +262,7 @@ QUERIES = {
     "consumption_map": consumption_map,
     "zone_exchange": zone_exchange,
     "zone_dots": zone_dots,
+    "neighbour_trade_literal": neighbour_trade_literal_q,
     "neighbour_utilisation": neighbour_util,
     "cumulative_by_day": cumulative_by_day,
     "zone_share": zone_share_q,

@@ -247,6 +247,42 @@ nu AS (SELECT *,
          || ' MWh<br>Yearly Max: ' || {_f2('yearly_max')} || ' MWh' AS text
        FROM nk)"""
 
+ROLE_COLS = ("role_cols AS (SELECT name, CAST(lat AS DOUBLE) AS lat, CAST(lon AS DOUBLE) AS lon, "
+             "export_column, import_column FROM (VALUES "
+             "('Germany', 52.52, 13.405, 'exchangege_mwh', 'exchangenl_mwh'), "
+             "('Netherlands', 52.3676, 4.9041, 'exchangenl_mwh', 'exchangege_mwh'), "
+             "('Norway', 60.472, 8.4689, 'exchangeno_mwh', 'exchangege_mwh'), "
+             "('Great Britain', 51.5074, -0.1278, 'exchangegb_mwh', 'exchangege_mwh')) "
+             "t(name, lat, lon, export_column, import_column))")
+
+NEIGHBOUR_TRADE_LITERAL = f"""
+WITH {PC}, {PCL}, {ROLE_COLS},
+s AS (SELECT exchange_column,
+             coalesce(sum(mwh) FILTER (WHERE price_area IN ('DK1', 'DK2') AND {SLIDER_DAY}), 0) AS day_net,
+             coalesce(sum(mwh) FILTER (WHERE hour_utc < {SLIDER_NEXT}), 0) AS cum_net,
+             coalesce(sum(mwh) FILTER (WHERE hour_utc < {YEAR_NEXT}), 0) AS year_net
+      FROM pcl GROUP BY 1),
+r AS (SELECT name, lat, lon,
+             CASE WHEN name = 'Great Britain' THEN import_column ELSE export_column END AS ec,
+             CASE WHEN name = 'Great Britain' THEN export_column ELSE import_column END AS ic
+      FROM role_cols),
+j AS (SELECT r.name AS country, r.lat, r.lon,
+             coalesce(e.day_net, 0) AS day_export, coalesce(e.cum_net, 0) AS cum_export,
+             coalesce(e.year_net, 0) AS year_export, coalesce(i.day_net, 0) AS day_import,
+             coalesce(i.cum_net, 0) AS cum_import, coalesce(i.year_net, 0) AS year_import
+      FROM r LEFT JOIN s e ON e.exchange_column = r.ec LEFT JOIN s i ON i.exchange_column = r.ic),
+k AS (SELECT *, abs(cum_import) + abs(cum_export) AS current_use,
+             abs(year_import) + abs(year_export) AS yearly_max FROM j)
+SELECT country, lat, lon, {", ".join(f"{_r(c)} AS {c}" for c in
+    ["day_export", "cum_export", "year_export", "day_import", "cum_import", "year_import",
+     "current_use", "yearly_max"])},
+       round(ln(abs({_d('cum_export + cum_import')}) + CAST(1.0 AS DOUBLE)) * CAST(7.0 AS DOUBLE), 4) AS size,
+       CASE WHEN {_d('current_use')} < CAST(0.8 AS DOUBLE) * {_d('yearly_max')} THEN 'green'
+            WHEN {_d('current_use')} < CAST(0.95 AS DOUBLE) * {_d('yearly_max')} THEN 'yellow'
+            ELSE 'red' END AS level
+FROM k
+"""
+
 _NUM = ["day_import", "day_export", "day_net", "cum_import", "cum_export", "year_import",
         "year_export", "current_use", "yearly_max", "size"]
 
@@ -410,6 +446,7 @@ _RAW = {
     "consumption_map": CONSUMPTION_MAP,
     "zone_exchange": ZONE_EXCHANGE,
     "zone_dots": ZONE_DOTS,
+    "neighbour_trade_literal": NEIGHBOUR_TRADE_LITERAL,
     "neighbour_utilisation": NEIGHBOUR_UTILISATION,
     "cumulative_by_day": CUMULATIVE_BY_DAY,
     "zone_share": ZONE_SHARE,

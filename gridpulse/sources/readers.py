@@ -19,7 +19,7 @@ from gridpulse.sources.dims import EXCHANGE_COLUMNS, PRODUCTION_COLUMNS
 __all__ = [
     "read_table", "read_documents", "normalise_columns", "snake_columns",
     "typed_production", "typed_consumption", "typed_prodcon", "typed_weather",
-    "typed_municipalities", "MUNICIPALITY_DOC_SCHEMA", "MUNICIPALITY_FIELDS",
+    "typed_municipalities", "MUNICIPALITY_DOC_SCHEMA", "MUNICIPALITY_FIELDS", "write_table",
 ]
 
 
@@ -35,6 +35,16 @@ def read_table(spark: SparkSession, path: str | None = None, fmt: str = "parquet
     return reader.load(path)
 
 
+def write_table(df: DataFrame, path: str, partition_by=(), mode: str = "overwrite",
+                fmt: str = "parquet") -> None:
+    """Sink: write a result (optionally partitioned, e.g. by month) instead of
+    bringing it to the driver."""
+    writer = df.write.mode(mode).format(fmt)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save(path)
+
+
 # Field names of the municipality documents (source names, in load order).
 MUNICIPALITY_FIELDS = [
     "LAU-1 code 1", "Municipality", "Administrative Center", "Total Area (km²)",

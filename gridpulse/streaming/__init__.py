@@ -1,0 +1,4 @@
+"""Structured Streaming entry points for the hourly tables."""
+
+from gridpulse.streaming.hourly import (day_totals_stream, read_hourly_stream,  # noqa: F401
+                                        start_stream)

@@ -81,3 +81,32 @@ def test_weather_zscore(spark):
     obs0 = station_property(w, "timestamp", "municipality", "weather_data", "temp", default=0.0)
     vals = [r["value"] for r in rows(obs0, "timestamp")]
     assert 0.0 in vals and None in vals
+
+
+def test_literal_roles(spark):
+    from gridpulse.operators.exchange import neighbour_trade_literal
+    pc = _prodcon(spark)
+    got = {r["country"]: r for r in rows(neighbour_trade_literal(pc, trade_roles_frame(spark), "2022-01-02",
+                                                                 year_end="2022-12-31"))}
+    assert set(got) == {"Germany", "Netherlands", "Norway", "Great Britain"}
+    # Germany: export = net of exchangege_mwh, import = net of exchangenl_mwh (all NULL -> 0)
+    assert got["Germany"]["cum_export"] == 106.5 and got["Germany"]["cum_import"] == 0.0
+    # Great Britain swaps: import = net of exchangegb_mwh, export = net of exchangege_mwh
+    assert got["Great Britain"]["cum_import"] == -104.5 and got["Great Britain"]["cum_export"] == 106.5
+    assert got["Great Britain"]["day_import"] == 0.5
+
+
+def test_select_helpers(spark):
+    import pytest
+    from gridpulse.operators.select import first_match, first_rows, select_measure, unpivot_measures
+    pc = _prodcon(spark)
+    assert select_measure(pc, ["hour_utc"], "exchangegb_mwh").columns == ["hour_utc", "value"]
+    with pytest.raises(ValueError):
+        select_measure(pc, ["hour_utc"], "exchangexx_mwh")
+    top = rows(first_rows(pc, ["hour_utc", "price_area"], 2))
+    assert [r["price_area"] for r in top] == ["DK1", "DK1"] and top[0]["hour_utc"] == D0
+    fm = rows(first_match(pc, ["price_area"], ["hour_utc"], "exchangegb_mwh",
+                          where=F.col("exchangegb_mwh") > 0))
+    assert fm == [{"price_area": "DK1", "exchangegb_mwh": 4.0}]
+    long = unpivot_measures(pc, ["hour_utc", "price_area"], ["exchangegb_mwh", "exchangenl_mwh"])
+    assert long.count() == 5

@@ -1,0 +1,39 @@
+import datetime as dt
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from gridpulse.streaming import day_totals_stream, read_hourly_stream, start_stream
+
+SCHEMA = "hour_utc timestamp_ntz, municipality_number int, solar_power_mwh double"
+
+
+def test_day_totals_stream_matches_batch(spark):
+    src = tempfile.mkdtemp(prefix="gp-stream-src-")
+    base = dt.datetime(2022, 1, 1)
+    batches = [[(base + dt.timedelta(hours=h), 101 + (h % 2), float(h)) for h in range(0, 30)],
+               [(base + dt.timedelta(hours=h), 101 + (h % 2), None if h % 5 == 0 else 1.0)
+                for h in range(30, 80)]]
+    stream = read_hourly_stream(spark, src, SCHEMA, max_files_per_trigger=1)
+    q = start_stream(day_totals_stream(stream, ["municipality_number"], "hour_utc", ["solar_power_mwh"],
+                                       watermark="1 hour"), sink="memory", name="gp_day_totals",
+                     fmt="memory")
+    try:
+        for i, rows in enumerate(batches):
+            spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(src)
+            q.processAllAvailable()
+        got = {(r["day"], r["municipality_number"]): r["solar_power_mwh"]
+               for r in spark.sql("SELECT * FROM gp_day_totals").collect()}
+    finally:
+        q.stop()
+    allrows = [r for b in batches for r in b]
+    exp = {}
+    for ts, code, v in allrows:
+        if v is not None:
+            exp[(ts.date(), code)] = exp.get((ts.date(), code), 0.0) + v
+    # days closed by the watermark (the last day stays open in append mode)
+    last = max(ts for ts, _, _ in allrows).date()
+    assert got and all(got[k] == exp[k] for k in got)
+    assert {k for k in exp if k[0] < last} == set(got)
+    assert os.path.isdir(spark.conf.get("spark.checkpoint.dir"))
