@@ -16,6 +16,11 @@ from gridpulse.operators.scan import CHUNK, null_safe_join, with_chunk
 __all__ = ["fill_gaps", "ffill", "bfill"]
 
 
+def _desc(order):
+    """The exact reverse of an ascending (NULLS FIRST) order."""
+    return [o.desc_nulls_last() for o in order]
+
+
 def ffill(df: DataFrame, keys, order, value: str, out: str | None = None) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*[col_of(o) for o in order]) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -23,9 +28,11 @@ def ffill(df: DataFrame, keys, order, value: str, out: str | None = None) -> Dat
 
 
 def bfill(df: DataFrame, keys, order, value: str, out: str | None = None) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*[col_of(o) for o in order]) \
-        .rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    return df.withColumn(out or value, F.first(value, ignorenulls=True).over(w))
+    """Backward fill as a running frame over the reversed order (linear; a
+    ``currentRow .. unboundedFollowing`` frame is re-aggregated per row)."""
+    w = Window.partitionBy(*keys).orderBy(*_desc([col_of(o) for o in order])) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.withColumn(out or value, F.last(value, ignorenulls=True).over(w))
 
 
 def fill_gaps(df: DataFrame, keys, order, values, chunk=None) -> DataFrame:
@@ -45,16 +52,23 @@ def fill_gaps(df: DataFrame, keys, order, values, chunk=None) -> DataFrame:
     part = keys + ([CHUNK] if chunk is not None else [])
     w = Window.partitionBy(*part).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # "next non-null" is a running frame over the reversed order: both passes
+    # are linear (sorted once each, no shuffle between them)
+    after = Window.partitionBy(*part).orderBy(*_desc(order)) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     local = df.withColumn("_rn", F.row_number().over(w))
     sel = [F.col(c) for c in local.columns]
     for v in values:
         present = F.when(F.col(v).isNotNull(), F.col("_rn"))
         sel += [F.last(v, True).over(upto).alias(f"_pv_{v}"),
-                F.last(present, True).over(upto).alias(f"_pp_{v}"),
-                F.first(v, True).over(after).alias(f"_nv_{v}"),
-                F.first(present, True).over(after).alias(f"_np_{v}")]
+                F.last(present, True).over(upto).alias(f"_pp_{v}")]
+    local = local.select(*sel)
+    sel = [F.col(c) for c in local.columns]
+    for v in values:
+        present = F.when(F.col(v).isNotNull(), F.col("_rn"))
+        sel += [F.last(v, True).over(after).alias(f"_nv_{v}"),
+                F.last(present, True).over(after).alias(f"_np_{v}")]
     local = local.select(*sel)
 
     if chunk is None:
@@ -94,13 +108,14 @@ def _carry(local: DataFrame, keys, values) -> DataFrame:
     summary = local.groupBy(*keys, CHUNK).agg(*aggs)
     w = Window.partitionBy(*keys).orderBy(CHUNK)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    later = w.rowsBetween(1, Window.unboundedFollowing)
+    later = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc_nulls_last()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.withColumn(
         "_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).cast("long"))
     sel = [*keys, CHUNK, "_off"]
     for v in values:
         sel += [F.last(f"_lv_{v}", True).over(before).cast("double").alias(f"_cpv_{v}"),
                 F.last(F.col("_off") + F.col(f"_lp_{v}"), True).over(before).alias(f"_cpp_{v}"),
-                F.first(f"_fv_{v}", True).over(later).cast("double").alias(f"_cnv_{v}"),
-                F.first(F.col("_off") + F.col(f"_fp_{v}"), True).over(later).alias(f"_cnp_{v}")]
+                F.last(f"_fv_{v}", True).over(later).cast("double").alias(f"_cnv_{v}"),
+                F.last(F.col("_off") + F.col(f"_fp_{v}"), True).over(later).alias(f"_cnp_{v}")]
     return summary.select(*sel)
