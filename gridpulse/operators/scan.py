@@ -14,7 +14,17 @@ from pyspark.sql import functions as F
 
 from gridpulse.functions.scalars import col_of
 
-__all__ = ["with_chunk", "series_positions", "running_extrema", "null_safe_join"]
+__all__ = ["with_chunk", "series_positions", "running_extrema", "null_safe_join", "range_chunks"]
+
+
+def range_chunks(dim: DataFrame, key: str, target: int = 1024) -> Column:
+    """Contiguous key-range chunks, about ``target`` of them whatever the key
+    range: the bounds are scalar subqueries over ``dim`` (one small job whose
+    result is inlined), so the chunk of a row is O(1) to compute."""
+    lo = dim.select(F.min(key)).scalar()
+    hi = dim.select(F.max(key)).scalar()
+    width = F.greatest(F.lit(1.0), (hi - lo + F.lit(1)).cast("double") / F.lit(float(target)))
+    return F.floor((F.col(key) - lo).cast("double") / width)
 
 CHUNK = "_chunk"
 

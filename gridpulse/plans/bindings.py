@@ -110,8 +110,7 @@ def entity_group_day_total(spark: SparkSession, sf: str) -> DataFrame:
 def production_map(spark: SparkSession, sf: str) -> DataFrame:
     prod = S.hourly_production(_ev(spark, sf), day=S.DAY)
     cust = S.table(spark, sf, "customer")
-    out = Q.production_map(prod, cust, S.DAY, "click", dim_key="c_custkey", dim_label="c_name",
-                           chunk_width=4096)
+    out = Q.production_map(prod, cust, S.DAY, "click", dim_key="c_custkey", dim_label="c_name")
     return out.select("code", r4("total_mwh").alias("total_mwh"), r4("total_kwh").alias("total_kwh"),
                       r4("size").alias("size"), r4("scale").alias("scale"), "color_index",
                       "palette", "text")
@@ -121,7 +120,7 @@ def consumption_map(spark: SparkSession, sf: str) -> DataFrame:
     cons = S.hourly_consumption(_ev(spark, sf), day=S.DAY)
     cust = S.table(spark, sf, "customer")
     out = Q.consumption_map(cons, cust, S.DAY, group="purchase", dim_key="c_custkey",
-                            dim_label="c_name", chunk_width=4096)
+                            dim_label="c_name")
     return out.select("code", r4("total_kwh").alias("total_kwh"), r4("size").alias("size"),
                       r4("scale").alias("scale"), "color_index", "palette", "text")
 

@@ -21,6 +21,7 @@ from gridpulse.operators.clean import parse_time_window
 from gridpulse.operators.impute import fill_gaps
 from gridpulse.operators.joins import left_join_keep_first, reverse_lookup
 from gridpulse.operators.scale import running_rescale
+from gridpulse.operators.scan import range_chunks
 from gridpulse.operators.series import smooth
 from gridpulse.operators.spatial import classify_points, valid_points
 from gridpulse.sources.dims import (BASE_DAY, CLOSED_BOUNDS, CONSUMPTION_PALETTES,
@@ -44,9 +45,15 @@ MUNICIPALITY_LABEL = [
 ]
 
 
-def chunk_by_width(col: str, width: int | None):
-    """Integer-key chunks for the two-level running scans (None: one chunk)."""
-    return None if not width else F.floor(F.col(col) / F.lit(int(width)))
+def chunk_by_width(col: str, width, dim: DataFrame | None = None):
+    """Key chunks for the two-level running scans: ``"auto"`` for about 1024
+    key ranges sized from ``dim``'s key range, an int for a fixed width, None
+    for one chunk."""
+    if not width:
+        return None
+    if width == "auto":
+        return range_chunks(dim, col)
+    return F.floor(F.col(col) / F.lit(int(width)))
 
 
 def municipality_profile(municipalities: DataFrame, weather: DataFrame,
@@ -69,7 +76,7 @@ def municipality_profile(municipalities: DataFrame, weather: DataFrame,
 def production_map(production: DataFrame, dim: DataFrame, day, measure: str,
                    code: str = "municipality_number", ts: str = "hour_utc",
                    dim_key: str = "lau_1_code_1", dim_label: str | None = "hover_text",
-                   n_colors: int = 9, chunk_width: int | None = None,
+                   n_colors: int = 9, chunk_width="auto",
                    size_factor: float = PRODUCTION_SIZE_FACTOR) -> DataFrame:
     """Q2: every dimension row with its day total of ``measure`` (0 if none),
     marker size, running colour scale in key order and label."""
@@ -79,7 +86,7 @@ def production_map(production: DataFrame, dim: DataFrame, day, measure: str,
     m = (m.withColumn("total_kwh", F.col("total_mwh") * F.lit(1000))
           .withColumn("size", marker_size("total_mwh", size_factor)))
     m = running_rescale(m, dim_key, "size", out="scale", out_lo=0.0, out_hi=1.0,
-                        chunk=chunk_by_width(dim_key, chunk_width), n_colors=n_colors)
+                        chunk=chunk_by_width(dim_key, chunk_width, dim), n_colors=n_colors)
     palette = PRODUCTION_PALETTES.get(measure, PRODUCTION_PALETTE_DEFAULT)
     head = F.col(dim_label) if dim_label else F.lit("")
     text = F.concat(head, F.lit("<br>Municipality Number: "), F.col(dim_key).cast("string"),
@@ -93,7 +100,7 @@ def consumption_map(consumption: DataFrame, dim: DataFrame, day, group: str | No
                     code: str = "municipality_number", ts: str = "hour_utc",
                     group_col: str = "industry_groups", value: str = "consumption_kwh",
                     dim_key: str = "lau_1_code_1", dim_label: str | None = "hover_text",
-                    n_colors: int = 9, chunk_width: int | None = None,
+                    n_colors: int = 9, chunk_width="auto",
                     default_palette: str = "Oranges") -> DataFrame:
     """Q3: as Q2 for consumption, optionally one industry group; scale [0.3, 1]."""
     rows = consumption if group is None else consumption.filter(F.col(group_col) == F.lit(group))
@@ -102,7 +109,7 @@ def consumption_map(consumption: DataFrame, dim: DataFrame, day, group: str | No
     m = zero_filled(dim.select(*keep), dim_key, totals, code, ["total_kwh"])
     m = m.withColumn("size", marker_size("total_kwh", CONSUMPTION_SIZE_FACTOR))
     m = running_rescale(m, dim_key, "size", out="scale", out_lo=0.3, out_hi=1.0,
-                        chunk=chunk_by_width(dim_key, chunk_width), n_colors=n_colors)
+                        chunk=chunk_by_width(dim_key, chunk_width, dim), n_colors=n_colors)
     palette = CONSUMPTION_PALETTES.get(group, default_palette)
     head = F.col(dim_label) if dim_label else F.lit("")
     text = F.concat(head, F.lit("<br>Municipality Number: "), F.col(dim_key).cast("string"),
