@@ -37,13 +37,21 @@ def _basis(pos, k, n):
 
 def smooth(df: DataFrame, keys, order, value: str, keep_ratio: float = 0.02, chunk=None,
            fill: float = 0.0, raw_out: str = "raw", out: str = "smoothed",
-           pos_out: str = "pos", len_out: str = "n_points") -> DataFrame:
+           pos_out: str = "pos", len_out: str = "n_points",
+           materialize: bool = False) -> DataFrame:
     """Low-pass each series. NULL values read as ``fill`` first. A series
-    with ``floor(ratio * N) = 0`` kept coefficients smooths to all zeros."""
+    with ``floor(ratio * N) = 0`` kept coefficients smooths to all zeros.
+
+    The positioned series feed two passes (coefficients, then the inverse);
+    ``materialize=True`` checkpoints them once to the shared checkpoint
+    folder instead of recomputing them (worth it for very large inputs)."""
     keys = list(keys)
     order = order if isinstance(order, (list, tuple)) else [order]
     base = df.withColumn(raw_out, F.coalesce(F.col(value).cast("double"), F.lit(float(fill))))
     positioned = series_positions(base, keys, order, chunk=chunk, pos=pos_out, length=len_out)
+    if materialize:
+        from gridpulse.session import materialize as _materialize
+        positioned = _materialize(positioned)
 
     keep = keep_count(F.col(len_out), keep_ratio)
     terms = positioned.select(

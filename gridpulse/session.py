@@ -47,3 +47,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def materialize(df):
+    """Cut the lineage of a frame used by several later passes: a reliable
+    checkpoint written to the shared ``spark.checkpoint.dir`` (survives the
+    loss of the executors that computed it; never a local checkpoint)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

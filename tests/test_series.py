@@ -69,3 +69,11 @@ def test_hourly_series_selected_flag(spark):
     got = out.filter("is_selected").collect()
     assert len(got) == 1 and got[0]["iso"] == "2022-01-02T00:00:00"
     assert out.filter(F.col("is_selected").isNull()).count() == 0
+
+
+def test_materialized_positions_same_result(spark):
+    rng = np.random.default_rng(4)
+    df = _frame(spark, {"a": rng.normal(size=100), "b": rng.normal(size=60)})
+    a = smooth(df, ["s"], ["ts"], "v", keep_ratio=0.05).orderBy("s", "ts").toPandas()
+    b = smooth(df, ["s"], ["ts"], "v", keep_ratio=0.05, materialize=True).orderBy("s", "ts").toPandas()
+    assert np.allclose(a["smoothed"], b["smoothed"], atol=1e-12)
