@@ -65,6 +65,9 @@ def fill_gaps(df: DataFrame, keys, order, values, chunk=None) -> DataFrame:
                 F.last(present, True).over(upto).alias(f"_pp_{v}")]
     local = local.select(*sel)
     sel = [F.col(c) for c in local.columns]
+    if chunk is not None:
+        sel.append(F.row_number().over(after.rowsBetween(Window.unboundedPreceding,
+                                                          Window.currentRow)).alias("_rrn"))
     for v in values:
         present = F.when(F.col(v).isNotNull(), F.col("_rn"))
         sel += [F.last(v, True).over(after).alias(f"_nv_{v}"),
@@ -99,13 +102,20 @@ def fill_gaps(df: DataFrame, keys, order, values, chunk=None) -> DataFrame:
 
 def _carry(local: DataFrame, keys, values) -> DataFrame:
     """Per (series, chunk): row offset and the nearest non-null value (with its
-    global position) in earlier and in later chunks."""
-    aggs = [F.max("_rn").alias("_cnt")]
+    global position) in earlier and in later chunks.
+
+    A chunk's first row already holds the chunk's first non-null value (the
+    reversed running frame) and its row count (reversed row number); its
+    last row holds the last non-null value. Only those two rows per chunk
+    are aggregated, and the rows are already clustered by (series, chunk)."""
+    first, last = F.col("_rn") == 1, F.col("_rrn") == 1
+    aggs = [F.max(F.when(first, F.col("_rrn"))).alias("_cnt")]
     for v in values:
-        present = F.when(F.col(v).isNotNull(), F.col("_rn"))
-        aggs += [F.min_by(v, present).alias(f"_fv_{v}"), F.min(present).alias(f"_fp_{v}"),
-                 F.max_by(v, present).alias(f"_lv_{v}"), F.max(present).alias(f"_lp_{v}")]
-    summary = local.groupBy(*keys, CHUNK).agg(*aggs)
+        aggs += [F.max(F.when(first, F.col(f"_nv_{v}"))).alias(f"_fv_{v}"),
+                 F.max(F.when(first, F.col(f"_np_{v}"))).alias(f"_fp_{v}"),
+                 F.max(F.when(last, F.col(f"_pv_{v}"))).alias(f"_lv_{v}"),
+                 F.max(F.when(last, F.col(f"_pp_{v}"))).alias(f"_lp_{v}")]
+    summary = local.filter(first | last).groupBy(*keys, CHUNK).agg(*aggs)
     w = Window.partitionBy(*keys).orderBy(CHUNK)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     later = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc_nulls_last()) \
