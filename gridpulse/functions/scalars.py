@@ -67,9 +67,12 @@ def in_time_range(ts, lo, hi) -> Column:
 
 
 def parse_timestamp(text, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
-    """Strict pattern parse to TIMESTAMP_NTZ; malformed text gives NULL."""
-    parsed = F.try_to_timestamp(col_of(text), F.lit(pattern))
-    return parsed.cast("timestamp_ntz")
+    """Strict pattern parse straight to TIMESTAMP_NTZ (the wall clock, in any
+    session zone); malformed text gives NULL. ``try_to_timestamp`` only
+    validates, so the ANSI parse below never sees bad text."""
+    t = col_of(text)
+    return F.when(F.try_to_timestamp(t, F.lit(pattern)).isNotNull(),
+                  F.to_timestamp_ntz(t, F.lit(pattern)))
 
 
 def lenient_timestamp(c) -> Column:

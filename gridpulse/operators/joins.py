@@ -22,15 +22,18 @@ def broadcast_checked(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
 
 
 def left_join_keep_first(left: DataFrame, right: DataFrame, on: str,
-                         suffix: str = "_from_right") -> DataFrame:
-    """Left equi-join; a column present on both sides keeps the left value,
-    falling back to the right one where the left is NULL."""
+                         suffix: str = "_from_right", fill_from_right: bool = False) -> DataFrame:
+    """Left equi-join; a column present on both sides keeps the left column
+    (the suffixed right copy is dropped), or with ``fill_from_right`` takes
+    the right value where the left one is NULL."""
     shared = [c for c in right.columns if c in left.columns and c != on]
     r = right.select(on, *[F.col(c).alias(c + suffix) if c in shared else F.col(c)
                            for c in right.columns if c != on])
     out = left.join(r, on=on, how="left")
     for c in shared:
-        out = out.withColumn(c, F.coalesce(F.col(c), F.col(c + suffix))).drop(c + suffix)
+        if fill_from_right:
+            out = out.withColumn(c, F.coalesce(F.col(c), F.col(c + suffix)))
+        out = out.drop(c + suffix)
     return out
 
 

@@ -92,6 +92,9 @@ def test_join_helpers(spark):
     dim = spark.createDataFrame([("A", 1.0), ("B", None)], "municipality string, distance double")
     right = spark.createDataFrame([("A", 9.0), ("B", 2.0)], "municipality string, distance double")
     got = {r["municipality"]: r["distance"] for r in rows(left_join_keep_first(dim, right, "municipality"))}
+    assert got == {"A": 1.0, "B": None}
+    got = {r["municipality"]: r["distance"]
+           for r in rows(left_join_keep_first(dim, right, "municipality", fill_from_right=True))}
     assert got == {"A": 1.0, "B": 2.0}
     names = spark.createDataFrame([("Aarhus",), ("Nowhere",)], "name string")
     d = spark.createDataFrame([(751, "Aarhus")], "code int, name string")

@@ -47,6 +47,17 @@ def test_parse_timestamp_strict(spark):
     assert got == [dt.datetime(2022, 12, 31, 23, 59, 59), None, None, None]
 
 
+def test_parse_timestamp_in_a_dst_zone(spark):
+    df = spark.createDataFrame([("2024-03-31 02:30:00",), ("bad",)], "s string")
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Copenhagen")
+        got = [r[0] for r in df.select(parse_timestamp("s")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert got == [dt.datetime(2024, 3, 31, 2, 30), None]
+
+
 def test_floor_ntz_is_zone_free(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 3, 31, 2, 30, 15),)], "t timestamp_ntz")
     prev = spark.conf.get("spark.sql.session.timeZone")
