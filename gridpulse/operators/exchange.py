@@ -47,6 +47,11 @@ def _day(day):
     return _dt.date.fromisoformat(str(day)[:10])
 
 
+def _stamp(day) -> str:
+    """The selected day as the labels print it: midnight timestamp text."""
+    return f"{_day(day).isoformat()} 00:00:00"
+
+
 def zone_country_exchange(prodcon: DataFrame, countries: DataFrame, day, areas=PRICE_AREAS,
                           measures=EXCHANGE_COLUMNS, ts: str = "hour_utc",
                           area: str = "price_area") -> DataFrame:
@@ -79,7 +84,7 @@ def zone_summaries(zone_rows: DataFrame, roles: DataFrame, day, area: str = "pri
     out = joined.join(F.broadcast(r), area, "left")
     return out.select(F.col(area).alias("name"), "lat", "lon",
                       F.concat(F.col(area), F.lit("<br>Daily values for Selected Day:"),
-                               F.lit(str(_day(day))), F.lit("<br>"), F.col("fragments")).alias("text"))
+                               F.lit(_stamp(day)), F.lit("<br>"), F.col("fragments")).alias("text"))
 
 
 def _country_sums(prodcon: DataFrame, countries: DataFrame, day, year_end, measures, ts, area,
@@ -110,7 +115,7 @@ def neighbour_utilisation(prodcon: DataFrame, countries: DataFrame, day, year_en
           .withColumn("size", abs_sum_size("cum_export", "cum_import", size_factor)))
     text = F.concat(
         F.col("country"), F.lit("<br>Cumulative Trade Numbers up until Selected Day: "),
-        F.lit(str(_day(day))), F.lit("<br>Total Export to "), F.col("country"), F.lit(": "),
+        F.lit(_stamp(day)), F.lit("<br>Total Export to "), F.col("country"), F.lit(": "),
         fmt2("cum_export"), F.lit(" MWh<br>Total Import from "), F.col("country"), F.lit(": "),
         fmt2("cum_import"), F.lit(" MWh<br>Current Use: "), fmt2("current_use"),
         F.lit(" MWh<br>Yearly Max: "), fmt2("yearly_max"), F.lit(" MWh"))

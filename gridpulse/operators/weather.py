@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse.functions.jsonx import json_number, replace_exact
-from gridpulse.functions.scalars import col_of, on_day
+from gridpulse.functions.scalars import col_of, fmt2, on_day, short_date
 from gridpulse.operators.scale import group_rescale, zscore_size
-from gridpulse.sources.dims import MUNICIPALITY_ALIASES, WEATHER_Z_FACTOR
+from gridpulse.sources.dims import MUNICIPALITY_ALIASES, WEATHER_PALETTES, WEATHER_Z_FACTOR
 
 __all__ = ["station_property", "property_day_zscore"]
 
@@ -34,10 +34,11 @@ def property_day_zscore(obs: DataFrame, ts: str, station: str = "municipality",
                         value: str = "value", enabled=None,
                         enabled_col: str = "municipality", day=None,
                         factor: float = WEATHER_Z_FACTOR, out_lo: float = 0.3, out_hi: float = 1.0,
-                        n_colors: int = 9) -> DataFrame:
+                        n_colors: int = 9, prop: str | None = None) -> DataFrame:
     """Z-score sizes per (station, day), then a colour scale per day.
 
-    ``enabled`` restricts stations: a list of names (an ``isin`` filter) or a
+    With ``prop`` (the property name) each row also gets the palette name
+    and the station-day label. ``enabled`` restricts stations: a list of names (an ``isin`` filter) or a
     frame (a semi join, planned by size). ``day`` limits
     to one calendar day; without it every day is computed at once."""
     if day is not None:
@@ -49,5 +50,14 @@ def property_day_zscore(obs: DataFrame, ts: str, station: str = "municipality",
                        obs[station] == F.col("_en"), "left_semi")
     obs = obs.withColumn("day", F.to_date(ts))
     sized = zscore_size(obs, [station, "day"], value, factor=factor, out="z_size")
-    return group_rescale(sized, ["day"], "z_size", out="scale", out_lo=out_lo, out_hi=out_hi,
-                         n_colors=n_colors, index_out="color_index", clip_index=True)
+    # a sum over no values is 0, as the dashboard shows it
+    sized = sized.withColumn("day_sum", F.coalesce(F.col("day_sum"), F.lit(0.0)))
+    out = group_rescale(sized, ["day"], "z_size", out="scale", out_lo=out_lo, out_hi=out_hi,
+                        n_colors=n_colors, index_out="color_index", clip_index=True)
+    if prop is None:
+        return out
+    text = F.concat(F.lit("<br>Municipality Center for Weather Data Collection: "), F.col(station),
+                    F.lit(f"<br>Weather Property: {prop}<br>Sum of {prop} for the Selected Day: "),
+                    fmt2("day_sum"), F.lit("<br>Selected Day: "),
+                    short_date("day"))
+    return out.withColumn("palette", F.lit(WEATHER_PALETTES.get(prop))).withColumn("text", text)

@@ -192,10 +192,10 @@ def json_property_zscore(spark: SparkSession, sf: str) -> DataFrame:
     w = S.weather_observations(_ev(spark, sf))
     obs = station_property(w, "ts", "municipality", "weather_data", "k",
                            aliases=S.STATION_ALIASES, keep=["event_id"])
-    out = property_day_zscore(obs, "ts", enabled=S.ENABLED_STATIONS)
+    out = property_day_zscore(obs, "ts", enabled=S.ENABLED_STATIONS, prop="k")
     return out.select("event_id", "municipality", "ts", "day", "value", r4("day_sum").alias("day_sum"),
                       r4("mean").alias("mean"), r4("std").alias("std"), r4("z_size").alias("z_size"),
-                      r4("scale").alias("scale"), "color_index")
+                      r4("scale").alias("scale"), "color_index", "text")
 
 
 # --- Q7-Q9: smoothing ---------------------------------------------------------

@@ -241,7 +241,7 @@ nu AS (SELECT *,
               WHEN {_d('current_use')} < CAST(0.95 AS DOUBLE) * {_d('yearly_max')} THEN 'yellow'
               ELSE 'red' END AS level,
          ln(abs({_d('cum_export + cum_import')}) + CAST(1.0 AS DOUBLE)) * CAST(7.0 AS DOUBLE) AS size,
-         country || '<br>Cumulative Trade Numbers up until Selected Day: 2024-01-15<br>Total Export to '
+         country || '<br>Cumulative Trade Numbers up until Selected Day: 2024-01-15 00:00:00<br>Total Export to '
          || country || ': ' || {_f2('cum_export')} || ' MWh<br>Total Import from ' || country || ': '
          || {_f2('cum_import')} || ' MWh<br>Current Use: ' || {_f2('current_use')}
          || ' MWh<br>Yearly Max: ' || {_f2('yearly_max')} || ' MWh' AS text
@@ -295,7 +295,7 @@ ZONE_DOTS = f"""
 WITH {PC}, {PCL}, {COUNTRIES}, {ROLES}, {ZONE_ROWS}, {NEIGHBOUR_ROWS},
 zones AS (SELECT price_area, string_agg(text, '' ORDER BY ord) AS fragments FROM zt GROUP BY 1)
 SELECT z.price_area AS name, r.lat, r.lon,
-       z.price_area || '<br>Daily values for Selected Day:2024-01-02<br>' || z.fragments AS text,
+       z.price_area || '<br>Daily values for Selected Day:2024-01-02 00:00:00<br>' || z.fragments AS text,
        CAST(NULL AS DOUBLE) AS size, CAST(NULL AS VARCHAR) AS level
 FROM zones z LEFT JOIN roles r ON r.name = z.price_area
 UNION ALL
@@ -350,7 +350,7 @@ o AS (SELECT event_id, ts, municipality,
              CASE WHEN json_valid(wd) THEN TRY_CAST(json_extract_string(wd, '$.k') AS DOUBLE) END AS value,
              CAST(ts AS DATE) AS day
       FROM w WHERE municipality IN ('click', 'purchase', 'signup', 'pageview')),
-st AS (SELECT municipality, day, sum(value) AS day_sum, avg(value) AS mean, stddev_samp(value) AS std
+st AS (SELECT municipality, day, coalesce(sum(value), 0) AS day_sum, avg(value) AS mean, stddev_samp(value) AS std
        FROM o GROUP BY 1, 2),
 z AS (SELECT o.*, st.day_sum, st.mean, st.std,
              abs(o.value - st.mean) / nullif(st.std, 0) * CAST(15.0 AS DOUBLE) AS z_size
@@ -360,7 +360,10 @@ f AS (SELECT z.*, {_rescale('z_size', 'b.lo', 'b.hi', 0.3, 1.0)} AS sc FROM z JO
 SELECT event_id, municipality, ts, day, value, round(day_sum, 4) AS day_sum, round(mean, 4) AS mean,
        round(std, 4) AS std, round(z_size, 4) AS z_size, round(sc, 4) AS scale,
        CASE WHEN sc IS NULL THEN NULL
-            ELSE CAST(least(greatest(trunc(sc * CAST(8.0 AS DOUBLE)), 0), 8) AS INTEGER) END AS color_index
+            ELSE CAST(least(greatest(trunc(sc * CAST(8.0 AS DOUBLE)), 0), 8) AS INTEGER) END AS color_index,
+       '<br>Municipality Center for Weather Data Collection: ' || municipality
+       || '<br>Weather Property: k<br>Sum of k for the Selected Day: '
+       || printf('%.2f', day_sum) || '<br>Selected Day: ' || strftime(day, '%Y-%m-%d') AS text
 FROM f
 """
 

@@ -32,7 +32,7 @@ def test_zone_country_exchange(spark):
     assert all(r["import_mwh"] == 0 and r["export_mwh"] == 0 for r in nl)
     s = rows(zone_summaries(zone_country_exchange(_prodcon(spark), country_dim(spark), "2022-01-02"),
                             trade_roles_frame(spark), "2022-01-02"), "name")
-    assert s[0]["name"] == "DK1" and s[0]["text"].startswith("DK1<br>Daily values for Selected Day:2022-01-02<br>Import from Great Britain")
+    assert s[0]["name"] == "DK1" and s[0]["text"].startswith("DK1<br>Daily values for Selected Day:2022-01-02 00:00:00<br>Import from Great Britain")
 
 
 def test_neighbour_utilisation_and_shares(spark):
@@ -110,3 +110,15 @@ def test_select_helpers(spark):
     assert fm == [{"price_area": "DK1", "exchangegb_mwh": 4.0}]
     long = unpivot_measures(pc, ["hour_utc", "price_area"], ["exchangegb_mwh", "exchangenl_mwh"])
     assert long.count() == 5
+
+
+def test_weather_all_missing_day_sums_to_zero(spark):
+    t = dt.datetime(2022, 1, 2, 1)
+    w = spark.createDataFrame([(t, "Aarhus", '{"wspd": 1}'), (t, "Aarhus", "garbage")],
+                              "timestamp timestamp_ntz, municipality string, weather_data string")
+    obs = station_property(w, "timestamp", "municipality", "weather_data", "temp")
+    out = rows(property_day_zscore(obs, "timestamp", prop="temp"))
+    assert all(r["day_sum"] == 0.0 for r in out)
+    assert out[0]["palette"] == "thermal"
+    assert out[0]["text"] == ("<br>Municipality Center for Weather Data Collection: Aarhus<br>Weather Property: "
+                              "temp<br>Sum of temp for the Selected Day: 0.00<br>Selected Day: 2022-01-02")
