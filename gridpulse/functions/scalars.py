@@ -77,12 +77,7 @@ def parse_timestamp(text, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
 
 def lenient_timestamp(c) -> Column:
     """Coerce strings or timestamps to TIMESTAMP_NTZ; bad values give NULL."""
-    return F.expr(f"try_cast({_sql_of(c)} AS TIMESTAMP_NTZ)") if isinstance(c, str) \
-        else F.try_to_timestamp(c.cast("string")).cast("timestamp_ntz")
-
-
-def _sql_of(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+    return col_of(c).try_cast("timestamp_ntz")
 
 
 def floor_ntz(ts, unit: str = "hour") -> Column:
