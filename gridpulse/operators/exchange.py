@@ -97,7 +97,8 @@ def _country_sums(prodcon: DataFrame, countries: DataFrame, day, year_end, measu
         *sign_split_exprs("mwh", "day_import", "day_export", net="day_net", when=today),
         *sign_split_exprs("mwh", "cum_import", "cum_export", when=cum),
         *sign_split_exprs("mwh", "year_import", "year_export", when=year))
-    return F.broadcast(countries).join(sums, "exchange_column", "left").na.fill(
+    # one row per exchange column: a proven bound, so the sums are broadcast
+    return countries.join(F.broadcast(sums), "exchange_column", "left").na.fill(
         0, ["day_import", "day_export", "day_net", "cum_import", "cum_export",
             "year_import", "year_export"])
 
