@@ -161,9 +161,13 @@ def clean_weather(weather: DataFrame, lo: str = "2022-01-01 00:00:00",
     return parse_time_window(weather, text_col, lo, hi)
 
 
-def clean_hourly(df: DataFrame, keys, ts: str, measures, chunk_unit: str | None = "day") -> DataFrame:
+def clean_hourly(df: DataFrame, keys, ts: str, measures, chunk_unit: str | None = "month") -> DataFrame:
     """Q14 (hourly tables): interpolate -> ffill -> bfill the measures per
-    series in time order, chunked by calendar ``chunk_unit``."""
+    series in time order, chunked by calendar ``chunk_unit``.
+
+    With hourly rows a month chunk holds at most 744 rows of a series, so no
+    task holds more than that per series, and the carry summary is about
+    1/720 of the rows."""
     chunk = None if chunk_unit is None else floor_ntz(ts, chunk_unit)
     return fill_gaps(df, keys, [ts], measures, chunk=chunk)
 
