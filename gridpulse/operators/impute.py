@@ -21,6 +21,15 @@ def _desc(order):
     return [o.desc_nulls_last() for o in order]
 
 
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lead_non_null(sql_expr: str):
+    """``lead(x, 1) IGNORE NULLS``: the next non-null value after this row."""
+    return F.expr(f"lead({sql_expr}, 1) IGNORE NULLS")
+
+
 def ffill(df: DataFrame, keys, order, value: str, out: str | None = None) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*[col_of(o) for o in order]) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -52,26 +61,21 @@ def fill_gaps(df: DataFrame, keys, order, values, chunk=None) -> DataFrame:
     part = keys + ([CHUNK] if chunk is not None else [])
     w = Window.partitionBy(*part).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # "next non-null" is a running frame over the reversed order: both passes
-    # are linear (sorted once each, no shuffle between them)
-    after = Window.partitionBy(*part).orderBy(*_desc(order)) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
+    # one sort per (series, chunk): the previous non-null comes from a running
+    # frame, the next one from lead(...) IGNORE NULLS (both linear)
     local = df.withColumn("_rn", F.row_number().over(w))
     sel = [F.col(c) for c in local.columns]
-    for v in values:
-        present = F.when(F.col(v).isNotNull(), F.col("_rn"))
-        sel += [F.last(v, True).over(upto).alias(f"_pv_{v}"),
-                F.last(present, True).over(upto).alias(f"_pp_{v}")]
-    local = local.select(*sel)
-    sel = [F.col(c) for c in local.columns]
     if chunk is not None:
-        sel.append(F.row_number().over(after.rowsBetween(Window.unboundedPreceding,
-                                                          Window.currentRow)).alias("_rrn"))
+        sel.append(F.lead("_rn").over(w).isNull().alias("_is_last"))
     for v in values:
         present = F.when(F.col(v).isNotNull(), F.col("_rn"))
-        sel += [F.last(v, True).over(after).alias(f"_nv_{v}"),
-                F.last(present, True).over(after).alias(f"_np_{v}")]
+        q = _quote(v)
+        sel += [F.last(v, True).over(upto).alias(f"_pv_{v}"),
+                F.last(present, True).over(upto).alias(f"_pp_{v}"),
+                F.coalesce(F.col(v), _lead_non_null(q).over(w)).alias(f"_nv_{v}"),
+                F.coalesce(present, _lead_non_null(f"CASE WHEN {q} IS NOT NULL THEN _rn END")
+                           .over(w)).alias(f"_np_{v}")]
     local = local.select(*sel)
 
     if chunk is None:
@@ -104,12 +108,12 @@ def _carry(local: DataFrame, keys, values) -> DataFrame:
     """Per (series, chunk): row offset and the nearest non-null value (with its
     global position) in earlier and in later chunks.
 
-    A chunk's first row already holds the chunk's first non-null value (the
-    reversed running frame) and its row count (reversed row number); its
-    last row holds the last non-null value. Only those two rows per chunk
-    are aggregated, and the rows are already clustered by (series, chunk)."""
-    first, last = F.col("_rn") == 1, F.col("_rrn") == 1
-    aggs = [F.max(F.when(first, F.col("_rrn"))).alias("_cnt")]
+    A chunk's first row already holds the chunk's first non-null value and
+    its last row the last non-null value and the row count. Only those two
+    rows per chunk are aggregated, and the rows are already clustered by
+    (series, chunk)."""
+    first, last = F.col("_rn") == 1, F.col("_is_last")
+    aggs = [F.max("_rn").alias("_cnt")]
     for v in values:
         aggs += [F.max(F.when(first, F.col(f"_nv_{v}"))).alias(f"_fv_{v}"),
                  F.max(F.when(first, F.col(f"_np_{v}"))).alias(f"_fp_{v}"),
