@@ -210,6 +210,36 @@ def smooth_series(spark: SparkSession, sf: str) -> DataFrame:
                       r4("smoothed").alias("smoothed"), "is_selected")
 
 
+def production_series(spark: SparkSession, sf: str) -> DataFrame:
+    """Q7: production series of the municipalities selected by name (the
+    names of all BUILDING customers), resolved to codes through the
+    dimension; NULL hours read as 0."""
+    prod = S.hourly_production(_ev(spark, sf))
+    cust = S.table(spark, sf, "customer")
+    names = cust.filter(F.col("c_mktsegment") == "BUILDING").select(F.col("c_name").alias("name"))
+    out = Q.hourly_series(prod, ["municipality_number"], "hour_utc", "click",
+                          selected=S.SELECTED_HOUR, chunk=floor_ntz("hour_utc", "day"),
+                          names=names, name_col="name", dim=cust, dim_name="c_name",
+                          dim_code="c_custkey")
+    return out.select("municipality_number", "hour_utc", r4("raw").alias("raw"),
+                      r4("smoothed").alias("smoothed"), "is_selected")
+
+
+def weather_series(spark: SparkSession, sf: str) -> DataFrame:
+    """Q8: per station, the JSON property (0 when the key is missing) as an
+    hourly series (weather rows are hourly; here the events of an hour are
+    averaged), smoothed over the station's hours."""
+    w = S.weather_observations(_ev(spark, sf))
+    obs = station_property(w, "ts", "municipality", "weather_data", "k", default=0.0,
+                           aliases=S.STATION_ALIASES)
+    hourly = obs.groupBy("municipality", floor_ntz("ts", "hour").alias("hour_utc")) \
+                .agg(F.avg("value").alias("value"))
+    out = Q.hourly_series(hourly, ["municipality"], "hour_utc", "value",
+                          chunk=floor_ntz("hour_utc", "day"))
+    return out.select("municipality", "hour_utc", r4("raw").alias("raw"),
+                      r4("smoothed").alias("smoothed"))
+
+
 # --- Q13: region matching -------------------------------------------------------
 
 def region_points(spark: SparkSession, sf: str) -> DataFrame:
@@ -271,6 +301,8 @@ QUERIES = {
     "net_locations": net_locations_q,
     "json_property_zscore": json_property_zscore,
     "smooth_series": smooth_series,
+    "production_series": production_series,
+    "weather_series": weather_series,
     "region_points": region_points,
     "calendar_marks": calendar_marks,
     "name_lookup": name_lookup,

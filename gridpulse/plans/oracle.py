@@ -393,6 +393,49 @@ SELECT event_type, hour_utc, strftime(hour_utc, '%Y-%m-%dT%H:%M:%S') AS iso, rou
 FROM rec
 """
 
+def _smooth_sql(src: str, key: str, order: str, extra_out: str = "") -> str:
+    """DCT low-pass per series in SQL: positions, kept coefficients, inverse."""
+    two, one = "CAST(2.0 AS DOUBLE)", "CAST(1.0 AS DOUBLE)"
+    basis = lambda pos, k, n: f"cos({_PI} * ({two} * {pos} + {one}) * {k} / ({two} * {n}))"
+    weight = lambda k, n: f"sqrt(CASE WHEN {k} = 0 THEN {one} ELSE {two} END / {n})"
+    return f"""
+p AS (SELECT *, CAST(row_number() OVER (PARTITION BY {key} ORDER BY {order}) - 1 AS DOUBLE) AS pos,
+             CAST(count(*) OVER (PARTITION BY {key}) AS DOUBLE) AS n FROM {src}),
+m AS (SELECT DISTINCT {key}, n, CAST(floor(n * CAST(0.02 AS DOUBLE)) AS INTEGER) AS keep FROM p),
+ks AS (SELECT {key}, n, unnest(range(keep)) AS k FROM m),
+coef AS (SELECT p.{key}, ks.k, sum(p.raw * {basis('p.pos', 'ks.k', 'p.n')}) * {weight('ks.k', 'ks.n')} AS c
+         FROM p JOIN ks ON p.{key} = ks.{key} GROUP BY p.{key}, ks.k, ks.n),
+rec AS (SELECT p.*, coalesce((SELECT sum(c.c * {weight('c.k', 'p.n')} * {basis('p.pos', 'c.k', 'p.n')})
+                              FROM coef c WHERE c.{key} = p.{key}), CAST(0.0 AS DOUBLE)) AS sm FROM p)"""
+
+
+PRODUCTION_SERIES = f"""
+WITH {PROD},
+codes AS (SELECT DISTINCT c.c_custkey FROM customer b JOIN customer c ON c.c_name = b.c_name
+          WHERE b.c_mktsegment = 'BUILDING'),
+src AS (SELECT municipality_number, hour_utc, coalesce(CAST(click AS DOUBLE), CAST(0.0 AS DOUBLE)) AS raw
+        FROM prod WHERE municipality_number IN (SELECT c_custkey FROM codes)),
+{_smooth_sql('src', 'municipality_number', 'hour_utc')}
+SELECT municipality_number, hour_utc, round(raw, 4) AS raw, round(sm, 4) AS smoothed,
+       hour_utc = TIMESTAMP '2024-01-15 00:00:00' AS is_selected
+FROM rec
+"""
+
+WEATHER_SERIES = f"""
+WITH {EV},
+w AS (SELECT event_id, ts, CASE WHEN event_type = 'view' THEN 'pageview' ELSE event_type END AS municipality,
+             CASE WHEN k = 2 THEN substring(props, 1, length(props) - 1)
+                  WHEN k = 3 THEN '{{"k": "n/a"}}' ELSE props END AS wd FROM ev),
+o AS (SELECT municipality, date_trunc('hour', ts) AS hour_utc,
+             CASE WHEN json_valid(wd) THEN
+                  CASE WHEN json_exists(wd, '$.k') THEN TRY_CAST(json_extract_string(wd, '$.k') AS DOUBLE)
+                       ELSE CAST(0.0 AS DOUBLE) END END AS value
+      FROM w),
+src AS (SELECT municipality, hour_utc, coalesce(avg(value), CAST(0.0 AS DOUBLE)) AS raw FROM o GROUP BY 1, 2),
+{_smooth_sql('src', 'municipality', 'hour_utc')}
+SELECT municipality, hour_utc, round(raw, 4) AS raw, round(sm, 4) AS smoothed FROM rec
+"""
+
 REGION_POINTS = f"""
 WITH {EV},
 p AS (SELECT event_id AS point_id, value / CAST(25.0 AS DOUBLE) - CAST(5.0 AS DOUBLE) AS lon,
@@ -457,6 +500,8 @@ _RAW = {
     "net_locations": NET_LOCATIONS,
     "json_property_zscore": JSON_PROPERTY_ZSCORE,
     "smooth_series": SMOOTH_SERIES,
+    "production_series": PRODUCTION_SERIES,
+    "weather_series": WEATHER_SERIES,
     "region_points": REGION_POINTS,
     "calendar_marks": CALENDAR_MARKS,
     "name_lookup": NAME_LOOKUP,
