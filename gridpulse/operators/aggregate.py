@@ -66,9 +66,10 @@ def share_of_total(df: DataFrame, keys, value: str, out: str = "share") -> DataF
 
 def zero_filled(dim: DataFrame, dim_key: str, agg: DataFrame, agg_key: str, value_cols) -> DataFrame:
     """Every dimension row with its aggregate, 0 when it has none (dimension on the left)."""
-    joined = dim.join(agg, dim[dim_key] == agg[agg_key], "left")
-    if agg_key != dim_key:
-        joined = joined.drop(agg[agg_key])
+    if agg_key == dim_key:
+        joined = dim.join(agg, on=dim_key, how="left")
+    else:
+        joined = dim.join(agg, dim[dim_key] == agg[agg_key], "left").drop(agg[agg_key])
     for c in value_cols:
         joined = joined.withColumn(c, F.coalesce(F.col(c), F.lit(0)))
     return joined

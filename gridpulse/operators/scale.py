@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse.functions.scalars import palette_index, rescale
-from gridpulse.operators.scan import running_extrema
+from gridpulse.operators.scan import null_safe_join, running_extrema
 
 __all__ = ["running_rescale", "group_rescale", "zscore_size"]
 
@@ -35,7 +35,7 @@ def group_rescale(df: DataFrame, keys, value: str, out: str = "scale",
     keys = list(keys)
     if keys:
         bounds = df.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-        out_df = df.join(bounds, on=keys, how="left")
+        out_df = null_safe_join(df, bounds, keys)
     else:
         bounds = df.agg(F.min(value).alias("_lo"), F.max(value).alias("_hi")) \
                    .withColumn("_one", F.lit(1))
@@ -53,7 +53,7 @@ def zscore_size(df: DataFrame, keys, value: str, factor: float = 1.0, out: str =
     keys = list(keys)
     stats = df.groupBy(*keys).agg(F.sum(value).alias("day_sum"), F.avg(value).alias("mean"),
                                   F.stddev_samp(value).alias("std"))
-    out_df = df.join(stats, on=keys, how="left")
+    out_df = null_safe_join(df, stats, keys)  # a NULL key is a group too
     out_df = out_df.withColumn(
         out, F.abs(F.col(value) - F.col("mean")) / F.nullif(F.col("std"), F.lit(0.0))
         * F.lit(float(factor)))

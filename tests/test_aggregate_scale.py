@@ -100,3 +100,15 @@ def test_join_helpers(spark):
     d = spark.createDataFrame([(751, "Aarhus")], "code int, name string")
     got = {r["name"]: r["code"] for r in rows(reverse_lookup(names, "name", d, "name", "code"))}
     assert got == {"Aarhus": 751, "Nowhere": None}
+
+
+def test_null_group_keys_and_same_key_names(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 2.0)], "g string, v double")
+    z = rows(zscore_size(df, ["g"], "v"), "v")
+    assert z[0]["mean"] == 2.0 and z[0]["z_size"] is not None
+    g = rows(group_rescale(df, ["g"], "v"), "v")
+    assert [r["scale"] for r in g] == [0.0, 1.0, 1.0]
+    dim = spark.createDataFrame([(1,), (2,)], "k int")
+    agg = spark.createDataFrame([(1, 5.0)], "k int, total double")
+    assert rows(zero_filled(dim, "k", agg, "k", ["total"]), "k") == [{"k": 1, "total": 5.0},
+                                                                      {"k": 2, "total": 0.0}]

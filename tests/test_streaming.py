@@ -37,3 +37,31 @@ def test_day_totals_stream_matches_batch(spark):
     assert got and all(got[k] == exp[k] for k in got)
     assert {k for k in exp if k[0] < last} == set(got)
     assert spark.conf.get("spark.checkpoint.dir")
+
+
+def test_day_totals_stream_resumes_from_checkpoint(spark):
+    """A stopped query restarted on the same checkpoint continues where it
+    stopped: no file is read twice and the state of open days is kept."""
+    src = tempfile.mkdtemp(prefix="gp-stream-src-")
+    out = tempfile.mkdtemp(prefix="gp-stream-out-")
+    ckpt = tempfile.mkdtemp(prefix="gp-stream-ckpt-")
+    base = dt.datetime(2022, 1, 1)
+    first = [(base + dt.timedelta(hours=h), 101, 1.0) for h in range(0, 30)]
+    second = [(base + dt.timedelta(hours=h), 101, 2.0) for h in range(30, 80)]
+
+    def run(rows):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(src)
+        stream = read_hourly_stream(spark, src, SCHEMA)
+        q = start_stream(day_totals_stream(stream, ["municipality_number"], "hour_utc",
+                                           ["solar_power_mwh"], watermark="1 hour"),
+                         sink="parquet", name="gp_resume", fmt="parquet", path=out,
+                         checkpoint_location=ckpt)
+        q.processAllAvailable()
+        q.stop()
+
+    run(first)
+    run(second)
+    got = {r["day"]: r["solar_power_mwh"] for r in spark.read.parquet(out).collect()}
+    # day 1: 24 h of 1.0; day 2: 6 h of 1.0 (first run) + 18 h of 2.0 (second run)
+    assert got == {dt.date(2022, 1, 1): 24.0, dt.date(2022, 1, 2): 6.0 + 36.0,
+                   dt.date(2022, 1, 3): 48.0}
