@@ -66,8 +66,6 @@ def fill_gaps(df: DataFrame, keys, order, values, chunk=None) -> DataFrame:
     # frame, the next one from lead(...) IGNORE NULLS (both linear)
     local = df.withColumn("_rn", F.row_number().over(w))
     sel = [F.col(c) for c in local.columns]
-    if chunk is not None:
-        sel.append(F.lead("_rn").over(w).isNull().alias("_is_last"))
     for v in values:
         present = F.when(F.col(v).isNotNull(), F.col("_rn"))
         q = _quote(v)
@@ -86,7 +84,10 @@ def fill_gaps(df: DataFrame, keys, order, values, chunk=None) -> DataFrame:
                       .withColumn(f"_cnv_{v}", F.lit(None).cast("double"))
                       .withColumn(f"_cnp_{v}", F.lit(None).cast("long")))
     else:
-        out = null_safe_join(local, _carry(local, keys, values), [*keys, CHUNK])
+        # the summary branch recomputes only the row numbers, not the fill
+        # windows; both branches read the same (reused) shuffle
+        numbered = df.withColumn("_rn", F.row_number().over(w))
+        out = null_safe_join(local, _carry(numbered, keys, values), [*keys, CHUNK])
 
     gpos = (F.col("_off") + F.col("_rn")).cast("double")
     result = []
@@ -104,22 +105,19 @@ def fill_gaps(df: DataFrame, keys, order, values, chunk=None) -> DataFrame:
     return out.select(*[c for c in cols if c not in values], *result).select(*cols)
 
 
-def _carry(local: DataFrame, keys, values) -> DataFrame:
+def _carry(numbered: DataFrame, keys, values) -> DataFrame:
     """Per (series, chunk): row offset and the nearest non-null value (with its
     global position) in earlier and in later chunks.
 
-    A chunk's first row already holds the chunk's first non-null value and
-    its last row the last non-null value and the row count. Only those two
-    rows per chunk are aggregated, and the rows are already clustered by
-    (series, chunk)."""
-    first, last = F.col("_rn") == 1, F.col("_is_last")
+    ``numbered`` holds the rows with their row number in the chunk; the
+    summary is a plain aggregate over them (the rows are already clustered
+    by series and chunk, so it needs no further shuffle)."""
     aggs = [F.max("_rn").alias("_cnt")]
     for v in values:
-        aggs += [F.max(F.when(first, F.col(f"_nv_{v}"))).alias(f"_fv_{v}"),
-                 F.max(F.when(first, F.col(f"_np_{v}"))).alias(f"_fp_{v}"),
-                 F.max(F.when(last, F.col(f"_pv_{v}"))).alias(f"_lv_{v}"),
-                 F.max(F.when(last, F.col(f"_pp_{v}"))).alias(f"_lp_{v}")]
-    summary = local.filter(first | last).groupBy(*keys, CHUNK).agg(*aggs)
+        present = F.when(F.col(v).isNotNull(), F.col("_rn"))
+        aggs += [F.min_by(v, present).alias(f"_fv_{v}"), F.min(present).alias(f"_fp_{v}"),
+                 F.max_by(v, present).alias(f"_lv_{v}"), F.max(present).alias(f"_lp_{v}")]
+    summary = numbered.groupBy(*keys, CHUNK).agg(*aggs)
     w = Window.partitionBy(*keys).orderBy(CHUNK)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     later = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc_nulls_last()) \
