@@ -17,7 +17,7 @@ __all__ = [
     "in_time_range", "parse_timestamp", "floor_ntz", "lenient_timestamp", "day_of", "day_number_to_date",
     "iso_hour", "short_date", "month_day_label", "nan_to_null", "marker_size",
     "abs_sum_size", "rescale", "palette_index", "clip", "truncate_to_int",
-    "fmt2", "level", "first_set", "category_lookup", "label_lines",
+    "fmt2", "level", "first_set", "category_lookup", "label_lines", "fill_template",
 ]
 
 _SAFE_NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
@@ -216,3 +216,23 @@ def label_lines(parts: list[tuple[str, Column]], optional: list[tuple[str, Colum
                         F.when(value.isNotNull(), F.concat(F.lit(prefix), value.cast("string")))
                          .otherwise(F.lit("")))
     return body
+
+
+_SLOT = re.compile(r"\{([A-Za-z_][A-Za-z0-9_]*)\}")
+
+
+def fill_template(fmt: str, **values) -> Column:
+    """A text column from a ``{name}`` template: literal pieces and the given
+    Columns (or plain values) concatenated in order. NULL values print as
+    ``None``, as the formatted labels do."""
+    parts, pos = [], 0
+    for m in _SLOT.finditer(fmt):
+        if m.start() > pos:
+            parts.append(F.lit(fmt[pos:m.start()]))
+        v = values[m.group(1)]
+        c = v if isinstance(v, Column) else F.lit(v)
+        parts.append(F.coalesce(c.cast("string"), F.lit("None")))
+        pos = m.end()
+    if pos < len(fmt):
+        parts.append(F.lit(fmt[pos:]))
+    return F.concat(*parts) if parts else F.lit("")

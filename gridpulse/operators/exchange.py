@@ -14,10 +14,12 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridpulse.functions.scalars import abs_sum_size, fmt2, level, on_day, up_to_day
+from gridpulse.functions.scalars import (abs_sum_size, fill_template, fmt2, level, on_day,
+                                         up_to_day)
 from gridpulse.operators.aggregate import share_of_total, sign_split_exprs
 from gridpulse.sources.dims import (COUNTRY_BY_EXCHANGE, EXCHANGE_COLUMNS, LEVEL_NAMES,
-                                    LEVEL_THRESHOLDS, NEIGHBOUR_SIZE_FACTOR, PRICE_AREAS)
+                                    LEVEL_THRESHOLDS, NEIGHBOUR_LABEL, NEIGHBOUR_SIZE_FACTOR,
+                                    PRICE_AREAS, ZONE_COUNTRY_LABEL, ZONE_LABEL)
 
 __all__ = [
     "exchange_long", "country_dim", "zone_country_exchange", "zone_summaries",
@@ -69,9 +71,8 @@ def zone_country_exchange(prodcon: DataFrame, countries: DataFrame, day, areas=P
     out = out.select(area, "country", "ord",
                      F.coalesce("import_mwh", F.lit(0)).alias("import_mwh"),
                      F.coalesce("export_mwh", F.lit(0)).alias("export_mwh"))
-    text = F.concat(F.lit("Import from "), F.col("country"), F.lit(": "), fmt2("import_mwh"),
-                    F.lit(" MWh<br>Export to "), F.col("country"), F.lit(": "),
-                    fmt2("export_mwh"), F.lit(" MWh<br>"))
+    text = fill_template(ZONE_COUNTRY_LABEL, country=F.col("country"),
+                         import_mwh=fmt2("import_mwh"), export_mwh=fmt2("export_mwh"))
     return out.withColumn("text", text)
 
 
@@ -82,9 +83,8 @@ def zone_summaries(zone_rows: DataFrame, roles: DataFrame, day, area: str = "pri
                                             lambda s: s["text"]), "").alias("fragments")))
     r = roles.select(F.col("name").alias(area), "lat", "lon")
     out = joined.join(F.broadcast(r), area, "left")
-    return out.select(F.col(area).alias("name"), "lat", "lon",
-                      F.concat(F.col(area), F.lit("<br>Daily values for Selected Day:"),
-                               F.lit(_stamp(day)), F.lit("<br>"), F.col("fragments")).alias("text"))
+    text = fill_template(ZONE_LABEL, zone=F.col(area), day=_stamp(day), fragments=F.col("fragments"))
+    return out.select(F.col(area).alias("name"), "lat", "lon", text.alias("text"))
 
 
 def _country_sums(prodcon: DataFrame, countries: DataFrame, day, year_end, measures, ts, area,
@@ -106,21 +106,29 @@ def _country_sums(prodcon: DataFrame, countries: DataFrame, day, year_end, measu
 def neighbour_utilisation(prodcon: DataFrame, countries: DataFrame, day, year_end=None,
                           measures=EXCHANGE_COLUMNS, ts: str = "hour_utc",
                           area: str = "price_area", thresholds=LEVEL_THRESHOLDS,
-                          names=LEVEL_NAMES, size_factor: float = NEIGHBOUR_SIZE_FACTOR) -> DataFrame:
+                          names=LEVEL_NAMES, size_factor: float = NEIGHBOUR_SIZE_FACTOR,
+                          coords: DataFrame | None = None) -> DataFrame:
     """Per neighbour: cumulative import/export to ``day``, year totals, current
-    use, yearly maximum, utilisation level and marker size (one scan)."""
+    use, yearly maximum, utilisation level and marker size (one scan).
+
+    The label shows the marker coordinates of ``coords`` (``name, lat, lon``,
+    e.g. the trade roles) when given, else the country table's."""
     s = _country_sums(prodcon, countries, day, year_end, measures, ts, area)
     s = (s.withColumn("current_use", F.abs("cum_import") + F.abs("cum_export"))
           .withColumn("yearly_max", F.abs("year_import") + F.abs("year_export")))
     s = (s.withColumn("level", level("current_use", "yearly_max", thresholds, names))
           .withColumn("size", abs_sum_size("cum_export", "cum_import", size_factor)))
-    text = F.concat(
-        F.col("country"), F.lit("<br>Cumulative Trade Numbers up until Selected Day: "),
-        F.lit(_stamp(day)), F.lit("<br>Total Export to "), F.col("country"), F.lit(": "),
-        fmt2("cum_export"), F.lit(" MWh<br>Total Import from "), F.col("country"), F.lit(": "),
-        fmt2("cum_import"), F.lit(" MWh<br>Current Use: "), fmt2("current_use"),
-        F.lit(" MWh<br>Yearly Max: "), fmt2("yearly_max"), F.lit(" MWh"))
-    return s.withColumn("text", text)
+    if coords is not None:
+        c = coords.select(F.col("name").alias("country"), F.col("lat").alias("_label_lat"),
+                          F.col("lon").alias("_label_lon"))
+        s = s.join(F.broadcast(c), "country", "left")  # a handful of fixed markers
+    else:
+        s = s.withColumn("_label_lat", F.col("lat")).withColumn("_label_lon", F.col("lon"))
+    text = fill_template(NEIGHBOUR_LABEL, country=F.col("country"), lat=F.col("_label_lat"),
+                         lon=F.col("_label_lon"), day=_stamp(day),
+                         cum_export=fmt2("cum_export"), cum_import=fmt2("cum_import"),
+                         current_use=fmt2("current_use"), yearly_max=fmt2("yearly_max"))
+    return s.withColumn("text", text).drop("_label_lat", "_label_lon")
 
 
 def daily_cumulative(prodcon: DataFrame, countries: DataFrame, measures=EXCHANGE_COLUMNS,

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse.functions.jsonx import json_number, replace_exact
-from gridpulse.functions.scalars import col_of, fmt2, on_day, short_date
+from gridpulse.functions.scalars import col_of, fill_template, fmt2, on_day, short_date
 from gridpulse.operators.scale import group_rescale, zscore_size
-from gridpulse.sources.dims import MUNICIPALITY_ALIASES, WEATHER_PALETTES, WEATHER_Z_FACTOR
+from gridpulse.sources.dims import (MUNICIPALITY_ALIASES, WEATHER_LABEL, WEATHER_PALETTES,
+                                    WEATHER_Z_FACTOR)
 
 __all__ = ["station_property", "property_day_zscore"]
 
@@ -56,8 +57,6 @@ def property_day_zscore(obs: DataFrame, ts: str, station: str = "municipality",
                         n_colors=n_colors, index_out="color_index", clip_index=True)
     if prop is None:
         return out
-    text = F.concat(F.lit("<br>Municipality Center for Weather Data Collection: "), F.col(station),
-                    F.lit(f"<br>Weather Property: {prop}<br>Sum of {prop} for the Selected Day: "),
-                    fmt2("day_sum"), F.lit("<br>Selected Day: "),
-                    short_date("day"))
+    text = fill_template(WEATHER_LABEL, municipality=F.col(station), prop=prop,
+                         day_sum=fmt2("day_sum"), day=short_date("day"))
     return out.withColumn("palette", F.lit(WEATHER_PALETTES.get(prop))).withColumn("text", text)

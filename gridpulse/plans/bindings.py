@@ -140,7 +140,8 @@ def zone_exchange(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def neighbour_util(spark: SparkSession, sf: str) -> DataFrame:
-    n = neighbour_utilisation(_prodcon(spark, sf), _countries(spark), S.SLIDER_DAY, S.YEAR_END)
+    n = neighbour_utilisation(_prodcon(spark, sf), _countries(spark), S.SLIDER_DAY, S.YEAR_END,
+                              coords=trade_roles_frame(spark))
     num = ["day_import", "day_export", "day_net", "cum_import", "cum_export", "year_import",
            "year_export", "current_use", "yearly_max", "size"]
     return n.select("country", *[r4(c).alias(c) for c in num], "level", "text")
@@ -157,7 +158,7 @@ def zone_dots(spark: SparkSession, sf: str) -> DataFrame:
     """Zone markers (per-country texts joined) and neighbour markers in one list."""
     pc, countries, roles = _prodcon(spark, sf), _countries(spark), trade_roles_frame(spark)
     zones = zone_summaries(zone_country_exchange(pc, countries, S.DAY), roles, S.DAY)
-    neigh = neighbour_utilisation(pc, countries, S.SLIDER_DAY, S.YEAR_END)
+    neigh = neighbour_utilisation(pc, countries, S.SLIDER_DAY, S.YEAR_END, coords=roles)
     neigh = neigh.join(F.broadcast(roles.select(F.col("name").alias("country"),
                                                 F.col("lat").alias("r_lat"),
                                                 F.col("lon").alias("r_lon"))), "country")

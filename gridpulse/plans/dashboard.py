@@ -14,7 +14,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.functions.scalars import (floor_ntz, fmt2, iso_hour, label_lines, marker_size,
+from gridpulse.functions.scalars import (fill_template, floor_ntz, fmt2, iso_hour, label_lines, marker_size,
                                          month_day_label, palette_index, ts_literal)
 from gridpulse.operators.aggregate import day_totals, first_non_null, zero_filled
 from gridpulse.operators.clean import parse_time_window
@@ -24,8 +24,9 @@ from gridpulse.operators.scale import running_rescale
 from gridpulse.operators.scan import range_chunks
 from gridpulse.operators.series import smooth
 from gridpulse.operators.spatial import classify_points, valid_points
-from gridpulse.sources.dims import (BASE_DAY, CLOSED_BOUNDS, CONSUMPTION_PALETTES,
-                                    CONSUMPTION_SIZE_FACTOR, OPEN_BOUNDS,
+from gridpulse.sources.dims import (BASE_DAY, CLOSED_BOUNDS, CONSUMPTION_LABEL,
+                                    CONSUMPTION_PALETTES, CONSUMPTION_SIZE_FACTOR, DISTANCE_LABEL,
+                                    MUNICIPALITY_LABEL_LINES, OPEN_BOUNDS, PRODUCTION_LABEL,
                                     PRODUCTION_PALETTE_DEFAULT, PRODUCTION_PALETTES,
                                     PRODUCTION_SIZE_FACTOR, SMOOTH_KEEP_RATIO)
 
@@ -35,14 +36,7 @@ __all__ = [
     "calendar_marks", "chunk_by_width",
 ]
 
-# label lines of the municipality hover text: (prefix, column)
-MUNICIPALITY_LABEL = [
-    ("", "municipality"), ("Latitude: ", "latitude"), ("Longitude: ", "longitude"),
-    ("PowerRegion: ", "power_region"), ("LAU-1 Code: ", "lau_1_code_1"),
-    ("Administrative Center: ", "administrative_center"),
-    ("Total Area (km²): ", "total_area_km2"),
-    ("Population (2012-01-01): ", "population_2012_01_01"), ("Region: ", "region"),
-]
+MUNICIPALITY_LABEL = MUNICIPALITY_LABEL_LINES
 
 
 def chunk_by_width(col: str, width, dim: DataFrame | None = None):
@@ -69,7 +63,7 @@ def municipality_profile(municipalities: DataFrame, weather: DataFrame,
         dist = dist.withColumnRenamed(weather_key, key)
     joined = left_join_keep_first(municipalities, dist, on=key)
     text = label_lines([(p, F.col(c)) for p, c in label],
-                       optional=[("Distance to Station (km): ", F.col(distance))])
+                       optional=[(DISTANCE_LABEL.replace("{distance}", ""), F.col(distance))])
     return joined.withColumn(out, text)
 
 
@@ -89,9 +83,8 @@ def production_map(production: DataFrame, dim: DataFrame, day, measure: str,
                         chunk=chunk_by_width(dim_key, chunk_width, dim), n_colors=n_colors)
     palette = PRODUCTION_PALETTES.get(measure, PRODUCTION_PALETTE_DEFAULT)
     head = F.col(dim_label) if dim_label else F.lit("")
-    text = F.concat(head, F.lit("<br>Municipality Number: "), F.col(dim_key).cast("string"),
-                    F.lit(f"<br>Production Type: {measure}<br>Power Production: "),
-                    fmt2("total_kwh"), F.lit(f" kWh<br>Selected Day: {str(day)[:10]}"))
+    text = fill_template(PRODUCTION_LABEL, label=head, code=F.col(dim_key), measure=measure,
+                         kwh=fmt2("total_kwh"), day=str(day)[:10])
     return m.select(F.col(dim_key).alias("code"), "total_mwh", "total_kwh", "size", "scale",
                     "color_index", F.lit(palette).alias("palette"), text.alias("text"))
 
@@ -112,9 +105,8 @@ def consumption_map(consumption: DataFrame, dim: DataFrame, day, group: str | No
                         chunk=chunk_by_width(dim_key, chunk_width, dim), n_colors=n_colors)
     palette = CONSUMPTION_PALETTES.get(group, default_palette)
     head = F.col(dim_label) if dim_label else F.lit("")
-    text = F.concat(head, F.lit("<br>Municipality Number: "), F.col(dim_key).cast("string"),
-                    F.lit(f"<br>Industry Group: {group}<br>Power Consumption: "),
-                    fmt2("total_kwh"), F.lit(f" kWh<br>Selected Day: {str(day)[:10]}"))
+    text = fill_template(CONSUMPTION_LABEL, label=head, code=F.col(dim_key), group=str(group),
+                         kwh=fmt2("total_kwh"), day=str(day)[:10])
     return m.select(F.col(dim_key).alias("code"), "total_kwh", "size", "scale", "color_index",
                     F.lit(palette).alias("palette"), text.alias("text"))
 

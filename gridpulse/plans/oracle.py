@@ -241,11 +241,12 @@ nu AS (SELECT *,
               WHEN {_d('current_use')} < CAST(0.95 AS DOUBLE) * {_d('yearly_max')} THEN 'yellow'
               ELSE 'red' END AS level,
          ln(abs({_d('cum_export + cum_import')}) + CAST(1.0 AS DOUBLE)) * CAST(7.0 AS DOUBLE) AS size,
-         country || '<br>Cumulative Trade Numbers up until Selected Day: 2024-01-15 00:00:00<br>Total Export to '
+         country || '<br>Latitude:' || CAST(rl.lat AS VARCHAR) || '<br>Longitude:' || CAST(rl.lon AS VARCHAR)
+         || '<br>Cumulative Trade Numbers up until Selected Day: 2024-01-15 00:00:00<br>Total Export to '
          || country || ': ' || {_f2('cum_export')} || ' MWh<br>Total Import from ' || country || ': '
          || {_f2('cum_import')} || ' MWh<br>Current Use: ' || {_f2('current_use')}
          || ' MWh<br>Yearly Max: ' || {_f2('yearly_max')} || ' MWh' AS text
-       FROM nk)"""
+       FROM nk LEFT JOIN roles rl ON rl.name = nk.country)"""
 
 ROLE_COLS = ("role_cols AS (SELECT name, CAST(lat AS DOUBLE) AS lat, CAST(lon AS DOUBLE) AS lon, "
              "export_column, import_column FROM (VALUES "
@@ -287,7 +288,7 @@ _NUM = ["day_import", "day_export", "day_net", "cum_import", "cum_export", "year
         "year_export", "current_use", "yearly_max", "size"]
 
 NEIGHBOUR_UTILISATION = f"""
-WITH {PC}, {PCL}, {COUNTRIES}, {NEIGHBOUR_ROWS}
+WITH {PC}, {PCL}, {COUNTRIES}, {ROLES}, {NEIGHBOUR_ROWS}
 SELECT country, {", ".join(f"{_r(c)} AS {c}" for c in _NUM)}, level, text FROM nu
 """
 
@@ -328,7 +329,7 @@ SELECT price_area, country, direction, round(mwh, 4) AS mwh, round(share, 4) AS
 """
 
 COUNTRY_SHARE = f"""
-WITH {PC}, {PCL}, {COUNTRIES}, {NEIGHBOUR_ROWS}, {_share('nu', 'country', 'cum_import', 'cum_export')}
+WITH {PC}, {PCL}, {COUNTRIES}, {ROLES}, {NEIGHBOUR_ROWS}, {_share('nu', 'country', 'cum_import', 'cum_export')}
 SELECT country, direction, round(mwh, 4) AS mwh, round(share, 4) AS share FROM sh
 """
 

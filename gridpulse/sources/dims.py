@@ -99,6 +99,36 @@ LEVEL_THRESHOLDS = (0.8, 0.95)
 LEVEL_NAMES = ("green", "yellow", "red")
 SMOOTH_KEEP_RATIO = 0.02
 BASE_DAY = "2022-01-01"
+
+# Label formats. {name} marks a value; numbers shown with two decimals are
+# formatted before they are filled in.
+MUNICIPALITY_LABEL_LINES = [
+    ("", "municipality"),
+    ("Latitude: ", "latitude"),
+    ("Longitude: ", "longitude"),
+    ("PowerRegion: ", "power_region"),
+    ("LAU-1 Code: ", "lau_1_code_1"),
+    ("Administrative Center: ", "administrative_center"),
+    ("Total Area (km²): ", "total_area_km2"),
+    ("Population (2012-01-01): ", "population_2012_01_01"),
+    ("Region: ", "region"),
+]
+DISTANCE_LABEL = "Distance to Station (km): {distance}"
+PRODUCTION_LABEL = ("{label}<br>Municipality Number: {code}<br>Production Type: {measure}"
+                    "<br>Power Production: {kwh} kWh<br>Selected Day: {day}")
+CONSUMPTION_LABEL = ("{label}<br>Municipality Number: {code}<br>Industry Group: {group}"
+                     "<br>Power Consumption: {kwh} kWh<br>Selected Day: {day}")
+ZONE_COUNTRY_LABEL = ("Import from {country}: {import_mwh} MWh<br>"
+                      "Export to {country}: {export_mwh} MWh<br>")
+ZONE_LABEL = "{zone}<br>Daily values for Selected Day:{day}<br>{fragments}"
+NEIGHBOUR_LABEL = ("{country}<br>Latitude:{lat}<br>Longitude:{lon}<br>"
+                   "Cumulative Trade Numbers up until Selected Day: {day}<br>"
+                   "Total Export to {country}: {cum_export} MWh<br>"
+                   "Total Import from {country}: {cum_import} MWh<br>"
+                   "Current Use: {current_use} MWh<br>Yearly Max: {yearly_max} MWh")
+WEATHER_LABEL = ("<br>Municipality Center for Weather Data Collection: {municipality}"
+                 "<br>Weather Property: {prop}<br>Sum of {prop} for the Selected Day: {day_sum}"
+                 "<br>Selected Day: {day}")
 # --- end of fixed values ----------------------------------------------------
 
 
