@@ -19,7 +19,8 @@ from gridpulse.functions.scalars import (abs_sum_size, fill_template, fmt2, leve
 from gridpulse.operators.aggregate import share_of_total, sign_split_exprs
 from gridpulse.sources.dims import (COUNTRY_BY_EXCHANGE, EXCHANGE_COLUMNS, LEVEL_NAMES,
                                     LEVEL_THRESHOLDS, NEIGHBOUR_LABEL, NEIGHBOUR_SIZE_FACTOR,
-                                    PRICE_AREAS, ZONE_COUNTRY_LABEL, ZONE_LABEL)
+                                    COUNTRY_SHARE_LABELS, PRICE_AREAS, ZONE_COUNTRY_LABEL,
+                                    ZONE_LABEL, ZONE_SHARE_LABELS)
 
 __all__ = [
     "exchange_long", "country_dim", "zone_country_exchange", "zone_summaries",
@@ -146,19 +147,22 @@ def daily_cumulative(prodcon: DataFrame, countries: DataFrame, measures=EXCHANGE
     return daily.join(F.broadcast(countries.select("exchange_column", "country")), "exchange_column")
 
 
-def _directions(df: DataFrame, keys, imp: str, exp: str) -> DataFrame:
+def _directions(df: DataFrame, keys, imp: str, exp: str, labels) -> DataFrame:
+    """Two rows per key: import and export magnitudes, with their slice labels."""
     long = df.select(*keys, F.explode(F.array(
-        F.struct(F.lit("import").alias("direction"), F.abs(F.col(imp)).cast("double").alias("mwh")),
-        F.struct(F.lit("export").alias("direction"), F.abs(F.col(exp)).cast("double").alias("mwh")))
+        F.struct(F.lit("import").alias("direction"), F.lit(labels[0]).alias("label"),
+                 F.abs(F.col(imp)).cast("double").alias("mwh")),
+        F.struct(F.lit("export").alias("direction"), F.lit(labels[1]).alias("label"),
+                 F.abs(F.col(exp)).cast("double").alias("mwh")))
     ).alias("d"))
-    return long.select(*keys, "d.direction", "d.mwh")
+    return long.select(*keys, "d.direction", "d.label", "d.mwh")
 
 
 def zone_share(prodcon: DataFrame, countries: DataFrame, day, areas=PRICE_AREAS,
                measures=EXCHANGE_COLUMNS, ts: str = "hour_utc", area: str = "price_area") -> DataFrame:
     """Import vs export share per (zone, country) for one day."""
     z = zone_country_exchange(prodcon, countries, day, areas, measures, ts, area)
-    d = _directions(z, [area, "country"], "import_mwh", "export_mwh")
+    d = _directions(z, [area, "country"], "import_mwh", "export_mwh", ZONE_SHARE_LABELS)
     return share_of_total(d, [area, "country"], "mwh")
 
 
@@ -166,7 +170,7 @@ def country_share(prodcon: DataFrame, countries: DataFrame, day, measures=EXCHAN
                   ts: str = "hour_utc", area: str = "price_area") -> DataFrame:
     """Cumulative (to ``day``) import vs export share per country, all zones."""
     s = _country_sums(prodcon, countries, day, None, measures, ts, area)
-    d = _directions(s, ["country"], "cum_import", "cum_export")
+    d = _directions(s, ["country"], "cum_import", "cum_export", COUNTRY_SHARE_LABELS)
     return share_of_total(d, ["country"], "mwh")
 
 

@@ -175,13 +175,14 @@ def cumulative_by_day(spark: SparkSession, sf: str) -> DataFrame:
 
 def zone_share_q(spark: SparkSession, sf: str) -> DataFrame:
     z = zone_share(_prodcon(spark, sf), _countries(spark), S.DAY)
-    return z.select("price_area", "country", "direction", r4("mwh").alias("mwh"),
+    return z.select("price_area", "country", "direction", "label", r4("mwh").alias("mwh"),
                     r4("share").alias("share"))
 
 
 def country_share_q(spark: SparkSession, sf: str) -> DataFrame:
     c = country_share(_prodcon(spark, sf), _countries(spark), S.SLIDER_DAY)
-    return c.select("country", "direction", r4("mwh").alias("mwh"), r4("share").alias("share"))
+    return c.select("country", "direction", "label", r4("mwh").alias("mwh"),
+                    r4("share").alias("share"))
 
 
 def net_locations_q(spark: SparkSession, sf: str) -> DataFrame:

@@ -316,21 +316,22 @@ WINDOW w AS (PARTITION BY d.exchange_column ORDER BY d.day
 """
 
 
-def _share(src: str, keys: str, imp: str, exp: str) -> str:
+def _share(src: str, keys: str, imp: str, exp: str, labels) -> str:
     return f"""
-dirs AS (SELECT {keys}, 'import' AS direction, abs({_d(imp)}) AS mwh FROM {src}
-         UNION ALL SELECT {keys}, 'export' AS direction, abs({_d(exp)}) AS mwh FROM {src}),
+dirs AS (SELECT {keys}, 'import' AS direction, '{labels[0]}' AS label, abs({_d(imp)}) AS mwh FROM {src}
+         UNION ALL SELECT {keys}, 'export' AS direction, '{labels[1]}' AS label, abs({_d(exp)}) AS mwh
+         FROM {src}),
 sh AS (SELECT *, abs(mwh) / nullif(sum(abs(mwh)) OVER (PARTITION BY {keys}), 0) AS share FROM dirs)"""
 
 
 ZONE_SHARE = f"""
-WITH {PC}, {PCL}, {COUNTRIES}, {ZONE_ROWS}, {_share('zt', 'price_area, country', 'import_mwh', 'export_mwh')}
-SELECT price_area, country, direction, round(mwh, 4) AS mwh, round(share, 4) AS share FROM sh
+WITH {PC}, {PCL}, {COUNTRIES}, {ZONE_ROWS}, {_share('zt', 'price_area, country', 'import_mwh', 'export_mwh', ('Import', 'Export'))}
+SELECT price_area, country, direction, label, round(mwh, 4) AS mwh, round(share, 4) AS share FROM sh
 """
 
 COUNTRY_SHARE = f"""
-WITH {PC}, {PCL}, {COUNTRIES}, {ROLES}, {NEIGHBOUR_ROWS}, {_share('nu', 'country', 'cum_import', 'cum_export')}
-SELECT country, direction, round(mwh, 4) AS mwh, round(share, 4) AS share FROM sh
+WITH {PC}, {PCL}, {COUNTRIES}, {ROLES}, {NEIGHBOUR_ROWS}, {_share('nu', 'country', 'cum_import', 'cum_export', ('(MWh) Import from', '(MWh) Export to'))}
+SELECT country, direction, label, round(mwh, 4) AS mwh, round(share, 4) AS share FROM sh
 """
 
 NET_LOCATIONS = f"""

@@ -129,6 +129,8 @@ NEIGHBOUR_LABEL = ("{country}<br>Latitude:{lat}<br>Longitude:{lon}<br>"
 WEATHER_LABEL = ("<br>Municipality Center for Weather Data Collection: {municipality}"
                  "<br>Weather Property: {prop}<br>Sum of {prop} for the Selected Day: {day_sum}"
                  "<br>Selected Day: {day}")
+ZONE_SHARE_LABELS = ("Import", "Export")
+COUNTRY_SHARE_LABELS = ("(MWh) Import from", "(MWh) Export to")
 # --- end of fixed values ----------------------------------------------------
 
 
