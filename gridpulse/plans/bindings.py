@@ -23,7 +23,7 @@ from gridpulse.operators.joins import reverse_lookup
 from gridpulse.operators.weather import property_day_zscore, station_property
 from gridpulse.plans import dashboard as Q
 from gridpulse.plans import standins as S
-from gridpulse.sources.dims import EXCHANGE_COLUMNS, trade_roles_frame
+from gridpulse.sources.dims import trade_roles_frame
 
 __all__ = ["QUERIES"]
 

@@ -14,8 +14,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.functions.scalars import (fill_template, floor_ntz, fmt2, iso_hour, label_lines, marker_size,
-                                         month_day_label, palette_index, ts_literal)
+from gridpulse.functions.scalars import (fill_template, floor_ntz, fmt2, iso_hour, label_lines,
+                                         marker_size, month_day_label, ts_literal)
 from gridpulse.operators.aggregate import day_totals, first_non_null, zero_filled
 from gridpulse.operators.clean import parse_time_window
 from gridpulse.operators.impute import fill_gaps
