@@ -1,7 +1,7 @@
 """Readers and typed loaders for the hourly tables and the municipality dimension.
 
 A connector is only a ``format`` plus options here: parquet by default, any
-Spark data source (a catalog table, a JDBC/Cassandra connector the caller has
+Spark data source (a catalog table, a JDBC or other connector the caller has
 on the classpath, JSON documents...) through the same call. Typed loaders cast
 keys to INT, times to TIMESTAMP_NTZ and NaN to NULL once, at load.
 """
