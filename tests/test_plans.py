@@ -29,3 +29,15 @@ def test_library_never_collects():
             if f.endswith(".py"):
                 src = open(os.path.join(base, f), encoding="utf-8").read()
                 assert not bad.search(src), f
+
+
+def test_no_cartesian_no_python_in_any_query(spark):
+    """Every registered query stays JVM-side and never pairs rows blindly."""
+    banned = ("CartesianProduct", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
+              "MapInPandas", "PythonUDF")
+    for name, fn in entry.queries().items():
+        plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        for b in banned:
+            assert b not in plan, (name, b)
+        if "BroadcastNestedLoopJoin" in plan:  # only against a broadcast side
+            assert "BroadcastExchange" in plan, name
