@@ -63,3 +63,21 @@ def test_positions_and_running_extrema_chunked(spark):
     vals = a["v"].to_numpy()
     assert np.allclose(a["_run_lo"], np.minimum.accumulate(vals))
     assert np.allclose(a["_run_hi"], np.maximum.accumulate(vals))
+
+
+def test_chunk_edge_cases(spark):
+    """Whole chunks of NULLs at the start, middle and end; two key columns;
+    a NULL series key forms its own series."""
+    xs = [None, None, None, 2.0, None, None, None, None, None, None, 8.0, None, None, None]
+    recs = [("a", 1, t, v) for t, v in enumerate(xs)] + [("a", 2, t, float(t)) for t in range(5)] \
+        + [(None, 1, t, v) for t, v in enumerate([1.0, None, 3.0])]
+    df = spark.createDataFrame(recs, "k1 string, k2 int, t int, v double")
+    for width in (3, 4, 100):
+        got = fill_gaps(df, ["k1", "k2"], ["t"], ["v"], chunk=F.floor(F.col("t") / width))
+        a1 = [r[0] for r in got.filter("k1 = 'a' AND k2 = 1").orderBy("t").select("v").collect()]
+        exp = pd.Series(xs, dtype=float).interpolate(method="linear").ffill().bfill().tolist()
+        assert a1 == exp, width
+        a2 = [r[0] for r in got.filter("k1 = 'a' AND k2 = 2").orderBy("t").select("v").collect()]
+        assert a2 == [0.0, 1.0, 2.0, 3.0, 4.0]
+        nk = [r[0] for r in got.filter("k1 IS NULL").orderBy("t").select("v").collect()]
+        assert nk == [1.0, 2.0, 3.0]
