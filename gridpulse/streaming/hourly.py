@@ -30,11 +30,17 @@ def read_hourly_stream(spark: SparkSession, path: str, schema, fmt: str = "parqu
 def day_totals_stream(stream: DataFrame, keys, ts: str, measures, watermark: str = "1 day") -> DataFrame:
     """Per key and day: the sum of each measure (NULLs skipped), emitted once
     the watermark passes the end of the day (append mode)."""
-    timed = stream.withColumn("_ts", F.col(ts).cast("timestamp"))
-    out = (timed.withWatermark("_ts", watermark)
-                .groupBy(F.window("_ts", "1 day").alias("w"), *keys)
-                .agg(*[F.sum(m).alias(m) for m in measures]))
-    return out.select(F.to_date(F.col("w.start")).alias("day"), *keys, *measures)
+    # the watermark needs a zoned TIMESTAMP: take the wall clock as UTC so the
+    # daily windows are wall-clock days in any session zone
+    t = F.col(ts)
+    instant = F.make_timestamp(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t),
+                               F.date_part(F.lit("SECOND"), t), F.lit("UTC"))
+    out = (stream.withColumn("_event_time", instant)
+                 .withWatermark("_event_time", watermark)
+                 .groupBy(F.window("_event_time", "1 day").alias("w"), *keys)
+                 .agg(*[F.sum(m).alias(m) for m in measures]))
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("w.start")) / F.lit(86400)).cast("int"))
+    return out.select(day.alias("day"), *keys, *measures)
 
 
 def start_stream(df: DataFrame, sink: str, name: str, fmt: str = "parquet",

@@ -65,3 +65,23 @@ def test_day_totals_stream_resumes_from_checkpoint(spark):
     # day 1: 24 h of 1.0; day 2: 6 h of 1.0 (first run) + 18 h of 2.0 (second run)
     assert got == {dt.date(2022, 1, 1): 24.0, dt.date(2022, 1, 2): 6.0 + 36.0,
                    dt.date(2022, 1, 3): 48.0}
+
+
+def test_day_windows_do_not_depend_on_the_session_zone(spark):
+    src = tempfile.mkdtemp(prefix="gp-stream-src-")
+    rows = [(dt.datetime(2022, 1, 1, h), 101, 1.0) for h in range(24)] + \
+           [(dt.datetime(2022, 1, 3, 0), 101, 0.0)]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(src)
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Copenhagen")
+    try:
+        q = start_stream(day_totals_stream(read_hourly_stream(spark, src, SCHEMA), ["municipality_number"],
+                                           "hour_utc", ["solar_power_mwh"], watermark="1 hour"),
+                         sink="memory", name="gp_zone_free", fmt="memory",
+                         checkpoint_location=tempfile.mkdtemp(prefix="gp-stream-ckpt-"))
+        q.processAllAvailable()
+        got = {r["day"]: r["solar_power_mwh"] for r in spark.sql("SELECT * FROM gp_zone_free").collect()}
+        q.stop()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert got == {dt.date(2022, 1, 1): 24.0}
