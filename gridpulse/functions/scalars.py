@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "col_of", "ts_literal", "date_literal", "day_start", "on_day", "up_to_day",
     "in_time_range", "parse_timestamp", "floor_ntz", "lenient_timestamp", "day_of", "day_number_to_date",
-    "iso_hour", "short_date", "month_day_label", "nan_to_null", "marker_size",
+    "iso_hour", "wall_clock_text", "short_date", "month_day_label", "nan_to_null", "marker_size",
     "abs_sum_size", "rescale", "palette_index", "clip", "truncate_to_int",
     "fmt2", "level", "first_set", "category_lookup", "label_lines", "fill_template",
 ]
@@ -104,12 +104,32 @@ def day_number_to_date(day_number, base: str) -> Column:
     return F.date_add(date_literal(base), (col_of(day_number) - 1).cast("int"))
 
 
+def _wall_clock(ts, sep: str) -> Column:
+    """``yyyy-MM-dd<sep>HH:mm:ss`` from the time's fields: unlike
+    ``date_format`` it never passes through the session zone, so wall clocks
+    inside a daylight-saving gap print as stored."""
+    t = col_of(ts)
+    return F.format_string(f"%04d-%02d-%02d{sep}%02d:%02d:%02d", F.year(t), F.month(t),
+                           F.dayofmonth(t), F.hour(t), F.minute(t), F.second(t))
+
+
 def iso_hour(ts) -> Column:
-    return F.date_format(col_of(ts), "yyyy-MM-dd'T'HH:mm:ss")
+    """ISO text ``yyyy-MM-ddTHH:mm:ss`` of a TIMESTAMP_NTZ (NULL stays NULL)."""
+    t = col_of(ts)
+    return F.when(t.isNotNull(), _wall_clock(t, "T"))
+
+
+def wall_clock_text(ts) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` text of a TIMESTAMP_NTZ (NULL stays NULL)."""
+    t = col_of(ts)
+    return F.when(t.isNotNull(), _wall_clock(t, " "))
 
 
 def short_date(d) -> Column:
-    return F.date_format(col_of(d), "yyyy-MM-dd")
+    """``yyyy-MM-dd`` of a DATE or TIMESTAMP_NTZ (NULL stays NULL)."""
+    t = col_of(d)
+    return F.when(t.isNotNull(), F.format_string("%04d-%02d-%02d", F.year(t), F.month(t),
+                                                 F.dayofmonth(t)))
 
 
 def month_day_label(d) -> Column:

@@ -25,7 +25,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.functions.scalars import floor_ntz, on_day
+from gridpulse.functions.scalars import floor_ntz, on_day, wall_clock_text
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 EXCHANGE_BY_TYPE = {"click": "exchangegb_mwh", "purchase": "exchangege_mwh",
@@ -93,7 +93,7 @@ def weather_observations(ev: DataFrame) -> DataFrame:
     k = F.col("_k")
     text = (F.when(k == 0, F.lit(None).cast("string"))
              .when(k == 1, F.lit("not-a-time"))
-             .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")))
+             .otherwise(wall_clock_text("ts")))
     doc = (F.when(k == 2, F.expr("substring(props, 1, length(props) - 1)"))
             .when(k == 3, F.lit('{"k": "n/a"}'))
             .otherwise(F.col("props")))

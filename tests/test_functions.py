@@ -58,6 +58,19 @@ def test_parse_timestamp_in_a_dst_zone(spark):
     assert got == [dt.datetime(2024, 3, 31, 2, 30), None]
 
 
+def test_wall_clock_text_in_a_dst_gap(spark):
+    from gridpulse.functions import iso_hour, short_date, wall_clock_text
+    df = spark.createDataFrame([(dt.datetime(2024, 3, 31, 2, 30, 5),), (None,)], "t timestamp_ntz")
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Copenhagen")
+        got = df.select(iso_hour("t"), wall_clock_text("t"), short_date("t")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert tuple(got[0]) == ("2024-03-31T02:30:05", "2024-03-31 02:30:05", "2024-03-31")
+    assert tuple(got[1]) == (None, None, None)
+
+
 def test_floor_ntz_is_zone_free(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 3, 31, 2, 30, 15),)], "t timestamp_ntz")
     prev = spark.conf.get("spark.sql.session.timeZone")
