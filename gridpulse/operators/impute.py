@@ -67,13 +67,19 @@ def fill_gaps(df: DataFrame, keys, order, values, chunk=None) -> DataFrame:
     local = df.withColumn("_rn", F.row_number().over(w))
     sel = [F.col(c) for c in local.columns]
     for v in values:
-        present = F.when(F.col(v).isNotNull(), F.col("_rn"))
         q = _quote(v)
-        sel += [F.last(v, True).over(upto).alias(f"_pv_{v}"),
-                F.last(present, True).over(upto).alias(f"_pp_{v}"),
-                F.coalesce(F.col(v), _lead_non_null(q).over(w)).alias(f"_nv_{v}"),
-                F.coalesce(present, _lead_non_null(f"CASE WHEN {q} IS NOT NULL THEN _rn END")
-                           .over(w)).alias(f"_np_{v}")]
+        # value and position travel together: one window function per direction
+        pair = F.when(F.col(v).isNotNull(), F.struct(F.col(v).alias("v"), F.col("_rn").alias("p")))
+        sel += [F.last(pair, True).over(upto).alias(f"_prev_{v}"),
+                _lead_non_null(f"CASE WHEN {q} IS NOT NULL THEN named_struct('v', {q}, 'p', _rn) END")
+                .over(w).alias(f"_next_{v}")]
+    local = local.select(*sel)
+    sel = [F.col(c) for c in local.columns if not c.startswith(("_prev_", "_next_"))]
+    for v in values:
+        here = F.when(F.col(v).isNotNull(), F.struct(F.col(v).alias("v"), F.col("_rn").alias("p")))
+        nxt = F.coalesce(here, F.col(f"_next_{v}"))
+        sel += [F.col(f"_prev_{v}.v").alias(f"_pv_{v}"), F.col(f"_prev_{v}.p").alias(f"_pp_{v}"),
+                nxt["v"].alias(f"_nv_{v}"), nxt["p"].alias(f"_np_{v}")]
     local = local.select(*sel)
 
     if chunk is None:
@@ -114,10 +120,15 @@ def _carry(numbered: DataFrame, keys, values) -> DataFrame:
     by series and chunk, so it needs no further shuffle)."""
     aggs = [F.max("_rn").alias("_cnt")]
     for v in values:
-        present = F.when(F.col(v).isNotNull(), F.col("_rn"))
-        aggs += [F.min_by(v, present).alias(f"_fv_{v}"), F.min(present).alias(f"_fp_{v}"),
-                 F.max_by(v, present).alias(f"_lv_{v}"), F.max(present).alias(f"_lp_{v}")]
+        # structs order by their first field: the position
+        pair = F.when(F.col(v).isNotNull(), F.struct(F.col("_rn").alias("p"), F.col(v).alias("v")))
+        aggs += [F.min(pair).alias(f"_first_{v}"), F.max(pair).alias(f"_last_{v}")]
     summary = numbered.groupBy(*keys, CHUNK).agg(*aggs)
+    summary = summary.select(*keys, CHUNK, "_cnt", *[
+        c for v in values for c in (F.col(f"_first_{v}.v").alias(f"_fv_{v}"),
+                                    F.col(f"_first_{v}.p").alias(f"_fp_{v}"),
+                                    F.col(f"_last_{v}.v").alias(f"_lv_{v}"),
+                                    F.col(f"_last_{v}.p").alias(f"_lp_{v}"))])
     w = Window.partitionBy(*keys).orderBy(CHUNK)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     later = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc_nulls_last()) \
