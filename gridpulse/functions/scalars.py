@@ -104,32 +104,25 @@ def day_number_to_date(day_number, base: str) -> Column:
     return F.date_add(date_literal(base), (col_of(day_number) - 1).cast("int"))
 
 
-def _wall_clock(ts, sep: str) -> Column:
-    """``yyyy-MM-dd<sep>HH:mm:ss`` from the time's fields: unlike
-    ``date_format`` it never passes through the session zone, so wall clocks
-    inside a daylight-saving gap print as stored."""
-    t = col_of(ts)
-    return F.format_string(f"%04d-%02d-%02d{sep}%02d:%02d:%02d", F.year(t), F.month(t),
-                           F.dayofmonth(t), F.hour(t), F.minute(t), F.second(t))
+def wall_clock_text(ts) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` text of a TIMESTAMP_NTZ (NULL stays NULL).
+
+    Casting TIMESTAMP_NTZ to text prints the stored wall clock without any
+    zone, unlike ``date_format`` (which goes through the session zone, so
+    wall clocks inside a daylight-saving gap would shift); the fraction, if
+    any, is cut off."""
+    return F.substring(col_of(ts).cast("timestamp_ntz").cast("string"), 1, 19)
 
 
 def iso_hour(ts) -> Column:
     """ISO text ``yyyy-MM-ddTHH:mm:ss`` of a TIMESTAMP_NTZ (NULL stays NULL)."""
-    t = col_of(ts)
-    return F.when(t.isNotNull(), _wall_clock(t, "T"))
-
-
-def wall_clock_text(ts) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` text of a TIMESTAMP_NTZ (NULL stays NULL)."""
-    t = col_of(ts)
-    return F.when(t.isNotNull(), _wall_clock(t, " "))
+    text = wall_clock_text(ts)
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8))
 
 
 def short_date(d) -> Column:
     """``yyyy-MM-dd`` of a DATE or TIMESTAMP_NTZ (NULL stays NULL)."""
-    t = col_of(d)
-    return F.when(t.isNotNull(), F.format_string("%04d-%02d-%02d", F.year(t), F.month(t),
-                                                 F.dayofmonth(t)))
+    return F.to_date(col_of(d)).cast("string")
 
 
 def month_day_label(d) -> Column:
