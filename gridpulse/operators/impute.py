@@ -49,7 +49,7 @@ def fill_gaps(df: DataFrame, keys, order, values, chunk=None) -> DataFrame:
 
     ``keys`` identify a series, ``order`` (columns or Columns) orders it and
     must be unique within a series. ``chunk`` (a Column such as
-    ``date_trunc('day', ts)``, monotone in ``order``) enables the two-level
+    ``floor_ntz(ts, "month")``, monotone in ``order``) enables the two-level
     scan so that a long or hot series is spread over many tasks.
     """
     keys, values = list(keys), list(values)
