@@ -35,11 +35,15 @@ def property_day_zscore(obs: DataFrame, ts: str, station: str = "municipality",
                         value: str = "value", enabled=None,
                         enabled_col: str = "municipality", day=None,
                         factor: float = WEATHER_Z_FACTOR, out_lo: float = 0.3, out_hi: float = 1.0,
-                        n_colors: int = 9, prop: str | None = None) -> DataFrame:
+                        n_colors: int = 9, prop: str | None = None,
+                        materialize: bool = False) -> DataFrame:
     """Z-score sizes per (station, day), then a colour scale per day.
 
     With ``prop`` (the property name) each row also gets the palette name
-    and the station-day label. ``enabled`` restricts stations: a list of names (an ``isin`` filter) or a
+    and the station-day label. The observations feed two passes (statistics,
+    then sizes and per-day bounds); ``materialize=True`` checkpoints the
+    typed observations once to the shared checkpoint folder, so the JSON is
+    parsed once instead of once per pass. ``enabled`` restricts stations: a list of names (an ``isin`` filter) or a
     frame (a semi join, planned by size). ``day`` limits
     to one calendar day; without it every day is computed at once."""
     if day is not None:
@@ -50,6 +54,9 @@ def property_day_zscore(obs: DataFrame, ts: str, station: str = "municipality",
         obs = obs.join(enabled.select(F.col(enabled_col).alias("_en")),
                        obs[station] == F.col("_en"), "left_semi")
     obs = obs.withColumn("day", F.to_date(ts))
+    if materialize:
+        from gridpulse.session import materialize as _materialize
+        obs = _materialize(obs)
     sized = zscore_size(obs, [station, "day"], value, factor=factor, out="z_size")
     # a sum over no values is 0, as the dashboard shows it
     sized = sized.withColumn("day_sum", F.coalesce(F.col("day_sum"), F.lit(0.0)))

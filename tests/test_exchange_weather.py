@@ -122,3 +122,13 @@ def test_weather_all_missing_day_sums_to_zero(spark):
     assert out[0]["palette"] == "thermal"
     assert out[0]["text"] == ("<br>Municipality Center for Weather Data Collection: Aarhus<br>Weather Property: "
                               "temp<br>Sum of temp for the Selected Day: 0.00<br>Selected Day: 2022-01-02")
+
+
+def test_weather_materialized_same_result(spark):
+    t = [dt.datetime(2022, 1, 2, h) for h in range(4)]
+    w = spark.createDataFrame([(t[i], "Aarhus", f'{{"temp": {i * 1.5}}}') for i in range(4)],
+                              "timestamp timestamp_ntz, municipality string, weather_data string")
+    obs = station_property(w, "timestamp", "municipality", "weather_data", "temp")
+    a = rows(property_day_zscore(obs, "timestamp", prop="temp"), "timestamp")
+    b = rows(property_day_zscore(obs, "timestamp", prop="temp", materialize=True), "timestamp")
+    assert a == b and len(a) == 4
