@@ -80,7 +80,7 @@ def dim_with_distance(spark: SparkSession, sf: str) -> DataFrame:
     cust = S.table(spark, sf, "customer").withColumn("acctbal_text", fmt2("c_acctbal"))
     obs = S.weather_observations(_ev(spark, sf)).withColumnRenamed("user_id", "c_custkey")
     out = Q.municipality_profile(cust, obs, key="c_custkey", weather_key="c_custkey",
-                                 order=("ts", "event_id"), label=CUSTOMER_LABEL)
+                                 order=("ts", "event_id"), label=CUSTOMER_LABEL, aliases={})
     # the label shows the distance with two decimals
     return out.select("c_custkey", "c_name", "c_nationkey", r4("c_acctbal").alias("c_acctbal"),
                       "c_mktsegment", r4("distance_to_station_km").alias("distance_to_station_km"),

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from gridpulse.functions.scalars import (fill_template, floor_ntz, fmt2, iso_hour, label_lines,
                                          marker_size, month_day_label, ts_literal)
+from gridpulse.functions.jsonx import replace_exact
 from gridpulse.operators.aggregate import day_totals, first_non_null, zero_filled
 from gridpulse.operators.clean import parse_time_window
 from gridpulse.operators.impute import fill_gaps
@@ -26,7 +27,8 @@ from gridpulse.operators.series import smooth
 from gridpulse.operators.spatial import classify_points, valid_points
 from gridpulse.sources.dims import (BASE_DAY, CLOSED_BOUNDS, CONSUMPTION_LABEL,
                                     CONSUMPTION_PALETTES, CONSUMPTION_SIZE_FACTOR, DISTANCE_LABEL,
-                                    MUNICIPALITY_LABEL_LINES, OPEN_BOUNDS, PRODUCTION_LABEL,
+                                    MUNICIPALITY_ALIASES, MUNICIPALITY_LABEL_LINES, OPEN_BOUNDS,
+                                    PRODUCTION_LABEL,
                                     PRODUCTION_PALETTE_DEFAULT, PRODUCTION_PALETTES,
                                     PRODUCTION_SIZE_FACTOR, SMOOTH_KEEP_RATIO)
 
@@ -53,12 +55,16 @@ def chunk_by_width(col: str, width, dim: DataFrame | None = None):
 def municipality_profile(municipalities: DataFrame, weather: DataFrame,
                          key: str = "municipality", weather_key: str = "municipality",
                          distance: str = "distance_to_station_km", order=("timestamp",),
-                         label=MUNICIPALITY_LABEL, out: str = "hover_text") -> DataFrame:
+                         label=MUNICIPALITY_LABEL, out: str = "hover_text",
+                         aliases=MUNICIPALITY_ALIASES) -> DataFrame:
     """Q1: dimension rows with their station distance (first non-null per
-    station in time order) and a multi-line label. Station names must already
-    be canonical (see ``weather.station_property`` / ``replace_values``)."""
-    dist = first_non_null(weather.filter(F.col(distance).isNotNull()), [weather_key], distance,
-                          list(order))
+    station in time order) and a multi-line label. Station names are made
+    canonical with the whole-value ``aliases`` before the join, so an alias
+    row still finds its municipality (pass ``{}`` for non-text keys)."""
+    rows = weather.filter(F.col(distance).isNotNull())
+    if aliases:
+        rows = rows.withColumn(weather_key, replace_exact(weather_key, aliases))
+    dist = first_non_null(rows, [weather_key], distance, list(order))
     if weather_key != key:
         dist = dist.withColumnRenamed(weather_key, key)
     joined = left_join_keep_first(municipalities, dist, on=key)

@@ -58,8 +58,12 @@ def test_clean_weather_window(spark):
 def test_municipality_profile_with_alias(spark):
     m = _munis(spark)
     assert dict(m.dtypes)["lau_1_code_1"] == "int"
-    w = replace_values(Q.clean_weather(_weather(spark)), "municipality", MUNICIPALITY_ALIASES)
+    w = Q.clean_weather(_weather(spark))  # still says "Copenhagen": the profile canonicalises
     got = {r["municipality"]: r for r in rows(Q.municipality_profile(m, w))}
+    same = rows(Q.municipality_profile(m, replace_values(w, "municipality", MUNICIPALITY_ALIASES)),
+                "municipality")
+    assert [r["distance_to_station_km"] for r in same] == \
+        [got[r["municipality"]]["distance_to_station_km"] for r in same]
     assert got["København"]["distance_to_station_km"] == 4.2
     assert got["Aarhus"]["distance_to_station_km"] == 1.5
     assert got["Nowhere"]["distance_to_station_km"] is None
