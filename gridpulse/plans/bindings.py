@@ -23,7 +23,8 @@ from gridpulse.operators.joins import reverse_lookup
 from gridpulse.operators.weather import property_day_zscore, station_property
 from gridpulse.plans import dashboard as Q
 from gridpulse.plans import standins as S
-from gridpulse.sources.dims import trade_roles_frame
+from gridpulse.operators.spatial import any_box_exists
+from gridpulse.sources.dims import CLOSED_BOUNDS, bounds_frame, trade_roles_frame
 
 __all__ = ["QUERIES"]
 
@@ -250,6 +251,14 @@ def region_points(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("point_id", r4("lon").alias("lon"), r4("lat").alias("lat"), "region", "is_valid")
 
 
+def region_valid_join(spark: SparkSession, sf: str) -> DataFrame:
+    """JN6 with the boxes as a frame: an existence join against the
+    broadcast bounds table (one output row per point, no shuffle)."""
+    pts = S.event_points(_ev(spark, sf))
+    out = any_box_exists(pts, bounds_frame(spark, CLOSED_BOUNDS))
+    return out.select("point_id", "is_valid")
+
+
 # --- Q15: calendar ----------------------------------------------------------------
 
 def calendar_marks(spark: SparkSession, sf: str) -> DataFrame:
@@ -306,6 +315,7 @@ QUERIES = {
     "production_series": production_series,
     "weather_series": weather_series,
     "region_points": region_points,
+    "region_valid_join": region_valid_join,
     "calendar_marks": calendar_marks,
     "name_lookup": name_lookup,
     "first_rows": first_rows,

@@ -458,6 +458,17 @@ SELECT point_id, round(lon, 4) AS lon, round(lat, 4) AS lat,
 FROM p
 """
 
+REGION_VALID_JOIN = f"""
+WITH {EV},
+p AS (SELECT event_id AS point_id, value / CAST(25.0 AS DOUBLE) - CAST(5.0 AS DOUBLE) AS lon,
+             CAST(45.0 AS DOUBLE) + CAST(k AS DOUBLE) / CAST(5.0 AS DOUBLE) AS lat FROM ev),
+b AS (SELECT * FROM (VALUES (8, 10, 54, 56), (13, 15, 54, 56), (-2, 1, 50, 59), (11, 14, 47, 55),
+                            (3, 6, 50, 54), (8, 10, 58, 62)) t(lon_lo, lon_hi, lat_lo, lat_hi))
+SELECT point_id, EXISTS (SELECT 1 FROM b WHERE p.lon BETWEEN b.lon_lo AND b.lon_hi
+                                          AND p.lat BETWEEN b.lat_lo AND b.lat_hi) AS is_valid
+FROM p
+"""
+
 CALENDAR_MARKS = """
 WITH b AS (SELECT min(CAST(ts AS DATE)) AS lo, max(CAST(ts AS DATE)) AS hi FROM events),
 d AS (SELECT lo, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM b)
@@ -505,6 +516,7 @@ _RAW = {
     "production_series": PRODUCTION_SERIES,
     "weather_series": WEATHER_SERIES,
     "region_points": REGION_POINTS,
+    "region_valid_join": REGION_VALID_JOIN,
     "calendar_marks": CALENDAR_MARKS,
     "name_lookup": NAME_LOOKUP,
     "first_rows": FIRST_ROWS,
