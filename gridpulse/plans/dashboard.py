@@ -48,7 +48,9 @@ def chunk_by_width(col: str, width, dim: DataFrame | None = None):
     if not width:
         return None
     if width == "auto":
-        return range_chunks(dim, col)
+        numeric = dict(dim.dtypes).get(col, "").split("(")[0] in (
+            "tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+        return range_chunks(dim, col) if numeric else None  # text keys: one ordered chunk
     return F.floor(F.col(col) / F.lit(int(width)))
 
 

@@ -127,3 +127,12 @@ def test_calendar_marks(spark):
 def test_read_table_parquet(spark):
     ev = read_table(spark, "/root/testdata/sf0.001/events.parquet")
     assert "ts" in ev.columns
+
+
+def test_production_map_with_text_keys(spark):
+    h = dt.datetime(2022, 1, 2, 3)
+    p = spark.createDataFrame([(h, "a", 4.0), (h, "b", 1.0)],
+                              "hour_utc timestamp_ntz, municipality_number string, solar_power_mwh double")
+    dim = spark.createDataFrame([("a", "A"), ("b", "B"), ("c", "C")], "lau_1_code_1 string, hover_text string")
+    got = {r["code"]: r["scale"] for r in rows(Q.production_map(p, dim, "2022-01-02", "solar_power_mwh"))}
+    assert got["a"] == 1.0 and got["b"] == 0.0 and got["c"] == 0.0
