@@ -43,7 +43,7 @@ def day_totals_stream(stream: DataFrame, keys, ts: str, measures, watermark: str
     return out.select(day.alias("day"), *keys, *measures)
 
 
-def start_stream(df: DataFrame, sink: str, name: str, fmt: str = "parquet",
+def start_stream(df: DataFrame, name: str, fmt: str = "parquet",
                  output_mode: str = "append", trigger_seconds: int | None = None,
                  checkpoint_location: str | None = None, path: str | None = None):
     """Start the query with its checkpoint under ``spark.checkpoint.dir``

@@ -17,7 +17,7 @@ def test_day_totals_stream_matches_batch(spark):
                 for h in range(30, 80)]]
     stream = read_hourly_stream(spark, src, SCHEMA, max_files_per_trigger=1)
     q = start_stream(day_totals_stream(stream, ["municipality_number"], "hour_utc", ["solar_power_mwh"],
-                                       watermark="1 hour"), sink="memory", name="gp_day_totals",
+                                       watermark="1 hour"), name="gp_day_totals",
                      fmt="memory", checkpoint_location=tempfile.mkdtemp(prefix="gp-stream-ckpt-"))
     try:
         for i, rows in enumerate(batches):
@@ -54,7 +54,7 @@ def test_day_totals_stream_resumes_from_checkpoint(spark):
         stream = read_hourly_stream(spark, src, SCHEMA)
         q = start_stream(day_totals_stream(stream, ["municipality_number"], "hour_utc",
                                            ["solar_power_mwh"], watermark="1 hour"),
-                         sink="parquet", name="gp_resume", fmt="parquet", path=out,
+                         name="gp_resume", fmt="parquet", path=out,
                          checkpoint_location=ckpt)
         q.processAllAvailable()
         q.stop()
@@ -77,7 +77,7 @@ def test_day_windows_do_not_depend_on_the_session_zone(spark):
     try:
         q = start_stream(day_totals_stream(read_hourly_stream(spark, src, SCHEMA), ["municipality_number"],
                                            "hour_utc", ["solar_power_mwh"], watermark="1 hour"),
-                         sink="memory", name="gp_zone_free", fmt="memory",
+                         name="gp_zone_free", fmt="memory",
                          checkpoint_location=tempfile.mkdtemp(prefix="gp-stream-ckpt-"))
         q.processAllAvailable()
         got = {r["day"]: r["solar_power_mwh"] for r in spark.sql("SELECT * FROM gp_zone_free").collect()}
