@@ -13,8 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "col_of", "ts_literal", "date_literal", "day_start", "on_day", "up_to_day",
-    "in_time_range", "parse_timestamp", "floor_ntz", "lenient_timestamp", "day_of", "day_number_to_date",
+    "col_of", "ts_literal", "date_literal", "on_day", "up_to_day",
+    "in_time_range", "parse_timestamp", "floor_ntz", "lenient_timestamp", "day_number_to_date",
     "iso_hour", "wall_clock_text", "short_date", "month_day_label", "nan_to_null", "marker_size",
     "abs_sum_size", "rescale", "palette_index", "clip", "truncate_to_int",
     "fmt2", "level", "first_set", "category_lookup", "label_lines", "fill_template",
@@ -45,10 +45,6 @@ def date_literal(value) -> Column:
     return F.expr(f"DATE '{text[:10]}'")
 
 
-def day_start(day) -> Column:
-    return ts_literal(_dt.date.fromisoformat(str(day)[:10]))
-
-
 def on_day(ts, day) -> Column:
     """Calendar-day equality as a half-open range, so it reaches the scan."""
     d = _dt.date.fromisoformat(str(day)[:10])
@@ -95,10 +91,6 @@ def floor_ntz(ts, unit: str = "hour") -> Column:
     raise ValueError(f"unsupported unit {unit!r}")
 
 
-def day_of(ts) -> Column:
-    return F.to_date(col_of(ts))
-
-
 def day_number_to_date(day_number, base: str) -> Column:
     """Day number d (1-based) after ``base``: base + (d - 1)."""
     return F.date_add(date_literal(base), (col_of(day_number) - 1).cast("int"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridpulse.functions.jsonx import json_number, replace_exact
 from gridpulse.functions.scalars import col_of, fill_template, fmt2, on_day, short_date
+from gridpulse.operators.joins import semi_join_values
 from gridpulse.operators.scale import group_rescale, zscore_size
 from gridpulse.sources.dims import (MUNICIPALITY_ALIASES, WEATHER_LABEL, WEATHER_PALETTES,
                                     WEATHER_Z_FACTOR)
@@ -51,8 +52,7 @@ def property_day_zscore(obs: DataFrame, ts: str, station: str = "municipality",
     if isinstance(enabled, (list, tuple)):
         obs = obs.filter(F.col(station).isin(list(enabled)))
     elif enabled is not None:
-        obs = obs.join(enabled.select(F.col(enabled_col).alias("_en")),
-                       obs[station] == F.col("_en"), "left_semi")
+        obs = semi_join_values(obs, station, enabled, enabled_col)
     obs = obs.withColumn("day", F.to_date(ts))
     if materialize:
         from gridpulse.session import materialize as _materialize

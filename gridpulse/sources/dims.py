@@ -149,11 +149,6 @@ def boxes(rows) -> list[Box]:
     return [Box(*r) for r in rows]
 
 
-def country_frame(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        COUNTRY_BY_EXCHANGE, "exchange_column string, country string, lat double, lon double")
-
-
 def trade_roles_frame(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         TRADE_ROLES,
@@ -171,7 +166,3 @@ def bounds_frame(spark: SparkSession, rows=CLOSED_BOUNDS) -> DataFrame:
 
 def names_frame(spark: SparkSession, names, column: str = "municipality") -> DataFrame:
     return spark.createDataFrame([(n,) for n in names], f"{column} string")
-
-
-def palette_frame(spark: SparkSession, mapping: dict, key: str = "category") -> DataFrame:
-    return spark.createDataFrame(list(mapping.items()), f"{key} string, palette string")

@@ -132,3 +132,14 @@ def test_weather_materialized_same_result(spark):
     a = rows(property_day_zscore(obs, "timestamp", prop="temp"), "timestamp")
     b = rows(property_day_zscore(obs, "timestamp", prop="temp", materialize=True), "timestamp")
     assert a == b and len(a) == 4
+
+
+def test_enabled_stations_as_a_frame(spark):
+    from gridpulse.sources.dims import names_frame
+    t = dt.datetime(2022, 1, 2, 1)
+    w = spark.createDataFrame([(t, "Copenhagen", '{"temp": 1}'), (t, "Vejle", '{"temp": 2}')],
+                              "timestamp timestamp_ntz, municipality string, weather_data string")
+    obs = station_property(w, "timestamp", "municipality", "weather_data", "temp")
+    by_list = rows(property_day_zscore(obs, "timestamp", enabled=ENABLED_MUNICIPALITIES))
+    by_frame = rows(property_day_zscore(obs, "timestamp", enabled=names_frame(spark, ENABLED_MUNICIPALITIES)))
+    assert by_list == by_frame and [r["municipality"] for r in by_list] == ["København"]
