@@ -24,6 +24,7 @@ _SAFE_NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
 def col_of(c) -> Column:
+    """A Column from a name or a Column."""
     return F.col(c) if isinstance(c, str) else c
 
 
@@ -41,6 +42,7 @@ def ts_literal(value) -> Column:
 
 
 def date_literal(value) -> Column:
+    """A DATE literal."""
     text = value.isoformat() if isinstance(value, (_dt.date, _dt.datetime)) else str(value)
     return F.expr(f"DATE '{text[:10]}'")
 
@@ -118,10 +120,12 @@ def short_date(d) -> Column:
 
 
 def month_day_label(d) -> Column:
+    """``Month dd`` label of a date (e.g. ``March 02``)."""
     return F.date_format(col_of(d), "MMMM dd")
 
 
 def nan_to_null(c) -> Column:
+    """NaN as NULL (DOUBLE)."""
     c = col_of(c).cast("double")
     return F.when(~F.isnan(c), c)
 

@@ -35,6 +35,7 @@ def day_totals(df: DataFrame, keys, ts: str, measure: str, day=None,
 
 
 def multi_sum(df: DataFrame, cols, keys=()) -> DataFrame:
+    """Sum of each column (per ``keys`` if given)."""
     return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in cols])
 
 
@@ -52,6 +53,7 @@ def sign_split_exprs(value, imp: str = "import_mwh", exp: str = "export_mwh",
 
 
 def sign_split(df: DataFrame, keys, value: str, **kw) -> DataFrame:
+    """Import (sum of negatives) and export (sum of positives) per ``keys``."""
     return df.groupBy(*keys).agg(*sign_split_exprs(value, **kw))
 
 

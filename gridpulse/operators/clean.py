@@ -50,6 +50,7 @@ def _fixed(bound) -> bool:
 
 
 def drop_incomplete(df: DataFrame, subset) -> DataFrame:
+    """Rows whose ``subset`` columns are all non-NULL."""
     return df.na.drop(subset=list(subset))
 
 
@@ -59,6 +60,7 @@ def replace_values(df: DataFrame, column: str, mapping: dict) -> DataFrame:
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
+    """The distinct values of one column."""
     return df.select(column).distinct()
 
 
@@ -81,9 +83,11 @@ def null_profile(df: DataFrame, cols) -> DataFrame:
 
 
 def fill_constant(df: DataFrame, cols, value=0.0) -> DataFrame:
+    """NULL in ``cols`` replaced by ``value`` (other columns untouched)."""
     return df.select(*[F.coalesce(F.col(c), F.lit(value)).alias(c) if c in cols else F.col(c)
                        for c in df.columns])
 
 
 def to_kwh(mwh_col: str, out: str = "total_kwh"):
+    """MWh column times 1000, aliased."""
     return (F.col(mwh_col) * F.lit(1000)).alias(out)

@@ -31,6 +31,7 @@ def _lead_non_null(sql_expr: str):
 
 
 def ffill(df: DataFrame, keys, order, value: str, out: str | None = None) -> DataFrame:
+    """Forward fill: the last non-NULL value so far in the series."""
     w = Window.partitionBy(*keys).orderBy(*[col_of(o) for o in order]) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumn(out or value, F.last(value, ignorenulls=True).over(w))

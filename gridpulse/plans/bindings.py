@@ -47,6 +47,7 @@ def _countries(spark):
 # --- Q14: clean load ---------------------------------------------------------
 
 def clean_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Q14: FLT1, FLT2, DT1 (NULL text dropped, strict parse, closed window)."""
     w = S.weather_observations(_ev(spark, sf))
     out = Q.clean_weather(w, S.CLEAN_LO, S.CLEAN_HI)
     return out.select("event_id", F.col("timestamp").alias("ts"), "municipality", r4("value").alias("value"))
@@ -56,6 +57,7 @@ MEASURES = S.EVENT_TYPES
 
 
 def impute_series(spark: SparkSession, sf: str) -> DataFrame:
+    """Q14: IMP1-IMP4, WIN7 on the hourly production table, day chunks."""
     prod = S.hourly_production(_ev(spark, sf))
     prod = prod.select("hour_utc", "municipality_number",
                        *[F.col(m).cast("double").alias(m) for m in MEASURES])
@@ -66,6 +68,7 @@ def impute_series(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def null_profile_q(spark: SparkSession, sf: str) -> DataFrame:
+    """IMP5, IMP6, FLT10: NULL counts before imputation, sums with NULL as 0."""
     prod = S.hourly_production(_ev(spark, sf))
     out = null_profile(prod, MEASURES)
     return out.select("measure", "n_rows", "n_null", "n_non_null", r4("sum_filled").alias("sum_filled"))
@@ -78,6 +81,7 @@ CUSTOMER_LABEL = [("", "c_name"), ("Nation: ", "c_nationkey"), ("Segment: ", "c_
 
 
 def dim_with_distance(spark: SparkSession, sf: str) -> DataFrame:
+    """Q1: AGG1, JN1, PRJ4, STR2 (first station distance, collision-safe join, label)."""
     cust = S.table(spark, sf, "customer").withColumn("acctbal_text", fmt2("c_acctbal"))
     obs = S.weather_observations(_ev(spark, sf)).withColumnRenamed("user_id", "c_custkey")
     out = Q.municipality_profile(cust, obs, key="c_custkey", weather_key="c_custkey",
@@ -91,6 +95,7 @@ def dim_with_distance(spark: SparkSession, sf: str) -> DataFrame:
 # --- Q2 / Q3 and their parts -------------------------------------------------
 
 def entity_day_total(spark: SparkSession, sf: str) -> DataFrame:
+    """FLT4, FLT5, AGG2, JN2, PRJ2, PRJ5: every dimension row with its day total."""
     prod = S.hourly_production(_ev(spark, sf), day=S.DAY)
     totals = day_totals(prod, ["municipality_number"], "hour_utc", "click", S.DAY, out="total_mwh")
     cust = S.table(spark, sf, "customer").select("c_custkey")
@@ -100,6 +105,7 @@ def entity_day_total(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def entity_group_day_total(spark: SparkSession, sf: str) -> DataFrame:
+    """FLT6, AGG3: day totals of one industry group, zero-filled."""
     cons = S.hourly_consumption(_ev(spark, sf), day=S.DAY)
     rows = cons.filter(F.col("industry_groups") == "purchase")
     totals = day_totals(rows, ["municipality_number"], "hour_utc", "consumption_kwh", S.DAY,
@@ -111,6 +117,7 @@ def entity_group_day_total(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def production_map(spark: SparkSession, sf: str) -> DataFrame:
+    """Q2: MTH1, WIN1, ARR1, MTH5, STR3, DT6b (size, running scale, colour, label)."""
     prod = S.hourly_production(_ev(spark, sf), day=S.DAY)
     cust = S.table(spark, sf, "customer")
     out = Q.production_map(prod, cust, S.DAY, "click", dim_key="c_custkey", dim_label="c_name")
@@ -120,6 +127,7 @@ def production_map(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def consumption_map(spark: SparkSession, sf: str) -> DataFrame:
+    """Q3: WIN2 (scale onto [0.3, 1]) with the consumption label."""
     cons = S.hourly_consumption(_ev(spark, sf), day=S.DAY)
     cust = S.table(spark, sf, "customer")
     out = Q.consumption_map(cons, cust, S.DAY, group="purchase", dim_key="c_custkey",
@@ -135,12 +143,14 @@ def _prodcon(spark, sf):
 
 
 def zone_exchange(spark: SparkSession, sf: str) -> DataFrame:
+    """Q4: FLT3, FLT8, JN5, AGG5, STR3 (zone x country day import/export)."""
     z = zone_country_exchange(_prodcon(spark, sf), _countries(spark), S.DAY)
     return z.select("price_area", "country", r4("import_mwh").alias("import_mwh"),
                     r4("export_mwh").alias("export_mwh"), "text")
 
 
 def neighbour_util(spark: SparkSession, sf: str) -> DataFrame:
+    """Q5: AGG6-AGG8, AGG14, CND2, MTH2 (cumulative trade, use, level, size, label)."""
     n = neighbour_utilisation(_prodcon(spark, sf), _countries(spark), S.SLIDER_DAY, S.YEAR_END,
                               coords=trade_roles_frame(spark))
     num = ["day_import", "day_export", "day_net", "cum_import", "cum_export", "year_import",
@@ -149,6 +159,7 @@ def neighbour_util(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def neighbour_trade_literal_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Q5 with the role columns taken literally (swapped roles)."""
     n = neighbour_trade_literal(_prodcon(spark, sf), trade_roles_frame(spark), S.SLIDER_DAY, S.YEAR_END)
     num = ["day_export", "cum_export", "year_export", "day_import", "cum_import", "year_import",
            "current_use", "yearly_max", "size"]
@@ -169,24 +180,28 @@ def zone_dots(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cumulative_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    """WIN6, FLT7: daily and running import/export per country for every day."""
     d = daily_cumulative(_prodcon(spark, sf), _countries(spark))
     return d.select("country", "day", *[r4(c).alias(c) for c in
                                         ["day_import", "day_export", "cum_import", "cum_export"]])
 
 
 def zone_share_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Q10: AGG15 (import vs export share per zone and country)."""
     z = zone_share(_prodcon(spark, sf), _countries(spark), S.DAY)
     return z.select("price_area", "country", "direction", "label", r4("mwh").alias("mwh"),
                     r4("share").alias("share"))
 
 
 def country_share_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Q11: AGG9, AGG15 (cumulative share per country)."""
     c = country_share(_prodcon(spark, sf), _countries(spark), S.SLIDER_DAY)
     return c.select("country", "direction", "label", r4("mwh").alias("mwh"),
                     r4("share").alias("share"))
 
 
 def net_locations_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Q12: AGG4, JN3, FLT9, SRC8 (countries with non-zero net exchange)."""
     n = net_locations(_prodcon(spark, sf), _countries(spark), S.DAY)
     return n.select("name", "lat", "lon", r4("value").alias("value"))
 
@@ -194,6 +209,7 @@ def net_locations_q(spark: SparkSession, sf: str) -> DataFrame:
 # --- Q6: weather property z-scores --------------------------------------------
 
 def json_property_zscore(spark: SparkSession, sf: str) -> DataFrame:
+    """Q6: JSN1-JSN3, JN9, AGG11-AGG13, WIN3, WIN4, MTH4, CND3 (weather map)."""
     w = S.weather_observations(_ev(spark, sf))
     obs = station_property(w, "ts", "municipality", "weather_data", "k",
                            aliases=S.STATION_ALIASES, keep=["event_id"])
@@ -206,6 +222,7 @@ def json_property_zscore(spark: SparkSession, sf: str) -> DataFrame:
 # --- Q7-Q9: smoothing ---------------------------------------------------------
 
 def smooth_series(spark: SparkSession, sf: str) -> DataFrame:
+    """Q7-Q9: SIG1-SIG4, WIN5, ORD1, FLT11, DT6 (hourly series, smoothed)."""
     series = S.hourly_by_type(_ev(spark, sf))
     out = Q.hourly_series(series, ["event_type"], "hour_utc", "value", selected=S.SELECTED_HOUR,
                           chunk=floor_ntz("hour_utc", "day"))
@@ -246,6 +263,7 @@ def weather_series(spark: SparkSession, sf: str) -> DataFrame:
 # --- Q13: region matching -------------------------------------------------------
 
 def region_points(spark: SparkSession, sf: str) -> DataFrame:
+    """Q13: JN6, JN7, SRC10 (region of each point, validity)."""
     pts = S.event_points(_ev(spark, sf))
     out = Q.region_points(pts)
     return out.select("point_id", r4("lon").alias("lon"), r4("lat").alias("lat"), "region", "is_valid")
@@ -262,6 +280,7 @@ def region_valid_join(spark: SparkSession, sf: str) -> DataFrame:
 # --- Q15: calendar ----------------------------------------------------------------
 
 def calendar_marks(spark: SparkSession, sf: str) -> DataFrame:
+    """Q15: DT4, DT7 (day dimension of the data with labels)."""
     return Q.calendar_marks(_ev(spark, sf), "ts")
 
 
@@ -271,6 +290,7 @@ NATION_ALIASES = {"NATION_1": "NATION_ONE"}
 
 
 def name_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """JN4, PRJ6, PRJ7, SRC7 (whole-value aliases, distinct names, reverse lookup)."""
     cust = S.table(spark, sf, "customer")
     nation = S.table(spark, sf, "nation")
     named = cust.join(nation.select("n_nationkey", "n_name"),
@@ -282,12 +302,14 @@ def name_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def first_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """ORD2, SNK2: the first 98 rows in key order (a top-k)."""
     o = S.table(spark, sf, "orders")
     return o.orderBy("o_orderkey").limit(98).select("o_orderkey", "o_custkey", "o_orderdate",
                                                     r4("o_totalprice").alias("o_totalprice"))
 
 
 def first_order(spark: SparkSession, sf: str) -> DataFrame:
+    """ORD3: each customer's first order by date, then key."""
     o = S.table(spark, sf, "orders")
     f = first_non_null(o, ["o_custkey"], "o_orderkey", ["o_orderdate", "o_orderkey"])
     return f.select("o_custkey", "o_orderkey")

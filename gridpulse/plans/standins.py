@@ -36,6 +36,7 @@ MONEY = "decimal(18,2)"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table by name."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -68,6 +69,7 @@ def _wide_sums(value, names: dict):
 
 
 def hourly_consumption(ev: DataFrame, day=None) -> DataFrame:
+    """(hour_utc, municipality_number, industry_groups = event type, consumption_kwh)."""
     ev = _window(ev, day)
     return (ev.groupBy(floor_ntz("ts", "hour").alias("hour_utc"),
                        F.col("user_id").alias("municipality_number"),
@@ -76,10 +78,12 @@ def hourly_consumption(ev: DataFrame, day=None) -> DataFrame:
 
 
 def price_area():
+    """DK1 for even user ids, DK2 for odd ones."""
     return F.when(F.col("user_id") % 2 == 0, F.lit("DK1")).otherwise(F.lit("DK2"))
 
 
 def hourly_prodcon(ev: DataFrame) -> DataFrame:
+    """(hour_utc, price_area, four signed exchange columns)."""
     types = list(EXCHANGE_BY_TYPE)
     return (ev.filter(F.col("event_type").isin(types))
               .groupBy(floor_ntz("ts", "hour").alias("hour_utc"), price_area().alias("price_area"))
@@ -89,6 +93,7 @@ def hourly_prodcon(ev: DataFrame) -> DataFrame:
 def weather_observations(ev: DataFrame) -> DataFrame:
     # k is projected once and referenced by name: an expensive expression
     # referenced several times is then evaluated once per row
+    """One weather row per event: text timestamp, station, distance, JSON document."""
     ev = ev.select("event_id", "ts", "user_id", "value", "event_type", "props", k_of().alias("_k"))
     k = F.col("_k")
     text = (F.when(k == 0, F.lit(None).cast("string"))

@@ -146,10 +146,12 @@ class Box:
 
 
 def boxes(rows) -> list[Box]:
+    """Box records from bound rows."""
     return [Box(*r) for r in rows]
 
 
 def trade_roles_frame(spark: SparkSession) -> DataFrame:
+    """The six map markers with their role columns."""
     return spark.createDataFrame(
         TRADE_ROLES,
         "name string, lat double, lon double, export_column string, "
@@ -165,4 +167,5 @@ def bounds_frame(spark: SparkSession, rows=CLOSED_BOUNDS) -> DataFrame:
 
 
 def names_frame(spark: SparkSession, names, column: str = "municipality") -> DataFrame:
+    """A one-column frame of names (e.g. the enabled stations)."""
     return spark.createDataFrame([(n,) for n in names], f"{column} string")
