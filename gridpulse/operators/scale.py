@@ -27,14 +27,19 @@ def running_rescale(df: DataFrame, order, value: str, out: str = "scale",
 
 def group_rescale(df: DataFrame, keys, value: str, out: str = "scale",
                   out_lo: float = 0.0, out_hi: float = 1.0, n_colors: int | None = None,
-                  index_out: str = "color_index", clip_index: bool = True) -> DataFrame:
+                  index_out: str = "color_index", clip_index: bool = True,
+                  bounded_keys: bool = False) -> DataFrame:
     """Rescale by min and max within ``keys`` (all rows when ``keys`` is empty).
 
     The bounds are a partial aggregate joined back: no single-partition
-    window. With no keys the bounds are one row, so they are broadcast."""
+    window. With no keys the bounds are one row, so they are broadcast; with
+    ``bounded_keys`` (e.g. calendar days: one row per day, whatever the data
+    volume) they are broadcast too, so the rows are never shuffled for it."""
     keys = list(keys)
     if keys:
         bounds = df.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+        if bounded_keys:
+            bounds = F.broadcast(bounds)
         out_df = null_safe_join(df, bounds, keys)
     else:
         bounds = df.agg(F.min(value).alias("_lo"), F.max(value).alias("_hi")) \

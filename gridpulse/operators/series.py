@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from gridpulse.functions.scalars import col_of
 from gridpulse.operators.scan import series_positions
 
-__all__ = ["smooth", "keep_count"]
+__all__ = ["smooth", "keep_count", "coefficient_count", "MAX_BROADCAST_COEFFICIENTS"]
 
 
 def keep_count(n, ratio: float):
@@ -35,16 +35,34 @@ def _basis(pos, k, n):
                  / (F.lit(2.0) * n))
 
 
+MAX_BROADCAST_COEFFICIENTS = 4_000_000  # 16 bytes each with k: about 64 MB
+
+
+def coefficient_count(df: DataFrame, keys, keep_ratio: float) -> int:
+    """Total number of kept coefficients over all series: a cheap aggregate over
+    the key columns (partial counts per series, then one row)."""
+    per_series = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = per_series.agg(F.sum(keep_count(F.col("_n"), keep_ratio)).alias("_keep")).first()
+    return int(total["_keep"] or 0)
+
+
 def smooth(df: DataFrame, keys, order, value: str, keep_ratio: float = 0.02, chunk=None,
            fill: float = 0.0, raw_out: str = "raw", out: str = "smoothed",
            pos_out: str = "pos", len_out: str = "n_points",
-           materialize: bool = False) -> DataFrame:
+           materialize: bool = False, broadcast_coefficients="auto") -> DataFrame:
     """Low-pass each series. NULL values read as ``fill`` first. A series
     with ``floor(ratio * N) = 0`` kept coefficients smooths to all zeros.
 
     The positioned series feed two passes (coefficients, then the inverse);
     ``materialize=True`` checkpoints them once to the shared checkpoint
-    folder instead of recomputing them (worth it for very large inputs)."""
+    folder instead of recomputing them (worth it for very large inputs).
+
+    The kept coefficients (2 % of the rows in total) join back onto the rows
+    by series. With ``broadcast_coefficients="auto"`` their total count is
+    checked first (``coefficient_count``, a cheap aggregate); within
+    ``MAX_BROADCAST_COEFFICIENTS`` they are broadcast and the rows are not
+    shuffled again, beyond it the join shuffles by series (AQE splits a hot
+    series). ``True``/``False`` force either way."""
     keys = list(keys)
     order = order if isinstance(order, (list, tuple)) else [order]
     base = df.withColumn(raw_out, F.coalesce(F.col(value).cast("double"), F.lit(float(fill))))
@@ -72,5 +90,9 @@ def smooth(df: DataFrame, keys, order, value: str, keep_ratio: float = 0.02, chu
         F.col("_coefs"), F.lit(0.0),
         lambda acc, e: acc + e["c"] * F.sqrt(F.when(e["k"] == 0, F.lit(1.0)).otherwise(F.lit(2.0)) / n)
         * _basis(pos, e["k"], n))
+    if broadcast_coefficients == "auto":
+        broadcast_coefficients = coefficient_count(df, keys, keep_ratio) <= MAX_BROADCAST_COEFFICIENTS
+    if broadcast_coefficients:
+        arrays = F.broadcast(arrays)
     joined = positioned.join(arrays, on=keys, how="left")
     return joined.withColumn(out, F.coalesce(inverse, F.lit(0.0))).drop("_coefs")

@@ -60,8 +60,10 @@ def property_day_zscore(obs: DataFrame, ts: str, station: str = "municipality",
     sized = zscore_size(obs, [station, "day"], value, factor=factor, out="z_size")
     # a sum over no values is 0, as the dashboard shows it
     sized = sized.withColumn("day_sum", F.coalesce(F.col("day_sum"), F.lit(0.0)))
+    # one bounds row per calendar day: broadcast, the rows stay where they are
     out = group_rescale(sized, ["day"], "z_size", out="scale", out_lo=out_lo, out_hi=out_hi,
-                        n_colors=n_colors, index_out="color_index", clip_index=True)
+                        n_colors=n_colors, index_out="color_index", clip_index=True,
+                        bounded_keys=True)
     if prop is None:
         return out
     text = fill_template(WEATHER_LABEL, municipality=F.col(station), prop=prop,

@@ -77,3 +77,13 @@ def test_materialized_positions_same_result(spark):
     a = smooth(df, ["s"], ["ts"], "v", keep_ratio=0.05).orderBy("s", "ts").toPandas()
     b = smooth(df, ["s"], ["ts"], "v", keep_ratio=0.05, materialize=True).orderBy("s", "ts").toPandas()
     assert np.allclose(a["smoothed"], b["smoothed"], atol=1e-12)
+
+
+def test_coefficient_join_either_way(spark):
+    from gridpulse.operators.series import coefficient_count
+    rng = np.random.default_rng(9)
+    df = _frame(spark, {"a": rng.normal(size=120), "b": rng.normal(size=80)})
+    assert coefficient_count(df, ["s"], 0.05) == 6 + 4
+    a = smooth(df, ["s"], ["ts"], "v", keep_ratio=0.05, broadcast_coefficients=True).orderBy("s", "ts").toPandas()
+    b = smooth(df, ["s"], ["ts"], "v", keep_ratio=0.05, broadcast_coefficients=False).orderBy("s", "ts").toPandas()
+    assert np.allclose(a["smoothed"], b["smoothed"], atol=1e-12)
