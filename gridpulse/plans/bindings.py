@@ -224,8 +224,10 @@ def json_property_zscore(spark: SparkSession, sf: str) -> DataFrame:
 def smooth_series(spark: SparkSession, sf: str) -> DataFrame:
     """Q7-Q9: SIG1-SIG4, WIN5, ORD1, FLT11, DT6 (hourly series, smoothed)."""
     series = S.hourly_by_type(_ev(spark, sf))
+    # five fixed series (the event types): their coefficients are bounded by
+    # the time span, not by the data volume, so they are broadcast directly
     out = Q.hourly_series(series, ["event_type"], "hour_utc", "value", selected=S.SELECTED_HOUR,
-                          chunk=floor_ntz("hour_utc", "day"))
+                          chunk=floor_ntz("hour_utc", "day"), broadcast_coefficients=True)
     return out.select("event_type", "hour_utc", "iso", r4("raw").alias("raw"),
                       r4("smoothed").alias("smoothed"), "is_selected")
 
@@ -254,8 +256,10 @@ def weather_series(spark: SparkSession, sf: str) -> DataFrame:
                            aliases=S.STATION_ALIASES)
     hourly = obs.groupBy("municipality", floor_ntz("ts", "hour").alias("hour_utc")) \
                 .agg(F.avg("value").alias("value"))
+    # one series per station (the fixed event types): coefficients bounded by
+    # the time span, broadcast directly
     out = Q.hourly_series(hourly, ["municipality"], "hour_utc", "value",
-                          chunk=floor_ntz("hour_utc", "day"))
+                          chunk=floor_ntz("hour_utc", "day"), broadcast_coefficients=True)
     return out.select("municipality", "hour_utc", r4("raw").alias("raw"),
                       r4("smoothed").alias("smoothed"))
 

@@ -129,7 +129,8 @@ def hourly_series(df: DataFrame, keys, ts: str, value: str, selected=None,
                   keep_ratio: float = SMOOTH_KEEP_RATIO, chunk=None,
                   names: DataFrame | None = None, name_col: str | None = None,
                   dim: DataFrame | None = None, dim_name: str | None = None,
-                  dim_code: str | None = None, order_extra=()) -> DataFrame:
+                  dim_code: str | None = None, order_extra=(),
+                  broadcast_coefficients="auto") -> DataFrame:
     """Q7-Q9: raw and smoothed yearly series for every series key at once,
     with the ISO hour and an ``is_selected`` flag for the selected hour.
 
@@ -141,7 +142,8 @@ def hourly_series(df: DataFrame, keys, ts: str, value: str, selected=None,
         codes = reverse_lookup(names, name_col, dim, dim_name, dim_code, out="_code") \
             .filter(F.col("_code").isNotNull()).select("_code").distinct()
         df = df.join(codes, df[keys[0]] == codes["_code"], "left_semi")
-    out = smooth(df, keys, [ts, *order_extra], value, keep_ratio=keep_ratio, chunk=chunk)
+    out = smooth(df, keys, [ts, *order_extra], value, keep_ratio=keep_ratio, chunk=chunk,
+                 broadcast_coefficients=broadcast_coefficients)
     flag = F.lit(False) if selected is None else \
         F.coalesce(F.col(ts) == ts_literal(selected), F.lit(False))
     return out.select(*keys, *order_extra, F.col(ts), iso_hour(ts).alias("iso"), "raw", "smoothed",
