@@ -41,3 +41,12 @@ def test_no_cartesian_no_python_in_any_query(spark):
             assert b not in plan, (name, b)
         if "BroadcastNestedLoopJoin" in plan:  # only against a broadcast side
             assert "BroadcastExchange" in plan, name
+
+
+def test_weather_rows_not_shuffled_for_the_day_bounds(spark):
+    """The per-day bounds (one row per day) are broadcast up front: after
+    execution the final plan has no shuffle of the rows by day."""
+    df = entry.queries()["json_property_zscore"](spark, SF_SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Exchange hashpartitioning(coalesce(day" not in final
