@@ -50,3 +50,24 @@ def test_weather_rows_not_shuffled_for_the_day_bounds(spark):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "Exchange hashpartitioning(coalesce(day" not in final
+
+
+def test_series_rows_not_shuffled_for_the_coefficients(spark):
+    """With the coefficients broadcast, the positioned rows are not shuffled
+    by series key for the inverse: one series-keyed shuffle fewer than the
+    shuffled-join plan, and the registered query has the broadcast shape."""
+    import re
+    from gridpulse.functions.scalars import floor_ntz
+    from gridpulse.plans import dashboard as Q, standins as S
+
+    def series_shuffles(df):
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        return len(re.findall(r"Exchange hashpartitioning\(event_type#\d+, \d+\)", final))
+
+    series = S.hourly_by_type(S.table(spark, SF_SMALL, "events"))
+    shape = {b: series_shuffles(Q.hourly_series(series, ["event_type"], "hour_utc", "value",
+                                                chunk=floor_ntz("hour_utc", "day"),
+                                                broadcast_coefficients=b)) for b in (True, False)}
+    assert shape[True] < shape[False]
+    assert series_shuffles(entry.queries()["smooth_series"](spark, SF_SMALL)) == shape[True]
