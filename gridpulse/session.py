@@ -38,12 +38,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is configured by the cluster owner and must be on
-    shared storage; it is only set here when unset (local tests), and then to
-    a fresh scratch folder.
+    shared storage; a missing setting is an error there. Only a local session
+    with no setting (tests) gets a fresh scratch folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="gridpulse-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder "
+                               "(HDFS or object store) for this cluster")
+        current = tempfile.mkdtemp(prefix="gridpulse-ckpt-")  # local runs only
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
