@@ -167,7 +167,7 @@ def neighbour_trade_literal_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def zone_dots(spark: SparkSession, sf: str) -> DataFrame:
-    """Zone markers (per-country texts joined) and neighbour markers in one list."""
+    """SET1, STR4: zone markers (joined per-country texts) and neighbour markers in one list."""
     pc, countries, roles = _prodcon(spark, sf), _countries(spark), trade_roles_frame(spark)
     zones = zone_summaries(zone_country_exchange(pc, countries, S.DAY), roles, S.DAY)
     neigh = neighbour_utilisation(pc, countries, S.SLIDER_DAY, S.YEAR_END, coords=roles)
@@ -233,9 +233,10 @@ def smooth_series(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def production_series(spark: SparkSession, sf: str) -> DataFrame:
-    """Q7: production series of the municipalities selected by name (the
-    names of all BUILDING customers), resolved to codes through the
-    dimension; NULL hours read as 0."""
+    """Q7: JN4, FLT5, IMP5, FLT11, SIG4 (series picked by name, NULL as 0, smoothed).
+
+    The names are those of all BUILDING customers, resolved to codes through
+    the dimension."""
     prod = S.hourly_production(_ev(spark, sf))
     cust = S.table(spark, sf, "customer")
     names = cust.filter(F.col("c_mktsegment") == "BUILDING").select(F.col("c_name").alias("name"))
@@ -248,9 +249,9 @@ def production_series(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def weather_series(spark: SparkSession, sf: str) -> DataFrame:
-    """Q8: per station, the JSON property (0 when the key is missing) as an
-    hourly series (weather rows are hourly; here the events of an hour are
-    averaged), smoothed over the station's hours."""
+    """Q8: JSN2, IMP7, SIG4 (a JSON property per station, 0 for a missing key, smoothed).
+
+    Weather rows are hourly; here the events of an hour are averaged."""
     w = S.weather_observations(_ev(spark, sf))
     obs = station_property(w, "ts", "municipality", "weather_data", "k", default=0.0,
                            aliases=S.STATION_ALIASES)
@@ -274,8 +275,9 @@ def region_points(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def region_valid_join(spark: SparkSession, sf: str) -> DataFrame:
-    """JN6 with the boxes as a frame: an existence join against the
-    broadcast bounds table (one output row per point, no shuffle)."""
+    """JN6, SRC10: boxes as a frame, an existence join against the broadcast bounds.
+
+    One output row per point, no shuffle."""
     pts = S.event_points(_ev(spark, sf))
     out = any_box_exists(pts, bounds_frame(spark, CLOSED_BOUNDS))
     return out.select("point_id", "is_valid")
