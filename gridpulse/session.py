@@ -7,8 +7,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every session of ours relies on. Timestamps are TIMESTAMP_NTZ in the
-# data, so results do not depend on the zone, but parsing text still does.
+# Settings of our local sessions. Results do not depend on the session zone
+# (times are TIMESTAMP_NTZ, parsed and printed from the wall clock); UTC only
+# keeps logs readable.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
