@@ -54,3 +54,13 @@ def test_typed_json_and_sink(spark):
     write_table(data, out, partition_by=["month"])
     assert {"month=2022-01", "month=2022-02"} <= set(os.listdir(out))
     assert spark.read.parquet(out).count() == 2
+
+
+def test_broadcast_checked_both_ways(spark):
+    from gridpulse.operators.joins import broadcast_checked
+    small = spark.createDataFrame([(i,) for i in range(5)], "k int")
+    hinted = broadcast_checked(small, max_rows=10)
+    unhinted = broadcast_checked(small, max_rows=3)
+    plan = lambda d: d._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in plan(hinted).lower()
+    assert "broadcast" not in plan(unhinted).lower()
