@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import langid, nbsvm, packing, warc, wumanber
+from gridpulse.llm import blocklabels, langid, nbsvm, packing, toxicgrammar, warc, wumanber
 from gridpulse.llm.common import fold_is, table
 
 
@@ -39,6 +39,23 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op6_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; learned outside fold 2 of 4."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicgrammar.fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return toxicgrammar.score_toxicity(docs, model).select(
+        "doc_id", fold_is("doc_id", toxicgrammar.FOLDS, toxicgrammar.HELD).alias("held_out"),
+        F.col("toxic_score").alias("score"), F.col("toxic_pred").alias("predicted"),
+        F.col("toxic_clauses").alias("matched_clauses"))
+
+
+def op8_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = blocklabels.extract_main_text(pages, blocklabels.fit_labeller(pages))
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token pieces packed into sequences of 4096."""
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
@@ -55,4 +72,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_warc_index, op2_quality_classifier, op3_benchmark_decontamination, op9_packing, op10_language_id)}
+    op1_warc_index, op2_quality_classifier, op3_benchmark_decontamination, op6_toxicity_grammar,
+    op8_html_blocks, op9_packing, op10_language_id)}
