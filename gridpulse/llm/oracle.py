@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from gridpulse.llm.spotsigs import ANCHORS
+
 ORACLE_SQL = {
     "op1_warc_index": r"""
 WITH p AS (
@@ -47,4 +49,36 @@ SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGI
   sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
 FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """,
+    "op7_spot_signatures": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    coalesce(lead(coalesce(text, '')) OVER w, first_value(coalesce(text, '')) OVER w) AS nxt
+  FROM documents WINDOW w AS (ORDER BY doc_id NULLS FIRST, text NULLS FIRST)
+), e AS (
+  SELECT *, substr(text, 1, CAST(length(text) - length(text) // 2 AS BIGINT)) || substr(nxt, 1, CAST(length(text) // 2 AS BIGINT)) AS edited FROM d
+), t AS (
+  SELECT row_number() OVER () AS r, doc_id, text, edited, nxt FROM e
+), parts AS (
+  SELECT r, 'own' AS kind, text AS body FROM t UNION ALL SELECT r, 'changed', edited FROM t UNION ALL SELECT r, 'following', nxt FROM t
+), words AS (
+  SELECT r, kind, body, list_filter(regexp_split_to_array(lower(body), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM parts
+), places AS (
+  SELECT *, list_filter(range(1, len(w) + 1), lambda i: length(w[i]) <= 2 OR list_contains([%s], w[i])) AS spots FROM words
+), sigs AS (
+  SELECT r, kind, CASE WHEN len(w) > 0 THEN
+      list_transform(CASE WHEN len(spots) > 0 THEN spots ELSE range(1, len(w) + 1) END,
+        lambda i: array_to_string(list_concat([w[i]], list_filter(w[i + 1:i + 6], lambda x: NOT (length(x) <= 2 OR list_contains([%s], x)))[1:2]), ':'))
+    WHEN body = '' THEN CAST([] AS VARCHAR[]) ELSE [body] END AS s FROM places
+), marks AS (
+  SELECT r, kind, list_sort(list_distinct(list_transform(s, lambda x: substr(md5(x), 1, 8)))) AS m FROM sigs
+), wide AS (
+  SELECT r, max(m) FILTER (kind = 'own') AS a, max(m) FILTER (kind = 'changed') AS b, max(m) FILTER (kind = 'following') AS c
+  FROM marks GROUP BY r
+)
+SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256,
+  array_to_string(a, ' ') AS fingerprint, array_to_string(b, ' ') AS edited_fingerprint,
+  CASE WHEN len(a) + len(b) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(a, b))::DOUBLE / (len(a) + len(b) - len(list_intersect(a, b))) END AS near_edited,
+  CASE WHEN len(a) + len(c) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(a, c))::DOUBLE / (len(a) + len(c) - len(list_intersect(a, c))) END AS near_next
+FROM t JOIN wide USING (r)
+""" % ((", ".join(f"'{w}'" for w in ANCHORS),) * 2),
 }

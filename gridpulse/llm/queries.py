@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import blocklabels, langid, nbsvm, packing, toxicgrammar, warc, wumanber
+from gridpulse.llm import blocklabels, langid, nbsvm, packing, spotsigs, toxicgrammar, warc, wumanber
 from gridpulse.llm.common import fold_is, table
 
 
@@ -49,6 +49,11 @@ def op6_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("toxic_clauses").alias("matched_clauses"))
 
 
+def op7_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text."""
+    return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op8_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -72,5 +77,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_warc_index, op2_quality_classifier, op3_benchmark_decontamination, op6_toxicity_grammar,
+    op1_warc_index, op2_quality_classifier, op3_benchmark_decontamination, op6_toxicity_grammar, op7_spot_signatures,
     op8_html_blocks, op9_packing, op10_language_id)}
