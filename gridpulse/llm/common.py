@@ -12,6 +12,24 @@ from pyspark.sql import functions as F
 from gridpulse.session import ensure_checkpoint_dir
 
 
+class Memo(dict):
+    """Values of a function, kept for two generations of ``keep`` keys."""
+
+    def __init__(self, function, keep: int):
+        super().__init__()
+        self.function, self.keep, self.old = function, keep, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.function(key)
+        if len(self) >= self.keep:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

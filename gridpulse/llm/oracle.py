@@ -81,4 +81,28 @@ SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, sha256(edited) AS edited
   CASE WHEN len(a) + len(c) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(a, c))::DOUBLE / (len(a) + len(c) - len(list_intersect(a, c))) END AS near_next
 FROM t JOIN wide USING (r)
 """ % ((", ".join(f"'{w}'" for w in ANCHORS),) * 2),
+    "op5_ngram_jaccard_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 3))) AS i FROM w WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * k >= 85 * (nx.n + ny.n - k)
+), reach(x, y) AS (
+  SELECT x, y FROM l UNION SELECT reach.x, l.y FROM reach JOIN l ON reach.y = l.x
+), least_id AS (
+  SELECT x, min(y) AS m FROM reach GROUP BY x
+), degree AS (
+  SELECT x, count(*) AS n_links FROM l GROUP BY x
+)
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(w.doc_id, coalesce(m, w.doc_id)) AS component_id,
+  CAST(coalesce(n_links, 0) AS BIGINT) AS n_links
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least_id ON least_id.x = w.doc_id LEFT JOIN degree ON degree.x = w.doc_id
+""",
 }

@@ -24,6 +24,7 @@ Special-token strings in a text are what the tokenizer makes of them.
 
 from __future__ import annotations
 
+import struct
 import unicodedata
 import zlib
 from collections import defaultdict
@@ -34,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridpulse.llm.common import slices, stored, texts
+from gridpulse.llm.common import Memo, slices, stored, texts
 
 WINDOW = 4096
 CLOSE_ID = 2
@@ -50,38 +51,57 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> list[str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others
+    for the code points from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    other = iter(range(256, 512))
+    return [chr(b if b in plain else next(other)) for b in range(256)]
+
+
 class Encoder:
-    """Token ids of whole texts as little-endian uint32 bytes. The tokenizer
-    treats pre-tokens one by one, so each distinct one is encoded once and kept."""
+    """Token ids of whole texts as little-endian uint32 bytes.
+
+    White space always parts pre-tokens and the model reads them one by one, so
+    the ids of a text are those of its white-space chunks in a row, and a chunk's
+    are those of its pre-tokens. Both are kept; only new pre-tokens reach the
+    tokenizer's model."""
 
-    def __init__(self, path: str, keep: int = 300_000):
+    def __init__(self, path: str, keep: int = 250_000):
         import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.find = regex.compile(PIECES).findall
-        self.seen: dict[str, bytes] = {}
-        self.keep = keep
+        self.split = regex.compile(rf"[^{SPACE}]+").findall
+        find, model, letters = regex.compile(PIECES).findall, self.tokenizer.model, byte_letters()
+
+        def word(w: str) -> bytes:
+            if not w.isascii():
+                w = "".join(letters[b] for b in w.encode("utf-8"))
+            ids = [t.id for t in model.tokenize(w)]
+            return struct.pack(f"<{len(ids)}I", *ids)
+
+        words = Memo(word, keep)
+
+        def chunk(c: str) -> bytes:
+            if c.isalpha():
+                return words[c]
+            if c[-1] in ".,;:!?" and c[:-1].isalpha():
+                return words[c[:-1]] + words[c[-1]]
+            return b"".join([words[w] for w in find(c)])
 
-    def _direct(self, items: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(items, add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in found]
+        self.chunks = Memo(chunk, keep)
 
     def __call__(self, text: str) -> bytes:
-        if "<|" in text:
-            return self._direct([text])[0]
+        if "<|" in text:  # may be a special token: the tokenizer decides
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
             if "Σ" in text:  # final sigma: lower-cased char by char
                 text = "".join(map(str.lower, text))
-        tokens = self.find(text.lower())
-        new = list(set(tokens).difference(self.seen))
-        if new:
-            if len(self.seen) > self.keep:
-                self.seen.clear()
-                new = list(set(tokens))
-            self.seen.update(zip(new, self._direct(new), strict=True))
-        return b"".join(map(self.seen.__getitem__, tokens))
+        text = text.lower()
+        separators = any(c in text for c in "\x1c\x1d\x1e\x1f")  # white space to Python only
+        return b"".join(map(self.chunks.__getitem__, self.split(text) if separators else text.split()))
 
 
 PIECE = "length int, start long, ids_crc32 long, doc_tokens long, part int, nth long"
