@@ -104,5 +104,27 @@ WITH RECURSIVE w AS (
 SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(w.doc_id, coalesce(m, w.doc_id)) AS component_id,
   CAST(coalesce(n_links, 0) AS BIGINT) AS n_links
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least_id ON least_id.x = w.doc_id LEFT JOIN degree ON degree.x = w.doc_id
+""",
+    "op4_stupid_backoff": r"""
+WITH w AS (
+  SELECT doc_id, row_number() OVER () AS r, list_concat(['<s>'], regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM documents
+), p AS (
+  SELECT doc_id, w[i] AS v, w[i + 1] AS w FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM w)
+), pc AS (
+  SELECT v, w, count(*) AS n FROM p GROUP BY ALL
+), wc AS (
+  SELECT w, count(*) AS n FROM p GROUP BY ALL
+), vc AS (
+  SELECT w, n FROM wc UNION ALL SELECT '<s>', count(*) FROM w WHERE len(w) > 1
+), s AS (
+  SELECT p.doc_id, count(*) AS n, sum(CASE WHEN pc.n >= 2 THEN ln(pc.n) - ln(vc.n)
+    ELSE ln(0.4) - ln((SELECT count(*) FROM p)) + ln(wc.n) END) AS score
+  FROM p JOIN pc ON pc.v = p.v AND pc.w = p.w JOIN wc ON wc.w = p.w JOIN vc ON vc.w = p.v GROUP BY p.doc_id
+)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_tokens, round(coalesce(score, 0.0), 3) AS score,
+  round(score / n, 6) AS mean_log_score
+FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN s ON s.doc_id = d.doc_id
 """,
 }

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import blocklabels, langid, nbsvm, packing, spotsigs, tokengroups, toxicgrammar, warc, wumanber
+from gridpulse.llm import backoff, blocklabels, langid, nbsvm, packing, spotsigs, tokengroups, toxicgrammar, warc, wumanber
 from gridpulse.llm.common import fold_is, table
 
 
@@ -39,6 +39,14 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op4_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff log score of every document under the whole corpus."""
+    scored = backoff.score_documents(table(spark, sf_dir, "documents"))
+    # Sums of floating-point numbers depend on their order in the last digits.
+    return scored.select("doc_id", "n_tokens", F.round("score", 3).alias("score"),
+                         F.round(F.col("score") / F.col("n_tokens"), 6).alias("mean_log_score"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components and link counts of the Jaccard join on word shingles."""
     return tokengroups.similar_groups(table(spark, sf_dir, "documents")).select(
@@ -83,5 +91,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_warc_index, op2_quality_classifier, op3_benchmark_decontamination, op5_ngram_jaccard_join, op6_toxicity_grammar, op7_spot_signatures,
+    op1_warc_index, op2_quality_classifier, op3_benchmark_decontamination, op4_stupid_backoff, op5_ngram_jaccard_join, op6_toxicity_grammar, op7_spot_signatures,
     op8_html_blocks, op9_packing, op10_language_id)}
