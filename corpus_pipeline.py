@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import nbsvm, packing, wumanber
+from gridpulse.llm import nbsvm, packing, tokengroups, toxicgrammar, wumanber
 from gridpulse.llm.common import shared_path, table
 
+SHINGLE, SIMILAR_PERCENT = 5, 80
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -17,6 +18,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return nbsvm.score_quality(docs, model).where(F.col("quality_pred") == 1).select(*COLUMNS)
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: documents that the toxicity grammar rejects go."""
+    model = toxicgrammar.fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return toxicgrammar.score_toxicity(docs, model).where(F.col("toxic_pred") == 0).select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5: of each group of documents with similar sets of five-word
+    shingles (0.8 or more), the one with the smallest id stays. Documents without
+    an id cannot be named in a group and stay."""
+    groups = tokengroups.similar_groups(docs, size=SHINGLE, percent=SIMILAR_PERCENT)
+    first = groups.where("component_id = doc_id").select("doc_id").distinct()
+    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*COLUMNS)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: documents that hold a benchmark window go."""
     return wumanber.find_benchmark(docs, table(spark, sf_dir, "benchmark")).where("n_hit = 0").select(*COLUMNS)
@@ -27,7 +44,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-STAGES = [("quality", quality), ("decontaminate", decontaminate), ("pack", pack)]
+STAGES = [("quality", quality), ("toxicity", toxicity), ("near_duplicates", near_duplicates),
+          ("decontaminate", decontaminate), ("pack", pack)]
 
 # Learned models decide what stays, which SQL cannot express.
 ORACLE_SQL = None
