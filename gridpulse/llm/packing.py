@@ -41,7 +41,7 @@ WINDOW = 4096
 CLOSE_ID = 2
 
 # The tokenizer's own splitting pattern with white space spelt out.
-SPACE = r"\t-\r \x85\xa0  -     　"
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
 
 
@@ -76,7 +76,7 @@ class Encoder:
         find, model, letters = regex.compile(PIECES).findall, self.tokenizer.model, byte_letters()
 
         def word(w: str) -> bytes:
-            if not w.isascii():
+            if not (w.isascii() and w.isprintable()):
                 w = "".join(letters[b] for b in w.encode("utf-8"))
             ids = [t.id for t in model.tokenize(w)]
             return struct.pack(f"<{len(ids)}I", *ids)
