@@ -73,9 +73,26 @@ def parse_timestamp(text, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
                   F.to_timestamp_ntz(t, F.lit(pattern)))
 
 
-def lenient_timestamp(c) -> Column:
-    """Coerce strings or timestamps to TIMESTAMP_NTZ; bad values give NULL."""
-    return col_of(c).try_cast("timestamp_ntz")
+ZONE_SUFFIX = r"(Z|[+-]\d{2}:?\d{2}|[+-]\d{2})\s*$"
+
+
+def utc_wall_clock(instant) -> Column:
+    """The UTC wall clock of a zoned TIMESTAMP, whatever the session zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(col_of(instant)), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
+def lenient_timestamp(c, kind: str = "string") -> Column:
+    """Coerce to the UTC wall clock as TIMESTAMP_NTZ; bad values give NULL.
+
+    ``kind`` is the declared type: a zoned TIMESTAMP is converted to UTC, text
+    with a zone suffix too; TIMESTAMP_NTZ and text without one already are UTC."""
+    t = col_of(c)
+    if kind == "timestamp":
+        return utc_wall_clock(t)
+    if kind == "string":
+        zoned = F.regexp_like(t, F.lit(r"\d{2}:\d{2}.*" + ZONE_SUFFIX))
+        return F.when(zoned, utc_wall_clock(t.try_cast("timestamp"))).otherwise(t.try_cast("timestamp_ntz"))
+    return t.try_cast("timestamp_ntz")
 
 
 def floor_ntz(ts, unit: str = "hour") -> Column:

@@ -92,7 +92,7 @@ def _country_sums(prodcon: DataFrame, countries: DataFrame, day, year_end, measu
                   areas=None) -> DataFrame:
     d, end = _day(day), _day(year_end or _dt.date(_day(day).year, 12, 31))
     rows = prodcon if areas is None else prodcon.filter(F.col(area).isin(list(areas)))
-    long = exchange_long(rows, measures, ts, area)
+    long = exchange_long(rows.filter(up_to_day(ts, max(d, end))), measures, ts, area)
     today, cum, year = on_day(ts, d), up_to_day(ts, d), up_to_day(ts, end)
     sums = long.groupBy("exchange_column").agg(
         *sign_split_exprs("mwh", "day_import", "day_export", net="day_net", when=today),
@@ -169,7 +169,7 @@ def zone_share(prodcon: DataFrame, countries: DataFrame, day, areas=PRICE_AREAS,
 def country_share(prodcon: DataFrame, countries: DataFrame, day, measures=EXCHANGE_COLUMNS,
                   ts: str = "hour_utc", area: str = "price_area") -> DataFrame:
     """Cumulative (to ``day``) import vs export share per country, all zones."""
-    s = _country_sums(prodcon, countries, day, None, measures, ts, area)
+    s = _country_sums(prodcon, countries, day, day, measures, ts, area)  # nothing later than the day
     d = _directions(s, ["country"], "cum_import", "cum_export", COUNTRY_SHARE_LABELS)
     return share_of_total(d, ["country"], "mwh")
 
@@ -198,7 +198,7 @@ def neighbour_trade_literal(prodcon: DataFrame, roles: DataFrame, day, year_end=
     totals every row. One pass of net sums per exchange column, then two
     lookups."""
     d, end = _day(day), _day(year_end or _dt.date(_day(day).year, 12, 31))
-    long = exchange_long(prodcon, measures, ts, area)
+    long = exchange_long(prodcon.filter(up_to_day(ts, max(d, end))), measures, ts, area)
     sums = long.groupBy("exchange_column").agg(
         F.coalesce(F.sum(F.when(on_day(ts, d) & F.col(area).isin(list(areas)), F.col("mwh"))),
                    F.lit(0)).alias("day_net"),

@@ -11,14 +11,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridpulse.functions.scalars import col_of, nan_to_null
-from gridpulse.operators.scan import CHUNK, null_safe_join, with_chunk
+from gridpulse.operators.scan import CELL, PREFIX, before_chunk, with_cells
 
-__all__ = ["fill_gaps", "ffill", "bfill"]
+__all__ = ["fill_gaps"]
 
-
-def _desc(order):
-    """The exact reverse of an ascending (NULLS FIRST) order."""
-    return [o.desc_nulls_last() for o in order]
+RN, OFF = PREFIX + "rn", PREFIX + "off"
 
 
 def _quote(name: str) -> str:
@@ -30,116 +27,74 @@ def _lead_non_null(sql_expr: str):
     return F.expr(f"lead({sql_expr}, 1) IGNORE NULLS")
 
 
-def ffill(df: DataFrame, keys, order, value: str, out: str | None = None) -> DataFrame:
-    """Forward fill: the last non-NULL value so far in the series."""
-    w = Window.partitionBy(*keys).orderBy(*[col_of(o) for o in order]) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(out or value, F.last(value, ignorenulls=True).over(w))
-
-
-def bfill(df: DataFrame, keys, order, value: str, out: str | None = None) -> DataFrame:
-    """Backward fill as a running frame over the reversed order (linear; a
-    ``currentRow .. unboundedFollowing`` frame is re-aggregated per row)."""
-    w = Window.partitionBy(*keys).orderBy(*_desc([col_of(o) for o in order])) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(out or value, F.last(value, ignorenulls=True).over(w))
-
-
 def fill_gaps(df: DataFrame, keys, order, values, chunk=None) -> DataFrame:
     """Interpolate -> ffill -> bfill each of ``values`` within each series.
 
     ``keys`` identify a series, ``order`` (columns or Columns) orders it and
     must be unique within a series. ``chunk`` (a Column such as
-    ``floor_ntz(ts, "month")``, monotone in ``order``) enables the two-level
-    scan so that a long or hot series is spread over many tasks.
+    ``floor_ntz(ts, "month")``, monotone in ``order``; by default months or key
+    ranges) spreads a long or hot series over many tasks.
     """
     keys, values = list(keys), list(values)
     order = [col_of(o) for o in order]
     cols = df.columns
     # NaN counts as missing, as in pandas
     df = df.select(*[nan_to_null(F.col(c)).alias(c) if c in values else F.col(c) for c in cols])
-    df = with_chunk(df, chunk)
-    part = keys + ([CHUNK] if chunk is not None else [])
-    w = Window.partitionBy(*part).orderBy(*order)
+    df = with_cells(df, keys, order, chunk)
+    w = Window.partitionBy(CELL).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    # one sort per (series, chunk): the previous non-null comes from a running
-    # frame, the next one from lead(...) IGNORE NULLS (both linear)
-    local = df.withColumn("_rn", F.row_number().over(w))
+    # one sort per cell: the previous non-null comes from a running frame, the
+    # next one from lead(...) IGNORE NULLS (both linear)
+    local = df.withColumn(RN, F.row_number().over(w))
     sel = [F.col(c) for c in local.columns]
-    for v in values:
+    for i, v in enumerate(values):
         q = _quote(v)
         # value and position travel together: one window function per direction
-        pair = F.when(F.col(v).isNotNull(), F.struct(F.col(v).alias("v"), F.col("_rn").alias("p")))
-        sel += [F.last(pair, True).over(upto).alias(f"_prev_{v}"),
-                _lead_non_null(f"CASE WHEN {q} IS NOT NULL THEN named_struct('v', {q}, 'p', _rn) END")
-                .over(w).alias(f"_next_{v}")]
-    local = local.select(*sel)
-    sel = [F.col(c) for c in local.columns if not c.startswith(("_prev_", "_next_"))]
-    for v in values:
-        here = F.when(F.col(v).isNotNull(), F.struct(F.col(v).alias("v"), F.col("_rn").alias("p")))
-        nxt = F.coalesce(here, F.col(f"_next_{v}"))
-        sel += [F.col(f"_prev_{v}.v").alias(f"_pv_{v}"), F.col(f"_prev_{v}.p").alias(f"_pp_{v}"),
-                nxt["v"].alias(f"_nv_{v}"), nxt["p"].alias(f"_np_{v}")]
-    local = local.select(*sel)
-
-    if chunk is None:
-        out = local.withColumn("_off", F.lit(0))
-        for v in values:
-            out = (out.withColumn(f"_cpv_{v}", F.lit(None).cast("double"))
-                      .withColumn(f"_cpp_{v}", F.lit(None).cast("long"))
-                      .withColumn(f"_cnv_{v}", F.lit(None).cast("double"))
-                      .withColumn(f"_cnp_{v}", F.lit(None).cast("long")))
-    else:
-        # the summary branch recomputes only the row numbers, not the fill
-        # windows; both branches read the same (reused) shuffle
-        numbered = df.withColumn("_rn", F.row_number().over(w))
-        out = null_safe_join(local, _carry(numbered, keys, values), [*keys, CHUNK])
-
-    gpos = (F.col("_off") + F.col("_rn")).cast("double")
+        pair = F.when(F.col(v).isNotNull(), F.struct(F.col(v).alias("v"), F.col(RN).alias("p")))
+        sel += [F.last(pair, True).over(upto).alias(f"{PREFIX}prev{i}"),
+                _lead_non_null(f"CASE WHEN {q} IS NOT NULL THEN named_struct('v', {q}, 'p', {RN}) END")
+                .over(w).alias(f"{PREFIX}next{i}")]
+    filled = local.select(*sel)
+    out = filled.join(_carry(local, values), CELL, "left")
+
+    at = (F.col(OFF) + F.col(RN)).cast("double")
     result = []
-    for v in values:
-        has_local_prev = F.col(f"_pp_{v}").isNotNull()
-        has_local_next = F.col(f"_np_{v}").isNotNull()
-        pv = F.when(has_local_prev, F.col(f"_pv_{v}")).otherwise(F.col(f"_cpv_{v}"))
-        pp = F.when(has_local_prev, F.col("_off") + F.col(f"_pp_{v}")).otherwise(F.col(f"_cpp_{v}"))
-        nv = F.when(has_local_next, F.col(f"_nv_{v}")).otherwise(F.col(f"_cnv_{v}"))
-        np_ = F.when(has_local_next, F.col("_off") + F.col(f"_np_{v}")).otherwise(F.col(f"_cnp_{v}"))
-        slope = (nv - pv) / (np_ - pp).cast("double")
-        interp = F.when(pp.isNotNull() & np_.isNotNull(), slope * (gpos - pp.cast("double")) + pv)
-        result.append(F.coalesce(F.col(v).cast("double"), interp, pv.cast("double"),
-                                 nv.cast("double")).alias(v))
+    for i, v in enumerate(values):
+        here = F.when(F.col(v).isNotNull(), F.struct(F.col(v).alias("v"), F.col(RN).alias("p")))
+        prev, nxt = F.col(f"{PREFIX}prev{i}"), F.coalesce(here, F.col(f"{PREFIX}next{i}"))
+        before, after = F.col(f"{PREFIX}before{i}"), F.col(f"{PREFIX}after{i}")
+        pv = F.when(prev.isNotNull(), prev["v"]).otherwise(before["v"]).cast("double")
+        pp = F.when(prev.isNotNull(), F.col(OFF) + prev["p"]).otherwise(before["p"]).cast("double")
+        nv = F.when(nxt.isNotNull(), nxt["v"]).otherwise(after["v"]).cast("double")
+        np_ = F.when(nxt.isNotNull(), F.col(OFF) + nxt["p"]).otherwise(after["p"]).cast("double")
+        interp = F.when(pp.isNotNull() & np_.isNotNull(), (nv - pv) / F.nullif(np_ - pp, F.lit(0.0)) * (at - pp) + pv)
+        result.append(F.coalesce(F.col(v).cast("double"), interp, pv, nv).alias(v))
     return out.select(*[c for c in cols if c not in values], *result).select(*cols)
 
 
-def _carry(numbered: DataFrame, keys, values) -> DataFrame:
-    """Per (series, chunk): row offset and the nearest non-null value (with its
-    global position) in earlier and in later chunks.
+def _carry(numbered: DataFrame, values) -> DataFrame:
+    """Per cell: row offset and the nearest non-null value (with its position in
+    the series) in earlier and in later chunks.
 
-    ``numbered`` holds the rows with their row number in the chunk; the
-    summary is a plain aggregate over them (the rows are already clustered
-    by series and chunk, so it needs no further shuffle)."""
-    aggs = [F.max("_rn").alias("_cnt")]
-    for v in values:
+    ``numbered`` holds the dealt rows with their row number in the cell, so the
+    summary is an aggregate without a further shuffle of rows."""
+    count = PREFIX + "cnt"
+    aggs = [F.max(RN).alias(count)]
+    for i, v in enumerate(values):
         # structs order by their first field: the position
-        pair = F.when(F.col(v).isNotNull(), F.struct(F.col("_rn").alias("p"), F.col(v).alias("v")))
-        aggs += [F.min(pair).alias(f"_first_{v}"), F.max(pair).alias(f"_last_{v}")]
-    summary = numbered.groupBy(*keys, CHUNK).agg(*aggs)
-    summary = summary.select(*keys, CHUNK, "_cnt", *[
-        c for v in values for c in (F.col(f"_first_{v}.v").alias(f"_fv_{v}"),
-                                    F.col(f"_first_{v}.p").alias(f"_fp_{v}"),
-                                    F.col(f"_last_{v}.v").alias(f"_lv_{v}"),
-                                    F.col(f"_last_{v}.p").alias(f"_lp_{v}"))])
-    w = Window.partitionBy(*keys).orderBy(CHUNK)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc_nulls_last()) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    summary = summary.withColumn(
-        "_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).cast("long"))
-    sel = [*keys, CHUNK, "_off"]
-    for v in values:
-        sel += [F.last(f"_lv_{v}", True).over(before).cast("double").alias(f"_cpv_{v}"),
-                F.last(F.col("_off") + F.col(f"_lp_{v}"), True).over(before).alias(f"_cpp_{v}"),
-                F.last(f"_fv_{v}", True).over(later).cast("double").alias(f"_cnv_{v}"),
-                F.last(F.col("_off") + F.col(f"_fp_{v}"), True).over(later).alias(f"_cnp_{v}")]
-    return summary.select(*sel)
+        pair = F.when(F.col(v).isNotNull(), F.struct(F.col(RN).alias("p"), F.col(v).alias("v")))
+        aggs += [F.min(pair).alias(f"{PREFIX}first{i}"), F.max(pair).alias(f"{PREFIX}last{i}")]
+    summary = numbered.groupBy(CELL).agg(*aggs)
+    later = (Window.partitionBy(f"{CELL}.series").orderBy(F.col(f"{CELL}.chunk").desc_nulls_last())
+             .rowsBetween(Window.unboundedPreceding, -1))
+    summary = summary.withColumn(OFF, F.coalesce(F.sum(count).over(before_chunk()), F.lit(0)).cast("long"))
+
+    def placed(name):
+        c = F.col(name)
+        return F.when(c.isNotNull(), F.struct((F.col(OFF) + c["p"]).alias("p"), c["v"].alias("v")))
+
+    return summary.select(CELL, OFF, *[
+        c for i in range(len(values))
+        for c in (F.last(placed(f"{PREFIX}last{i}"), True).over(before_chunk()).alias(f"{PREFIX}before{i}"),
+                  F.last(placed(f"{PREFIX}first{i}"), True).over(later).alias(f"{PREFIX}after{i}"))])

@@ -5,21 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-__all__ = ["left_join_keep_first", "semi_join_values", "reverse_lookup", "broadcast_checked",
-           "MAX_BROADCAST_ROWS"]
-
-MAX_BROADCAST_ROWS = 10_000
-
-
-def broadcast_checked(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint a frame after proving it holds at most ``max_rows`` rows.
-
-    The check is a bounded ``limit(max_rows + 1).count()``; beyond the bound
-    the frame is returned unhinted and the planner (with AQE) chooses.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
+__all__ = ["left_join_keep_first", "semi_join_values", "reverse_lookup"]
 
 def left_join_keep_first(left: DataFrame, right: DataFrame, on: str,
                          suffix: str = "_from_right", fill_from_right: bool = False) -> DataFrame:
@@ -38,10 +24,8 @@ def left_join_keep_first(left: DataFrame, right: DataFrame, on: str,
 
 
 def semi_join_values(df: DataFrame, column: str, allowed: DataFrame, allowed_col: str) -> DataFrame:
-    """Rows whose ``column`` is in ``allowed`` (left semi join).
-
-    ``allowed`` is a small list (broadcast by the planner when its size
-    estimate is under the threshold; hint it with ``broadcast_checked``)."""
+    """Rows whose ``column`` is in ``allowed`` (left semi join; the planner
+    broadcasts a list that it knows to be small)."""
     return df.join(allowed, df[column] == allowed[allowed_col], "left_semi")
 
 

@@ -16,8 +16,8 @@ def running_rescale(df: DataFrame, order, value: str, out: str = "scale",
                     n_colors: int | None = None, index_out: str = "color_index") -> DataFrame:
     """Rescale each row by the min and max of the rows seen so far in ``order``.
 
-    With ``chunk`` the running bounds come from the two-level scan, so no
-    single task holds all rows."""
+    The running bounds come from the two-level scan (key ranges where no
+    ``chunk`` is given), so no single task holds all rows."""
     df = running_extrema(df, order, value, chunk=chunk, keys=keys)
     df = df.withColumn(out, rescale(value, "_run_lo", "_run_hi", out_lo, out_hi))
     if n_colors:
@@ -52,12 +52,16 @@ def group_rescale(df: DataFrame, keys, value: str, out: str = "scale",
 
 
 def zscore_size(df: DataFrame, keys, value: str, factor: float = 1.0, out: str = "z_size",
-                with_stats: bool = True) -> DataFrame:
+                with_stats: bool = True, bounded_keys: bool = False) -> DataFrame:
     """``|v - mean| / std * factor`` within ``keys`` (sample std; NULL when std is
-    0 or undefined). Stats are a partial aggregate joined back on ``keys``."""
+    0 or undefined). Stats are a partial aggregate joined back on ``keys``;
+    with ``bounded_keys`` (e.g. days of a fixed list of stations) they are
+    broadcast, so a station with many rows is not shuffled to one task."""
     keys = list(keys)
     stats = df.groupBy(*keys).agg(F.sum(value).alias("day_sum"), F.avg(value).alias("mean"),
                                   F.stddev_samp(value).alias("std"))
+    if bounded_keys:
+        stats = F.broadcast(stats)
     out_df = null_safe_join(df, stats, keys)  # a NULL key is a group too
     out_df = out_df.withColumn(
         out, F.abs(F.col(value) - F.col("mean")) / F.nullif(F.col("std"), F.lit(0.0))

@@ -1,10 +1,14 @@
 """Two-level ordered scans over long series.
 
 A window ``partitionBy(series).orderBy(t)`` puts a whole series in one task,
-so one hot series would bound the job. Here the series is cut into chunks
-(e.g. calendar days): the window runs per (series, chunk), a small per-chunk
-summary carries state across chunk boundaries (itself windowed per series,
-one row per chunk), and the summary is joined back on (series, chunk).
+so one hot series would bound the job. Here the rows are dealt once by their
+cell, which is (series, chunk), e.g. a calendar month of a series: the windows
+run inside a cell, a small summary with one row per cell carries state across
+chunk borders (windowed per series), and it is joined back on the cell, whose
+clustering the rows already have.
+
+The cell is a struct, never NULL itself, so rows with NULL keys are a series
+of their own under plain equality. Internal columns start with ``__gp_``.
 """
 
 from __future__ import annotations
@@ -12,35 +16,64 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridpulse.functions.scalars import col_of
+from gridpulse.functions.scalars import col_of, floor_ntz
 
-__all__ = ["with_chunk", "series_positions", "running_extrema", "null_safe_join", "range_chunks"]
+__all__ = ["with_cells", "with_chunks", "series_positions", "running_extrema", "null_safe_join", "CELL"]
 
+PREFIX = "__gp_"
+CELL = PREFIX + "cell"
+NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
-def range_chunks(dim: DataFrame, key: str, target: int = 1024) -> Column:
-    """Contiguous key-range chunks, about ``target`` of them whatever the key
-    range: the bounds are scalar subqueries over ``dim`` (one small job whose
-    result is inlined), so the chunk of a row is O(1) to compute."""
-    lo = dim.select(F.min(key)).scalar()
-    hi = dim.select(F.max(key)).scalar()
-    width = F.greatest(F.lit(1.0), (hi - lo + F.lit(1)).cast("double") / F.lit(float(target)))
-    return F.floor((F.col(key) - lo).cast("double") / width)
 
-CHUNK = "_chunk"
+def _type(df: DataFrame, expr: Column) -> str:
+    return df.select(expr).dtypes[0][1].split("(")[0]
 
 
-def with_chunk(df: DataFrame, chunk) -> DataFrame:
-    """Add the ``_chunk`` column (constant when ``chunk`` is None)."""
-    expr = F.lit(0) if chunk is None else col_of(chunk)
-    return df.withColumn(CHUNK, expr)
+def _as_number(expr: Column, kind: str) -> Column:
+    """A number that orders like the value: itself, or the first seven bytes of
+    a text (equal for texts that share them)."""
+    if kind in NUMERIC:
+        return expr.cast("double")
+    head = F.rpad(F.substring(F.hex(expr.cast("string").cast("binary")), 1, 14), 14, "0")
+    return F.conv(head, 16, 10).cast("double")
 
 
-def null_safe_join(left: DataFrame, summary: DataFrame, on) -> DataFrame:
-    """Left join of per-(series, chunk) summaries back onto the rows.
+def with_chunks(df: DataFrame, order, out: str, target: int = 128) -> DataFrame:
+    """Add chunks for an order without given ones: calendar months of a time, or
+    contiguous ranges of a number or text with about equal row counts. The
+    bounds of the ranges are approximate quantiles, read as a scalar subquery,
+    so that an outlying key does not stretch them."""
+    first = col_of(order)
+    kind = _type(df, first)
+    if kind in ("timestamp_ntz", "timestamp", "date"):
+        return df.withColumn(out, floor_ntz(first, "month"))
+    number, bounds = _as_number(first, kind), PREFIX + "bounds"
+    shares = F.array(*[F.lit(i / target) for i in range(1, target)])
+    found = df.select(F.percentile_approx(number, shares, F.lit(100 * target))).scalar()
+    ranged = df.withColumn(bounds, found)
+    return ranged.withColumn(out, F.when(number.isNotNull(), F.size(F.filter(F.col(bounds), lambda b: b <= number)))).drop(bounds)
+
+
+def with_cells(df: DataFrame, keys, order, chunk=None) -> DataFrame:
+    """Add the cell column and deal the rows by it: the one shuffle of a scan.
+    ``chunk`` must not decrease along the order."""
+    if clash := [c for c in df.columns if c.startswith(PREFIX)]:
+        raise ValueError(f"column names starting with {PREFIX} are reserved: {clash}")
+    name = PREFIX + "chunk"
+    df = with_chunks(df, order[0], name) if chunk is None else df.withColumn(name, col_of(chunk))
+    series = F.struct(F.lit(0).alias("s"), *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    return df.withColumn(CELL, F.struct(series.alias("series"), F.col(name).alias("chunk"))).drop(name).repartition(CELL)
+
 
-    Null-safe equality keeps NULL keys as their own series and, because it
-    lets the optimizer infer no extra filters, both sides keep identical
-    subplans, so the shuffle they share is computed once and reused."""
+def before_chunk():
+    """Earlier chunks of the same series, for a frame with one row per cell."""
+    return (Window.partitionBy(f"{CELL}.series").orderBy(f"{CELL}.chunk")
+            .rowsBetween(Window.unboundedPreceding, -1))
+
+
+def null_safe_join(left: DataFrame, summary: DataFrame, on) -> DataFrame:
+    """Left join of per-group summaries back onto the rows; NULL keys are a
+    group of their own."""
     on = list(on)
     right = summary.select(*[F.col(c).alias(f"_j_{c}") for c in on],
                            *[c for c in summary.columns if c not in on])
@@ -51,54 +84,33 @@ def null_safe_join(left: DataFrame, summary: DataFrame, on) -> DataFrame:
     return left.join(right, cond, "left").drop(*[f"_j_{c}" for c in on])
 
 
-def series_positions(df: DataFrame, keys, order, chunk=None,
-                     pos: str = "_pos", length: str = "_len") -> DataFrame:
+def series_positions(df: DataFrame, keys, order, chunk=None, pos: str = "_pos", length: str = "_len",
+                     keep_cell: bool = False) -> DataFrame:
     """Add a 0-based row position within each series (ordered by ``order``)
     and the series length, without a per-series single-task window."""
-    keys, order = list(keys), [col_of(o) for o in order]
-    if chunk is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return (df.withColumn(pos, (F.row_number().over(w) - 1).cast("long"))
-                  .withColumn(length, F.count(F.lit(1)).over(Window.partitionBy(*keys))))
-    df = with_chunk(df, chunk)
-    w1 = Window.partitionBy(*keys, CHUNK).orderBy(*order)
-    local = df.withColumn("_rn", F.row_number().over(w1))
-    # counts come from the windowed rows (already clustered by series and
-    # chunk), so both branches share one scan and one shuffle
-    counts = local.groupBy(*keys, CHUNK).agg(F.max("_rn").cast("long").alias("_cnt"))
-    w2 = Window.partitionBy(*keys).orderBy(CHUNK)
+    rn, off = PREFIX + "rn", PREFIX + "off"
+    cells = with_cells(df, keys, order, chunk)
+    local = cells.withColumn(rn, F.row_number().over(Window.partitionBy(CELL).orderBy(*[col_of(o) for o in order])))
+    # counts come from the dealt rows, so the summary needs no further shuffle
+    counts = local.groupBy(CELL).agg(F.max(rn).cast("long").alias(PREFIX + "cnt"))
     offsets = counts.select(
-        *keys, CHUNK,
-        F.coalesce(F.sum("_cnt").over(w2.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(Window.partitionBy(*keys)).alias(length))
-    out = null_safe_join(local, offsets, [*keys, CHUNK])
-    return (out.withColumn(pos, (F.col("_off") + F.col("_rn") - 1).cast("long"))
-               .drop("_off", "_rn", CHUNK))
+        CELL, F.coalesce(F.sum(PREFIX + "cnt").over(before_chunk()), F.lit(0)).alias(off),
+        F.sum(PREFIX + "cnt").over(Window.partitionBy(f"{CELL}.series")).alias(length))
+    out = local.join(offsets, CELL, "left").withColumn(pos, (F.col(off) + F.col(rn) - 1).cast("long")).drop(off, rn)
+    return out if keep_cell else out.drop(CELL)
 
 
 def running_extrema(df: DataFrame, order, value: str, chunk=None, keys=(),
                     lo: str = "_run_lo", hi: str = "_run_hi") -> DataFrame:
     """Running min and max of ``value`` over rows seen so far in ``order``
     (current row included, NULLs skipped), optionally per ``keys``."""
-    keys = list(keys)
     order = [col_of(o) for o in (order if isinstance(order, (list, tuple)) else [order])]
-    frame = (Window.unboundedPreceding, Window.currentRow)
-    if chunk is None:
-        spec = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
-        w = spec.rowsBetween(*frame)
-        return (df.withColumn(lo, F.min(value).over(w))
-                  .withColumn(hi, F.max(value).over(w)))
-    df = with_chunk(df, chunk)
-    w1 = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(*frame)
-    local = (df.withColumn("_llo", F.min(value).over(w1))
-               .withColumn("_lhi", F.max(value).over(w1)))
-    per_chunk = df.groupBy(*keys, CHUNK).agg(F.min(value).alias("_clo"), F.max(value).alias("_chi"))
-    spec2 = Window.partitionBy(*keys).orderBy(CHUNK) if keys else Window.orderBy(CHUNK)
-    w2 = spec2.rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_chunk.select(*keys, CHUNK, F.min("_clo").over(w2).alias("_plo"),
-                               F.max("_chi").over(w2).alias("_phi"))
-    out = null_safe_join(local, carried, [*keys, CHUNK])
-    return (out.withColumn(lo, F.least("_llo", "_plo"))
-               .withColumn(hi, F.greatest("_lhi", "_phi"))
-               .drop("_llo", "_lhi", "_plo", "_phi", CHUNK))
+    so_far = Window.partitionBy(CELL).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    names = [PREFIX + n for n in ("llo", "lhi", "clo", "chi", "plo", "phi")]
+    llo, lhi, clo, chi, plo, phi = names
+    local = with_cells(df, list(keys), order, chunk).withColumns(
+        {llo: F.min(value).over(so_far), lhi: F.max(value).over(so_far)})
+    per_cell = local.groupBy(CELL).agg(F.min(value).alias(clo), F.max(value).alias(chi))
+    carried = per_cell.select(CELL, F.min(clo).over(before_chunk()).alias(plo), F.max(chi).over(before_chunk()).alias(phi))
+    out = local.join(carried, CELL, "left")
+    return out.withColumn(lo, F.least(llo, plo)).withColumn(hi, F.greatest(lhi, phi)).drop(CELL, llo, lhi, plo, phi)

@@ -4,13 +4,13 @@ Per series of length N: orthonormal DCT-II, keep the first ``floor(r * N)``
 coefficients, inverse DCT. Relational form:
 
 * positions come from the two-level scan (``series_positions``);
-* coefficient ``k`` is ``sqrt((k == 0 ? 1 : 2) / N) * sum_n x_n cos(pi (2n+1) k / 2N)``,
-  a grouped sum over (series, k) with map-side partial aggregation, so the
-  work of a long series is spread over all tasks holding its rows;
+* coefficient ``k`` is ``sqrt((k == 0 ? 1 : 2) / N) * sum_n x_n cos(pi (2n+1) k / 2N)``;
+  every cell (series, chunk), whose rows are few by the choice of the chunk,
+  adds up its own terms of all kept ``k`` in place, and only these partial sums
+  (one row per cell and ``k``, never per row and ``k``) are summed by ``k``;
 * only ``k < keep`` is ever generated (the dropped ones are never computed);
-* the kept coefficients (``keep`` doubles per series) are gathered into one
-  array per series and joined back, and each row evaluates its inverse sum
-  with a higher-order ``aggregate`` expression.
+* the kept coefficients of a series go back to its cells, not to its rows, and
+  each cell evaluates the inverse sums of its rows in place.
 """
 
 from __future__ import annotations
@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse.functions.scalars import col_of
-from gridpulse.operators.scan import series_positions
+from gridpulse.operators.scan import CELL, PREFIX, series_positions
 
-__all__ = ["smooth", "keep_count", "coefficient_count", "MAX_BROADCAST_COEFFICIENTS"]
+__all__ = ["smooth", "keep_count"]
+
+ROWS, SIZE, COEFS, SERIES = (PREFIX + n for n in ("rows", "size", "coefs", "series"))
 
 
 def keep_count(n, ratio: float):
@@ -35,64 +37,45 @@ def _basis(pos, k, n):
                  / (F.lit(2.0) * n))
 
 
-MAX_BROADCAST_COEFFICIENTS = 4_000_000  # 16 bytes each with k: about 64 MB
-
-
-def coefficient_count(df: DataFrame, keys, keep_ratio: float) -> int:
-    """Total number of kept coefficients over all series: a cheap aggregate over
-    the key columns (partial counts per series, then one row)."""
-    per_series = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = per_series.agg(F.sum(keep_count(F.col("_n"), keep_ratio)).alias("_keep")).first()
-    return int(total["_keep"] or 0)
+def _norm(k, n):
+    return F.sqrt(F.when(k == 0, F.lit(1.0)).otherwise(F.lit(2.0)) / n)
 
 
 def smooth(df: DataFrame, keys, order, value: str, keep_ratio: float = 0.02, chunk=None,
            fill: float = 0.0, raw_out: str = "raw", out: str = "smoothed",
            pos_out: str = "pos", len_out: str = "n_points",
-           materialize: bool = False, broadcast_coefficients="auto") -> DataFrame:
+           materialize: bool = False) -> DataFrame:
     """Low-pass each series. NULL values read as ``fill`` first. A series
     with ``floor(ratio * N) = 0`` kept coefficients smooths to all zeros.
 
-    The positioned series feed two passes (coefficients, then the inverse);
-    ``materialize=True`` checkpoints them once to the shared checkpoint
-    folder instead of recomputing them (worth it for very large inputs).
-
-    The kept coefficients (2 % of the rows in total) join back onto the rows
-    by series. With ``broadcast_coefficients="auto"`` their total count is
-    checked first (``coefficient_count``, a cheap aggregate); within
-    ``MAX_BROADCAST_COEFFICIENTS`` they are broadcast and the rows are not
-    shuffled again, beyond it the join shuffles by series (AQE splits a hot
-    series). ``True``/``False`` force either way."""
+    ``chunk`` (a Column that does not decrease along ``order``, by default
+    calendar months or key ranges) bounds the rows of a cell. The cells feed
+    two passes (coefficients, then the inverse); ``materialize=True``
+    checkpoints them once to the shared checkpoint folder instead of
+    recomputing them (worth it for very large inputs)."""
     keys = list(keys)
-    order = order if isinstance(order, (list, tuple)) else [order]
+    order = list(order) if isinstance(order, (list, tuple)) else [order]
     base = df.withColumn(raw_out, F.coalesce(F.col(value).cast("double"), F.lit(float(fill))))
-    positioned = series_positions(base, keys, order, chunk=chunk, pos=pos_out, length=len_out)
+    positioned = series_positions(base, keys, order, chunk, pos_out, len_out, keep_cell=True)
+    columns = [c for c in positioned.columns if c != CELL]
+    cells = positioned.groupBy(CELL).agg(F.collect_list(F.struct(*columns)).alias(ROWS),
+                                         F.max(len_out).cast("double").alias(SIZE))
     if materialize:
         from gridpulse.session import materialize as _materialize
-        positioned = _materialize(positioned)
-
-    keep = keep_count(F.col(len_out), keep_ratio)
-    terms = positioned.select(
-        *keys, F.col(pos_out), F.col(len_out), F.col(raw_out),
-        F.explode(F.when(keep > 0, F.sequence(F.lit(0), keep - 1))).alias("k"))
-    coef = (terms.groupBy(*keys, "k")
-                 .agg(F.sum(F.col(raw_out) * _basis(F.col(pos_out), F.col("k"), F.col(len_out)))
-                       .alias("_s"), F.max(len_out).alias("_n")))
-    coef = coef.select(*keys, F.struct(
-        F.col("k"),
-        (F.col("_s") * F.sqrt(F.when(F.col("k") == 0, F.lit(1.0)).otherwise(F.lit(2.0))
-                              / F.col("_n"))).alias("c")).alias("kc"))
-    arrays = coef.groupBy(*keys).agg(F.sort_array(F.collect_list("kc")).alias("_coefs"))
-
-    n = F.col(len_out).cast("double")
-    pos = F.col(pos_out).cast("double")
-    inverse = F.aggregate(
-        F.col("_coefs"), F.lit(0.0),
-        lambda acc, e: acc + e["c"] * F.sqrt(F.when(e["k"] == 0, F.lit(1.0)).otherwise(F.lit(2.0)) / n)
-        * _basis(pos, e["k"], n))
-    if broadcast_coefficients == "auto":
-        broadcast_coefficients = coefficient_count(df, keys, keep_ratio) <= MAX_BROADCAST_COEFFICIENTS
-    if broadcast_coefficients:
-        arrays = F.broadcast(arrays)
-    joined = positioned.join(arrays, on=keys, how="left")
-    return joined.withColumn(out, F.coalesce(inverse, F.lit(0.0))).drop("_coefs")
+        cells = _materialize(cells)
+
+    n, keep = F.col(SIZE), keep_count(F.col(SIZE), keep_ratio)
+    terms = F.transform(F.sequence(F.lit(0), keep - 1), lambda k: F.aggregate(
+        F.col(ROWS), F.lit(0.0), lambda acc, r: acc + r[raw_out] * _basis(r[pos_out].cast("double"), k, n)))
+    partial = cells.where(keep > 0).select(F.col(f"{CELL}.series").alias(SERIES), n, F.posexplode(terms).alias("k", "part"))
+    coefs = partial.groupBy(SERIES, "k").agg((F.sum("part") * _norm(F.col("k"), F.max(SIZE))).alias("c"))
+    coefs = coefs.groupBy(SERIES).agg(F.sort_array(F.collect_list(F.struct("k", "c"))).alias(COEFS))
+    to_cells = cells.select(CELL, F.col(f"{CELL}.series").alias(SERIES)).join(coefs, SERIES).select(CELL, COEFS)
+
+    def inverse(r):
+        return F.aggregate(F.col(COEFS), F.lit(0.0), lambda acc, e: acc + e["c"] * _norm(e["k"], n)
+                           * _basis(r[pos_out].cast("double"), e["k"], n))
+
+    done = F.transform(F.col(ROWS), lambda r: F.struct(*[r[c].alias(c) for c in columns],
+                                                       F.coalesce(inverse(r), F.lit(0.0)).alias(out)))
+    return cells.join(to_cells, CELL, "left").select(F.inline(done))

@@ -3,8 +3,9 @@
 Boxes are a handful of configured rows, so the fast path compiles them into
 one expression (an OR for "inside any box", an ordered CASE for "first box
 wins"): a single pass over the points with no join and no shuffle. A
-DataFrame of boxes is supported through a broadcast non-equi join whose
-build side is size-checked first.
+DataFrame of boxes of any size is joined through a grid: boxes are listed for
+each grid cell that they touch, points meet the boxes of their own cell by
+equality, and the exact bounds decide.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse.functions.scalars import col_of
-from gridpulse.operators.joins import broadcast_checked
 from gridpulse.sources.dims import CLOSED_BOUNDS, OPEN_BOUNDS, Box, boxes
 
 __all__ = ["inside", "valid_points", "classify_points", "points_in_boxes", "any_box_exists"]
@@ -64,19 +64,45 @@ def _box_cond(p_lon: Column, p_lat: Column, closed: bool) -> Column:
             & (F.col("lat_hi").isNull() | le(p_lat, F.col("lat_hi"))))
 
 
+GRID = 10.0  # degrees a grid cell
+GRID_LON, GRID_LAT = (-18, 18), (-9, 9)
+
+
+def _grid(c: Column, limits: tuple[int, int]) -> Column:
+    """Grid row or column of a coordinate; outside the globe the outermost one."""
+    return F.greatest(F.lit(limits[0]), F.least(F.lit(limits[1]), F.floor(c / F.lit(GRID)).cast("int")))
+
+
+def _gridded(bounds: DataFrame) -> DataFrame:
+    """One row for each box and grid cell that it touches (at most the globe's
+    37 x 19); a missing side reaches to the end."""
+    for side, limits in (("lon", GRID_LON), ("lat", GRID_LAT)):
+        lo = F.coalesce(_grid(F.col(f"{side}_lo"), limits), F.lit(limits[0]))
+        hi = F.coalesce(_grid(F.col(f"{side}_hi"), limits), F.lit(limits[1]))
+        lo = F.when(F.col(f"{side}_lo").isNull(), F.lit(limits[0])).otherwise(lo)
+        hi = F.when(F.col(f"{side}_hi").isNull(), F.lit(limits[1])).otherwise(hi)
+        bounds = bounds.withColumn(f"__gp_{side}", F.explode(F.when(lo <= hi, F.sequence(lo, hi))))
+    return bounds
+
+
 def points_in_boxes(points: DataFrame, bounds: DataFrame, lon: str = "lon", lat: str = "lat",
                     closed: bool = True) -> DataFrame:
-    """Every (point, box) match as a broadcast non-equi join (range join).
-
-    ``bounds`` has ``location, lon_lo, lon_hi, lat_lo, lat_hi[, priority]``;
-    its size is checked before it is broadcast. Each point yields at most
-    one row per box."""
-    b = broadcast_checked(bounds)
-    return points.join(b, _box_cond(points[lon], points[lat], closed), "inner")
+    """Every (point, box) match as an equality join on grid cells, refined by
+    the exact bounds. ``bounds`` has ``location, lon_lo, lon_hi, lat_lo,
+    lat_hi[, priority]``. Each point yields at most one row per box."""
+    b = _gridded(bounds)
+    p = points.withColumn("__gp_plon", _grid(F.col(lon), GRID_LON)).withColumn("__gp_plat", _grid(F.col(lat), GRID_LAT)) \
+        .where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
+    same = (p["__gp_plon"] == b["__gp_lon"]) & (p["__gp_plat"] == b["__gp_lat"])
+    return p.join(b, same & _box_cond(p[lon], p[lat], closed), "inner").drop("__gp_plon", "__gp_plat", "__gp_lon", "__gp_lat")
 
 
 def any_box_exists(points: DataFrame, bounds: DataFrame, lon: str = "lon", lat: str = "lat",
                    closed: bool = True, out: str = "is_valid") -> DataFrame:
-    """``EXISTS`` a containing box, as an existence join (one row per point)."""
-    cond = _box_cond(F.col(lon).outer(), F.col(lat).outer(), closed)
-    return points.select("*", bounds.where(cond).exists().alias(out))
+    """``EXISTS`` a containing box, as an existence join on grid cells (one row
+    per point)."""
+    p = points.withColumn("__gp_plon", _grid(F.col(lon), GRID_LON)).withColumn("__gp_plat", _grid(F.col(lat), GRID_LAT))
+    cond = ((F.col("__gp_lon") == F.col("__gp_plon").outer()) & (F.col("__gp_lat") == F.col("__gp_plat").outer())
+            & _box_cond(F.col(lon).outer(), F.col(lat).outer(), closed))
+    known = F.col(lon).isNotNull() & F.col(lat).isNotNull()
+    return p.select(*points.columns, (known & _gridded(bounds).where(cond).exists()).alias(out))

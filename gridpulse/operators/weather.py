@@ -11,7 +11,7 @@ from gridpulse.functions.jsonx import json_number, replace_exact
 from gridpulse.functions.scalars import col_of, fill_template, fmt2, on_day, short_date
 from gridpulse.operators.joins import semi_join_values
 from gridpulse.operators.scale import group_rescale, zscore_size
-from gridpulse.sources.dims import (MUNICIPALITY_ALIASES, WEATHER_LABEL, WEATHER_PALETTES,
+from gridpulse.sources.dims import (MUNICIPALITY_ALIASES, WEATHER_LABEL, PALETTE_SIZES, WEATHER_PALETTES,
                                     WEATHER_Z_FACTOR)
 
 __all__ = ["station_property", "property_day_zscore"]
@@ -24,7 +24,8 @@ def station_property(weather: DataFrame, ts: str, station, json_col: str, prop:
     """One typed row per observation: canonical station name, time, property value.
 
     ``station`` is a column name or Column (e.g. a JSON field); names are
-    canonicalised with whole-value ``aliases``. The JSON is parsed once here."""
+    canonicalised with whole-value ``aliases``. A consumer that reads the result
+    twice parses the JSON twice unless the result is materialised."""
     return weather.select(
         *keep,
         replace_exact(col_of(station), aliases).alias(station_out),
@@ -36,7 +37,7 @@ def property_day_zscore(obs: DataFrame, ts: str, station: str = "municipality",
                         value: str = "value", enabled=None,
                         enabled_col: str = "municipality", day=None,
                         factor: float = WEATHER_Z_FACTOR, out_lo: float = 0.3, out_hi: float = 1.0,
-                        n_colors: int = 9, prop: str | None = None,
+                        n_colors: int | None = None, prop: str | None = None,
                         materialize: bool = False) -> DataFrame:
     """Z-score sizes per (station, day), then a colour scale per day.
 
@@ -57,12 +58,13 @@ def property_day_zscore(obs: DataFrame, ts: str, station: str = "municipality",
     if materialize:
         from gridpulse.session import materialize as _materialize
         obs = _materialize(obs)
-    sized = zscore_size(obs, [station, "day"], value, factor=factor, out="z_size")
+    sized = zscore_size(obs, [station, "day"], value, factor=factor, out="z_size",
+                        bounded_keys=isinstance(enabled, (list, tuple)))  # days of a fixed list of stations
     # a sum over no values is 0, as the dashboard shows it
     sized = sized.withColumn("day_sum", F.coalesce(F.col("day_sum"), F.lit(0.0)))
     # one bounds row per calendar day: broadcast, the rows stay where they are
     out = group_rescale(sized, ["day"], "z_size", out="scale", out_lo=out_lo, out_hi=out_hi,
-                        n_colors=n_colors, index_out="color_index", clip_index=True,
+                        n_colors=n_colors or PALETTE_SIZES.get(WEATHER_PALETTES.get(prop), 9), index_out="color_index", clip_index=True,
                         bounded_keys=True)
     if prop is None:
         return out

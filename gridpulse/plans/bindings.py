@@ -138,20 +138,20 @@ def consumption_map(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- Q4, Q5, Q10-Q12: exchange -----------------------------------------------
 
-def _prodcon(spark, sf):
-    return S.hourly_prodcon(_ev(spark, sf))
+def _prodcon(spark, sf, day=None, to=None):
+    return S.hourly_prodcon(_ev(spark, sf), day, to)
 
 
 def zone_exchange(spark: SparkSession, sf: str) -> DataFrame:
     """Q4: FLT3, FLT8, JN5, AGG5, STR3 (zone x country day import/export)."""
-    z = zone_country_exchange(_prodcon(spark, sf), _countries(spark), S.DAY)
+    z = zone_country_exchange(_prodcon(spark, sf, day=S.DAY), _countries(spark), S.DAY)
     return z.select("price_area", "country", r4("import_mwh").alias("import_mwh"),
                     r4("export_mwh").alias("export_mwh"), "text")
 
 
 def neighbour_util(spark: SparkSession, sf: str) -> DataFrame:
     """Q5: AGG6-AGG8, AGG14, CND2, MTH2 (cumulative trade, use, level, size, label)."""
-    n = neighbour_utilisation(_prodcon(spark, sf), _countries(spark), S.SLIDER_DAY, S.YEAR_END,
+    n = neighbour_utilisation(_prodcon(spark, sf, to=S.YEAR_END), _countries(spark), S.SLIDER_DAY, S.YEAR_END,
                               coords=trade_roles_frame(spark))
     num = ["day_import", "day_export", "day_net", "cum_import", "cum_export", "year_import",
            "year_export", "current_use", "yearly_max", "size"]
@@ -160,7 +160,7 @@ def neighbour_util(spark: SparkSession, sf: str) -> DataFrame:
 
 def neighbour_trade_literal_q(spark: SparkSession, sf: str) -> DataFrame:
     """Q5 with the role columns taken literally (swapped roles)."""
-    n = neighbour_trade_literal(_prodcon(spark, sf), trade_roles_frame(spark), S.SLIDER_DAY, S.YEAR_END)
+    n = neighbour_trade_literal(_prodcon(spark, sf, to=S.YEAR_END), trade_roles_frame(spark), S.SLIDER_DAY, S.YEAR_END)
     num = ["day_export", "cum_export", "year_export", "day_import", "cum_import", "year_import",
            "current_use", "yearly_max", "size"]
     return n.select("country", "lat", "lon", *[r4(c).alias(c) for c in num], "level")
@@ -168,9 +168,9 @@ def neighbour_trade_literal_q(spark: SparkSession, sf: str) -> DataFrame:
 
 def zone_dots(spark: SparkSession, sf: str) -> DataFrame:
     """SET1, STR4: zone markers (joined per-country texts) and neighbour markers in one list."""
-    pc, countries, roles = _prodcon(spark, sf), _countries(spark), trade_roles_frame(spark)
-    zones = zone_summaries(zone_country_exchange(pc, countries, S.DAY), roles, S.DAY)
-    neigh = neighbour_utilisation(pc, countries, S.SLIDER_DAY, S.YEAR_END, coords=roles)
+    countries, roles = _countries(spark), trade_roles_frame(spark)
+    zones = zone_summaries(zone_country_exchange(_prodcon(spark, sf, day=S.DAY), countries, S.DAY), roles, S.DAY)
+    neigh = neighbour_utilisation(_prodcon(spark, sf, to=S.YEAR_END), countries, S.SLIDER_DAY, S.YEAR_END, coords=roles)
     neigh = neigh.join(F.broadcast(roles.select(F.col("name").alias("country"),
                                                 F.col("lat").alias("r_lat"),
                                                 F.col("lon").alias("r_lon"))), "country")
@@ -188,21 +188,21 @@ def cumulative_by_day(spark: SparkSession, sf: str) -> DataFrame:
 
 def zone_share_q(spark: SparkSession, sf: str) -> DataFrame:
     """Q10: AGG15 (import vs export share per zone and country)."""
-    z = zone_share(_prodcon(spark, sf), _countries(spark), S.DAY)
+    z = zone_share(_prodcon(spark, sf, day=S.DAY), _countries(spark), S.DAY)
     return z.select("price_area", "country", "direction", "label", r4("mwh").alias("mwh"),
                     r4("share").alias("share"))
 
 
 def country_share_q(spark: SparkSession, sf: str) -> DataFrame:
     """Q11: AGG9, AGG15 (cumulative share per country)."""
-    c = country_share(_prodcon(spark, sf), _countries(spark), S.SLIDER_DAY)
+    c = country_share(_prodcon(spark, sf, to=S.SLIDER_DAY), _countries(spark), S.SLIDER_DAY)
     return c.select("country", "direction", "label", r4("mwh").alias("mwh"),
                     r4("share").alias("share"))
 
 
 def net_locations_q(spark: SparkSession, sf: str) -> DataFrame:
     """Q12: AGG4, JN3, FLT9, SRC8 (countries with non-zero net exchange)."""
-    n = net_locations(_prodcon(spark, sf), _countries(spark), S.DAY)
+    n = net_locations(_prodcon(spark, sf, day=S.DAY), _countries(spark), S.DAY)
     return n.select("name", "lat", "lon", r4("value").alias("value"))
 
 
@@ -224,10 +224,8 @@ def json_property_zscore(spark: SparkSession, sf: str) -> DataFrame:
 def smooth_series(spark: SparkSession, sf: str) -> DataFrame:
     """Q7-Q9: SIG1-SIG4, WIN5, ORD1, FLT11, DT6 (hourly series, smoothed)."""
     series = S.hourly_by_type(_ev(spark, sf))
-    # five fixed series (the event types): their coefficients are bounded by
-    # the time span, not by the data volume, so they are broadcast directly
     out = Q.hourly_series(series, ["event_type"], "hour_utc", "value", selected=S.SELECTED_HOUR,
-                          chunk=floor_ntz("hour_utc", "day"), broadcast_coefficients=True)
+                          chunk=floor_ntz("hour_utc", "day"))
     return out.select("event_type", "hour_utc", "iso", r4("raw").alias("raw"),
                       r4("smoothed").alias("smoothed"), "is_selected")
 
@@ -235,11 +233,11 @@ def smooth_series(spark: SparkSession, sf: str) -> DataFrame:
 def production_series(spark: SparkSession, sf: str) -> DataFrame:
     """Q7: JN4, FLT5, IMP5, FLT11, SIG4 (series picked by name, NULL as 0, smoothed).
 
-    The names are those of all BUILDING customers, resolved to codes through
-    the dimension."""
+    The names are those of all customers, resolved to codes through the
+    dimension."""
     prod = S.hourly_production(_ev(spark, sf))
     cust = S.table(spark, sf, "customer")
-    names = cust.filter(F.col("c_mktsegment") == "BUILDING").select(F.col("c_name").alias("name"))
+    names = cust.select(F.col("c_name").alias("name"))
     out = Q.hourly_series(prod, ["municipality_number"], "hour_utc", "click",
                           selected=S.SELECTED_HOUR, chunk=floor_ntz("hour_utc", "day"),
                           names=names, name_col="name", dim=cust, dim_name="c_name",
@@ -257,10 +255,8 @@ def weather_series(spark: SparkSession, sf: str) -> DataFrame:
                            aliases=S.STATION_ALIASES)
     hourly = obs.groupBy("municipality", floor_ntz("ts", "hour").alias("hour_utc")) \
                 .agg(F.avg("value").alias("value"))
-    # one series per station (the fixed event types): coefficients bounded by
-    # the time span, broadcast directly
     out = Q.hourly_series(hourly, ["municipality"], "hour_utc", "value",
-                          chunk=floor_ntz("hour_utc", "day"), broadcast_coefficients=True)
+                          chunk=floor_ntz("hour_utc", "day"))
     return out.select("municipality", "hour_utc", r4("raw").alias("raw"),
                       r4("smoothed").alias("smoothed"))
 
@@ -279,7 +275,7 @@ def region_valid_join(spark: SparkSession, sf: str) -> DataFrame:
 
     One output row per point, no shuffle."""
     pts = S.event_points(_ev(spark, sf))
-    out = any_box_exists(pts, bounds_frame(spark, CLOSED_BOUNDS))
+    out = any_box_exists(pts, F.broadcast(bounds_frame(spark, CLOSED_BOUNDS)))  # six fixed boxes
     return out.select("point_id", "is_valid")
 
 

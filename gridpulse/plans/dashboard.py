@@ -22,12 +22,11 @@ from gridpulse.operators.clean import parse_time_window
 from gridpulse.operators.impute import fill_gaps
 from gridpulse.operators.joins import left_join_keep_first, reverse_lookup
 from gridpulse.operators.scale import running_rescale
-from gridpulse.operators.scan import range_chunks
 from gridpulse.operators.series import smooth
 from gridpulse.operators.spatial import classify_points, valid_points
 from gridpulse.sources.dims import (BASE_DAY, CLOSED_BOUNDS, CONSUMPTION_LABEL,
                                     CONSUMPTION_PALETTES, CONSUMPTION_SIZE_FACTOR, DISTANCE_LABEL,
-                                    MUNICIPALITY_ALIASES, MUNICIPALITY_LABEL_LINES, OPEN_BOUNDS,
+                                    MUNICIPALITY_ALIASES, MUNICIPALITY_LABEL_LINES, OPEN_BOUNDS, PALETTE_SIZES,
                                     PRODUCTION_LABEL,
                                     PRODUCTION_PALETTE_DEFAULT, PRODUCTION_PALETTES,
                                     PRODUCTION_SIZE_FACTOR, SMOOTH_KEEP_RATIO)
@@ -35,25 +34,12 @@ from gridpulse.sources.dims import (BASE_DAY, CLOSED_BOUNDS, CONSUMPTION_LABEL,
 __all__ = [
     "MUNICIPALITY_LABEL", "municipality_profile", "production_map", "consumption_map",
     "hourly_series", "selected_hour", "region_points", "clean_weather", "clean_hourly",
-    "calendar_marks", "chunk_by_width",
+    "calendar_marks",
 ]
 
 MUNICIPALITY_LABEL = MUNICIPALITY_LABEL_LINES
 
 
-def chunk_by_width(col: str, width, dim: DataFrame | None = None):
-    """Key chunks for the two-level running scans: ``"auto"`` for about 1024
-    key ranges sized from ``dim``'s key range, an int for a fixed width, None
-    for one chunk."""
-    if not width:
-        return None
-    if width == "auto":
-        numeric = dict(dim.dtypes).get(col, "").split("(")[0] in (
-            "tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
-        return range_chunks(dim, col) if numeric else None  # text keys: one ordered chunk
-    return F.floor(F.col(col) / F.lit(int(width)))
-
-
 def municipality_profile(municipalities: DataFrame, weather: DataFrame,
                          key: str = "municipality", weather_key: str = "municipality",
                          distance: str = "distance_to_station_km", order=("timestamp",),
@@ -78,18 +64,18 @@ def municipality_profile(municipalities: DataFrame, weather: DataFrame,
 def production_map(production: DataFrame, dim: DataFrame, day, measure: str,
                    code: str = "municipality_number", ts: str = "hour_utc",
                    dim_key: str = "lau_1_code_1", dim_label: str | None = "hover_text",
-                   n_colors: int = 9, chunk_width="auto",
+                   n_colors: int | None = None,
                    size_factor: float = PRODUCTION_SIZE_FACTOR) -> DataFrame:
     """Q2: every dimension row with its day total of ``measure`` (0 if none),
     marker size, running colour scale in key order and label."""
+    palette = PRODUCTION_PALETTES.get(measure, PRODUCTION_PALETTE_DEFAULT)
     totals = day_totals(production, [code], ts, measure, day, out="total_mwh")
     keep = [dim_key] + ([dim_label] if dim_label else [])
     m = zero_filled(dim.select(*keep), dim_key, totals, code, ["total_mwh"])
     m = (m.withColumn("total_kwh", F.col("total_mwh") * F.lit(1000))
           .withColumn("size", marker_size("total_mwh", size_factor)))
     m = running_rescale(m, dim_key, "size", out="scale", out_lo=0.0, out_hi=1.0,
-                        chunk=chunk_by_width(dim_key, chunk_width, dim), n_colors=n_colors)
-    palette = PRODUCTION_PALETTES.get(measure, PRODUCTION_PALETTE_DEFAULT)
+                        n_colors=n_colors or PALETTE_SIZES[palette])
     head = F.col(dim_label) if dim_label else F.lit("")
     text = fill_template(PRODUCTION_LABEL, label=head, code=F.col(dim_key), measure=measure,
                          kwh=fmt2("total_kwh"), day=str(day)[:10])
@@ -101,17 +87,17 @@ def consumption_map(consumption: DataFrame, dim: DataFrame, day, group: str | No
                     code: str = "municipality_number", ts: str = "hour_utc",
                     group_col: str = "industry_groups", value: str = "consumption_kwh",
                     dim_key: str = "lau_1_code_1", dim_label: str | None = "hover_text",
-                    n_colors: int = 9, chunk_width="auto",
+                    n_colors: int | None = None,
                     default_palette: str = "Oranges") -> DataFrame:
     """Q3: as Q2 for consumption, optionally one industry group; scale [0.3, 1]."""
+    palette = CONSUMPTION_PALETTES.get(group, default_palette)
     rows = consumption if group is None else consumption.filter(F.col(group_col) == F.lit(group))
     totals = day_totals(rows, [code], ts, value, day, out="total_kwh")
     keep = [dim_key] + ([dim_label] if dim_label else [])
     m = zero_filled(dim.select(*keep), dim_key, totals, code, ["total_kwh"])
     m = m.withColumn("size", marker_size("total_kwh", CONSUMPTION_SIZE_FACTOR))
     m = running_rescale(m, dim_key, "size", out="scale", out_lo=0.3, out_hi=1.0,
-                        chunk=chunk_by_width(dim_key, chunk_width, dim), n_colors=n_colors)
-    palette = CONSUMPTION_PALETTES.get(group, default_palette)
+                        n_colors=n_colors or PALETTE_SIZES[palette])
     head = F.col(dim_label) if dim_label else F.lit("")
     text = fill_template(CONSUMPTION_LABEL, label=head, code=F.col(dim_key), group=str(group),
                          kwh=fmt2("total_kwh"), day=str(day)[:10])
@@ -129,21 +115,20 @@ def hourly_series(df: DataFrame, keys, ts: str, value: str, selected=None,
                   keep_ratio: float = SMOOTH_KEEP_RATIO, chunk=None,
                   names: DataFrame | None = None, name_col: str | None = None,
                   dim: DataFrame | None = None, dim_name: str | None = None,
-                  dim_code: str | None = None, order_extra=(),
-                  broadcast_coefficients="auto") -> DataFrame:
+                  dim_code: str | None = None, order_extra=(), names_key: str | None = None) -> DataFrame:
     """Q7-Q9: raw and smoothed yearly series for every series key at once,
     with the ISO hour and an ``is_selected`` flag for the selected hour.
 
     Optionally restrict to series named in ``names`` resolved to codes through
-    ``dim`` (reverse lookup; unknown names simply select nothing).
+    ``dim`` (reverse lookup; unknown names simply select nothing); the codes are
+    those of ``names_key``, by default the first key.
     ``order_extra`` breaks ties of ``ts`` within a series (e.g. an id)."""
     keys = list(keys)
     if names is not None:
         codes = reverse_lookup(names, name_col, dim, dim_name, dim_code, out="_code") \
             .filter(F.col("_code").isNotNull()).select("_code").distinct()
-        df = df.join(codes, df[keys[0]] == codes["_code"], "left_semi")
-    out = smooth(df, keys, [ts, *order_extra], value, keep_ratio=keep_ratio, chunk=chunk,
-                 broadcast_coefficients=broadcast_coefficients)
+        df = df.join(codes, df[names_key or keys[0]] == codes["_code"], "left_semi")
+    out = smooth(df, keys, [ts, *order_extra], value, keep_ratio=keep_ratio, chunk=chunk)
     flag = F.lit(False) if selected is None else \
         F.coalesce(F.col(ts) == ts_literal(selected), F.lit(False))
     return out.select(*keys, *order_extra, F.col(ts), iso_hour(ts).alias("iso"), "raw", "smoothed",

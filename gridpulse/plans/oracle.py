@@ -413,8 +413,7 @@ rec AS (SELECT p.*, coalesce((SELECT sum(c.c * {weight('c.k', 'p.n')} * {basis('
 
 PRODUCTION_SERIES = f"""
 WITH {PROD},
-codes AS (SELECT DISTINCT c.c_custkey FROM customer b JOIN customer c ON c.c_name = b.c_name
-          WHERE b.c_mktsegment = 'BUILDING'),
+codes AS (SELECT DISTINCT c.c_custkey FROM customer b JOIN customer c ON c.c_name = b.c_name),
 src AS (SELECT municipality_number, hour_utc, coalesce(CAST(click AS DOUBLE), CAST(0.0 AS DOUBLE)) AS raw
         FROM prod WHERE municipality_number IN (SELECT c_custkey FROM codes)),
 {_smooth_sql('src', 'municipality_number', 'hour_utc')}

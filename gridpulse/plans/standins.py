@@ -25,7 +25,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.functions.scalars import floor_ntz, on_day, wall_clock_text
+from gridpulse.functions.scalars import floor_ntz, on_day, up_to_day, wall_clock_text
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 EXCHANGE_BY_TYPE = {"click": "exchangegb_mwh", "purchase": "exchangege_mwh",
@@ -41,13 +41,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def k_of(props: str = "props"):
-    """The number ``k`` of a ``{"k": n}`` document. The documents of the test
-    tables have exactly that form, so the number is sliced out of the text
-    (cheap); anything else goes through the JSON parser."""
-    p = F.col(props)
-    sliced = F.when(p.startswith('{"k": ') & p.endswith("}"),
-                    F.expr(f"substring({props}, 7, length({props}) - 7)").try_cast("int"))
-    return F.coalesce(sliced, F.get_json_object(p, "$.k").try_cast("int"))
+    """The number ``k`` of the JSON document."""
+    return F.get_json_object(F.col(props), "$.k").try_cast("int")
 
 
 def _window(ev: DataFrame, day) -> DataFrame:
@@ -82,9 +77,13 @@ def price_area():
     return F.when(F.col("user_id") % 2 == 0, F.lit("DK1")).otherwise(F.lit("DK2"))
 
 
-def hourly_prodcon(ev: DataFrame) -> DataFrame:
-    """(hour_utc, price_area, four signed exchange columns)."""
+def hourly_prodcon(ev: DataFrame, day=None, to=None) -> DataFrame:
+    """(hour_utc, price_area, four signed exchange columns), of one day or of
+    all days to ``to`` if given."""
     types = list(EXCHANGE_BY_TYPE)
+    ev = _window(ev, day)
+    if to is not None:
+        ev = ev.filter(up_to_day("ts", to))
     return (ev.filter(F.col("event_type").isin(types))
               .groupBy(floor_ntz("ts", "hour").alias("hour_utc"), price_area().alias("price_area"))
               .agg(*_wide_sums(F.col("value").cast(MONEY) - F.lit(40), EXCHANGE_BY_TYPE)))

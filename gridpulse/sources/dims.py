@@ -91,6 +91,12 @@ WEATHER_PALETTES = {
     "tsun": "solar", "wpgt": "speed", "dwpt": "deep",
 }
 
+# Steps of each palette (fixed values).
+PALETTE_SIZES = {
+    "Reds": 9, "YlOrBr": 9, "Teal": 7, "Blues": 9, "Oranges": 9, "Agsunset": 7, "thermal": 12, "Darkmint": 7,
+    "PuBuGn": 9, "PuBu": 9, "Greys": 9, "Turbo": 15, "ice": 12, "solar": 12, "speed": 12, "deep": 12,
+}
+
 PRODUCTION_SIZE_FACTOR = 7.0
 CONSUMPTION_SIZE_FACTOR = 4.0
 WEATHER_Z_FACTOR = 15.0

@@ -88,7 +88,7 @@ def _measures(df: DataFrame, cols) -> list:
 def typed_production(df: DataFrame, measures=PRODUCTION_COLUMNS) -> DataFrame:
     """Production with typed time, INT code and NaN-free DOUBLE measures."""
     return df.select(
-        lenient_timestamp("hour_utc").alias("hour_utc"),
+        lenient_timestamp("hour_utc", dict(df.dtypes)["hour_utc"]).alias("hour_utc"),
         F.col("municipality_number").try_cast("int").alias("municipality_number"),
         *_measures(df, measures))
 
@@ -96,7 +96,7 @@ def typed_production(df: DataFrame, measures=PRODUCTION_COLUMNS) -> DataFrame:
 def typed_consumption(df: DataFrame) -> DataFrame:
     """Consumption with typed time, INT code, group and DOUBLE kWh."""
     return df.select(
-        lenient_timestamp("hour_utc").alias("hour_utc"),
+        lenient_timestamp("hour_utc", dict(df.dtypes)["hour_utc"]).alias("hour_utc"),
         F.col("municipality_number").try_cast("int").alias("municipality_number"),
         F.col("industry_groups").cast("string").alias("industry_groups"),
         *_measures(df, ["consumption_kwh"]))
@@ -105,7 +105,7 @@ def typed_consumption(df: DataFrame) -> DataFrame:
 def typed_prodcon(df: DataFrame, measures=EXCHANGE_COLUMNS) -> DataFrame:
     """Exchange table with typed time, price area and DOUBLE exchange columns."""
     return df.select(
-        lenient_timestamp("hour_utc").alias("hour_utc"),
+        lenient_timestamp("hour_utc", dict(df.dtypes)["hour_utc"]).alias("hour_utc"),
         F.col("price_area").cast("string").alias("price_area"),
         *_measures(df, measures))
 

@@ -79,11 +79,20 @@ def test_materialized_positions_same_result(spark):
     assert np.allclose(a["smoothed"], b["smoothed"], atol=1e-12)
 
 
-def test_coefficient_join_either_way(spark):
-    from gridpulse.operators.series import coefficient_count
+def test_key_named_like_an_internal_column(spark):
     rng = np.random.default_rng(9)
     df = _frame(spark, {"a": rng.normal(size=120), "b": rng.normal(size=80)})
-    assert coefficient_count(df, ["s"], 0.05) == 6 + 4
-    a = smooth(df, ["s"], ["ts"], "v", keep_ratio=0.05, broadcast_coefficients=True).orderBy("s", "ts").toPandas()
-    b = smooth(df, ["s"], ["ts"], "v", keep_ratio=0.05, broadcast_coefficients=False).orderBy("s", "ts").toPandas()
-    assert np.allclose(a["smoothed"], b["smoothed"], atol=1e-12)
+    want = smooth(df, ["s"], ["ts"], "v", keep_ratio=0.05).orderBy("s", "ts").toPandas()
+    for name in ("k", "c", "part", "raw_"):
+        got = smooth(df.withColumnRenamed("s", name), [name], ["ts"], "v", keep_ratio=0.05).orderBy(name, "ts").toPandas()
+        assert np.allclose(want["smoothed"], got["smoothed"], atol=1e-12)
+
+
+def test_chunks_do_not_change_the_result(spark):
+    from gridpulse.functions.scalars import floor_ntz
+
+    rng = np.random.default_rng(10)
+    df = _frame(spark, {"a": rng.normal(size=150), None: rng.normal(size=90)})
+    a = smooth(df, ["s"], ["ts"], "v", keep_ratio=0.05).orderBy("s", "ts").toPandas()
+    b = smooth(df, ["s"], ["ts"], "v", keep_ratio=0.05, chunk=floor_ntz("ts", "day")).orderBy("s", "ts").toPandas()
+    assert len(a) == 240 and np.allclose(a["smoothed"], b["smoothed"], atol=1e-12)

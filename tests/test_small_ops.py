@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from gridpulse.functions import json_struct
 from gridpulse.operators.aggregate import day_totals, multi_sum
 from gridpulse.operators.clean import (distinct_values, drop_incomplete, fill_constant, to_kwh)
-from gridpulse.operators.impute import bfill, ffill
 from gridpulse.sources.readers import normalise_columns, snake_columns, write_table
 from conftest import rows
 
@@ -38,13 +37,6 @@ def test_multi_sum_and_per_day_totals(spark):
     assert [(r["day"], r["total"]) for r in got] == [(dt.date(2022, 1, 1), 3.0), (dt.date(2022, 1, 2), 3.0)]
 
 
-def test_standalone_fills(spark):
-    df = spark.createDataFrame([(0, i, v) for i, v in enumerate([None, 1.0, None, 3.0, None])],
-                               "s int, t int, v double")
-    assert [r["v"] for r in rows(ffill(df, ["s"], ["t"], "v"), "t")] == [None, 1.0, 1.0, 3.0, 3.0]
-    assert [r["v"] for r in rows(bfill(df, ["s"], ["t"], "v"), "t")] == [1.0, 1.0, 3.0, 3.0, None]
-
-
 def test_typed_json_and_sink(spark):
     df = spark.createDataFrame([('{"temp": 1.5, "coco": 3}',), ("bad",)], "s string")
     got = rows(df.select(json_struct("s", "temp double, coco int").alias("j")).select("j.*"))
@@ -54,13 +46,3 @@ def test_typed_json_and_sink(spark):
     write_table(data, out, partition_by=["month"])
     assert {"month=2022-01", "month=2022-02"} <= set(os.listdir(out))
     assert spark.read.parquet(out).count() == 2
-
-
-def test_broadcast_checked_both_ways(spark):
-    from gridpulse.operators.joins import broadcast_checked
-    small = spark.createDataFrame([(i,) for i in range(5)], "k int")
-    hinted = broadcast_checked(small, max_rows=10)
-    unhinted = broadcast_checked(small, max_rows=3)
-    plan = lambda d: d._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan(hinted).lower()
-    assert "broadcast" not in plan(unhinted).lower()
