@@ -24,7 +24,8 @@ from gridpulse.operators.weather import property_day_zscore, station_property
 from gridpulse.plans import dashboard as Q
 from gridpulse.plans import standins as S
 from gridpulse.operators.spatial import any_box_exists
-from gridpulse.sources.dims import CLOSED_BOUNDS, bounds_frame, trade_roles_frame
+from gridpulse.sources.dims import CLOSED_BOUNDS, PRODUCTION_COLUMNS, bounds_frame, trade_roles_frame
+from gridpulse.sources.readers import typed_production
 
 __all__ = ["QUERIES"]
 
@@ -246,6 +247,34 @@ def production_series(spark: SparkSession, sf: str) -> DataFrame:
                       r4("smoothed").alias("smoothed"), "is_selected")
 
 
+def consumption_series(spark: SparkSession, sf: str) -> DataFrame:
+    """Q9: one municipality (by name, through the dimension) and each of its
+    industry groups, raw and smoothed."""
+    series = S.hourly_area_consumption(_ev(spark, sf))
+    dim = spark.createDataFrame(S.AREAS, "code int, area string")
+    names = spark.createDataFrame([("DK1",), ("nowhere",)], "name string")
+    out = Q.hourly_series(series, ["industry_groups", "municipality_number"], "hour_utc", "consumption_kwh",
+                          selected=S.SELECTED_HOUR, chunk=floor_ntz("hour_utc", "day"), names=names, name_col="name",
+                          dim=dim, dim_name="area", dim_code="code", names_key="municipality_number")
+    return out.select("municipality_number", "industry_groups", "hour_utc", r4("raw").alias("raw"),
+                      r4("smoothed").alias("smoothed"), "is_selected")
+
+
+def typed_load(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC1, DT2, IMP5: text times to the UTC wall clock, text codes, NaN as NULL."""
+    out = typed_production(S.raw_hours(_ev(spark, sf)), keep=["event_id"])
+    return out.select("event_id", "hour_utc", "municipality_number",
+                      *[r4(c).alias(c) for c in PRODUCTION_COLUMNS])
+
+
+def production_map_wind(spark: SparkSession, sf: str) -> DataFrame:
+    """Q2, CND3, ARR1: a measure whose palette has seven steps."""
+    prod = S.hourly_production(_ev(spark, sf), day=S.DAY).withColumnRenamed("view", "onshore_wind_power_mwh")
+    out = Q.production_map(prod, S.table(spark, sf, "customer"), S.DAY, "onshore_wind_power_mwh", dim_key="c_custkey",
+                           dim_label="c_name")
+    return out.select("code", r4("total_mwh").alias("total_mwh"), r4("scale").alias("scale"), "color_index", "palette")
+
+
 def weather_series(spark: SparkSession, sf: str) -> DataFrame:
     """Q8: JSN2, IMP7, SIG4 (a JSON property per station, 0 for a missing key, smoothed).
 
@@ -337,6 +366,9 @@ QUERIES = {
     "json_property_zscore": json_property_zscore,
     "smooth_series": smooth_series,
     "production_series": production_series,
+    "consumption_series": consumption_series,
+    "typed_load": typed_load,
+    "production_map_wind": production_map_wind,
     "weather_series": weather_series,
     "region_points": region_points,
     "region_valid_join": region_valid_join,

@@ -206,6 +206,10 @@ CONSUMPTION_MAP = _map_sql(CONS, "cons", "consumption_kwh",
                            "<br>Industry Group: purchase<br>Power Consumption: ",
                            f"{_r('total')} AS total_kwh", "total")
 
+PRODUCTION_MAP_WIND = f"""SELECT code, total_mwh, scale, CAST(trunc(scale_raw * CAST(6.0 AS DOUBLE)) AS INTEGER) AS color_index, 'Teal' AS palette FROM (
+{_map_sql(PROD, "prod", "view", ON_DAY, 7.0, 0.0, "Teal", "", f"{_r('total')} AS total_mwh, sc AS scale_raw", "total")})
+"""
+
 ZONE_ROWS = f"""
 zs AS (SELECT price_area, exchange_column, {_split('mwh', 'imp', 'exp')} FROM pcl
        WHERE price_area IN ('DK1', 'DK2') AND {ON_DAY} GROUP BY 1, 2),
@@ -422,6 +426,27 @@ SELECT municipality_number, hour_utc, round(raw, 4) AS raw, round(sm, 4) AS smoo
 FROM rec
 """
 
+CONSUMPTION_SERIES = f"""
+WITH src AS (SELECT event_type, 1 AS municipality_number, date_trunc('hour', ts) AS hour_utc,
+                    CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS raw
+             FROM events WHERE user_id % 2 = 0 GROUP BY 1, 2, 3),
+{_smooth_sql('src', 'event_type', 'hour_utc')}
+SELECT municipality_number, event_type AS industry_groups, hour_utc, round(raw, 4) AS raw, round(sm, 4) AS smoothed,
+       hour_utc = TIMESTAMP '2024-01-15 00:00:00' AS is_selected
+FROM rec
+"""
+
+_MEASURES = ["offshore_wind_mwh_gte_100", "offshore_wind_mwh_lt_100", "onshore_wind_power_mwh", "solar_power_mwh",
+             "thermal_power_production"]
+TYPED_LOAD = f"""
+WITH e AS (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
+SELECT event_id,
+  CASE WHEN k = 1 THEN NULL WHEN k % 3 = 0 THEN date_trunc('second', ts) - INTERVAL 2 HOUR ELSE date_trunc('second', ts) END AS hour_utc,
+  CASE WHEN k = 5 THEN NULL ELSE CAST(user_id AS INTEGER) END AS municipality_number,
+  {', '.join(f"CASE WHEN k % 10 = {i} THEN NULL ELSE round(value, 4) END AS {c}" for i, c in enumerate(_MEASURES))}
+FROM e
+"""
+
 WEATHER_SERIES = f"""
 WITH {EV},
 w AS (SELECT event_id, ts, CASE WHEN event_type = 'view' THEN 'pageview' ELSE event_type END AS municipality,
@@ -513,6 +538,9 @@ _RAW = {
     "json_property_zscore": JSON_PROPERTY_ZSCORE,
     "smooth_series": SMOOTH_SERIES,
     "production_series": PRODUCTION_SERIES,
+    "consumption_series": CONSUMPTION_SERIES,
+    "typed_load": TYPED_LOAD,
+    "production_map_wind": PRODUCTION_MAP_WIND,
     "weather_series": WEATHER_SERIES,
     "region_points": REGION_POINTS,
     "region_valid_join": REGION_VALID_JOIN,

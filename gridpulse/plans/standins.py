@@ -25,6 +25,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridpulse.sources.dims import PRODUCTION_COLUMNS
 from gridpulse.functions.scalars import floor_ntz, on_day, up_to_day, wall_clock_text
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -107,6 +108,31 @@ def weather_observations(ev: DataFrame) -> DataFrame:
                      distance.alias("distance_to_station_km"), doc.alias("weather_data"))
 
 
+AREAS = [(1, "DK1"), (2, "DK2")]  # codes and names of the two areas
+
+
+def hourly_area_consumption(ev: DataFrame) -> DataFrame:
+    """(hour_utc, municipality_number = area code, industry_groups = event type,
+    consumption_kwh): ten long series."""
+    code = F.when(price_area() == "DK1", F.lit(1)).otherwise(F.lit(2))
+    return (ev.groupBy(floor_ntz("ts", "hour").alias("hour_utc"), code.alias("municipality_number"),
+                       F.col("event_type").alias("industry_groups"))
+              .agg(F.sum(F.col("value").cast(MONEY)).cast("double").alias("consumption_kwh")))
+
+
+def raw_hours(ev: DataFrame) -> DataFrame:
+    """Production rows as a loader meets them: text times (some with a zone, some
+    bad), text codes (some bad), NaN measures."""
+    k = k_of()
+    text = wall_clock_text("ts")
+    time = (F.when(k == 1, F.lit("not-a-time")).when(k % 3 == 0, F.concat(text, F.lit("+02:00")))
+             .when(k % 3 == 1, F.concat(text, F.lit("Z"))).otherwise(text))
+    measures = [F.when(k % 10 == i, F.lit("NaN").cast("double")).otherwise(F.col("value")).alias(c)
+                for i, c in enumerate(PRODUCTION_COLUMNS)]
+    return ev.select(time.alias("hour_utc"), F.when(k == 5, F.lit("x")).otherwise(F.col("user_id").cast("string"))
+                     .alias("municipality_number"), *measures, "event_id")
+
+
 def hourly_by_type(ev: DataFrame) -> DataFrame:
     """Hourly sums of ``value`` per event type: five long series."""
     return (ev.groupBy("event_type", floor_ntz("ts", "hour").alias("hour_utc"))

@@ -85,9 +85,11 @@ def _measures(df: DataFrame, cols) -> list:
     return [nan_to_null(F.col(c).cast("double")).alias(c) for c in cols]
 
 
-def typed_production(df: DataFrame, measures=PRODUCTION_COLUMNS) -> DataFrame:
-    """Production with typed time, INT code and NaN-free DOUBLE measures."""
+def typed_production(df: DataFrame, measures=PRODUCTION_COLUMNS, keep=()) -> DataFrame:
+    """Production with typed time, INT code and NaN-free DOUBLE measures; columns
+    in ``keep`` stay as they are."""
     return df.select(
+        *keep,
         lenient_timestamp("hour_utc", dict(df.dtypes)["hour_utc"]).alias("hour_utc"),
         F.col("municipality_number").try_cast("int").alias("municipality_number"),
         *_measures(df, measures))
