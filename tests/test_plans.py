@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import ROOT, SF_SMALL
+from scripts.plan_report import final_plan
 
 
 def _plan(df):
@@ -52,23 +53,15 @@ def test_weather_rows_not_shuffled_for_the_day_bounds(spark):
     execution the final plan has no shuffle of the rows by day."""
     df = entry.queries()["json_property_zscore"](spark, SF_SMALL)
     df.collect()
-    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    final = final_plan(df._jdf.queryExecution().executedPlan().toString())
     assert "Exchange hashpartitioning(coalesce(day" not in final
 
 
-def _final(df):
-    """The plan that ran: of each adaptive plan only the final part."""
-    df.collect()
-    text = df._jdf.queryExecution().executedPlan().toString()
-    out, skip = [], None
-    for line in text.splitlines():
-        depth = len(line) - len(line.lstrip(" :+-"))
-        if skip is not None and line.strip() and depth > skip:
-            continue
-        skip = depth if "== Initial Plan ==" in line else None
-        if skip is None:
-            out.append(line)
-    return "\n".join(out)
+def test_final_plan_keeps_the_query_around_its_subqueries():
+    text = "\n".join(["AdaptiveSparkPlan", "+- == Final Plan ==", "   Project", "   :  +- Subquery", "   :     +- == Final Plan ==", "   :        Agg",
+                      "   :     +- == Initial Plan ==", "   :        Agg0", "   +- Scan", "+- == Initial Plan ==", "   Project0"])
+    got = final_plan(text)
+    assert "Scan" in got and "Agg0" not in got and "Project0" not in got
 
 
 @pytest.mark.parametrize("name", ["impute_series", "production_series"])
