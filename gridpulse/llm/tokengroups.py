@@ -6,13 +6,14 @@ document's component of links and its number of links.
 
 1. Equal sets are one representative (its smallest id) with a weight.
 2. Shingles have one global order: by hash, except that shingles which are
-   frequent in a bounded sample come last. Linked sets share a shingle in their
-   prefixes, so only shingles that two prefixes share say anything.
-3. Similar documents form groups: those whose first shared prefix shingle is the
-   same. A large group is dealt to blocks of bounded size by a hash.
+   frequent in a bounded sample come last. Prefixes are so long that linked sets
+   share ``least_shared`` shingles in them, so only shingles that two prefixes
+   share say anything, and a set with too few of them links with nothing.
+3. Similar documents form groups: those whose smallest shared prefix shingle is
+   the same. A large group is dealt to blocks of bounded size by a hash.
 4. The matrix holds which prefix shingle occurs in which block, with the block's
-   range of set sizes. Blocks that meet in a shingle with fitting sizes are a
-   pair; documents are never paired here.
+   range of set sizes. Blocks that meet in enough shingles with fitting sizes
+   are a pair; documents are never paired here.
 5. For a pair of blocks, the overlap of each document with the other block's
    token union bounds its similarity to every member; the documents that can
    still qualify open the pair and are compared exactly, as a product of bounded
@@ -30,7 +31,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridpulse.llm.common import Memo, bounded_sample, slices, stored, text_bytes
@@ -40,9 +41,23 @@ SAMPLE_DOCS = 4000
 BLOCK_DOCS, BLOCK_SHINGLES = 256, 200_000
 COLUMNS = 4096
 
+# Prefixes are longer than one common shingle needs, so that links have one in
+# SHARED_EVERY of a set's shingles in common there: passages that many documents
+# hold do not bring them together.
+SHARED_EVERY = 16
+MEMBER_BUCKETS = 1 << 20
+
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9], np.uint64)
 
 
+def least_shared(n: int) -> int:
+    return max(1, n // SHARED_EVERY)
+
+
+def shared_least(n: Column) -> Column:
+    return F.greatest(F.lit(1), F.floor(n / SHARED_EVERY))
+
+
 def mixed(v: np.ndarray) -> np.ndarray:
     v = (v ^ (v >> np.uint64(31))) * MULTIPLIERS[2]
     return v ^ (v >> np.uint64(29))
@@ -97,7 +112,7 @@ def sketches(docs: DataFrame, frequent: np.ndarray, size: int = SIZE, percent: i
                 n.append(len(v))
                 digest.append(xxhash.xxh3_128_digest(v.tobytes()))
                 # Sets of fewer shingles have no different set within reach.
-                take = len(v) - -(-percent * len(v) // 100) + 1 if len(v) * (100 - percent) >= percent else 0
+                take = len(v) - -(-percent * len(v) // 100) + least_shared(len(v)) if len(v) * (100 - percent) >= percent else 0
                 if take and len(known):
                     at = np.minimum(np.searchsorted(known, v), len(known) - 1)
                     often = known[at] == v
@@ -110,23 +125,25 @@ def sketches(docs: DataFrame, frequent: np.ndarray, size: int = SIZE, percent: i
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sketch, "doc_id long, n long, digest binary, prefix array<long>")
 
 
-def block_pairs(reps: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(members: rep, weight, digest, block) and (pairs: a, b) of blocks to open."""
-    tokens = reps.select("rep", "n", F.posexplode("prefix").alias("pos", "token"))
-    own = F.count(F.lit(1)).over(Window.partitionBy("token"))
-    shared = stored(tokens.withColumn("df", own).where("df > 1").select("token", "rep", "n", "pos"), "shared")
-    first = shared.groupBy("rep").agg(F.min(F.struct("pos", "token")).alias("first"), F.first("n").alias("n")) \
-        .select("rep", "n", F.col("first.token").alias("lead"))
-    sizes = first.groupBy("lead").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("parts"))
-    members = first.join(sizes, "lead").select(
-        "rep", "n", F.xxhash64("lead", F.pmod(F.xxhash64("rep"), F.col("parts"))).alias("block"))
-    members = stored(members, "members")
-    matrix = shared.select("token", "rep").join(members, "rep").groupBy("token", "block").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"))
+def block_pairs(sketch: DataFrame, reps: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(members: rep, n, block) and (pairs: a, b) of blocks to open."""
+    own = sketch.where(F.size("prefix") > 0).join(
+        reps.select("rep", F.col("digest").alias("d")), (F.col("digest") == F.col("d")) & (F.col("doc_id") == F.col("rep")))
+    tokens = own.select("rep", F.explode("prefix").alias("token"))
+    shared = stored(tokens.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("df > 1").drop("df"), "shared")
+    # A set that shares fewer prefix shingles than any link needs is out.
+    active = (shared.groupBy("rep").agg(F.min("token").alias("lead"), F.count(F.lit(1)).alias("k"))
+              .join(reps.select("rep", "n"), "rep").where(F.col("k") >= shared_least(F.col("n"))))
+    sizes = active.groupBy("lead").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("parts"))
+    members = stored(active.join(sizes, "lead").select(
+        "rep", "n", F.xxhash64("lead", F.pmod(F.xxhash64("rep"), F.col("parts"))).alias("block")), "members")
+    matrix = shared.join(members, "rep").groupBy("token", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     a, b = matrix.alias("a"), matrix.alias("b")
     fits = (F.col("a.high") * 100 >= F.col("b.low") * percent) & (F.col("b.high") * 100 >= F.col("a.low") * percent)
-    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.block") < F.col("b.block")) & fits) \
-        .select(F.col("a.block").alias("a"), F.col("b.block").alias("b")).distinct()
+    met = (a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.block") < F.col("b.block")) & fits)
+           .groupBy(F.col("a.block").alias("a"), F.col("b.block").alias("b"))
+           .agg(F.count(F.lit(1)).alias("k"), F.least(F.min("a.low"), F.min("b.low")).alias("low")))
+    pairs = met.where(F.col("k") >= shared_least(F.col("low"))).select("a", "b")
     alone = members.groupBy("block").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(F.col("block").alias("a"), F.col("block").alias("b"))
     return members, stored(pairs.unionByName(alone), "pairs")
 
@@ -194,14 +211,31 @@ def open_pairs(docs: DataFrame, members: DataFrame, pairs: DataFrame, reps: Data
                                               pa.array([s.tobytes() for s in sets], pa.binary())], names=["rep", "weight", "block", "tokens"])
             yield out.filter(pa.array(own))
 
+    # Hash buckets that hold a member, a bitmap of fixed size: most texts of other
+    # documents are left out before the join by id decides.
+    bucket = F.pmod(F.xxhash64("rep"), F.lit(MEMBER_BUCKETS)).cast("int")
+    taken = members.select(bucket.alias("bucket")).distinct().toArrow().column(0).to_numpy()
+    bitmap = np.zeros(MEMBER_BUCKETS, bool)
+    bitmap[taken] = True
+    held = docs.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
+
+    def perhaps(batches):
+        own = np.unpackbits(held.value).astype(bool)
+        for batch in batches:
+            keep = own[batch.column("bucket").to_numpy(zero_copy_only=False)]
+            yield batch.filter(pa.array(keep)).select(["rep", "text"])
+
+    candidates = (docs.select(F.col("doc_id").cast("long").alias("rep"), "text").where(F.col("rep").isNotNull())
+                  .withColumn("bucket", bucket).mapInArrow(perhaps, "rep long, text string"))
     wanted = members.select("rep", "block").join(reps.select("rep", "weight", "digest"), "rep")
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(wanted, "rep")
-    sets = stored(texts.select("rep", "weight", "block", "digest", "text").mapInArrow(load, "rep long, weight long, block long, tokens binary")
-                  .dropDuplicates(["rep"]), "sets")
+    texts = candidates.join(wanted, "rep")
+    sets = stored(texts.select("rep", "weight", "block", "digest", "text").mapInArrow(load, "rep long, weight long, block long, tokens binary"), "sets")
     sides = pairs.select("a", "b", F.explode(F.when(F.col("a") == F.col("b"), F.array("a")).otherwise(F.array("a", "b"))).alias("block"))
 
     def link(key, rows):
         a, b = (k.as_py() for k in key)
+        places = rows.column("rep").to_pylist()
+        rows = rows.take(pa.array(sorted({r: i for i, r in enumerate(places)}.values()), pa.int64()))  # repeated rows once
         ids, weight, block = (rows.column(c).to_pylist() for c in ("rep", "weight", "block"))
         sets = [np.frombuffer(t, np.uint64) for t in rows.column("tokens").to_pylist()]
         left = [i for i, x in enumerate(block) if x == a]
@@ -243,9 +277,8 @@ def similar_groups(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) ->
     docs = docs.select("doc_id", "text")
     sketch = stored(sketches(docs, frequent_shingles(docs, size), size, percent), "sketch")
     same = sketch.where("n > 0 and doc_id is not null").groupBy("digest", "n")
-    reps = same.agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.first("prefix").alias("prefix"))
-    reps = stored(reps, "reps")
-    members, pairs = block_pairs(reps.where(F.size("prefix") > 0), percent)
+    reps = stored(same.agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight")), "reps")
+    members, pairs = block_pairs(sketch, reps, percent)
     found = stored(open_pairs(docs, members, pairs, reps, size, percent), "stars")
     roots = components(found.select(F.col("rep").alias("u"), F.col("root").alias("v")))
     links = found.groupBy(F.col("rep").alias("linked")).agg(F.sum("links").alias("links"))
