@@ -12,7 +12,7 @@ A clause's score is the sum of its hits' lexical weights times the factors on
 the composed machine's arcs; a hit of one word never scores without its clause.
 The lexical acceptor is a trie of words and stems: fixed seeds, and entries
 learned from labelled rows by a log-likelihood test (a bounded sample,
-``FIT_ROWS``). A document's summed clause scores become a probability by a
+``FIT_ROWS``), without those that only accompany stronger ones. A document's summed clause scores become a probability by a
 logistic curve fitted on rows that the lexicon did not see.
 
 Defined results: null and empty texts have no clause and get the score of a
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.llm.common import labelled_sample, slices, texts
+from gridpulse.llm.common import Memo, labelled_sample, slices, texts
 from gridpulse.llm.nbsvm import logistic_fit
 
 FOLDS, HELD = 4, 2
@@ -56,6 +56,7 @@ REPORTERS = {"said", "says", "claimed", "claims", "quoted", "reported", "called"
 
 Entry = namedtuple("Entry", "entry t c")
 TOKEN = re.compile(r"[^\W_]+(?:'[^\W_]+)?|[.!?;:\n]+")
+WORD = re.compile(r"[^\W\d_]+")
 OTHER, INSULT, THREAT, TARGET, NEGATOR, REPORTER = range(6)
 SYMBOLS = ("other", "insult", "threat", "target", "negator", "reporter")
 
@@ -179,7 +180,7 @@ def clause_scores(text: str, lexicon: Lexicon, table: list[list[tuple[float, int
 def entries_of(text: str) -> set[str]:
     """Candidate lexicon entries of a text: its words and their stems."""
     out = set()
-    for w in set(re.findall(r"[^\W\d_]+", text.lower())):
+    for w in set(WORD.findall(text.lower())):
         if len(w) >= 3:
             out.add(w + "$")
             out.update(w[:n] for n in STEMS if n <= len(w))
@@ -214,6 +215,28 @@ def learned_entries(rows: list, totals: tuple[int, int]) -> dict[str, float]:
     return weight
 
 
+def needed_entries(sample: DataFrame, entries: dict[str, float]) -> dict[str, float]:
+    """Without the entries that only ride along: every text counts for its best
+    entry alone, and an entry that is the best of more clean than toxic texts
+    goes. ``entries`` are in order of their evidence."""
+    rank = {e: i for i, e in enumerate(entries)}
+    none = len(rank)
+
+    def best(word: str) -> int:
+        return min([rank.get(word + "$", none), *(rank.get(word[:n], none) for n in STEMS if n <= len(word))])
+
+    def attribute(batches):
+        seen = Memo(best, 200_000)
+        for batch in slices(batches, "text"):
+            found = [min((seen[w] for w in set(WORD.findall(t.lower()))), default=none) for t in texts(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), batch.column("y")], names=["place", "y"])
+
+    counts = (sample.select("y", "text").mapInArrow(attribute, "place int, y int").groupBy("place")
+              .agg(F.sum("y").alias("t"), F.count(F.lit(1)).alias("n")).collect())  # one row an entry
+    gone = {r.place for r in counts if r.n > 2 * r.t}
+    return {e: w for e, w in entries.items() if rank[e] not in gone}
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", fit_rows: int = FIT_ROWS,
                  folds: int = FOLDS, held: int = HELD) -> dict:
     """Lexicon and curve, from at most about ``fit_rows`` labelled rows."""
@@ -255,8 +278,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", fit_r
     seeds = {w + "$": 4.0 for w in THREATS | INSULTS}
     part_rows = [Entry(r.entry, r.t0, r.c0) for r in rows if r.t0 >= 3]
     own = totals.get((1, False), 0), totals.get((0, False), 0)
-    first = seeds | learned_entries(part_rows, own)
-    entries = seeds | learned_entries(rows, (n_t, n_c))
+    first = seeds | needed_entries(sample.where(~F.col("part")), learned_entries(part_rows, own))
+    entries = seeds | needed_entries(sample, learned_entries(rows, (n_t, n_c)))
     table = grammar()
 
     def held_scores(batches):
