@@ -5,11 +5,13 @@ document, the longest match with that text. Parsing a document greedily into
 longest matches, the language whose parse needs the fewest phrases (each phrase
 costs ``log2`` of its training size; per character) is the prediction.
 
-The automaton's transitions are completed once: where a state has no edge for a
-character, the phrase ends there and the next begins with that character, so
-one table lookup per character both moves and counts. Lanes (segments of at
-most ``SEGMENT`` characters of the documents of a batch) walk the tables side
-by side in numpy; a segment border ends the phrase. Whole texts are read.
+Where a state has no edge for a character, the phrase ends there and the next
+begins with that character. The edges lie in one array by row displacement: a
+state's edges share no cell with another state's, and a cell names its state,
+so the table grows with the edges and not with the alphabet, which is every code
+point of the training text. Lanes (segments of at most ``SEGMENT`` characters of
+the documents of a batch) walk the tables side by side in numpy; a segment
+border ends the phrase. Whole texts are read.
 
 Training uses at most ``FIT_CHARS`` characters of each language, from rows
 picked by a hash of their id among labelled rows outside the held fold.
@@ -35,7 +37,7 @@ FOLDS, HELD = 3, 1
 FIT_CHARS = 16_000
 ROW_CHARS = 2_400
 SEGMENT = 1024
-ALPHABET = 64
+PLACES = 128  # places that are tried at once for the edges of a state
 
 
 def normalised(text: str) -> np.ndarray:
@@ -91,19 +93,46 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
     return edges
 
 
-def parse_table(codes: list[int], size: int) -> np.ndarray:
-    """``table[state * size + code] = 4 * next * size + phrases begun``. A code that
+def parse_table(codes: list[int], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(cells, start)``. A state is the place of its row; the cell at ``state +
+    code`` is ``state << 32 | next << 2 | phrases begun`` if the state has that edge,
+    and ``start[code]``, without the first part, is what holds otherwise. A code that
     the text lacks is a phrase of its own."""
     edges = suffix_automaton(codes)
-    start = np.full(size, 2, np.int32)
-    for c, s in edges[0].items():
-        start[c] = 4 * s * size + 1
-    table = np.tile(start, (len(edges), 1))
-    table[0] = 1
-    for s, out in enumerate(edges):
+    place = [0] * len(edges)  # the first state's row has every code
+    taken, used = np.zeros(size + 2 * PLACES + 3 * len(codes), bool), {0}
+    taken[:size] = True
+    low = size
+    by_edges = sorted(range(1, len(edges)), key=lambda s: -len(edges[s]))
+    for state in by_edges:
+        own = np.array(sorted(edges[state]), np.int64)
+        if len(own) < 2:
+            continue
+        at = low - int(own[0])
+        while not place[state]:
+            if at + size + PLACES > len(taken):
+                taken = np.append(taken, np.zeros(len(taken) + size + PLACES, bool))
+            free = np.flatnonzero(~taken[at + np.arange(PLACES) + own[:, None]].any(axis=0)) + at
+            place[state] = next((p for p in free.tolist() if p not in used), 0)
+            if not place[state]:  # little room is left there
+                low, at = max(low, at + int(own[0])), at + PLACES
+        used.add(place[state])
+        taken[place[state] + own] = True
+    empty = iter(np.append(np.flatnonzero(~taken), len(taken) + np.arange(2 * len(edges) + size)).tolist())
+    for state in by_edges:
+        if len(edges[state]) < 2:
+            code = next(iter(edges[state]), 0)
+            place[state] = next(p - code for p in empty if p - code not in used)
+            used.add(place[state])
+    cells = np.full(max(place) + size, -1 << 32, np.int64)
+    cells[:size] = 1
+    start = np.full(size, 2, np.int64)
+    for state, out in enumerate(edges):
         for c, t in out.items():
-            table[s, c] = 4 * t * size
-    return table.ravel()
+            cells[place[state] + c] = place[state] << 32 | place[t] << 2
+            if not state:
+                start[c] = place[t] << 2 | 1
+    return cells, start
 
 
 def fit_languages(docs: DataFrame, folds: int = FOLDS, held: int = HELD, fit_chars: int = FIT_CHARS) -> dict:
@@ -128,8 +157,7 @@ def fit_languages(docs: DataFrame, folds: int = FOLDS, held: int = HELD, fit_cha
     if not texts:
         return {"langs": []}
     joined = {k: np.concatenate([np.append(a, 32) for a in v])[:fit_chars] for k, v in sorted(texts.items())}
-    points, times = np.unique(np.concatenate(list(joined.values())), return_counts=True)
-    known = np.sort(points[np.argsort(-times, kind="stable")][:ALPHABET - 1])
+    known = np.unique(np.concatenate(list(joined.values())))
     size = len(known) + 1
     return {"langs": list(joined), "known": known, "size": size, "bits": [math.log2(len(v) + 1) for v in joined.values()],
             "tables": [parse_table(coded(v, known).tolist(), size) for v in joined.values()]}
@@ -146,17 +174,19 @@ def coded(a: np.ndarray, known: np.ndarray) -> np.ndarray:
     return np.where(known[at] == a, at + 1, 0)
 
 
-def phrase_counts(lanes: list[np.ndarray], table: np.ndarray) -> np.ndarray:
+def phrase_counts(lanes: list[np.ndarray], table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """Phrases of every lane (sequences of codes), walked side by side."""
+    cells, start = table
     order = np.argsort([-len(x) for x in lanes], kind="stable")
     lengths = np.array([len(lanes[i]) for i in order])
     flat = np.zeros((int(lengths[0]), len(lanes)), np.int32)
     for col, i in enumerate(order):
         flat[:lengths[col], col] = lanes[i]
     alive = np.searchsorted(-lengths, -np.arange(1, len(flat) + 1), side="right")
-    state, ended = np.zeros(len(lanes), np.int32), np.ones(len(lanes), np.int64)
+    state, ended = np.zeros(len(lanes), np.int64), np.ones(len(lanes), np.int64)
     for row, n in zip(flat, alive.tolist(), strict=True):
-        v = table[state[:n] + row[:n]]
+        v = cells[state[:n] + row[:n]]
+        v = np.where(v >> 32 == state[:n], v & 0xFFFFFFFF, start[row[:n]])
         ended[:n] += v & 3
         state[:n] = v >> 2
     out = np.empty(len(lanes), np.int64)

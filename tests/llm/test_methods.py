@@ -121,6 +121,38 @@ def test_parse_takes_longest_matches():
         assert abs(got - phrases) <= 1  # a phrase begun by the very last unknown character
 
 
+def phrases_of(text, train):
+    phrases = 0
+    while text:
+        n = next((n for n in range(len(text), 0, -1) if text[:n] in train), 1)
+        text, phrases = text[n:], phrases + 1
+    return phrases
+
+
+@pytest.mark.parametrize("letters", [3, 400, 6000])
+def test_parse_with_any_alphabet(letters):
+    rng = random.Random(letters)
+    train = [1 + int(letters * rng.random() ** 3) for _ in range(3000)]
+    table_ = langid.parse_table(train, letters + 2)
+    assert sum(x.nbytes for x in table_) < 1 << 21  # grows with the edges, not with states x letters
+    lanes = [np.array(train[s:s + 20] + [rng.randint(0, letters + 1) for _ in range(30)] + train[:9], np.int32) for s in range(0, 2000, 100)]
+    text = "".join(map(chr, train))
+    for lane, got in zip(lanes, langid.phrase_counts(lanes, table_), strict=True):
+        assert abs(got - phrases_of("".join(map(chr, lane)), text)) <= 1
+
+
+def test_languages_of_many_scripts(spark):
+    rng = random.Random(4)
+    # Three alphabets of their own for pairs of languages, one of them with 3,000 letters.
+    scripts = {"aa": (0x61, 26), "ab": (0x61, 26), "ba": (0x430, 32), "bb": (0x430, 32), "ca": (0x4E00, 3000), "cb": (0x4E00, 3000)}
+    words = {k: ["".join(chr(a + rng.randrange(n)) for _ in range(rng.randint(2, 6))) for _ in range(200)] for k, (a, n) in scripts.items()}
+    rows = [(i, " ".join(rng.choice(words[k]) for _ in range(40)), k) for i, k in enumerate(list(scripts) * (60))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit_languages(docs)
+    got = langid.predict_languages(docs, model).where(fold_is("doc_id", langid.FOLDS, langid.HELD)).collect()
+    assert set(r.lang for r in got) == set(scripts) and all(r.lang_pred == r.lang for r in got)
+
+
 # --- 3 ---
 
 def test_search_against_brute_force(spark):
