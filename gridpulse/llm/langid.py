@@ -41,21 +41,22 @@ PLACES = 128  # places that are tried at once for the edges of a state
 
 
 def normalised(text: str) -> np.ndarray:
-    """Code points in lower case; digits, punctuation and space are one blank."""
+    """Code points in lower case; digits, punctuation, symbols and space are one blank."""
     a = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-    return np.where(a < LETTER.size, LETTER[np.minimum(a, LETTER.size - 1)], a)
+    return np.where(KEPT[a >> 3] >> (a & 7) & 1, a, 32)
 
 
-def _letters() -> np.ndarray:
-    """Code points below 0x3000 that are letters or marks stay; others become a blank."""
-    out = np.full(0x3000, 32, np.uint32)
-    for c in range(0x3000):
-        if chr(c).isalpha() or 0x300 <= c < 0x370:
-            out[c] = c
-    return out
+def _kept() -> np.ndarray:
+    """A bit for every code point: letters, and the marks U+0300 to U+036F, stay."""
+    return np.packbits([chr(c).isalpha() or 0x300 <= c < 0x370 for c in range(0x110000)], bitorder="little")
+
+
+KEPT = _kept()
 
 
-LETTER = _letters()
+def has_letter(a: np.ndarray) -> bool:
+    """Whether normalised text has more than blanks and marks."""
+    return bool(((a != 32) & ((a < 0x300) | (a >= 0x370))).any())
 
 
 def squeezed(a: np.ndarray) -> np.ndarray:
@@ -152,7 +153,7 @@ def fit_languages(docs: DataFrame, folds: int = FOLDS, held: int = HELD, fit_cha
     texts = {}
     for r in picked:
         a = squeezed(normalised(r.text))
-        if (a != 32).any() and sum(map(len, texts.get(r.lang, []))) < fit_chars:
+        if has_letter(a) and sum(map(len, texts.get(r.lang, []))) < fit_chars:
             texts.setdefault(r.lang, []).append(a)
     if not texts:
         return {"langs": []}
@@ -199,7 +200,7 @@ def predict_batch(texts: list[str | None], model: dict) -> tuple[list[str], list
     if langs:
         for i, t in enumerate(texts):
             a = squeezed(normalised(t)) if t else np.empty(0, np.uint32)
-            if (a != 32).any():
+            if has_letter(a):
                 codes = coded(a, model["known"]).astype(np.int32)
                 sizes[i] = len(codes)
                 for s in range(0, len(codes), SEGMENT):

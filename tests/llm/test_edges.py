@@ -124,3 +124,14 @@ def test_language(docs):
     empty = langid.fit_languages(none_of(docs))
     assert {r.lang_pred for r in langid.predict_languages(docs, empty).collect()} == {"und"}
     assert langid.predict_languages(none_of(docs), model).count() == 0
+
+
+def test_texts_without_a_letter_in_any_script(spark, docs):
+    model = langid.fit_languages(docs)
+    none = ["\U0001F600\U0001F600", "\u3002 \u3001", "\uFF11\uFF12", "\u0301 \u0302", "\u0967\u0968", "\uE000", "\U0010FFFF", "7\u3000\u300c"]
+    some = ["\u6F22", "\uFF21", "\U00010400 \U0001F600", "e\u0301", "\uD55C"]
+    got = langid.predict_languages(spark.createDataFrame(list(enumerate(none + some)), "doc_id long, text string"), model).collect()
+    assert {(r.lang_pred, r.lang_score) for r in got if r.doc_id < len(none)} == {("und", 0.0)}
+    assert all(r.lang_pred in model["langs"] and r.lang_score > 0 for r in got if r.doc_id >= len(none))
+    a = langid.normalised("\u6F22\u3002\U0001F600\U00020000\uFF11")
+    assert a.tolist() == [0x6F22, 32, 32, 0x20000, 32]
