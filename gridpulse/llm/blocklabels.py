@@ -315,7 +315,7 @@ def train(pages: list[np.ndarray], marks: list[np.ndarray], epochs: int = 14, ba
 def fit_labeller(pages: DataFrame, fit_pages: int = FIT_PAGES) -> dict[str, np.ndarray]:
     """Train on at most about ``fit_pages`` pages of bounded length."""
     usable = pages.where(F.length("html").between(1, FIT_PAGE_CHARS)).select("page_id", "html")
-    got = sorted((r.page_id is None, r.page_id or 0, r.html) for r in bounded_sample(usable, "page_id", fit_pages).collect())
+    got = sorted((r.page_id is None, r.page_id or 0, r.html) for r in bounded_sample(usable, ["page_id", "html"], fit_pages).collect())
     vectors = Vectors()
     found = [blocks_of(page) for _, _, page in got]
     marks = [np.array([hint(path) for path, _, _ in b]) for b in found if b]

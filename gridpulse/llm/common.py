@@ -79,13 +79,22 @@ def fold_is(column: str, folds: int, fold: int) -> F.Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % folds == fold
 
 
-def bounded_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
-    """At most about ``limit`` rows, chosen by a hash of the key, so that the
-    choice does not depend on partitioning. All rows if there are fewer."""
+def picked(df: DataFrame, columns: list[str], share: F.Column | int) -> DataFrame:
+    """Rows whose hash of ``columns`` leaves less than ``share`` modulo 2 ** 30, with
+    that hash as ``picked_by``; rows that are equal in the columns are one."""
+    return (df.withColumn("picked_by", F.xxhash64(*[F.col(c).cast("string") for c in columns]))
+            .where(F.pmod("picked_by", F.lit(1 << 30)) < share).dropDuplicates(["picked_by"]))
+
+
+def bounded_sample(df: DataFrame, columns: list[str], limit: int) -> DataFrame:
+    """At most about ``limit`` rows, chosen by a hash of the columns, so that the
+    choice does not depend on partitioning. All rows if there are fewer. The columns
+    are the id and the content: rows of one id, or without one, are chosen one by
+    one, and exact copies are chosen once."""
     n = df.count()
     if n <= limit:
         return df
-    return df.where(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 30)) < int((1 << 30) * limit / n))
+    return picked(df, columns, int((1 << 30) * limit / n)).drop("picked_by")
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, limit: int) -> DataFrame:
@@ -93,7 +102,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     held fold, one row per id; rows with a null id, text or label are left out.
     The sampled labels, bounded by ``limit``, are the broadcast side."""
     marked = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~fold_is("doc_id", folds, held))
-    marked = (bounded_sample(marked, "doc_id", limit).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-              .agg(F.max(F.col(label).cast("int")).alias("y")))
+    marked = marked.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col(label).cast("int")).alias("y"))
+    marked = bounded_sample(marked, ["doc_id"], limit)
     return (docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
             .join(F.broadcast(marked), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "y", "text"))

@@ -14,7 +14,7 @@ the documents of a batch) walk the tables side by side in numpy; a segment
 border ends the phrase. Whole texts are read.
 
 Training uses at most ``FIT_CHARS`` characters of each language, from rows
-picked by a hash of their id among labelled rows outside the held fold.
+picked by a hash of their id and text among labelled rows outside the held fold.
 
 Defined results: a null text and a text without a letter are ``und`` with
 score 0; without training rows every text is ``und``. Ties go to the language
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.llm.common import fold_is, slices
+from gridpulse.llm.common import fold_is, picked, slices
 
 FOLDS, HELD = 3, 1
 FIT_CHARS = 16_000
@@ -147,11 +147,11 @@ def fit_languages(docs: DataFrame, folds: int = FOLDS, held: int = HELD, fit_cha
         share = F.when(F.col("lang") == lang, min(1 << 30, math.ceil((1 << 30) * want / n))).otherwise(share)
     # Training reads a window of a sampled row, from its middle, so that one long row is not all.
     middle = F.greatest(F.lit(1), ((F.length("text") - ROW_CHARS) / 2).cast("int"))
-    picked = (rows.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) < share)
-              .select("lang", "doc_id", F.substring(F.col("text"), middle, F.lit(ROW_CHARS)).alias("text")).collect())
-    picked.sort(key=lambda r: (r.lang, hash_order(r.doc_id), r.text))
+    windows = rows.select("lang", "doc_id", F.substring(F.col("text"), middle, F.lit(ROW_CHARS)).alias("text"))
+    training = picked(windows, ["lang", "doc_id", "text"], share).collect()
+    training.sort(key=lambda r: (r.lang, hash_order(r.doc_id), r.text))
     texts = {}
-    for r in picked:
+    for r in training:
         a = squeezed(normalised(r.text))
         if has_letter(a) and sum(map(len, texts.get(r.lang, []))) < fit_chars:
             texts.setdefault(r.lang, []).append(a)

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from gridpulse.llm.common import Memo, bounded_sample, slices, stored, text_bytes
 
 SIZE, PERCENT = 4, 85
-SAMPLE_DOCS = 4000
+SAMPLE_DOCS, MOST_FREQUENT = 4000, 1 << 19
 BLOCK_DOCS, BLOCK_SHINGLES = 256, 200_000
 COLUMNS = 4096
 
@@ -81,9 +81,9 @@ class Shingles:
         return np.unique(mixed(v))
 
 
-def frequent_shingles(docs: DataFrame, size: int = SIZE, sample_docs: int = SAMPLE_DOCS) -> np.ndarray:
-    """Shingles found in three documents or more of a bounded sample, the rarest
-    first. They only set the order: any order gives the same links."""
+def frequent_shingles(docs: DataFrame, size: int = SIZE, sample_docs: int = SAMPLE_DOCS, most: int = MOST_FREQUENT) -> np.ndarray:
+    """Shingles found in three documents or more of a bounded sample, ``most`` at
+    most, the rarest first. They only set the order: any order gives the same links."""
     def count(batches):
         shingles = Shingles(size)
         for batch in slices(batches, "text"):
@@ -91,11 +91,10 @@ def frequent_shingles(docs: DataFrame, size: int = SIZE, sample_docs: int = SAMP
             token, n = np.unique(np.concatenate([*sets, np.empty(0, np.uint64)]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n)], names=["token", "n"])
 
-    sample = bounded_sample(docs.where(F.col("text").isNotNull()), "doc_id", sample_docs).select("text")
+    sample = bounded_sample(docs.where(F.col("text").isNotNull()), ["doc_id", "text"], sample_docs).select("text")
     got = (sample.mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-           .where("n >= 3").collect())
-    got.sort(key=lambda r: (r.n, r.token))
-    return np.array([r.token for r in got], np.int64).view(np.uint64)
+           .where("n >= 3").orderBy(F.desc("n"), F.desc("token")).limit(most).select("token").toArrow())
+    return got.column(0).to_numpy()[::-1].copy().view(np.uint64)
 
 
 def sketches(docs: DataFrame, frequent: np.ndarray, size: int = SIZE, percent: int = PERCENT) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridpulse.llm import backoff, blocklabels, langid, nbsvm, packing, spotsigs, tokengroups, toxicgrammar, warc, wumanber
+from gridpulse.llm.common import bounded_sample, labelled_sample
 
 LONG = "the quick brown fox jumps over a lazy dog and runs away " * 4000
 ROWS = [(1, "the cat sat on the mat and the dog ran away from it", "en", "a", 5),
@@ -135,3 +136,27 @@ def test_texts_without_a_letter_in_any_script(spark, docs):
     assert all(r.lang_pred in model["langs"] and r.lang_score > 0 for r in got if r.doc_id >= len(none))
     a = langid.normalised("\u6F22\u3002\U0001F600\U00020000\uFF11")
     assert a.tolist() == [0x6F22, 32, 32, 0x20000, 32]
+
+
+def test_samples_are_bounded_with_null_and_repeated_ids(spark, monkeypatch):
+    rows = spark.range(6000).select(
+        F.expr("case when id % 3 = 0 then null when id % 3 = 1 then 7 else id end").alias("doc_id"),
+        F.expr("case when id % 2 = 0 then concat('text ', id) else 'a copy' end").alias("text"), F.lit("en").alias("lang"))
+    for limit in (20, 100, 400):
+        got = bounded_sample(rows, ["doc_id", "text"], limit).collect()
+        assert len(got) <= limit + 6 * limit ** 0.5
+    assert len(got) > 100 and {r.doc_id for r in got} >= {None, 7}
+    assert bounded_sample(rows, ["doc_id", "text"], 6000).count() == 6000
+    seen = []
+    monkeypatch.setattr(langid, "normalised", lambda t, f=langid.normalised: seen.append(t) or f(t))
+    langid.fit_languages(rows)
+    assert 0 < len(seen) <= 50
+    labels = rows.select("doc_id", (F.col("doc_id") % 2).alias("quality"))
+    assert 0 < labelled_sample(rows, labels, "quality", 5, 0, 100).count() <= 160
+
+
+def test_frequent_shingles_are_capped(spark):
+    rows = [(i, "a b c d" + " e f g h" * (i < 8) + " i j k l" * (i < 5)) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    every, two = tokengroups.frequent_shingles(docs), tokengroups.frequent_shingles(docs, most=2)
+    assert len(every) > 2 and every[-2:].tolist() == two.tolist()
