@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridpulse.llm import nbsvm, packing, tokengroups, toxicgrammar, wumanber
-from gridpulse.llm.common import shared_path, table
+from gridpulse.llm.common import shared_path, stored, table
 
 SHINGLE, SIMILAR_PERCENT = 5, 80
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -26,12 +26,19 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: of each group of documents with similar sets of five-word
-    shingles (0.8 or more), the one with the smallest id stays. Documents without
-    an id cannot be named in a group and stay."""
-    groups = tokengroups.similar_groups(docs, size=SHINGLE, percent=SIMILAR_PERCENT)
-    first = groups.where("component_id = doc_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*COLUMNS)
+    shingles (0.8 or more), the one with the smallest id stays (of rows with that id,
+    one text by its hash; rows without an id come last). Groups are made of rows, not
+    of ids, as an id may name several texts. Texts without words are in no group;
+    repeated rows of them are one if they have an id."""
+    rows = stored(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), "rows")
+    groups = tokengroups.similar_groups(rows.select(F.col("row").alias("doc_id"), "text"), size=SHINGLE, percent=SIMILAR_PERCENT)
+    groups = groups.select(F.col("doc_id").alias("at"), (F.col("n_shingles") == 0).alias("wordless"), "component_id")
+    ids = rows.select("row", "doc_id", F.xxhash64("text").alias("hash")).join(groups, F.col("row") == F.col("at"))
+    single, named = F.col("wordless"), F.col("doc_id").isNotNull()
+    first = (ids.groupBy("wordless", F.when(~single | ~named, F.col("component_id")).alias("group"), F.when(single, F.col("doc_id")).alias("own"),
+                         F.when(single, F.col("hash")).alias("same"))
+             .agg(F.min(F.struct(~named, "doc_id", "hash", "row")).alias("first")))
+    return rows.join(first.select("first.row"), "row", "left_semi").select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

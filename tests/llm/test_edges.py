@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from gridpulse.llm import backoff, blocklabels, langid, nbsvm, packing, spotsigs, tokengroups, toxicgrammar, warc, wumanber
 from gridpulse.llm.common import bounded_sample, labelled_sample
 
@@ -160,3 +161,14 @@ def test_frequent_shingles_are_capped(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     every, two = tokengroups.frequent_shingles(docs), tokengroups.frequent_shingles(docs, most=2)
     assert len(every) > 2 and every[-2:].tolist() == two.tolist()
+
+
+def test_near_duplicates_with_shared_and_null_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    near = a + " more"
+    rows = [(7, a), (7, b), (3, near), (7, b), (8, c), (None, c), (None, d), (None, d), (None, d + " e"), (9, ""), (9, ""), (9, None), (10, " ")]
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], SCHEMA)
+    got = corpus_pipeline.near_duplicates(spark, docs.repartition(4), "").collect()
+    kept = [(r.doc_id, r.text) for r in got]
+    assert len(kept) == len(set(kept)) and {x for x in kept if x[0] is not None} == {(3, near), (7, b), (8, c), (9, ""), (9, None), (10, " ")}
+    assert [x for x in kept if x[0] is None] in ([(None, d)], [(None, d + " e")])
