@@ -126,5 +126,38 @@ WITH w AS (
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_tokens, round(coalesce(score, 0.0), 3) AS score,
   round(score / n, 6) AS mean_log_score
 FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN s ON s.doc_id = d.doc_id
+""",
+    "op12_exact_dedup": r"""
+WITH t AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents
+)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY x) AS keep_id, count(*) OVER (PARTITION BY x) AS group_size,
+  row_number() OVER (PARTITION BY x ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(x) AS text_sha256
+FROM t
+""",
+    "op13_lexical_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), i AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark
+), r AS (
+  SELECT item_id, t, count(*) AS r FROM i GROUP BY ALL
+), s AS (
+  SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS total FROM d WHERE len(w) > 0
+), f AS (
+  SELECT d, doc_id, n, t, count(*) AS tf FROM (SELECT d, doc_id, len(w) AS n, unnest(w) AS t FROM d)
+  WHERE t IN (SELECT t FROM r) GROUP BY ALL
+), g AS (
+  SELECT t, CAST(floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS weight FROM f, s GROUP BY t
+), c AS (
+  SELECT d, doc_id, t, weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * docs) // total)))) AS gain
+  FROM f JOIN g USING (t), s
+), p AS (
+  SELECT item_id, d, doc_id, CAST(sum(r * gain) AS BIGINT) AS score FROM c JOIN r USING (t) GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER w AS INTEGER) AS rank, doc_id, score FROM p WHERE score > 0
+WINDOW w AS (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) QUALIFY rank <= 10
 """,
 }

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import backoff, blocklabels, langid, nbsvm, packing, spotsigs, tokengroups, toxicgrammar, warc, wumanber
+from gridpulse.llm import (backoff, blocklabels, dualtree, langid, nbsvm, packing, periodic, quotient, spotsigs, tokengroups, toxicgrammar, warc,
+                           wumanber)
 from gridpulse.llm.common import fold_is, table
 
 
@@ -90,6 +91,28 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("lang_score").alias("score"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, a tenth of which is edited to repeat itself."""
+    found = periodic.find_runs(periodic.with_planted_runs(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.col("strongest")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.expr("(1000 * strongest.length) div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row that stays of every group of equal texts."""
+    return quotient.exact_copies(table(spark, sf_dir, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return dualtree.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc_index, op2_quality_classifier, op3_benchmark_decontamination, op4_stupid_backoff, op5_ngram_jaccard_join, op6_toxicity_grammar, op7_spot_signatures,
-    op8_html_blocks, op9_packing, op10_language_id)}
+    op8_html_blocks, op9_packing, op10_language_id, op11_periodic_runs, op12_exact_dedup, op13_lexical_search)}
