@@ -20,6 +20,7 @@ from gridpulse.operators.exchange import (country_dim, daily_cumulative, neighbo
                                           net_locations, zone_country_exchange, zone_share,
                                           country_share, zone_summaries)
 from gridpulse.operators.joins import reverse_lookup
+from gridpulse.operators.series import smooth
 from gridpulse.operators.weather import property_day_zscore, station_property
 from gridpulse.plans import dashboard as Q
 from gridpulse.plans import standins as S
@@ -226,11 +227,19 @@ def smooth_series(spark: SparkSession, sf: str) -> DataFrame:
     """Q7-Q9: SIG1-SIG4, WIN5, ORD1, FLT11, DT6 (hourly series, smoothed)."""
     series = S.hourly_by_type(_ev(spark, sf))
     out = Q.hourly_series(series, ["event_type"], "hour_utc", "value", selected=S.SELECTED_HOUR,
-                          chunk=floor_ntz("hour_utc", "day"))
+                          max_points=Q.HOURS_OF_A_YEAR)
     return out.select("event_type", "hour_utc", "iso", r4("raw").alias("raw"),
                       r4("smoothed").alias("smoothed"), "is_selected")
 
 
+def smooth_long_series(spark: SparkSession, sf: str) -> DataFrame:
+    """SIG1-SIG4 on series longer than a cell: every event is a point, cells of
+    1,024 points, so that the transforms go through their exchanges."""
+    events = _ev(spark, sf).select("event_type", "ts", "event_id", "value")
+    out = smooth(events, ["event_type"], ["ts", "event_id"], "value", keep_ratio=0.01, chunk=floor_ntz("ts", "day"), points=1024)
+    return out.select("event_type", "event_id", "pos", "n_points", r4("smoothed").alias("smoothed"))
+
+
 def production_series(spark: SparkSession, sf: str) -> DataFrame:
     """Q7: JN4, FLT5, IMP5, FLT11, SIG4 (series picked by name, NULL as 0, smoothed).
 
@@ -240,7 +249,7 @@ def production_series(spark: SparkSession, sf: str) -> DataFrame:
     cust = S.table(spark, sf, "customer")
     names = cust.select(F.col("c_name").alias("name"))
     out = Q.hourly_series(prod, ["municipality_number"], "hour_utc", "click",
-                          selected=S.SELECTED_HOUR, chunk=floor_ntz("hour_utc", "day"),
+                          selected=S.SELECTED_HOUR, max_points=Q.HOURS_OF_A_YEAR,
                           names=names, name_col="name", dim=cust, dim_name="c_name",
                           dim_code="c_custkey")
     return out.select("municipality_number", "hour_utc", r4("raw").alias("raw"),
@@ -254,7 +263,7 @@ def consumption_series(spark: SparkSession, sf: str) -> DataFrame:
     dim = spark.createDataFrame(S.AREAS, "code int, area string")
     names = spark.createDataFrame([("DK1",), ("nowhere",)], "name string")
     out = Q.hourly_series(series, ["industry_groups", "municipality_number"], "hour_utc", "consumption_kwh",
-                          selected=S.SELECTED_HOUR, chunk=floor_ntz("hour_utc", "day"), names=names, name_col="name",
+                          selected=S.SELECTED_HOUR, max_points=Q.HOURS_OF_A_YEAR, names=names, name_col="name",
                           dim=dim, dim_name="area", dim_code="code", names_key="municipality_number")
     return out.select("municipality_number", "industry_groups", "hour_utc", r4("raw").alias("raw"),
                       r4("smoothed").alias("smoothed"), "is_selected")
@@ -284,8 +293,7 @@ def weather_series(spark: SparkSession, sf: str) -> DataFrame:
                            aliases=S.STATION_ALIASES)
     hourly = obs.groupBy("municipality", floor_ntz("ts", "hour").alias("hour_utc")) \
                 .agg(F.avg("value").alias("value"))
-    out = Q.hourly_series(hourly, ["municipality"], "hour_utc", "value",
-                          chunk=floor_ntz("hour_utc", "day"))
+    out = Q.hourly_series(hourly, ["municipality"], "hour_utc", "value", max_points=Q.HOURS_OF_A_YEAR)
     return out.select("municipality", "hour_utc", r4("raw").alias("raw"),
                       r4("smoothed").alias("smoothed"))
 
@@ -365,6 +373,7 @@ QUERIES = {
     "net_locations": net_locations_q,
     "json_property_zscore": json_property_zscore,
     "smooth_series": smooth_series,
+    "smooth_long_series": smooth_long_series,
     "production_series": production_series,
     "consumption_series": consumption_series,
     "typed_load": typed_load,

@@ -38,6 +38,7 @@ __all__ = [
 ]
 
 MUNICIPALITY_LABEL = MUNICIPALITY_LABEL_LINES
+HOURS_OF_A_YEAR = 366 * 24  # most rows of one yearly plot
 
 
 def municipality_profile(municipalities: DataFrame, weather: DataFrame,
@@ -115,20 +116,23 @@ def hourly_series(df: DataFrame, keys, ts: str, value: str, selected=None,
                   keep_ratio: float = SMOOTH_KEEP_RATIO, chunk=None,
                   names: DataFrame | None = None, name_col: str | None = None,
                   dim: DataFrame | None = None, dim_name: str | None = None,
-                  dim_code: str | None = None, order_extra=(), names_key: str | None = None) -> DataFrame:
+                  dim_code: str | None = None, order_extra=(), names_key: str | None = None,
+                  max_points: int | None = None) -> DataFrame:
     """Q7-Q9: raw and smoothed yearly series for every series key at once,
     with the ISO hour and an ``is_selected`` flag for the selected hour.
 
     Optionally restrict to series named in ``names`` resolved to codes through
     ``dim`` (reverse lookup; unknown names simply select nothing); the codes are
     those of ``names_key``, by default the first key.
-    ``order_extra`` breaks ties of ``ts`` within a series (e.g. an id)."""
+    ``order_extra`` breaks ties of ``ts`` within a series (e.g. an id).
+    ``max_points`` is the most rows that a series can have, if the caller knows it
+    (``HOURS_OF_A_YEAR`` for one calendar year of hourly rows)."""
     keys = list(keys)
     if names is not None:
         codes = reverse_lookup(names, name_col, dim, dim_name, dim_code, out="_code") \
             .filter(F.col("_code").isNotNull()).select("_code").distinct()
         df = df.join(codes, df[names_key or keys[0]] == codes["_code"], "left_semi")
-    out = smooth(df, keys, [ts, *order_extra], value, keep_ratio=keep_ratio, chunk=chunk)
+    out = smooth(df, keys, [ts, *order_extra], value, keep_ratio=keep_ratio, chunk=chunk, max_points=max_points)
     flag = F.lit(False) if selected is None else \
         F.coalesce(F.col(ts) == ts_literal(selected), F.lit(False))
     return out.select(*keys, *order_extra, F.col(ts), iso_hour(ts).alias("iso"), "raw", "smoothed",

@@ -415,6 +415,12 @@ rec AS (SELECT p.*, coalesce((SELECT sum(c.c * {weight('c.k', 'p.n')} * {basis('
                               FROM coef c WHERE c.{key} = p.{key}), CAST(0.0 AS DOUBLE)) AS sm FROM p)"""
 
 
+SMOOTH_LONG_SERIES = f"""
+WITH src AS (SELECT event_type, event_id, ts, coalesce(value, CAST(0.0 AS DOUBLE)) AS raw FROM events),
+{_smooth_sql('src', 'event_type', 'ts, event_id').replace('0.02', '0.01')}
+SELECT event_type, event_id, CAST(pos AS BIGINT) AS pos, CAST(n AS BIGINT) AS n_points, round(sm, 4) AS smoothed FROM rec
+"""
+
 PRODUCTION_SERIES = f"""
 WITH {PROD},
 codes AS (SELECT DISTINCT c.c_custkey FROM customer b JOIN customer c ON c.c_name = b.c_name),
@@ -537,6 +543,7 @@ _RAW = {
     "net_locations": NET_LOCATIONS,
     "json_property_zscore": JSON_PROPERTY_ZSCORE,
     "smooth_series": SMOOTH_SERIES,
+    "smooth_long_series": SMOOTH_LONG_SERIES,
     "production_series": PRODUCTION_SERIES,
     "consumption_series": CONSUMPTION_SERIES,
     "typed_load": TYPED_LOAD,

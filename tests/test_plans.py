@@ -64,7 +64,24 @@ def test_final_plan_keeps_the_query_around_its_subqueries():
     assert "Scan" in got and "Agg0" not in got and "Project0" not in got
 
 
-@pytest.mark.parametrize("name", ["impute_series", "production_series"])
+def test_bounded_series_are_dealt_once_by_their_key(spark):
+    """Series with a proven bound: one exchange of the hourly rows by the series,
+    no position windows, no second pass."""
+    plan = _plan(entry.QUERIES["production_series"](spark, SF_SMALL))
+    assert plan.count("FlatMapGroupsInArrow") == 1 and "Window" not in plan
+    above = plan.split("FlatMapGroupsInArrow")[1].split("HashAggregate")[0]
+    assert above.count("Exchange hashpartitioning(municipality_number") == 1
+
+
+def test_long_series_rows_meet_their_result_in_their_cell(spark):
+    """The four exchanges between the steps carry pieces; the rows are dealt to
+    the cells and take the result there."""
+    plan = _plan(entry.QUERIES["smooth_long_series"](spark, SF_SMALL))
+    assert plan.count("FlatMapCoGroupsInArrow") == 1 and "SortMergeJoin [event_id" not in plan
+    assert len(re.findall(r"Exchange hashpartitioning\(__gp_series#\d+, __gp_lane", plan)) == 6
+
+
+@pytest.mark.parametrize("name", ["impute_series", "smooth_long_series"])
 def test_scan_rows_are_dealt_once(spark, name):
     """Without broadcasts the rows of a scan are shuffled once after the hourly
     sums, by the cell; what else is shuffled by cell or series has one row per
