@@ -2,10 +2,15 @@
 
 Boxes are a handful of configured rows, so the fast path compiles them into
 one expression (an OR for "inside any box", an ordered CASE for "first box
-wins"): a single pass over the points with no join and no shuffle. A
-DataFrame of boxes of any size is joined through a grid: boxes are listed for
-each grid cell that they touch, points meet the boxes of their own cell by
-equality, and the exact bounds decide.
+wins"): a single pass over the points with no join and no shuffle, and
+``any_box_exists`` does the same against a broadcast handful.
+
+A DataFrame of any number of boxes is joined through a quad-tree: the globe is
+halved ``level`` times in both directions, and every box is listed for the cells
+that it touches at the level whose cells are an eighth to a quarter of its longer
+side, at most six by six of them. A point is looked up once for each level that
+some box is on, by equality, and the exact bounds decide. So a box meets points
+of its own neighbourhood only, whether it is a country or a house.
 """
 
 from __future__ import annotations
@@ -16,7 +21,7 @@ from pyspark.sql import functions as F
 from gridpulse.functions.scalars import col_of
 from gridpulse.sources.dims import CLOSED_BOUNDS, OPEN_BOUNDS, Box, boxes
 
-__all__ = ["inside", "valid_points", "classify_points", "points_in_boxes", "any_box_exists"]
+__all__ = ["inside", "valid_points", "classify_points", "points_in_boxes", "locate_points", "any_box_exists"]
 
 
 def inside(lon, lat, box: Box, closed: bool = True) -> Column:
@@ -85,22 +90,80 @@ def _gridded(bounds: DataFrame) -> DataFrame:
     return bounds
 
 
+LEVELS = 20  # deepest level: cells of 360 / 2 ** 20 degrees
+_WORLD = {"lon": 180.0, "lat": 90.0}
+
+
+def _clamped(c: Column, side: str) -> Column:
+    return F.greatest(F.lit(-_WORLD[side]), F.least(F.lit(_WORLD[side]), c))
+
+
+def _cell(c: Column, side: str, level: Column) -> Column:
+    """Row or column of the quad-tree cell of a coordinate at a level; outside the
+    globe the outermost one. It never decreases with the coordinate."""
+    return F.floor((_clamped(c, side) + F.lit(180.0)) / F.lit(360.0) * F.pow(F.lit(2.0), level)).cast("long")
+
+
+def _level(bounds: DataFrame) -> Column:
+    """The level that fits the longer side of a box; a missing side reaches to the end."""
+    sizes = [_clamped(F.coalesce(F.col(f"{s}_hi"), F.lit(_WORLD[s])), s) - _clamped(F.coalesce(F.col(f"{s}_lo"), F.lit(-_WORLD[s])), s) for s in _WORLD]
+    longer = F.greatest(*sizes, F.lit(1e-9))
+    return F.greatest(F.lit(0), F.least(F.lit(LEVELS), F.floor(F.log2(F.lit(360.0) / longer)).cast("int") + 2))
+
+
+def covered(bounds: DataFrame, level: str = "__gp_level") -> DataFrame:
+    """One row for each box and quad-tree cell that it touches, as (level, column, row)."""
+    out = bounds.withColumn(level, _level(bounds))
+    for side in _WORLD:
+        lo = _cell(F.coalesce(F.col(f"{side}_lo"), F.lit(-_WORLD[side])), side, F.col(level))
+        hi = _cell(F.coalesce(F.col(f"{side}_hi"), F.lit(_WORLD[side])), side, F.col(level))
+        out = out.withColumn(f"__gp_{side}", F.explode(F.when(lo <= hi, F.sequence(lo, hi))))
+    return out
+
+
+def candidates(points: DataFrame, bounds: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """(point, box) pairs that share a quad-tree cell; no pair comes twice."""
+    levels = bounds.select(F.sort_array(F.collect_set(_level(bounds)))).scalar()  # at most LEVELS + 1 numbers
+    p = points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull()).withColumn("__gp_at", F.explode(levels))
+    p = p.withColumn("__gp_x", _cell(F.col(lon), "lon", F.col("__gp_at"))).withColumn("__gp_y", _cell(F.col(lat), "lat", F.col("__gp_at")))
+    b = covered(bounds)
+    same = (p["__gp_at"] == b["__gp_level"]) & (p["__gp_x"] == b["__gp_lon"]) & (p["__gp_y"] == b["__gp_lat"])
+    return p.join(b, same).drop("__gp_at", "__gp_x", "__gp_y", "__gp_level", "__gp_lon", "__gp_lat")
+
+
 def points_in_boxes(points: DataFrame, bounds: DataFrame, lon: str = "lon", lat: str = "lat",
                     closed: bool = True) -> DataFrame:
-    """Every (point, box) match as an equality join on grid cells, refined by
-    the exact bounds. ``bounds`` has ``location, lon_lo, lon_hi, lat_lo,
-    lat_hi[, priority]``. Each point yields at most one row per box."""
-    b = _gridded(bounds)
-    p = points.withColumn("__gp_plon", _grid(F.col(lon), GRID_LON)).withColumn("__gp_plat", _grid(F.col(lat), GRID_LAT)) \
-        .where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
-    same = (p["__gp_plon"] == b["__gp_lon"]) & (p["__gp_plat"] == b["__gp_lat"])
-    return p.join(b, same & _box_cond(p[lon], p[lat], closed), "inner").drop("__gp_plon", "__gp_plat", "__gp_lon", "__gp_lat")
+    """Every (point, box) match, by equality on quad-tree cells, refined by the
+    exact bounds. ``bounds`` has ``location, lon_lo, lon_hi, lat_lo,
+    lat_hi[, priority]``; a missing side is unbounded. Each point yields at most
+    one row per box; a point without coordinates yields none."""
+    return candidates(points, bounds, lon, lat).where(_box_cond(F.col(lon), F.col(lat), closed))
+
+
+def locate_points(points: DataFrame, bounds: DataFrame, lon: str = "lon", lat: str = "lat", closed: bool = False,
+                  out: str = "region", exists_out: str | None = "is_valid") -> DataFrame:
+    """The location of the first box that holds each point, by ``priority`` (then
+    location; a null priority last), NULL without one, and whether there is one.
+
+    Points of equal coordinates are looked up once, so that a place that holds
+    many of the points is one row before the join; the answers go back to the
+    points on their coordinates."""
+    x, y = F.col(lon).alias("lon"), F.col(lat).alias("lat")
+    spots = points.select(x, y).where("lon is not null and lat is not null").distinct()
+    rank = F.col("priority") if "priority" in bounds.columns else F.lit(0)
+    boxes_ = bounds.select("location", rank.alias("__gp_rank"), "lon_lo", "lon_hi", "lat_lo", "lat_hi")
+    first = F.min(F.struct(F.col("__gp_rank").isNull(), "__gp_rank", "location"))
+    found = (points_in_boxes(spots, boxes_, closed=closed).groupBy("lon", "lat").agg(first["location"].alias("__gp_first"))
+             .select(F.col("lon").alias("__gp_lon"), F.col("lat").alias("__gp_lat"), "__gp_first", F.lit(True).alias("__gp_found")))
+    joined = points.join(found, (points[lon] == found["__gp_lon"]) & (points[lat] == found["__gp_lat"]), "left")
+    told = [F.col("__gp_first").alias(out)] + ([F.coalesce("__gp_found", F.lit(False)).alias(exists_out)] if exists_out else [])
+    return joined.select(*[points[c] for c in points.columns], *told)
 
 
 def any_box_exists(points: DataFrame, bounds: DataFrame, lon: str = "lon", lat: str = "lat",
                    closed: bool = True, out: str = "is_valid") -> DataFrame:
     """``EXISTS`` a containing box, as an existence join on grid cells (one row
-    per point)."""
+    per point): for a broadcast handful of boxes. ``locate_points`` is for more."""
     p = points.withColumn("__gp_plon", _grid(F.col(lon), GRID_LON)).withColumn("__gp_plat", _grid(F.col(lat), GRID_LAT))
     cond = ((F.col("__gp_lon") == F.col("__gp_plon").outer()) & (F.col("__gp_lat") == F.col("__gp_plat").outer())
             & _box_cond(F.col(lon).outer(), F.col(lat).outer(), closed))

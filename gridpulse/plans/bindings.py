@@ -24,7 +24,7 @@ from gridpulse.operators.series import smooth
 from gridpulse.operators.weather import property_day_zscore, station_property
 from gridpulse.plans import dashboard as Q
 from gridpulse.plans import standins as S
-from gridpulse.operators.spatial import any_box_exists
+from gridpulse.operators.spatial import any_box_exists, locate_points, points_in_boxes
 from gridpulse.sources.dims import CLOSED_BOUNDS, PRODUCTION_COLUMNS, bounds_frame, trade_roles_frame
 from gridpulse.sources.readers import typed_production
 
@@ -221,6 +221,18 @@ def json_property_zscore(spark: SparkSession, sf: str) -> DataFrame:
                       r4("scale").alias("scale"), "color_index", "text")
 
 
+def weather_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """JSN1-JSN3, IMP7, STR5, PRJ6: the station and a property out of strict documents,
+    with and without a default, and whether the key is there."""
+    w = S.weather_documents(_ev(spark, sf))
+    obs = station_property(w, "ts", None, "weather_data", "temp", aliases=S.STATION_ALIASES, keep=["event_id"],
+                           station_key="municipality", has_out="has_key")
+    zero = station_property(w, "ts", None, "weather_data", "temp", default=0.0, keep=["event_id"], station_key="municipality",
+                            value_out="value_or_zero").select("event_id", "value_or_zero")
+    return obs.join(zero, "event_id").select("event_id", "municipality", r4("value").alias("value"), r4("value_or_zero").alias("value_or_zero"),
+                                             "has_key")
+
+
 # --- Q7-Q9: smoothing ---------------------------------------------------------
 
 def smooth_series(spark: SparkSession, sf: str) -> DataFrame:
@@ -316,6 +328,22 @@ def region_valid_join(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("point_id", "is_valid")
 
 
+def points_in_many_boxes(spark: SparkSession, sf: str) -> DataFrame:
+    """JN6 with a frame of boxes from the data: the points in each box, through the
+    quad-tree cover."""
+    boxes_ = S.customer_boxes(S.table(spark, sf, "customer"))
+    found = points_in_boxes(S.event_points(_ev(spark, sf)), boxes_)
+    return found.groupBy("location").agg(F.count(F.lit(1)).alias("n_points"), F.min("point_id").alias("first_point"),
+                                         r4(F.max("lon")).alias("max_lon"), r4(F.min("lat")).alias("min_lat"))
+
+
+def region_by_priority(spark: SparkSession, sf: str) -> DataFrame:
+    """JN7, JN6 from a frame: the box of the least priority that holds each point
+    (open bounds), and whether there is one."""
+    out = locate_points(S.event_points(_ev(spark, sf)), S.customer_boxes(S.table(spark, sf, "customer")))
+    return out.select("point_id", "region", "is_valid")
+
+
 # --- Q15: calendar ----------------------------------------------------------------
 
 def calendar_marks(spark: SparkSession, sf: str) -> DataFrame:
@@ -372,6 +400,7 @@ QUERIES = {
     "country_share": country_share_q,
     "net_locations": net_locations_q,
     "json_property_zscore": json_property_zscore,
+    "weather_documents": weather_documents,
     "smooth_series": smooth_series,
     "smooth_long_series": smooth_long_series,
     "production_series": production_series,
@@ -381,6 +410,8 @@ QUERIES = {
     "weather_series": weather_series,
     "region_points": region_points,
     "region_valid_join": region_valid_join,
+    "points_in_many_boxes": points_in_many_boxes,
+    "region_by_priority": region_by_priority,
     "calendar_marks": calendar_marks,
     "name_lookup": name_lookup,
     "first_rows": first_rows,

@@ -499,6 +499,40 @@ SELECT point_id, EXISTS (SELECT 1 FROM b WHERE p.lon BETWEEN b.lon_lo AND b.lon_
 FROM p
 """
 
+_CUSTOMER_BOXES = """
+p AS (SELECT event_id AS point_id, value / CAST(25.0 AS DOUBLE) - CAST(5.0 AS DOUBLE) AS lon,
+             CAST(45.0 AS DOUBLE) + CAST(k AS DOUBLE) / CAST(5.0 AS DOUBLE) AS lat FROM ev),
+c AS (SELECT c_name AS location, c_custkey AS k, CAST(c_custkey * 37 % 1000 AS DOUBLE) / 25.0::DOUBLE - 5.0::DOUBLE AS x,
+             CAST(c_custkey * 53 % 997 AS DOUBLE) / 50.0::DOUBLE + 45.0::DOUBLE AS y,
+             pow(2.0::DOUBLE, c_custkey % 7) * 0.05::DOUBLE AS w, pow(2.0::DOUBLE, c_custkey % 5) * 0.03::DOUBLE AS h FROM customer),
+b AS (SELECT location, CASE WHEN k % 97 <> 0 THEN k * 7919 % 211 END AS priority, CASE WHEN k % 100 <> 0 THEN x - w END AS lon_lo, x + w AS lon_hi,
+             y - h AS lat_lo, CASE WHEN k % 150 <> 0 THEN y + h END AS lat_hi FROM c)"""
+
+POINTS_IN_MANY_BOXES = f"""
+WITH {EV}, {_CUSTOMER_BOXES}
+SELECT location, count(*) AS n_points, min(point_id) AS first_point, round(max(lon), 4) AS max_lon, round(min(lat), 4) AS min_lat
+FROM p JOIN b ON lon <= lon_hi AND lat >= lat_lo AND (lon_lo IS NULL OR lon >= lon_lo) AND (lat_hi IS NULL OR lat <= lat_hi)
+GROUP BY location
+"""
+
+REGION_BY_PRIORITY = f"""
+WITH {EV}, {_CUSTOMER_BOXES},
+m AS (SELECT point_id, location, priority FROM p JOIN b ON lon < lon_hi AND lat > lat_lo AND (lon_lo IS NULL OR lon > lon_lo)
+        AND (lat_hi IS NULL OR lat < lat_hi)),
+f AS (SELECT point_id, first(location ORDER BY priority NULLS LAST, location) AS region FROM m GROUP BY point_id)
+SELECT p.point_id, region, f.point_id IS NOT NULL AS is_valid FROM p LEFT JOIN f ON f.point_id = p.point_id
+"""
+
+WEATHER_DOCUMENTS = f"""
+WITH {EV},
+w AS (SELECT *, k IN (0, 3, 7, 8) AS bad, k = 4 AS list, round(value, 2) AS v FROM ev)
+SELECT event_id, CASE WHEN bad OR list THEN NULL WHEN event_type = 'view' THEN 'pageview' ELSE event_type END AS municipality,
+  CASE WHEN bad OR list OR k IN (2, 5) THEN NULL ELSE round(v, 4) END AS value,
+  CASE WHEN bad OR list OR k = 5 THEN NULL WHEN k = 2 THEN 0.0::DOUBLE ELSE round(v, 4) END AS value_or_zero,
+  NOT (bad OR list OR k = 2) AS has_key
+FROM w
+"""
+
 CALENDAR_MARKS = """
 WITH b AS (SELECT min(CAST(ts AS DATE)) AS lo, max(CAST(ts AS DATE)) AS hi FROM events),
 d AS (SELECT lo, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM b)
@@ -551,6 +585,9 @@ _RAW = {
     "weather_series": WEATHER_SERIES,
     "region_points": REGION_POINTS,
     "region_valid_join": REGION_VALID_JOIN,
+    "points_in_many_boxes": POINTS_IN_MANY_BOXES,
+    "region_by_priority": REGION_BY_PRIORITY,
+    "weather_documents": WEATHER_DOCUMENTS,
     "calendar_marks": CALENDAR_MARKS,
     "name_lookup": NAME_LOOKUP,
     "first_rows": FIRST_ROWS,

@@ -108,6 +108,35 @@ def weather_observations(ev: DataFrame) -> DataFrame:
                      distance.alias("distance_to_station_km"), doc.alias("weather_data"))
 
 
+def weather_documents(ev: DataFrame) -> DataFrame:
+    """Weather rows whose station stands in the document only. By ``k`` some are
+    spoiled: 0 has text behind the object, 1 repeats the key (the last counts), 2
+    lacks it, 3 is cut short, 4 is a list, 5 holds null, 6 a number as text, 7 a
+    second object, 8 a closing bracket and text."""
+    ev = ev.select("event_id", "ts", "event_type", "value", k_of().alias("_k"))
+    k, head = F.col("_k"), F.concat(F.lit('{"municipality": "'), F.col("event_type"), F.lit('", '))
+    number = F.round(F.col("value"), 2).cast("string")
+    temp = F.concat(F.lit('"temp": '), number)
+    text = F.concat(head, temp, F.lit("}"))
+    doc = (F.when(k == 0, F.concat(text, F.lit(" junk"))).when(k == 1, F.concat(head, F.lit('"temp": 1.5, '), temp, F.lit("}")))
+            .when(k == 2, F.concat(head, F.lit('"dwpt": '), number, F.lit("}"))).when(k == 3, F.concat(head, temp))
+            .when(k == 4, F.concat(F.lit("["), number, F.lit("]"))).when(k == 5, F.concat(head, F.lit('"temp": null}')))
+            .when(k == 6, F.concat(head, F.lit('"temp": "'), number, F.lit('"}'))).when(k == 7, F.concat(text, text))
+            .when(k == 8, F.concat(text, F.lit("] x"))).otherwise(text))
+    return ev.select("event_id", "ts", doc.alias("weather_data"))
+
+
+def customer_boxes(cust: DataFrame) -> DataFrame:
+    """A box per customer: sides of 0.05 to 6.4 and 0.03 to 0.96 degrees, overlapping,
+    every hundredth without a western and every 150th without a northern end."""
+    k = F.col("c_custkey")
+    lon, lat = (k * 37 % 1000).cast("double") / 25.0 - 5.0, (k * 53 % 997).cast("double") / 50.0 + 45.0
+    w, h = F.pow(F.lit(2.0), k % 7) * 0.05, F.pow(F.lit(2.0), k % 5) * 0.03
+    return cust.select(F.col("c_name").alias("location"), F.when(k % 97 != 0, k * 7919 % 211).alias("priority"),
+                       F.when(k % 100 != 0, lon - w).alias("lon_lo"), (lon + w).alias("lon_hi"),
+                       (lat - h).alias("lat_lo"), F.when(k % 150 != 0, lat + h).alias("lat_hi"))
+
+
 AREAS = [(1, "DK1"), (2, "DK2")]  # codes and names of the two areas
 
 

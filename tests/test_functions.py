@@ -134,3 +134,26 @@ def test_day_numbers_and_labels(spark):
             .select("x", month_day_label("x")).collect()
     assert got[0][0] == dt.date(2022, 1, 1) and got[1][0] == dt.date(2022, 3, 2)
     assert got[1][1] == "March 02"
+
+
+STRICT = [  # text, value, value or zero, has the key, name
+    ('{"temp": 1.5, "municipality": "A"}', 1.5, 1.5, True, "A"), ('{"temp": 1.5} junk', None, None, None, None),
+    ('{"temp": 1.5, "temp": 2.5}', 2.5, 2.5, True, None), ('{"a": 1}', None, 0.0, False, None), ('{"temp": null}', None, None, True, None),
+    ('{"temp": "2.25"}', 2.25, 2.25, True, None), ('{"temp": "abc"}', None, None, True, None), ("[1]", None, None, False, None),
+    ("1", None, None, False, None), ('"s"', None, None, False, None), ("", None, None, None, None), (None, None, None, None, None),
+    ('{"temp": 1.5', None, None, None, None), (' {"temp": 1}\n', 1.0, 1.0, True, None), ('{"temp": 1}{"temp": 2}', None, None, None, None),
+    ('{"temp": 1}, 5', None, None, None, None), ('{"temp": 1}] x', None, None, None, None), ("{'temp': 1}", None, None, None, None),
+    ('{"o": {"temp": 1}, "temp": 2}', 2.0, 2.0, True, None), ('{"temp": [1]}', None, None, True, None), ('{"te\\u006dp": 3}', 3.0, 3.0, True, None),
+]
+
+
+def test_strict_documents(spark):
+    from gridpulse.functions.jsonx import document_has, document_number, document_text, keep_last_of_repeated_keys, with_document
+
+    keep_last_of_repeated_keys(spark)
+    df = spark.createDataFrame([(i, r[0]) for i, r in enumerate(STRICT)], "i int, s string")
+    got = with_document(df, "s", "d").orderBy("i").select(document_number("d", "temp"), document_number("d", "temp", default=0.0),
+                                                          document_has("d", "temp"), document_text("d", "municipality")).collect()
+    assert [tuple(r) for r in got] == [r[1:] for r in STRICT]
+    plan = with_document(df, "s", "d").select(document_number("d", "temp"), document_text("d", "municipality"))
+    assert plan._jdf.queryExecution().executedPlan().toString().count("parseJson") == 1

@@ -117,3 +117,11 @@ def test_many_boxes_need_no_cartesian_product(spark):
             assert not re.search("CartesianProduct|NestedLoop", _plan(df))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_weather_map_reads_its_input_twice(spark):
+    """Once for the statistics, whose table of values is shared, and once for the rows."""
+    df = entry.QUERIES["json_property_zscore"](spark, SF_SMALL)
+    df.collect()
+    final = final_plan(df._jdf.queryExecution().executedPlan().toString())
+    assert final.count("FileScan parquet") == 2 and "ReusedExchange" in final
