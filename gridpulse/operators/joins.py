@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-__all__ = ["left_join_keep_first", "semi_join_values", "reverse_lookup"]
+from gridpulse.functions.scalars import ts_literal
+
+__all__ = ["left_join_keep_first", "semi_join_values", "series_with_hour", "reverse_lookup"]
+
 
 def left_join_keep_first(left: DataFrame, right: DataFrame, on: str,
                          suffix: str = "_from_right", fill_from_right: bool = False) -> DataFrame:
@@ -29,6 +34,16 @@ def semi_join_values(df: DataFrame, column: str, allowed: DataFrame, allowed_col
     return df.join(allowed, df[column] == allowed[allowed_col], "left_semi")
 
 
+def series_with_hour(df: DataFrame, keys, ts: str, hour) -> DataFrame:
+    """Rows of the series that have a row at exactly ``hour`` (left semi join on the
+    keys, NULL keys are a series too). The hour is a filter on the inner scan; where
+    the rows are many and the series few, Spark adds its Bloom filter of the keys
+    to the outer scan."""
+    found = df.where(F.col(ts) == ts_literal(hour)).select(*[F.col(k).alias(f"_h_{k}") for k in keys]).distinct()
+    same = [df[k].eqNullSafe(found[f"_h_{k}"]) for k in keys]
+    return df.join(found, reduce(lambda a, b: a & b, same), "left_semi")
+
+
 def reverse_lookup(names: DataFrame, name_col: str, dim: DataFrame, dim_name: str,
                    dim_code: str, out: str = "code") -> DataFrame:
     """Name -> code through the dimension; unmatched names get NULL."""

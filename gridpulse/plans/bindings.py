@@ -8,25 +8,30 @@ the end, so results compare exactly with the SQL oracle.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridpulse.functions.jsonx import replace_exact
-from gridpulse.functions.scalars import fmt2, floor_ntz
+from gridpulse.functions.scalars import day_number_to_date, first_set, floor_ntz, fmt2
 from gridpulse.operators.aggregate import day_totals, first_non_null, zero_filled
 from gridpulse.operators.clean import null_profile
 from gridpulse.operators.exchange import (country_dim, daily_cumulative, neighbour_trade_literal,
                                           neighbour_utilisation,
                                           net_locations, zone_country_exchange, zone_share,
                                           country_share, zone_summaries)
-from gridpulse.operators.joins import reverse_lookup
+from gridpulse.operators.joins import left_join_keep_first, reverse_lookup, semi_join_values, series_with_hour
+from gridpulse.operators.scale import group_rescale
 from gridpulse.operators.series import smooth
 from gridpulse.operators.weather import property_day_zscore, station_property
 from gridpulse.plans import dashboard as Q
 from gridpulse.plans import standins as S
 from gridpulse.operators.spatial import any_box_exists, locate_points, points_in_boxes
 from gridpulse.sources.dims import CLOSED_BOUNDS, PRODUCTION_COLUMNS, bounds_frame, trade_roles_frame
-from gridpulse.sources.readers import typed_production
+from gridpulse.session import scratch_path
+from gridpulse.sources.readers import (normalise_columns, read_documents, save_hourly, split_documents, typed_municipalities,
+                                       typed_production)
 
 __all__ = ["QUERIES"]
 
@@ -375,6 +380,69 @@ def first_rows(spark: SparkSession, sf: str) -> DataFrame:
                                                     r4("o_totalprice").alias("o_totalprice"))
 
 
+# --- sources: documents and catalog tables ----------------------------------------------
+
+def document_load(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC6, PRJ1, PRJ3, STR1: documents written as lines, read with a fixed schema;
+    good rows typed, spoiled lines kept as text."""
+    path = scratch_path(spark, "documents")
+    S.municipality_lines(S.table(spark, sf, "customer")).write.text(path)
+    good, bad = split_documents(read_documents(spark, path, corrupt="_bad"), "_bad")
+    good = normalise_columns(typed_municipalities(good))
+    cols = ["lau_1_code_1", "municipality", "region", "total_area_km2", "latitude", "powerregion"]
+    good = good.withColumnRenamed("power_region", "powerregion").select(*cols, F.lit(None).cast("string").alias("text"))
+    bad = bad.select(*[F.lit(None).cast(good.schema[c].dataType).alias(c) for c in cols], F.col("_bad").alias("text"))
+    return good.unionByName(bad)
+
+
+def catalog_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC1, SRC5, JN2, AGG2 over catalog tables: production by month and bucket, the
+    dimension by bucket; the months come from a calendar."""
+    tag = uuid.uuid4().hex[:8]
+    hourly = S.hourly_production(_ev(spark, sf)).select("hour_utc", "municipality_number", "click")
+    prod = save_hourly(hourly, f"gp_production_{tag}", scratch_path(spark, "production"), "municipality_number", "hour_utc", buckets=8)
+    dim = save_hourly(S.table(spark, sf, "customer").select(F.col("c_custkey").cast("int").alias("municipality_number"), "c_name"),
+                      f"gp_dimension_{tag}", scratch_path(spark, "dimension"), "municipality_number", buckets=8)
+    return catalog_plan(spark, prod, dim)
+
+
+def catalog_plan(spark: SparkSession, prod: DataFrame, dim: DataFrame, quarter: int = 1) -> DataFrame:
+    """Totals of one quarter for every row of the dimension."""
+    months = spark.createDataFrame([(f"2024-{m:02d}", (m + 2) // 3) for m in range(1, 13)], "cal_month string, quarter int")
+    rows = prod.join(F.broadcast(months.where(F.col("quarter") == quarter)), F.col("month") == F.col("cal_month"))
+    totals = rows.groupBy("municipality_number").agg(F.sum("click").alias("total_mwh"), F.count("click").alias("n_hours"))
+    out = zero_filled(dim, "municipality_number", totals, "municipality_number", ["total_mwh", "n_hours"])
+    return out.select("municipality_number", "c_name", r4("total_mwh").alias("total_mwh"), "n_hours")
+
+
+def series_at_hour(spark: SparkSession, sf: str) -> DataFrame:
+    """FLT11, JN9, JN4: rows of the series that have the selected hour, of stations
+    named in a frame."""
+    hourly = S.hourly_production(_ev(spark, sf))
+    some = series_with_hour(hourly.select("hour_utc", "municipality_number", "click", "view"), ["municipality_number"], "hour_utc", S.SELECTED_HOUR)
+    named = S.table(spark, sf, "customer").where(F.col("c_acctbal") > 0).select("c_custkey")
+    out = semi_join_values(some, "municipality_number", named, "c_custkey")
+    return out.select("hour_utc", "municipality_number", r4("click").alias("click"), r4("view").alias("view"))
+
+
+def slider_views(spark: SparkSession, sf: str) -> DataFrame:
+    """DT4, DT5, CND1, PRJ4, AGG7, AGG8, WIN3, FLT12: every day of the slider with its date,
+    the view that is active, the trade to the day and to a year end inside the data,
+    scaled over all rows; a fallback column of a colliding name."""
+    marks = Q.calendar_marks(_ev(spark, sf), "ts").select("day_number")
+    marks = marks.select("day_number", day_number_to_date("day_number", S.BASE_DAY).alias("day"), day_number_to_date(F.col("day_number") + 1, S.BASE_DAY).alias("map_day"))
+    daily = daily_cumulative(_prodcon(spark, sf), _countries(spark)).where("country = 'Norway'").select("day", "cum_import", "day_import")
+    end = _prodcon(spark, sf).where(F.to_date("hour_utc") <= F.lit(S.SHORT_YEAR_END)).agg(F.sum(F.least("exchangeno_mwh", F.lit(0))).alias("year_import"))
+    out = left_join_keep_first(marks.withColumn("cum_import", F.when(F.col("day_number") % 2 == 0, F.lit(0).cast("decimal(38,2)"))), daily, "day", fill_from_right=True)
+    out = out.join(F.broadcast(end))  # one row
+    out = group_rescale(out.withColumn("size", F.abs("day_import").cast("double")), [], "size", out="scale", out_lo=0.3, out_hi=1.0)
+    none = out.where(F.lit(False))  # an empty selection keeps the schema
+    out = out.unionByName(none)
+    mode = first_set([(F.col("day_number") % 3 == 0, "production"), (F.col("day_number") % 3 == 1, "consumption")], "import_export")
+    return out.select("day_number", "day", "map_day", mode.alias("active_mode"), r4("cum_import").alias("cum_import"),
+                      r4("year_import").alias("year_import"), r4("scale").alias("scale"))
+
+
 def first_order(spark: SparkSession, sf: str) -> DataFrame:
     """ORD3: each customer's first order by date, then key."""
     o = S.table(spark, sf, "orders")
@@ -414,6 +482,10 @@ QUERIES = {
     "region_by_priority": region_by_priority,
     "calendar_marks": calendar_marks,
     "name_lookup": name_lookup,
+    "document_load": document_load,
+    "catalog_totals": catalog_totals,
+    "series_at_hour": series_at_hour,
+    "slider_views": slider_views,
     "first_rows": first_rows,
     "first_order": first_order,
 }

@@ -18,7 +18,7 @@ from gridpulse.functions.scalars import (fill_template, floor_ntz, fmt2, iso_hou
                                          marker_size, month_day_label, ts_literal)
 from gridpulse.functions.jsonx import replace_exact
 from gridpulse.operators.aggregate import day_totals, first_non_null, zero_filled
-from gridpulse.operators.clean import parse_time_window
+from gridpulse.operators.clean import parse_time_window, require_columns
 from gridpulse.operators.impute import fill_gaps
 from gridpulse.operators.joins import left_join_keep_first, reverse_lookup
 from gridpulse.operators.scale import running_rescale
@@ -69,6 +69,7 @@ def production_map(production: DataFrame, dim: DataFrame, day, measure: str,
                    size_factor: float = PRODUCTION_SIZE_FACTOR) -> DataFrame:
     """Q2: every dimension row with its day total of ``measure`` (0 if none),
     marker size, running colour scale in key order and label."""
+    require_columns(production, [code, ts, measure])
     palette = PRODUCTION_PALETTES.get(measure, PRODUCTION_PALETTE_DEFAULT)
     totals = day_totals(production, [code], ts, measure, day, out="total_mwh")
     keep = [dim_key] + ([dim_label] if dim_label else [])
@@ -128,6 +129,7 @@ def hourly_series(df: DataFrame, keys, ts: str, value: str, selected=None,
     ``max_points`` is the most rows that a series can have, if the caller knows it
     (``HOURS_OF_A_YEAR`` for one calendar year of hourly rows)."""
     keys = list(keys)
+    require_columns(df, [*keys, ts, value])
     if names is not None:
         codes = reverse_lookup(names, name_col, dim, dim_name, dim_code, out="_code") \
             .filter(F.col("_code").isNotNull()).select("_code").distinct()

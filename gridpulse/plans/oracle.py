@@ -548,6 +548,50 @@ g AS (SELECT name, count(*) AS n_customers FROM named GROUP BY name)
 SELECT g.name, n.n_nationkey AS code, g.n_customers FROM g LEFT JOIN nation n ON g.name = n.n_name
 """
 
+DOCUMENT_LOAD = """
+WITH c AS (SELECT c_custkey AS k, c_custkey % 10 AS kind, c_name, c_mktsegment FROM customer),
+t AS (SELECT *, '{"LAU-1 code 1": "' || CASE WHEN kind = 3 THEN 'x' ELSE '' END || k || '", "Municipality": "' || c_name
+             || CASE WHEN kind = 2 THEN '' ELSE '", "Region": "' || c_mktsegment END || '", "Total Area (km²)": ' || k
+             || ', "Latitude": ' || CASE WHEN kind = 1 THEN '"north"' ELSE '55.5' END || ', "not asked for": [1, 2], "PowerRegion": "DK1"}' AS line FROM c)
+SELECT CASE WHEN kind NOT IN (0, 1, 3) THEN CAST(k AS INTEGER) END AS lau_1_code_1, CASE WHEN kind > 1 THEN c_name END AS municipality,
+  CASE WHEN kind > 2 THEN c_mktsegment END AS region, CASE WHEN kind > 1 THEN CAST(k AS DOUBLE) END AS total_area_km2,
+  CASE WHEN kind > 1 THEN 55.5::DOUBLE END AS latitude, CASE WHEN kind > 1 THEN 'DK1' END AS powerregion,
+  CASE WHEN kind = 0 THEN substr(line, 1, length(line) - 9) WHEN kind = 1 THEN line END AS text
+FROM t
+"""
+
+CATALOG_TOTALS = f"""
+WITH {PROD},
+t AS (SELECT municipality_number, sum(click) AS total, count(click) AS n FROM prod
+      WHERE hour_utc >= TIMESTAMP '2024-01-01' AND hour_utc < TIMESTAMP '2024-04-01' GROUP BY 1)
+SELECT CAST(c_custkey AS INTEGER) AS municipality_number, c_name, {_r('coalesce(total, 0)')} AS total_mwh, coalesce(n, 0) AS n_hours
+FROM customer LEFT JOIN t ON c_custkey = municipality_number
+"""
+
+SERIES_AT_HOUR = f"""
+WITH {PROD}
+SELECT hour_utc, municipality_number, {_r('click')} AS click, {_r('view')} AS view FROM prod
+WHERE municipality_number IN (SELECT municipality_number FROM prod WHERE hour_utc = TIMESTAMP '2024-01-15 00:00:00')
+  AND municipality_number IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)
+"""
+
+SLIDER_VIEWS = f"""
+WITH {PC},
+b AS (SELECT min(CAST(ts AS DATE)) AS lo, max(CAST(ts AS DATE)) AS hi FROM events),
+m AS (SELECT unnest(range(1, CAST(hi - lo AS BIGINT) + 2)) AS n FROM b),
+d AS (SELECT CAST(hour_utc AS DATE) AS day, sum(CASE WHEN exchangeno_mwh < 0 THEN exchangeno_mwh ELSE 0 END) AS imp,
+             count(exchangeno_mwh) AS n_some FROM pc GROUP BY 1),
+c AS (SELECT day, imp, sum(imp) OVER (ORDER BY day) AS cum FROM d WHERE n_some > 0),
+o AS (SELECT CAST(n AS INTEGER) AS day_number, CAST(DATE '2024-01-01' + CAST(n - 1 AS INTEGER) AS DATE) AS day,
+             CAST(DATE '2024-01-01' + CAST(n AS INTEGER) AS DATE) AS map_day, n FROM m),
+y AS (SELECT sum(least(exchangeno_mwh, 0)) AS year_import FROM pc WHERE CAST(hour_utc AS DATE) <= DATE '2024-01-20'),
+j AS (SELECT o.*, CASE WHEN n % 2 = 0 THEN 0 ELSE cum END AS cum_import, CAST(abs(imp) AS DOUBLE) AS size FROM o LEFT JOIN c USING (day)),
+g AS (SELECT min(size) AS lo, max(size) AS hi FROM j)
+SELECT day_number, day, map_day, CASE n % 3 WHEN 0 THEN 'production' WHEN 1 THEN 'consumption' ELSE 'import_export' END AS active_mode,
+  {_r('cum_import')} AS cum_import, {_r('year_import')} AS year_import, {_r(_rescale('size', 'g.lo', 'g.hi', 0.3, 1.0))} AS scale
+FROM j, g, y
+"""
+
 FIRST_ROWS = """
 SELECT o_orderkey, o_custkey, o_orderdate, round(o_totalprice, 4) AS o_totalprice
 FROM orders ORDER BY o_orderkey LIMIT 98
@@ -590,6 +634,10 @@ _RAW = {
     "weather_documents": WEATHER_DOCUMENTS,
     "calendar_marks": CALENDAR_MARKS,
     "name_lookup": NAME_LOOKUP,
+    "document_load": DOCUMENT_LOAD,
+    "catalog_totals": CATALOG_TOTALS,
+    "series_at_hour": SERIES_AT_HOUR,
+    "slider_views": SLIDER_VIEWS,
     "first_rows": FIRST_ROWS,
     "first_order": FIRST_ORDER,
 }

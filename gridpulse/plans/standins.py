@@ -137,6 +137,20 @@ def customer_boxes(cust: DataFrame) -> DataFrame:
                        (lat - h).alias("lat_lo"), F.when(k % 150 != 0, lat + h).alias("lat_hi"))
 
 
+def municipality_lines(cust: DataFrame) -> DataFrame:
+    """Municipality documents of the customers as lines of JSON. By the key modulo
+    10 some are spoiled: 0 is cut short, 1 has text for a number, 2 lacks a field,
+    3 has no number as its code."""
+    k = F.col("c_custkey")
+    kind, number = k % 10, k.cast("string")
+    text = F.concat(F.lit('{"LAU-1 code 1": "'), F.when(kind == 3, F.lit("x")).otherwise(F.lit("")), number, F.lit('", "Municipality": "'), "c_name",
+                    F.when(kind == 2, F.lit("")).otherwise(F.concat(F.lit('", "Region": "'), "c_mktsegment")),
+                    F.lit('", "Total Area (km²)": '), number, F.lit(', "Latitude": '), F.when(kind == 1, F.lit('"north"')).otherwise(F.lit("55.5")),
+                    F.lit(', "not asked for": [1, 2], "PowerRegion": "DK1"}'))
+    lines = cust.select(kind.alias("kind"), text.alias("line"))
+    return lines.select(F.when(F.col("kind") == 0, F.expr("substring(line, 1, length(line) - 9)")).otherwise(F.col("line")).alias("value"))
+
+
 AREAS = [(1, "DK1"), (2, "DK2")]  # codes and names of the two areas
 
 
@@ -177,6 +191,8 @@ def event_points(ev: DataFrame) -> DataFrame:
 
 DAY = _dt.date(2024, 1, 2)          # base + 1 day, the map's day
 SLIDER_DAY = _dt.date(2024, 1, 15)  # slider position for cumulative views
+BASE_DAY = "2024-01-01"             # day 1 of the slider
+SHORT_YEAR_END = _dt.date(2024, 1, 20)  # a year end inside the data
 YEAR_END = _dt.date(2024, 12, 31)
 SELECTED_HOUR = _dt.datetime(2024, 1, 15, 0, 0, 0)
 CLEAN_LO, CLEAN_HI = "2024-01-03 00:00:00", "2024-01-27 23:59:59"

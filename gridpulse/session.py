@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +54,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared checkpoint folder, for a table that a query
+    writes and reads; who owns the checkpoint folder clears it."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def materialize(df):
     """Cut the lineage of a frame used by several later passes: a reliable
     checkpoint written to the shared ``spark.checkpoint.dir`` (survives the

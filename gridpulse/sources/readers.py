@@ -17,7 +17,7 @@ from gridpulse.functions.scalars import lenient_timestamp, nan_to_null
 from gridpulse.sources.dims import EXCHANGE_COLUMNS, PRODUCTION_COLUMNS
 
 __all__ = [
-    "read_table", "read_documents", "normalise_columns", "snake_columns",
+    "read_table", "read_documents", "split_documents", "save_hourly", "normalise_columns", "snake_columns",
     "typed_production", "typed_consumption", "typed_prodcon", "typed_weather",
     "typed_municipalities", "MUNICIPALITY_DOC_SCHEMA", "MUNICIPALITY_FIELDS", "write_table",
 ]
@@ -59,10 +59,40 @@ MUNICIPALITY_DOC_SCHEMA = (
 
 
 def read_documents(spark: SparkSession, path: str, fields=MUNICIPALITY_FIELDS,
-                   schema: str = MUNICIPALITY_DOC_SCHEMA) -> DataFrame:
-    """Document scan (JSON lines) with an inclusion projection and a fixed schema."""
-    df = spark.read.schema(schema).json(path)
-    return df.select(*[F.col(f"`{f}`") for f in fields])
+                   schema: str = MUNICIPALITY_DOC_SCHEMA, corrupt: str | None = None) -> DataFrame:
+    """Document scan (JSON lines) with an inclusion projection and a fixed schema.
+
+    With ``corrupt`` the text of a line that is no such document (cut short, or a
+    field of another type) stands in a column of that name, NULL for good lines."""
+    if corrupt is None:
+        return spark.read.schema(schema).json(path).select(*[F.col(f"`{f}`") for f in fields])
+    # Spark's file reader will not give the spoiled lines alone, so lines are read as text.
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
+    parsed = lines.select(F.from_json("value", f"{schema}, `{corrupt}` string", options).alias("d"))
+    return parsed.select(*[F.col(f"d.`{f}`") for f in [*fields, corrupt]])
+
+
+def split_documents(docs: DataFrame, corrupt: str) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) rows of a scan with a corrupt column: the documents without
+    that column, and the texts of the rest with what their fields gave."""
+    return docs.where(F.col(corrupt).isNull()).drop(corrupt), docs.where(F.col(corrupt).isNotNull())
+
+
+def save_hourly(df: DataFrame, table: str, path: str, key: str, ts: str | None = None, buckets: int = 64,
+                month: str = "month") -> DataFrame:
+    """Write a catalog table bucketed and sorted by ``key`` (and by ``ts``,
+    partitioned by its calendar month, if given) and scan it. Joins and
+    aggregations of such tables on ``key`` need no exchange if their numbers of
+    buckets are equal, and a filter or join on the month prunes partitions."""
+    if ts is not None:
+        df = df.withColumn(month, F.date_format(F.to_date(ts), "yyyy-MM"))
+    # a bucket of a month is one file: rows are dealt once, as they are stored
+    writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet").option("path", path)
+    if ts is not None:
+        writer = writer.partitionBy(month)
+    writer.bucketBy(buckets, key).sortBy(key, *([ts] if ts else [])).saveAsTable(table)
+    return df.sparkSession.table(table)
 
 
 def normalise_columns(df: DataFrame) -> DataFrame:

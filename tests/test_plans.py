@@ -1,6 +1,7 @@
 """Plan-shape checks: pushdown, pruning, no driver round trips."""
 
 import os
+import datetime as dt
 import re
 
 import pytest
@@ -125,3 +126,54 @@ def test_weather_map_reads_its_input_twice(spark):
     df.collect()
     final = final_plan(df._jdf.queryExecution().executedPlan().toString())
     assert final.count("FileScan parquet") == 2 and "ReusedExchange" in final
+
+
+def test_catalog_tables_join_without_an_exchange_and_prune_months(spark, tmp_path):
+    from gridpulse.plans.bindings import catalog_plan
+    from gridpulse.sources.readers import save_hourly
+
+    rows = spark.range(20_000).selectExpr("cast(id % 50 as int) municipality_number", "cast(id as decimal(18,2)) click",
+                                          "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(id % 300 as int)) hour_utc")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        prod = save_hourly(rows, "t_production", f"{tmp_path}/p", "municipality_number", "hour_utc", buckets=4)
+        dim = save_hourly(spark.range(60).selectExpr("cast(id as int) municipality_number", "cast(id as string) c_name"),
+                          "t_dimension", f"{tmp_path}/d", "municipality_number", buckets=4)
+        df = catalog_plan(spark, prod, dim)
+        got = {r.municipality_number: (float(r.total_mwh), r.n_hours) for r in df.collect()}
+        final = final_plan(df._jdf.queryExecution().executedPlan().toString())
+        assert "Exchange hashpartitioning" not in final, final  # neither below the join nor for the sums
+        assert "dynamicpruning" in final and "Bucketed: true" in final
+        files = [f for d in (tmp_path / "p").iterdir() if d.is_dir() for f in d.iterdir() if f.name.startswith("part-")]
+        assert len(files) <= 4 * 10  # a file a bucket and month
+        read = re.search(r"numFiles|PartitionFilters: \[[^\]]*month", final)
+        assert read
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("drop table if exists t_production")
+        spark.sql("drop table if exists t_dimension")
+    want = {}
+    for i in range(20_000):
+        if i % 300 < 91:
+            t, n = want.get(i % 50, (0, 0))
+            want[i % 50] = (t + i, n + 1)
+    assert got == {k: want.get(k, (0.0, 0)) for k in range(60)}
+
+
+def test_series_filter_reaches_the_fact_scan_as_a_bloom_filter(spark, tmp_path):
+    from gridpulse.operators.joins import series_with_hour
+
+    spark.range(50_000).selectExpr("id % 500 k", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(id % 500 + id div 500 as int)) t", "id v") \
+        .write.parquet(f"{tmp_path}/facts")
+    conf = {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = series_with_hour(spark.read.parquet(f"{tmp_path}/facts"), ["k"], "t", dt.datetime(2024, 1, 1, 7))
+        n = df.count()
+        df.collect()
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert n == 8 * 100 and "might_contain" in plan

@@ -46,3 +46,36 @@ def test_typed_json_and_sink(spark):
     write_table(data, out, partition_by=["month"])
     assert {"month=2022-01", "month=2022-02"} <= set(os.listdir(out))
     assert spark.read.parquet(out).count() == 2
+
+
+def test_spoiled_documents_are_kept_as_text(spark, tmp_path):
+    from gridpulse.sources.readers import read_documents, split_documents, typed_municipalities
+
+    lines = ['{"LAU-1 code 1": "1", "Municipality": "A", "Latitude": 5, "more": {"x": 1}}', '{"LAU-1 code 1": "2", "Muni', "", "not json",
+             '{"LAU-1 code 1": "x", "Latitude": 1.5}', '{"LAU-1 code 1": "3", "Latitude": "north"}', "{}", "  "]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{tmp_path}/d")
+    good, bad = split_documents(read_documents(spark, f"{tmp_path}/d", corrupt="bad"), "bad")
+    assert {r["bad"] for r in rows(bad)} == {lines[1], lines[3], lines[5]} and bad.select("bad").count() == 3
+    got = {(r["lau_1_code_1"], r["municipality"], r["latitude"]) for r in rows(typed_municipalities(good))}
+    assert got == {(1, "A", 5.0), (None, None, 1.5), (None, None, None)} and good.count() == 3
+
+
+def test_missing_measure_is_an_error(spark):
+    import pytest
+
+    from gridpulse.plans.dashboard import hourly_series, production_map
+
+    df = spark.createDataFrame([(1, 2.0)], "municipality_number int, solar_power_mwh double")
+    for call in (lambda: production_map(df, df, "2022-01-01", "no_such"), lambda: hourly_series(df, ["municipality_number"], "hour_utc", "no_such")):
+        with pytest.raises(ValueError, match="no_such"):
+            call()
+
+
+def test_series_with_hour_keeps_null_keys(spark):
+    import datetime as dt
+
+    from gridpulse.operators.joins import series_with_hour
+
+    t = [dt.datetime(2024, 1, 1, h) for h in range(3)]
+    df = spark.createDataFrame([("a", t[0]), ("a", t[1]), ("b", t[1]), (None, t[0]), (None, t[2])], "k string, t timestamp_ntz")
+    assert sorted((str(r["k"]), r["t"].hour) for r in rows(series_with_hour(df, ["k"], "t", t[0]))) == [("None", 0), ("None", 2), ("a", 0), ("a", 1)]
