@@ -39,7 +39,7 @@ def series_with_hour(df: DataFrame, keys, ts: str, hour) -> DataFrame:
     keys, NULL keys are a series too). The hour is a filter on the inner scan; where
     the rows are many and the series few, Spark adds its Bloom filter of the keys
     to the outer scan."""
-    found = df.where(F.col(ts) == ts_literal(hour)).select(*[F.col(k).alias(f"_h_{k}") for k in keys]).distinct()
+    found = df.where(F.col(ts) == ts_literal(hour)).select(*[F.col(k).alias(f"_h_{k}") for k in keys])
     same = [df[k].eqNullSafe(found[f"_h_{k}"]) for k in keys]
     return df.join(found, reduce(lambda a, b: a & b, same), "left_semi")
 
