@@ -119,7 +119,7 @@ WITH w AS (
 ), vc AS (
   SELECT w, n FROM wc UNION ALL SELECT '<s>', count(*) FROM w WHERE len(w) > 1
 ), s AS (
-  SELECT p.doc_id, count(*) AS n, sum(CASE WHEN pc.n >= 2 THEN ln(pc.n) - ln(vc.n)
+  SELECT p.doc_id, count(*) AS n, sum(CASE WHEN pc.n >= 1 THEN ln(pc.n) - ln(vc.n)
     ELSE ln(0.4) - ln((SELECT count(*) FROM p)) + ln(wc.n) END) AS score
   FROM p JOIN pc ON pc.v = p.v AND pc.w = p.w JOIN wc ON wc.w = p.w JOIN vc ON vc.w = p.v GROUP BY p.doc_id
 )

@@ -181,21 +181,36 @@ def test_search_against_brute_force(spark):
 
 # --- 4 ---
 
-@pytest.mark.parametrize("heads", [{}, {"head_words": 2, "head_pairs": 0}, {"head_words": 5, "head_pairs": 3}])
-def test_backoff_against_brute_force(spark, heads):
-    rng = random.Random(2)
-    docs = [(i, " ".join(rng.choice("aa bb cc dd ee ff".split()[:rng.randint(1, 6)]) for _ in range(rng.randint(0, 25)))) for i in range(12)]
-    pairs = {i: list(zip(["<s>", *t.split()], t.split())) for i, t in docs}
-    both, one, first = Counter(), Counter(), Counter()
-    for p in pairs.values():
-        both.update(p)
-        one.update(w for _, w in p)
-        first["<s>"] += bool(p)
-    n = sum(one.values())
-    want = {i: sum(math.log(both[p] / (one[p[0]] or first[p[0]])) if both[p] > 1 else math.log(0.4 * one[p[1]] / n) for p in ps)
-            for i, ps in pairs.items()}
-    got = backoff.score_documents(spark.createDataFrame(docs, "doc_id long, text string"), **heads).collect()
-    assert {r.doc_id: r.n_tokens for r in got} == {i: len(p) for i, p in pairs.items()}
+def brute_backoff(docs, order, least, alpha=0.4):
+    """Sums of log scores by the definition, n-gram for n-gram."""
+    texts = [(i, ["<s>", *(t or "").lower().split()]) for i, t in docs]
+    texts = [(i, w if len(w) > 1 else []) for i, w in texts]
+    counts = Counter(tuple(w[j:j + k]) for _, w in texts for k in range(1, order + 1) for j in range(len(w) - k + 1))
+    n = sum(len(w) - 1 for _, w in texts if w)
+    out = defaultdict(float)
+    for i, w in texts:
+        out[i] += 0.0
+        for j in range(1, len(w)):
+            k, factor = min(order, j + 1), 1.0
+            while k > 1 and counts[tuple(w[j - k + 1:j + 1])] < least:
+                k, factor = k - 1, factor * alpha
+            gram = tuple(w[j - k + 1:j + 1])
+            out[i] += math.log(factor * counts[gram] / (counts[gram[:-1]] if k > 1 else n))
+    return out
+
+
+@pytest.mark.parametrize("order,least,size", [(2, 1, 16 << 20), (2, 2, 16 << 20), (2, 2, 40), (3, 1, 60), (3, 2, 1), (3, 3, 200), (1, 1, 50)])
+def test_backoff_against_brute_force(spark, order, least, size):
+    rng = random.Random(order + least)
+    docs = [(i, " ".join(rng.choice("aa bb cc dd ee ff".split()[:rng.randint(1, 6)]) for _ in range(rng.randint(0, 25)))) for i in range(40)]
+    docs += [(7, "aa zz"), (None, "aa bb"), (None, None), (8, "hot " * 300)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = backoff.score_documents(frame, min_count=least, order=order, slice_bytes=size, part_bytes=max(1, size // 4) if size < 1000 else 32 << 20).collect()
+    want = brute_backoff(docs, order, least)
+    lengths = Counter()
+    for i, t in docs:
+        lengths[i] += len((t or "").split())
+    assert {r.doc_id: r.n_tokens for r in got} == dict(lengths)
     assert all(math.isclose(r.score, want[r.doc_id], abs_tol=1e-9) for r in got)
 
 
