@@ -66,13 +66,20 @@ def in_time_range(ts, lo, hi) -> Column:
 
 def parse_timestamp(text, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
     """Strict pattern parse straight to TIMESTAMP_NTZ (the wall clock, in any
-    session zone); malformed text gives NULL. ``try_to_timestamp`` only
-    validates, so the ANSI parse below never sees bad text."""
+    session zone); malformed text gives NULL. Text of the fixed pattern's shape is
+    cast; for other patterns ``try_to_timestamp`` only validates, so that the ANSI
+    parse never sees bad text."""
     t = col_of(text)
+    if pattern == FIXED_PATTERN:
+        return F.when(F.regexp_like(t, F.lit(FIXED_SHAPE)), t.try_cast("timestamp_ntz"))
     return F.when(F.try_to_timestamp(t, F.lit(pattern)).isNotNull(),
                   F.to_timestamp_ntz(t, F.lit(pattern)))
 
 
+FIXED_PATTERN = "yyyy-MM-dd HH:mm:ss"
+FIXED_SHAPE = r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z"
+
+
 ZONE_SUFFIX = r"(Z|[+-]\d{2}:?\d{2}|[+-]\d{2})\s*$"
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse.functions.jsonx import replace_exact
-from gridpulse.functions.scalars import in_time_range, parse_timestamp
+from gridpulse.functions.scalars import FIXED_PATTERN, in_time_range, parse_timestamp
 
 __all__ = [
     "require_columns", "parse_time_window", "drop_incomplete", "replace_values",
@@ -28,20 +28,17 @@ def parse_time_window(df: DataFrame, text_col: str, lo: str, hi: str,
     Unparsable text becomes NULL and so fails the range test.
     """
     out_col = out_col or text_col
-    text = F.col(text_col)
+    text, parsed = F.col(text_col), "__gp_parsed"
+    kept = df.filter(text.isNotNull())
+    told = kept.withColumn(parsed, parse_timestamp(text_col, pattern))
     if pattern == FIXED_PATTERN and _fixed(lo) and _fixed(hi):
         # The strict parse accepts only zero-padded 19-character text, whose
         # lexicographic order is time order: the range test runs on the text
-        # itself (pushed to the scan) and the parse only rejects bad text.
-        kept = df.filter(text.isNotNull() & (text >= F.lit(lo)) & (text <= F.lit(hi))
-                         & parse_timestamp(text_col, pattern).isNotNull())
-        return kept.withColumn(out_col, parse_timestamp(text_col, pattern))
-    parsed = (df.filter(text.isNotNull())
-                .withColumn(out_col, parse_timestamp(text_col, pattern)))
-    return parsed.filter(in_time_range(out_col, lo, hi))
-
-
-FIXED_PATTERN = "yyyy-MM-dd HH:mm:ss"
+        # itself, in the scan, and the parse only rejects bad text.
+        told = told.filter((text >= F.lit(lo)) & (text <= F.lit(hi)) & F.col(parsed).isNotNull())
+    else:
+        told = told.filter(in_time_range(parsed, lo, hi))
+    return told.withColumn(out_col, F.col(parsed)).drop(parsed)
 
 
 def _fixed(bound) -> bool:

@@ -18,40 +18,50 @@ from pyspark.sql import functions as F
 
 from gridpulse.functions.scalars import col_of, floor_ntz
 
-__all__ = ["with_cells", "with_chunks", "series_positions", "running_extrema", "null_safe_join", "CELL"]
+__all__ = ["with_cells", "with_chunks", "splitters", "series_positions", "running_extrema", "null_safe_join", "CELL"]
 
 PREFIX = "__gp_"
 CELL = PREFIX + "cell"
-NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
-
-
-def _type(df: DataFrame, expr: Column) -> str:
-    return df.select(expr).dtypes[0][1].split("(")[0]
-
-
-def _as_number(expr: Column, kind: str) -> Column:
-    """A number that orders like the value: itself, or the first seven bytes of
-    a text (equal for texts that share them)."""
-    if kind in NUMERIC:
-        return expr.cast("double")
-    head = F.rpad(F.substring(F.hex(expr.cast("string").cast("binary")), 1, 14), 14, "0")
-    return F.conv(head, 16, 10).cast("double")
-
-
-def with_chunks(df: DataFrame, order, out: str, target: int = 128) -> DataFrame:
-    """Add chunks for an order without given ones: calendar months of a time, or
-    contiguous ranges of a number or text with about equal row counts. The
-    bounds of the ranges are approximate quantiles, read as a scalar subquery,
-    so that an outlying key does not stretch them."""
-    first = col_of(order)
-    kind = _type(df, first)
-    if kind in ("timestamp_ntz", "timestamp", "date"):
+SAMPLE = 1 << 14  # keys that the splitters are chosen from, and the most cells
+FAN = 128  # splitters below one head
+CELL_ROWS = 1024  # rows that a cell should have
+
+
+def splitters(df: DataFrame, order, sample: int = SAMPLE, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """One row (heads, splitters): keys that cut the rows into ranges of about equal
+    counts, about one for ``cell_rows`` rows, at most ``sample``.
+
+    The sample has the row of the least hash of each of ``sample`` hash buckets, a
+    partial aggregation of a fixed size. It holds whole keys, so that texts with one
+    long prefix are told apart, and does not depend on how the rows are dealt."""
+    hashed = F.xxhash64("k")
+    picked = (df.select(F.struct(*[col_of(o).alias(f"o{i}") for i, o in enumerate(order)]).alias("k"))
+              .groupBy(F.pmod(hashed, F.lit(sample)).alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.min_by("k", F.struct(hashed, "k")).alias("k")))
+    keys = picked.agg(F.sort_array(F.collect_list("k")).alias("keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    m, cells = F.size("keys"), F.col("cells")
+    keys = keys.withColumn("cells", F.least(m.cast("long"), F.ceil(F.col("n") / F.lit(cell_rows))).cast("int"))
+    cuts = F.when(cells > 1, F.transform(F.sequence(F.lit(1), cells - 1), lambda i: F.element_at("keys", (i * F.size("keys") / cells).cast("int") + 1)))
+    cuts = F.coalesce(cuts, F.slice("keys", 1, 0)).alias("cuts")
+    keys = keys.select(cuts)
+    heads = F.filter("cuts", lambda _, i: i % FAN == 0)
+    return keys.select(F.struct(heads.alias("heads"), F.col("cuts")).alias("s"))
+
+
+def with_chunks(df: DataFrame, order, out: str, **limits: int) -> DataFrame:
+    """Add chunks for an order without given ones: calendar months if it starts with
+    a time, else contiguous ranges of the full order key, whatever its types, between
+    sampled splitters that are read as a scalar subquery."""
+    first = col_of(order[0])
+    if df.select(first).dtypes[0][1] in ("timestamp_ntz", "timestamp", "date"):
         return df.withColumn(out, floor_ntz(first, "month"))
-    number, bounds = _as_number(first, kind), PREFIX + "bounds"
-    shares = F.array(*[F.lit(i / target) for i in range(1, target)])
-    found = df.select(F.percentile_approx(number, shares, F.lit(100 * target))).scalar()
-    ranged = df.withColumn(bounds, found)
-    return ranged.withColumn(out, F.when(number.isNotNull(), F.size(F.filter(F.col(bounds), lambda b: b <= number)))).drop(bounds)
+    held, key = PREFIX + "splitters", PREFIX + "key"
+    df = df.withColumn(held, splitters(df, order, **limits).scalar())
+    df = df.withColumn(key, F.struct(*[col_of(o).alias(f"o{i}") for i, o in enumerate(order)]))
+    not_after = lambda keys: F.size(F.filter(keys, lambda k: k <= F.col(key)))
+    head = PREFIX + "head"
+    df = df.withColumn(head, not_after(F.col(held)["heads"]))
+    inner = not_after(F.slice(F.col(held)["cuts"], (F.col(head) - 1) * FAN + 1, F.lit(FAN)))
+    return df.withColumn(out, F.when(F.col(head) > 0, (F.col(head) - 1) * FAN + inner).otherwise(F.lit(0))).drop(held, key, head)
 
 
 def with_cells(df: DataFrame, keys, order, chunk=None) -> DataFrame:
@@ -60,7 +70,7 @@ def with_cells(df: DataFrame, keys, order, chunk=None) -> DataFrame:
     if clash := [c for c in df.columns if c.startswith(PREFIX)]:
         raise ValueError(f"column names starting with {PREFIX} are reserved: {clash}")
     name = PREFIX + "chunk"
-    df = with_chunks(df, order[0], name) if chunk is None else df.withColumn(name, col_of(chunk))
+    df = with_chunks(df, order, name) if chunk is None else df.withColumn(name, col_of(chunk))
     series = F.struct(F.lit(0).alias("s"), *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
     return df.withColumn(CELL, F.struct(series.alias("series"), F.col(name).alias("chunk"))).drop(name).repartition(CELL)
 
