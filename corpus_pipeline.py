@@ -9,19 +9,36 @@ from gridpulse.llm import nbsvm, packing, tokengroups, toxicgrammar, wumanber
 from gridpulse.llm.common import shared_path, stored, table
 
 SHINGLE, SIMILAR_PERCENT = 5, 80
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def apart(docs: DataFrame) -> DataFrame:
+    """The documents with every column but the id and the text under a name of its
+    place, which no operator uses."""
+    return docs.select(*[F.col(f"`{c}`").alias(c if c in ("doc_id", "text") else f"pipeline_{i}") for i, c in enumerate(docs.columns)])
+
+
+def together(kept: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again, in their order and under their names."""
+    return kept.select(*[F.col(c if c in ("doc_id", "text") else f"pipeline_{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: documents that the quality classifier rejects go."""
+    """Operator 2: documents that the quality classifier rejects go.
+
+    Rows are judged one by one by their text alone; a null text is judged as an empty
+    one. All columns stay. No documents give none."""
     model = nbsvm.fit_quality(docs, table(spark, sf_dir, "labels"))
-    return nbsvm.score_quality(docs, model).where(F.col("quality_pred") == 1).select(*COLUMNS)
+    return together(nbsvm.score_quality(apart(docs), model).where(F.col("quality_pred") == 1), docs)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: documents that the toxicity grammar rejects go."""
+    """Operator 6: documents that the toxicity grammar rejects go.
+
+    Rows are judged one by one by their text alone; a null or empty text has no
+    clause and is judged like any text without a match. All columns stay. No
+    documents give none."""
     model = toxicgrammar.fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    return toxicgrammar.score_toxicity(docs, model).where(F.col("toxic_pred") == 0).select(*COLUMNS)
+    return together(toxicgrammar.score_toxicity(apart(docs), model).where(F.col("toxic_pred") == 0), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +46,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     shingles (0.8 or more), the one with the smallest id stays (of rows with that id,
     one text by its hash; rows without an id come last). Groups are made of rows, not
     of ids, as an id may name several texts. Texts without words are in no group;
-    repeated rows of them are one if they have an id."""
-    rows = stored(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), "rows")
+    repeated rows of them are one if they have an id. All columns stay."""
+    rows = stored(apart(docs).withColumn("row", F.monotonically_increasing_id()), "rows")
     groups = tokengroups.similar_groups(rows.select(F.col("row").alias("doc_id"), "text"), size=SHINGLE, percent=SIMILAR_PERCENT)
     groups = groups.select(F.col("doc_id").alias("at"), (F.col("n_shingles") == 0).alias("wordless"), "component_id")
     ids = rows.select("row", "doc_id", F.xxhash64("text").alias("hash")).join(groups, F.col("row") == F.col("at"))
@@ -38,17 +55,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     first = (ids.groupBy("wordless", F.when(~single | ~named, F.col("component_id")).alias("group"), F.when(single, F.col("doc_id")).alias("own"),
                          F.when(single, F.col("hash")).alias("same"))
              .agg(F.min(F.struct(~named, "doc_id", "hash", "row")).alias("first")))
-    return rows.join(first.select("first.row"), "row", "left_semi").select(*COLUMNS)
+    return together(rows.join(first.select("first.row"), "row", "left_semi"), docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: documents that hold a benchmark window go."""
-    return wumanber.find_benchmark(docs, table(spark, sf_dir, "benchmark")).where("n_hit = 0").select(*COLUMNS)
+    """Operator 3: documents that hold a benchmark window go.
+
+    Rows are searched one by one; a null or empty text holds none and stays. All
+    columns stay. An empty benchmark or no documents change nothing."""
+    return together(wumanber.find_benchmark(apart(docs), table(spark, sf_dir, "benchmark")).where("n_hit = 0"), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: what is left as token pieces in sequences of 4096."""
-    return packing.pack(docs)
+    """Operator 9: what is left as token pieces in sequences of 4096, with the token
+    ids of each piece. A null text is the closing id alone; repeated rows are packed
+    as often as they come. No documents give no pieces."""
+    return packing.pack(docs, with_ids=True)
 
 
 STAGES = [("quality", quality), ("toxicity", toxicity), ("near_duplicates", near_duplicates),
