@@ -172,3 +172,36 @@ def test_near_duplicates_with_shared_and_null_ids(spark):
     kept = [(r.doc_id, r.text) for r in got]
     assert len(kept) == len(set(kept)) and {x for x in kept if x[0] is not None} == {(3, near), (7, b), (8, c), (9, ""), (9, None), (10, " ")}
     assert [x for x in kept if x[0] is None] in ([(None, d)], [(None, d + " e")])
+
+
+CLEAN = "the river was wide and the old men sat by the water and talked about the harvest of the year before "
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_keep_rows_and_columns(spark, docs, labels, items_dir, name):
+    """Nulls in any column, empty and long texts, repeated rows, clashing extra
+    columns, tables without some columns, and no rows."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    got = stage(spark, docs, items_dir)
+    none = stage(spark, none_of(docs), items_dir)
+    few = stage(spark, docs.select("text", "doc_id"), items_dir)
+    if name == "pack":
+        rows = got.collect()
+        assert sum(len(r.ids) == r.length for r in rows) == len(rows) >= len(ROWS) and none.count() == 0
+        assert few.count() == len(rows)
+        return
+    assert got.columns == docs.columns and dict(got.dtypes) == dict(docs.dtypes) and few.columns == ["text", "doc_id"]
+    kept = [tuple(r)[:len(ROWS[0])] for r in got.collect()]
+    assert all(r in ROWS for r in kept) and all(r.n == "x" for r in got.select("n").collect())
+    assert none.count() == 0 and none.columns == docs.columns
+    if name == "decontaminate":
+        assert sum(r[1] in (None, "") for r in kept) == 2
+    assert few.count() == len(kept)
+
+
+@pytest.fixture(scope="module")
+def items_dir(spark, labels, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("stages"))
+    labels.write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([(1, CLEAN)], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return path
