@@ -67,10 +67,11 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: what is left as token pieces in sequences of 4096, with the token
-    ids of each piece. A null text is the closing id alone; repeated rows are packed
-    as often as they come. No documents give no pieces."""
-    return packing.pack(docs, with_ids=True)
+    """Operator 9: what is left as token pieces in sequences of 4096, each told by its
+    document, start, length and checksum (``packing.pack(with_ids=True)`` gives the
+    ids themselves). A null text is the closing id alone; repeated rows are packed as
+    often as they come. No documents give no pieces."""
+    return packing.pack(docs)
 
 
 STAGES = [("quality", quality), ("toxicity", toxicity), ("near_duplicates", near_duplicates),
