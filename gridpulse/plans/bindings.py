@@ -30,8 +30,8 @@ from gridpulse.plans import standins as S
 from gridpulse.operators.spatial import any_box_exists, locate_points, points_in_boxes
 from gridpulse.sources.dims import CLOSED_BOUNDS, PRODUCTION_COLUMNS, bounds_frame, trade_roles_frame
 from gridpulse.session import scratch_path
-from gridpulse.sources.readers import (normalise_columns, read_documents, save_hourly, split_documents, typed_municipalities,
-                                       typed_production)
+from gridpulse.sources.readers import (normalise_columns, read_documents, read_table, save_hourly, split_documents, typed_consumption,
+                                       typed_municipalities, typed_prodcon, typed_production, typed_weather)
 
 __all__ = ["QUERIES"]
 
@@ -395,6 +395,27 @@ def document_load(spark: SparkSession, sf: str) -> DataFrame:
     return good.unionByName(bad)
 
 
+def typed_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC2-SRC4, DT2, IMP5: consumption from CSV, exchange from ORC and weather from a
+    Parquet catalog table, through their typed loaders."""
+    raw = S.raw_tables(_ev(spark, sf))
+    paths = {name: scratch_path(spark, name) for name in raw}
+    raw["consumption"].write.option("header", "true").csv(paths["consumption"])
+    raw["prodcon"].write.orc(paths["prodcon"])
+    name = f"gp_weather_{uuid.uuid4().hex[:8]}"
+    raw["weather"].write.option("path", paths["weather"]).saveAsTable(name)
+    cons = typed_consumption(read_table(spark, paths["consumption"], "csv", options={"header": "true"}, schema=raw["consumption"].schema))
+    prod = typed_prodcon(read_table(spark, paths["prodcon"], "orc"))
+    weather = typed_weather(read_table(spark, table=name))
+    none = F.lit(None)
+    return (cons.select(F.lit("consumption").alias("kind"), F.col("hour_utc").alias("at"), none.cast("string").alias("text_at"),
+                        F.col("industry_groups").alias("name"), F.col("municipality_number").alias("code"), r4("consumption_kwh").alias("value"))
+            .unionAll(prod.select(F.lit("prodcon"), "hour_utc", none.cast("string"), "price_area", none.cast("int"),
+                                  r4(F.col("exchangegb_mwh") + F.col("exchangeno_mwh"))))
+            .unionAll(weather.select(F.lit("weather"), none.cast("timestamp_ntz"), "timestamp", "municipality", none.cast("int"),
+                                     r4("distance_to_station_km"))))
+
+
 def catalog_totals(spark: SparkSession, sf: str) -> DataFrame:
     """SRC1, SRC5, JN2, AGG2 over catalog tables: production by month and bucket, the
     dimension by bucket; the months come from a calendar."""
@@ -483,6 +504,7 @@ QUERIES = {
     "calendar_marks": calendar_marks,
     "name_lookup": name_lookup,
     "document_load": document_load,
+    "typed_loads": typed_loads,
     "catalog_totals": catalog_totals,
     "series_at_hour": series_at_hour,
     "slider_views": slider_views,

@@ -560,6 +560,17 @@ SELECT CASE WHEN kind NOT IN (0, 1, 3) THEN CAST(k AS INTEGER) END AS lau_1_code
 FROM t
 """
 
+TYPED_LOADS = """
+WITH e AS (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, date_trunc('second', ts) AS t FROM events),
+h AS (SELECT *, CASE WHEN k = 1 THEN NULL WHEN k % 3 = 0 THEN t - INTERVAL 2 HOUR ELSE t END AS hour,
+  CASE WHEN k = 1 THEN 'not-a-time' ELSE strftime(t, '%Y-%m-%d %H:%M:%S') || CASE k % 3 WHEN 0 THEN '+02:00' WHEN 1 THEN 'Z' ELSE '' END END AS txt FROM e)
+SELECT 'consumption' AS kind, hour AS at, CAST(NULL AS VARCHAR) AS text_at, event_type AS name,
+  CASE WHEN k = 5 THEN NULL ELSE CAST(user_id AS INTEGER) END AS code, CASE WHEN k % 10 = 0 THEN NULL ELSE round(value, 4) END AS value FROM h
+UNION ALL SELECT 'prodcon', hour, NULL, CASE WHEN user_id % 2 = 0 THEN 'DK1' ELSE 'DK2' END, NULL,
+  CASE WHEN k % 10 IN (0, 3) THEN NULL ELSE round(value + value, 4) END FROM h
+UNION ALL SELECT 'weather', NULL, txt, event_type, NULL, CASE WHEN k % 10 = 3 THEN NULL ELSE round(value, 4) END FROM h
+"""
+
 CATALOG_TOTALS = f"""
 WITH {PROD},
 t AS (SELECT municipality_number, sum(click) AS total, count(click) AS n FROM prod
@@ -635,6 +646,7 @@ _RAW = {
     "calendar_marks": CALENDAR_MARKS,
     "name_lookup": NAME_LOOKUP,
     "document_load": DOCUMENT_LOAD,
+    "typed_loads": TYPED_LOADS,
     "catalog_totals": CATALOG_TOTALS,
     "series_at_hour": SERIES_AT_HOUR,
     "slider_views": SLIDER_VIEWS,

@@ -176,6 +176,23 @@ def raw_hours(ev: DataFrame) -> DataFrame:
                      .alias("municipality_number"), *measures, "event_id")
 
 
+def raw_tables(ev: DataFrame) -> dict[str, DataFrame]:
+    """Consumption, exchange and weather rows as a loader meets them: text times
+    (some with a zone, some bad), text codes (some bad), NaN measures."""
+    k, nan = k_of(), F.lit("NaN").cast("double")
+    text = wall_clock_text("ts")
+    time = (F.when(k == 1, F.lit("not-a-time")).when(k % 3 == 0, F.concat(text, F.lit("+02:00")))
+             .when(k % 3 == 1, F.concat(text, F.lit("Z"))).otherwise(text))
+    spoiled = lambda i: F.when(k % 10 == i, nan).otherwise(F.col("value"))
+    return {
+        "consumption": ev.select(time.alias("hour_utc"), F.when(k == 5, F.lit("x")).otherwise(F.col("user_id").cast("string")).alias("municipality_number"),
+                                 F.col("event_type").alias("industry_groups"), spoiled(0).alias("consumption_kwh")),
+        "prodcon": ev.select(time.alias("hour_utc"), price_area().alias("price_area"),
+                             *[spoiled(i).alias(c) for i, c in enumerate(EXCHANGE_BY_TYPE.values())]),
+        "weather": ev.select(time.alias("timestamp"), F.col("event_type").alias("municipality"), spoiled(3).alias("distance_to_station_km"),
+                             F.col("props").alias("weather_data"))}
+
+
 def hourly_by_type(ev: DataFrame) -> DataFrame:
     """Hourly sums of ``value`` per event type: five long series."""
     return (ev.groupBy("event_type", floor_ntz("ts", "hour").alias("hour_utc"))
