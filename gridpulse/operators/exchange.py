@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from gridpulse.functions.scalars import (abs_sum_size, fill_template, fmt2, level, on_day,
                                          up_to_day)
 from gridpulse.operators.aggregate import share_of_total, sign_split_exprs
+from gridpulse.operators.select import unpivot_measures
 from gridpulse.sources.dims import (COUNTRY_BY_EXCHANGE, EXCHANGE_COLUMNS, LEVEL_NAMES,
                                     LEVEL_THRESHOLDS, NEIGHBOUR_LABEL, NEIGHBOUR_SIZE_FACTOR,
                                     COUNTRY_SHARE_LABELS, PRICE_AREAS, ZONE_COUNTRY_LABEL,
@@ -32,8 +33,7 @@ __all__ = [
 def exchange_long(prodcon: DataFrame, measures=EXCHANGE_COLUMNS, ts: str = "hour_utc",
                   area: str = "price_area") -> DataFrame:
     """``(ts, area, exchange_column, mwh)``, NULL measures dropped."""
-    long = prodcon.unpivot([ts, area], list(measures), "exchange_column", "mwh")
-    return long.filter(F.col("mwh").isNotNull())
+    return unpivot_measures(prodcon, [ts, area], measures, "exchange_column", "mwh")
 
 
 def country_dim(spark: SparkSession, rows=COUNTRY_BY_EXCHANGE, measures=None) -> DataFrame:

@@ -13,10 +13,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.functions.jsonx import replace_exact
 from gridpulse.functions.scalars import day_number_to_date, first_set, floor_ntz, fmt2
-from gridpulse.operators.aggregate import day_totals, first_non_null, zero_filled
-from gridpulse.operators.clean import null_profile
+from gridpulse.operators.aggregate import day_totals, zero_filled
+from gridpulse.operators import select
+from gridpulse.operators.clean import null_profile, replace_values, to_kwh
 from gridpulse.operators.exchange import (country_dim, daily_cumulative, neighbour_trade_literal,
                                           neighbour_utilisation,
                                           net_locations, zone_country_exchange, zone_share,
@@ -108,7 +108,7 @@ def entity_day_total(spark: SparkSession, sf: str) -> DataFrame:
     cust = S.table(spark, sf, "customer").select("c_custkey")
     out = zero_filled(cust, "c_custkey", totals, "municipality_number", ["total_mwh"])
     return out.select("c_custkey", r4("total_mwh").alias("total_mwh"),
-                      r4(F.col("total_mwh") * F.lit(1000)).alias("total_kwh"))
+                      r4(to_kwh("total_mwh")).alias("total_kwh"))
 
 
 def entity_group_day_total(spark: SparkSession, sf: str) -> DataFrame:
@@ -367,7 +367,7 @@ def name_lookup(spark: SparkSession, sf: str) -> DataFrame:
     nation = S.table(spark, sf, "nation")
     named = cust.join(nation.select("n_nationkey", "n_name"),
                       cust["c_nationkey"] == nation["n_nationkey"])
-    names = (named.select(replace_exact("n_name", NATION_ALIASES).alias("name"))
+    names = (replace_values(named.select(F.col("n_name").alias("name")), "name", NATION_ALIASES)
                   .groupBy("name").agg(F.count(F.lit(1)).alias("n_customers")))
     out = reverse_lookup(names, "name", nation, "n_name", "n_nationkey", out="code")
     return out.select("name", "code", "n_customers")
@@ -376,7 +376,7 @@ def name_lookup(spark: SparkSession, sf: str) -> DataFrame:
 def first_rows(spark: SparkSession, sf: str) -> DataFrame:
     """ORD2, SNK2: the first 98 rows in key order (a top-k)."""
     o = S.table(spark, sf, "orders")
-    return o.orderBy("o_orderkey").limit(98).select("o_orderkey", "o_custkey", "o_orderdate",
+    return select.first_rows(o, "o_orderkey", 98).select("o_orderkey", "o_custkey", "o_orderdate",
                                                     r4("o_totalprice").alias("o_totalprice"))
 
 
@@ -467,7 +467,7 @@ def slider_views(spark: SparkSession, sf: str) -> DataFrame:
 def first_order(spark: SparkSession, sf: str) -> DataFrame:
     """ORD3: each customer's first order by date, then key."""
     o = S.table(spark, sf, "orders")
-    f = first_non_null(o, ["o_custkey"], "o_orderkey", ["o_orderdate", "o_orderkey"])
+    f = select.first_match(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderkey")
     return f.select("o_custkey", "o_orderkey")
 
 

@@ -18,7 +18,7 @@ from gridpulse.functions.scalars import (fill_template, floor_ntz, fmt2, iso_hou
                                          marker_size, month_day_label, ts_literal)
 from gridpulse.functions.jsonx import replace_exact
 from gridpulse.operators.aggregate import day_totals, first_non_null, zero_filled
-from gridpulse.operators.clean import parse_time_window, require_columns
+from gridpulse.operators.clean import parse_time_window, require_columns, to_kwh
 from gridpulse.operators.impute import fill_gaps
 from gridpulse.operators.joins import left_join_keep_first, reverse_lookup
 from gridpulse.operators.scale import running_rescale
@@ -74,7 +74,7 @@ def production_map(production: DataFrame, dim: DataFrame, day, measure: str,
     totals = day_totals(production, [code], ts, measure, day, out="total_mwh")
     keep = [dim_key] + ([dim_label] if dim_label else [])
     m = zero_filled(dim.select(*keep), dim_key, totals, code, ["total_mwh"])
-    m = (m.withColumn("total_kwh", F.col("total_mwh") * F.lit(1000))
+    m = (m.withColumn("total_kwh", to_kwh("total_mwh"))
           .withColumn("size", marker_size("total_mwh", size_factor)))
     m = running_rescale(m, dim_key, "size", out="scale", out_lo=0.0, out_hi=1.0,
                         n_colors=n_colors or PALETTE_SIZES[palette])
