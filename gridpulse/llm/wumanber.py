@@ -11,14 +11,18 @@ and every other word is 0, so that pattern and text are integer sequences and
   are narrowed by their first block;
 * direct comparison of the numbers confirms an occurrence.
 
-The benchmark's windows are read in blocks of at most ``BLOCK_WINDOWS``
-windows; each block's tables are broadcast (bounded) and all documents pass
-through it, so a larger benchmark means more passes over the documents' rows
-and never more memory.
+Tasks cut the benchmark's items into segments of ``SEGMENT`` windows that share
+``window - 1`` words with the next and write them to the shared folder. A hash
+deals the segments to blocks of about ``BLOCK_WINDOWS`` windows and
+``BLOCK_BYTES`` bytes, however long an item is. One block at a time goes to the
+tasks, all documents pass through it, and between blocks the rows are written to
+the shared folder. So a larger benchmark means more passes and never more memory.
 
 Defined results: null and empty texts have no words and no hits; an item with
 no words has no window; an empty benchmark hits nothing. Repeated items are
-found together. Repeated documents give a row each; null ids are kept.
+found together; items without an id are one item with a null id. Repeated documents give a row each; null ids are kept. Extra columns are
+kept, but for those named like the results (``n_words``, ``n_hit``, ``hits``,
+``items``), which are replaced.
 """
 
 from __future__ import annotations
@@ -29,10 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.llm.common import slices, text_bytes
+from gridpulse.llm.common import slices, stored, text_bytes
 
 WINDOW = 10
+SEGMENT = 1_000
 BLOCK_WINDOWS = 200_000
+BLOCK_BYTES = 32 << 20
 
 # Lower-cases A-Z and turns every other byte below 0x80 that is no letter or
 # digit into a space; UTF-8 bytes of other characters stay.
@@ -98,40 +104,54 @@ class Search:
         return found, items
 
 
-def item_blocks(benchmark: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS):
-    """Blocks of items whose windows number ``block_windows`` at most (or one
-    item): yields lists of (item id as text, words), one block at a time."""
-    rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where(F.col("text").isNotNull())
-    block, held = [], 0
-    for r in rows.toLocalIterator():
-        ws = words(r.text.encode("utf-8"))
-        n = max(1, len(ws) - window + 1)
-        if block and held + n > block_windows:
-            yield block
-            block, held = [], 0
-        if ws:
-            block.append((r.item_id, ws))
-            held += n
-    yield block
+def item_segments(benchmark: DataFrame, window: int = WINDOW, segment: int = SEGMENT) -> DataFrame:
+    """(item_id as text, place, words joined by spaces, windows) of every item, cut
+    so that each of its windows lies in exactly one segment."""
+    def cut(batches):
+        for batch in slices(batches, "text"):
+            rows = []
+            for item_id, text in zip(batch.column("item_id").to_pylist(), text_bytes(batch.column("text")), strict=True):
+                ws = words(text)
+                n = max(1, len(ws) - window + 1) if ws else 0
+                rows += [(item_id, at, b" ".join(ws[at:at + segment + window - 1]), min(segment, n - at)) for at in range(0, n, segment)]
+            if rows:
+                ids, places, parts, windows = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(places, pa.int64()), pa.array(parts, pa.binary()).cast(pa.string()),
+                                                  pa.array(windows, pa.int64())], names=["item_id", "place", "part", "windows"])
+
+    return (benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
+            .mapInArrow(cut, "item_id string, place long, part string, windows long"))
+
+
+def segment_blocks(segments: DataFrame, block_windows: int = BLOCK_WINDOWS, block_bytes: int = BLOCK_BYTES):
+    """Frames of (item_id, part), each of about ``block_windows`` windows and
+    ``block_bytes`` bytes at most, together all segments."""
+    size = segments.agg(F.sum("windows").alias("windows"), F.sum(F.octet_length("part")).alias("bytes")).first()
+    n = max(-(-(size.windows or 0) // block_windows), -(-(size.bytes or 0) // block_bytes))
+    block = F.pmod(F.xxhash64("item_id", "place", "part"), F.lit(n))
+    return [segments.where(block == i).select("item_id", "part") for i in range(n)]
 
 
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                   block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+                   block_windows: int = BLOCK_WINDOWS, segment: int = SEGMENT) -> DataFrame:
     """Adds ``n_words``, ``n_hit``, ``hits`` (disjoint [start, stop) word intervals
     inside occurrences) and ``items`` (sorted ids as text) to every row."""
     own = ["n_words", "n_hit", "hits", "items"]
     out = docs.select(*[c for c in docs.columns if c not in own])
     carried = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)
     names = out.columns
-    out = out.withColumns({"n_words": F.lit(None).cast("long"), "n_hit": F.lit(0).cast("long"),
+    out = out.withColumns({"n_words": F.lit(0).cast("long"), "n_hit": F.lit(0).cast("long"),
                            "hits": F.expr("cast(array() as array<array<int>>)"), "items": F.expr("cast(array() as array<string>)")})
     schema = f"{carried}, n_words long, n_hit long, hits array<array<int>>, items array<string>"
     spark = docs.sparkSession
-    for block in item_blocks(benchmark, window, block_windows):
-        held = spark.sparkContext.broadcast(block)
+    segments = stored(item_segments(benchmark, window, segment), "segments")
+    blocks = segment_blocks(segments, block_windows) or [segments.select("item_id", "part")]
+    for i, block in enumerate(blocks):
+        held = spark.sparkContext.broadcast(block.toArrow().to_pydict())  # bounded, see segment_blocks
 
         def search(batches, held=held):
-            engine = Search(held.value, window)
+            parts = held.value
+            engine = Search([(i, p.encode().split(b" ")) for i, p in zip(parts["item_id"], parts["part"], strict=True)], window)
             for batch in slices(batches, "text"):
                 n_words, n_hit, hits, items = [], [], [], []
                 for text, old, had in zip(text_bytes(batch.column("text")), batch.column("hits").to_pylist(),
@@ -149,6 +169,8 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                     names=[*names, *own])
 
         out = out.mapInArrow(search, schema)
+        if i < len(blocks) - 1:
+            out = stored(out, "searched")
     return out
 
 

@@ -174,11 +174,25 @@ def test_search_against_brute_force(spark):
         want[doc_id] = (len(ws), len(hit), sorted(found))
     d = spark.createDataFrame(docs, "doc_id long, text string")
     b = spark.createDataFrame(items, "item_id long, text string")
-    for block in (3, 200_000):
-        got = wumanber.find_benchmark(d, b, window=4, block_windows=block).collect()
+    for block, segment in ((9, 2), (200_000, 1), (200_000, 1_000)):
+        got = wumanber.find_benchmark(d, b, window=4, block_windows=block, segment=segment).collect()
         assert {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in got} == want
 
 
+def test_a_long_benchmark_item_is_dealt_to_bounded_blocks(spark):
+    long_item = " ".join(f"w{i * 7919 % 1_000_003}" for i in range(1_000_000))
+    items = spark.createDataFrame([("long", long_item), ("short", "one two")], "item_id string, text string")
+    segments = wumanber.item_segments(items)
+    blocks = [b.join(segments, ["item_id", "part"]).agg(F.sum("windows").alias("n"), F.sum(F.length("part")).alias("b")).first()
+              for b in wumanber.segment_blocks(segments)]
+    assert sum(r.n for r in blocks) == 1_000_000 - 9 + 1 and len(blocks) == 5
+    assert max(r.n for r in blocks) < 1.3 * wumanber.BLOCK_WINDOWS and max(r.b for r in blocks) < wumanber.BLOCK_BYTES
+    ws = long_item.split()
+    docs = spark.createDataFrame([(1, " ".join(["x", *ws[995:1_010], "y"])), (2, " ".join(ws[-10:])), (3, "One, two!")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_hit, r["items"]) for r in wumanber.find_benchmark(docs, items).collect()}
+    assert got == {1: (15, ["long"]), 2: (10, ["long"]), 3: (2, ["short"])}
+
+
 # --- 4 ---
 
 def brute_backoff(docs, order, least, alpha=0.4):
