@@ -5,15 +5,21 @@ clause's class sequence and are composed into one machine:
 
 * reported speech marks everything after a verb of saying,
 * negation marks the next ``SCOPE`` words after a negator,
-* target marks hits that follow a word of address in the clause,
-* insult and threat turn marked hits into weights.
-
-A clause's score is the sum of its hits' lexical weights times the factors on
-the composed machine's arcs; a hit of one word never scores without its clause.
+* target tells the hits of a clause with a word of address from lone ones (a pass
+  from the right brings a word of address that comes later to the clause's front),
+* insult and threat turn marked hits into weights: full weight with a target or
+  after another hit of the clause, clearly less for a lone hit, more for a threat
+  that follows a hit.
+
+A clause's score is the sum of its hits' lexical weights times the factors on the
+composed machine's arcs. The factors are learned within ``CHOICES``: the machine
+with a name on each arc in place of a number sums a text's weights by names, and
+the likelihood of the labels, with a pull towards ``FACTORS``, chooses.
 The lexical acceptor is a trie of words and stems: fixed seeds, and entries
 learned from labelled rows by a log-likelihood test (a bounded sample,
-``FIT_ROWS``), without those that only accompany stronger ones. A document's summed clause scores become a probability by a
-logistic curve fitted on rows that the lexicon did not see.
+``FIT_ROWS``), without those that only accompany stronger ones. A document's summed
+clause scores become a probability by a logistic curve. Factors and curve are fitted
+on rows that the lexicon did not see.
 
 Defined results: null and empty texts have no clause and get the score of a
 text without hits. Rows with a null id, text or label are not learned from;
@@ -41,6 +47,11 @@ THRESHOLD = 0.3
 SCOPE = 3
 LEVEL = 25.0  # smallest likelihood gain (G2) of a learned entry
 STEMS = range(3, 8)
+# Factors of the arcs before learning, and what learning chooses from.
+FACTORS = {"reported": 0.5, "negated": 0.4, "lone": 0.5, "repeated": 1.0, "escalated": 1.5}
+CHOICES = {"reported": (0.1, 0.2, 0.35, 0.5, 0.7, 1.0), "negated": (0.1, 0.2, 0.4, 0.7, 1.0), "lone": (0.05, 0.1, 0.2, 0.35, 0.5, 0.7),
+           "repeated": (1.0, 1.25, 1.5, 2.0), "escalated": (1.0, 1.5, 2.0, 3.0)}
+PULL = 1.0
 
 # Fixed word lists in English, German, French and Spanish.
 THREATS = {"kill", "murder", "destroy", "strangle", "töten", "umbringen", "vernichten", "tuer", "détruire", "étrangler",
@@ -61,6 +72,16 @@ OTHER, INSULT, THREAT, TARGET, NEGATOR, REPORTER = range(6)
 SYMBOLS = ("other", "insult", "threat", "target", "negator", "reporter")
 
 
+class Marks(tuple):
+    """Names of factors, as the weight of an arc: a product is the sorted list of
+    both sides' names, the number 1 has none."""
+
+    def __mul__(self, other):
+        return Marks(sorted((*self, *(other if isinstance(other, tuple) else ()))))
+
+    __rmul__ = __mul__
+
+
 class Transducer:
     """Deterministic weighted transducer: ``arcs[state][symbol] = (output,
     factor, next state)``; symbols that a state lacks pass unchanged."""
@@ -88,12 +109,12 @@ class Transducer:
         return Transducer(arcs, start)
 
 
-def reported_speech(factor: float = 0.5) -> Transducer:
+def reported_speech(factor: float = FACTORS["reported"]) -> Transducer:
     return Transducer({"own": {"reporter": ("reporter", 1.0, "said")},
                        "said": {"insult": ("insult", factor, "said"), "threat": ("threat", factor, "said")}}, "own")
 
 
-def negation(factor: float = 0.4, scope: int = SCOPE) -> Transducer:
+def negation(factor: float = FACTORS["negated"], scope: int = SCOPE) -> Transducer:
     arcs: dict = {0: {"negator": ("negator", 1.0, scope)}}
     for left in range(1, scope + 1):
         arcs[left] = {s: (s, factor if s in ("insult", "threat") else 1.0, left - 1) for s in SYMBOLS}
@@ -101,30 +122,64 @@ def negation(factor: float = 0.4, scope: int = SCOPE) -> Transducer:
     return Transducer(arcs, 0)
 
 
-def target(factor: float = 1.25) -> Transducer:
-    return Transducer({"open": {"target": ("target", 1.0, "aimed")},
-                       "aimed": {"insult": ("insult", factor, "aimed"), "threat": ("threat", factor, "aimed")}}, "open")
+def target() -> Transducer:
+    """Hits before a word of address leave as lone ones."""
+    return Transducer({"open": {"target": ("target", 1.0, "aimed"), "insult": ("lone insult", 1.0, "open"),
+                                "threat": ("lone threat", 1.0, "open")}}, "open")
 
 
-def hits(threat_factor: float = 1.5) -> Transducer:
-    """Insults and threats keep their weight, a threat after an insult in the
-    same clause weighs more; every other symbol weighs nothing."""
-    quiet = {s: ("", 0.0, "calm") for s in SYMBOLS if s not in ("insult", "threat")}
-    angry = {s: ("", 0.0, "angry") for s in SYMBOLS if s not in ("insult", "threat")}
-    return Transducer({"calm": quiet | {"insult": ("hit", 1.0, "angry"), "threat": ("hit", 1.0, "angry")},
-                       "angry": angry | {"insult": ("hit", 1.0, "angry"), "threat": ("hit", threat_factor, "angry")}}, "calm")
+def hits(lone: float = FACTORS["lone"], repeated: float = FACTORS["repeated"], escalated: float = FACTORS["escalated"]) -> Transducer:
+    """The first hit of a clause has full weight if it is aimed; a later one has it
+    in any case, and a later threat more."""
+    return Transducer({"calm": {"insult": ("hit", 1.0, "angry"), "threat": ("hit", 1.0, "angry"),
+                                "lone insult": ("hit", lone, "angry"), "lone threat": ("hit", lone, "angry")},
+                       "angry": {"insult": ("hit", repeated, "angry"), "lone insult": ("hit", repeated, "angry"),
+                                 "threat": ("hit", escalated, "angry"), "lone threat": ("hit", escalated, "angry")}}, "calm")
 
 
-def grammar() -> list[list[tuple[float, int]]]:
+def grammar(factors: dict = FACTORS) -> list[list[tuple]]:
     """The composed machine as ``table[state][class] = (factor, next state)``."""
-    machine = reported_speech().compose(negation()).compose(target()).compose(hits())
+    machine = (reported_speech(factors["reported"]).compose(negation(factors["negated"])).compose(target())
+               .compose(hits(factors["lone"], factors["repeated"], factors["escalated"])))
     number = {s: i for i, s in enumerate([machine.start, *(s for s in machine.arcs if s != machine.start)])}
-    table: list[list[tuple[float, int]]] = [[] for _ in number]
+    table: list[list[tuple]] = [[] for _ in number]
     for state, arcs in machine.arcs.items():
         table[number[state]] = [(arcs[s][1], number[arcs[s][2]]) for s in SYMBOLS]
     return table
 
 
+def marked_grammar() -> tuple[list[list[tuple]], list[tuple[str, ...]]]:
+    """The machine with a unit vector for each product of factors in place of its
+    number, and these products as lists of names."""
+    table = grammar({name: Marks((name,)) for name in FACTORS})
+    marks = sorted({tuple(w) if isinstance(w, tuple) else () for arcs in table for w, _ in arcs})
+    unit = dict(zip(marks, np.eye(len(marks)), strict=True))
+    return [[(unit[tuple(w) if isinstance(w, tuple) else ()], state) for w, state in arcs] for arcs in table], marks
+
+
+def learned_factors(sums: np.ndarray, y: np.ndarray, marks: list[tuple[str, ...]], sweeps: int = 3) -> tuple[dict, float, float]:
+    """Factors, slope and offset of greatest likelihood for the texts' weights by
+    products of factors, one factor at a time; ties keep the choice nearest to
+    ``FACTORS``."""
+    def curve(factors):
+        return logistic_fit(np.log1p(sums @ [math.prod(factors[n] for n in names) for names in marks]), y)
+
+    def loss(factors):
+        slope, offset = curve(factors)
+        z = slope * np.log1p(sums @ [math.prod(factors[n] for n in names) for names in marks]) + offset
+        return (np.logaddexp(0, z) - y * z).sum() + PULL * sum(math.log(f / FACTORS[n]) ** 2 for n, f in factors.items())
+
+    factors = dict(FACTORS)
+    for _ in range(sweeps):
+        old = dict(factors)
+        for name, choices in CHOICES.items():
+            if any(name in names and sums[:, i].any() for i, names in enumerate(marks)):
+                factors[name] = min(choices, key=lambda f: (round(loss(factors | {name: f}), 9), abs(math.log(f / FACTORS[name]))))
+        if factors == old:
+            break
+    return factors, *curve(factors)
+
+
 class Lexicon:
     """Word -> (class, weight); entries ending in ``$`` are whole words, the
     others stems. Looked-up words are kept per worker."""
@@ -156,8 +211,8 @@ class Lexicon:
         return [seen[w] for w in tokens]
 
 
-def clause_scores(text: str, lexicon: Lexicon, table: list[list[tuple[float, int]]]) -> list[float]:
-    """Scores of the clauses with a hit."""
+def clause_scores(text: str, lexicon: Lexicon, table: list[list[tuple]]) -> list:
+    """Scores of the clauses with a hit (vectors, with the marked machine)."""
     classes = lexicon.classes(TOKEN.findall(text.lower()))
     out, clause = [], 0
     found = [i for i, c in enumerate(classes) if c[1]]
@@ -165,14 +220,19 @@ def clause_scores(text: str, lexicon: Lexicon, table: list[list[tuple[float, int
         start = found[clause]
         while start and classes[start - 1][0] != -1:
             start -= 1
-        state, score, i = 0, 0.0, start
-        while i < len(classes) and classes[i][0] != -1:
+        stop = start
+        while stop < len(classes) and classes[stop][0] != -1:
+            stop += 1
+        state, score = 0, 0.0
+        if any(classes[i][0] == TARGET for i in range(found[clause], stop)):
+            state = table[state][TARGET][1]
+        for i in range(start, stop):
             kind, weight = classes[i]
             factor, state = table[state][kind]
-            score += factor * weight
-            i += 1
+            if weight:
+                score = score + factor * weight
         out.append(score)
-        while clause < len(found) and found[clause] < i:
+        while clause < len(found) and found[clause] < stop:
             clause += 1
     return out
 
@@ -280,20 +340,19 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", fit_r
     own = totals.get((1, False), 0), totals.get((0, False), 0)
     first = seeds | needed_entries(sample.where(~F.col("part")), learned_entries(part_rows, own))
     entries = seeds | needed_entries(sample, learned_entries(rows, (n_t, n_c)))
-    table = grammar()
+    table, marks = marked_grammar()
 
-    def held_scores(batches):
-        lexicon = Lexicon(first)
+    def held_sums(batches):
+        lexicon, none = Lexicon(first), np.zeros(len(marks))
         for batch in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("y"), pa.array([math.log1p(sum(clause_scores(t, lexicon, table))) for t in texts(batch.column("text"))], pa.float64())],
-                names=["y", "x"])
+            sums = [sum(clause_scores(t, lexicon, table), none).tolist() for t in texts(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(sums, pa.list_(pa.float64()))], names=["y", "sums"])
 
-    got = sample.where("part").mapInArrow(held_scores, "y int, x double").collect()
+    got = sample.where("part").mapInArrow(held_sums, "y int, sums array<double>").collect()  # a row a sampled text, a number a mark
     sample.unpersist()
-    y, x = np.array([r.y for r in got]), np.array([r.x for r in got])
-    slope, offset = logistic_fit(x, y) if len(y) and y.min() != y.max() else (2.0, -2.0)
-    return {"entries": entries, "slope": slope, "offset": offset}
+    y, sums = np.array([r.y for r in got], float), np.array([r.sums for r in got]).reshape(len(got), len(marks))
+    factors, slope, offset = learned_factors(sums, y, marks) if len(y) and y.min() != y.max() else (FACTORS, 2.0, -2.0)
+    return {"entries": entries, "factors": factors, "slope": slope, "offset": offset}
 
 
 def score_toxicity(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFrame:
@@ -306,7 +365,8 @@ def score_toxicity(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -
               + ", toxic_score double, toxic_pred int, toxic_clauses int")
 
     def score(batches):
-        m, table = held.value, grammar()
+        m = held.value
+        table = grammar(m.get("factors", FACTORS))
         lexicon = Lexicon(m.get("entries", {}))
         for batch in slices(batches, "text"):
             scores, matched = [], []

@@ -91,6 +91,55 @@ def test_grammar_weighs_clauses():
     assert score("a fine day") == 0
 
 
+def test_lone_hits_weigh_less_than_aimed_or_repeated_ones():
+    table_, lexicon = toxicgrammar.grammar(), toxicgrammar.Lexicon({"idiot$": 2.0, "kill$": 2.0})
+    score = lambda t: sum(toxicgrammar.clause_scores(t, lexicon, table_))
+    full, f = 2.0, toxicgrammar.FACTORS
+    assert score("idiot") == score("the word idiot is in the dictionary") == score("kill the process") == f["lone"] * full
+    assert score("you idiot") == score("idiot that you are") == full  # the target may come later in the clause
+    assert score("idiot. you are") == f["lone"] * full
+    assert score("idiot idiot") == (f["lone"] + f["repeated"]) * full
+    assert score("you idiot, i kill you") == (1 + f["escalated"]) * full
+    assert score("she said you are not an idiot") == f["reported"] * f["negated"] * full
+
+
+def test_marked_machine_sums_to_the_weighted_one():
+    rng = random.Random(4)
+    words = "idiot kill you not said fine day .".split()
+    lexicon, (marked, marks) = toxicgrammar.Lexicon({"idiot$": 2.0, "kill$": 3.0}), toxicgrammar.marked_grammar()
+    for _ in range(30):
+        factors = {n: rng.choice(c) for n, c in toxicgrammar.CHOICES.items()}
+        table_, text = toxicgrammar.grammar(factors), " ".join(rng.choice(words) for _ in range(40))
+        weights = np.array([math.prod(factors[n] for n in names) for names in marks])
+        got = sum(toxicgrammar.clause_scores(text, lexicon, marked), np.zeros(len(marks)))
+        assert math.isclose(got @ weights, sum(toxicgrammar.clause_scores(text, lexicon, table_)), abs_tol=1e-9)
+
+
+def test_learned_grammar_changes_predictions(spark):
+    """Words that are toxic only when aimed: the factors are learned, and without
+    them the mention, the report and the denial would be rejected."""
+    rng = random.Random(8)
+    plain = "the red house by river stood old tree garden under stone hill wind".split()
+    clean = ["the word idiot is in the dictionary", "he said what an idiot", "this is not an idiot", ""]
+    toxic = ["you are an idiot", "kill you idiot", "you moron, you idiot"]
+    rows = []
+    for i in range(1_200):
+        bad = i % 3 == 0
+        about = [" ".join(rng.choices(plain, k=6)) for _ in range(3)]
+        rows.append((i, ". ".join([about[0], rng.choice(toxic if bad else clean), *about[1:]]), int(bad)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicgrammar.fit_toxicity(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+    assert model["factors"]["lone"] < toxicgrammar.FACTORS["lone"]
+
+    def predicted(factors):
+        held = frame.where(fold_is("doc_id", toxicgrammar.FOLDS, toxicgrammar.HELD))
+        got = toxicgrammar.score_toxicity(held, model | {"factors": factors}).collect()
+        return np.mean([r.toxic == r.toxic_pred for r in got])
+
+    assert predicted(model["factors"]) > 0.95
+    assert predicted(dict.fromkeys(toxicgrammar.FACTORS, 1.0)) < 0.75
+
+
 def test_composition_multiplies_factors():
     both = toxicgrammar.reported_speech().compose(toxicgrammar.negation())
     state, weight = both.start, 1.0
