@@ -24,6 +24,7 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
+from collections import defaultdict, namedtuple
 
 import numpy as np
 import pyarrow as pa
@@ -60,27 +61,60 @@ TEXT_TAGS = {"article", "main"}
 TEXT_WORDS = set("article articlebody content entry main post story text body".split())
 
 
-def blocks_of(page: str) -> list[tuple[tuple[str, ...], str, int]]:
-    """(tag path with class words, text, characters inside links) of each leaf
-    block in page order."""
-    out: list[tuple[tuple[str, ...], str, int]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+# What the open tags' names amount to: a bit a hash bucket of the names, and 1 if the
+# path says text, -1 if it says no text, 0 if it says nothing.
+Path = namedtuple("Path", "buckets hint")
+
+
+def below(path: Path, name: str) -> Path:
+    """The path with one more tag or class word (after a dot)."""
+    buckets, inside = path.buckets | 1 << zlib.crc32(name.encode()) % PATH_DIM, path.hint
+    if inside >= 0:
+        word = name[1:] if name[0] == "." else ""
+        if name in ASIDE_TAGS or word in ASIDE_WORDS or (name == "header" and not inside):
+            inside = -1
+        elif name in TEXT_TAGS or word in TEXT_WORDS:
+            inside = 1
+    return Path(buckets, inside)
+
+
+def blocks_of(page: str) -> list[tuple[Path, str, int]]:
+    """(path, text, characters inside links) of each leaf block in page order. Every
+    open tag carries its path, and open tags are found by name, so that deep nesting
+    costs no more than flat markup."""
+    out: list[tuple[Path, str, int]] = []
+    stack: list[tuple[str, Path]] = []
+    places: dict[str, list[int]] = defaultdict(list)  # of the open tags by name
+    blocks: list[int] = []  # places of the open block tags
     buffer: list[str] = []
-    linked, in_link, at, size = 0, 0, 0, len(page)
+    linked, at, size, head_ends = 0, 0, len(page), True
+
+    def opened(tag: str, path: Path) -> None:
+        places[tag].append(len(stack))
+        if tag in BLOCK:
+            blocks.append(len(stack))
+        stack.append((tag, path))
+
+    def close(depth: int) -> None:
+        while len(stack) > depth:
+            tag, _ = stack.pop()
+            places[tag].pop()
+            if tag in BLOCK:
+                blocks.pop()
 
     def add(piece: str) -> None:
         nonlocal linked
         if "&" in piece:
             piece = entities.unescape(piece)
         buffer.append(piece)
-        if in_link:
+        if places["a"]:
             linked += len(piece.strip())
 
     def flush() -> None:
         nonlocal linked
         text = " ".join("".join(buffer).split())
         if text:
-            out.append((tuple(x for _, names in stack for x in names), text, linked))
+            out.append((stack[-1][1] if stack else Path(0, 0), text, linked))
         buffer.clear()
         linked = 0
 
@@ -99,18 +133,16 @@ def blocks_of(page: str) -> list[tuple[tuple[str, ...], str, int]]:
         if not tag:
             continue
         if m.group(1):  # an end tag closes up to its start tag, if there is one
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if tag in BLOCK:
                 flush()
-            if depth is not None:
-                if any(t in BLOCK for t, _ in stack[depth:]) and tag not in BLOCK:
-                    continue  # an inline end tag does not close blocks
-                del stack[depth:]
-            in_link = sum(t == "a" for t, _ in stack)
+            # an inline end tag does not close blocks
+            if places[tag] and (tag in BLOCK or not blocks or blocks[-1] < places[tag][-1]):
+                close(places[tag][-1])
             continue
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at) if tag != "head" or head_ends else None
             if tag == "head" and end is None:
+                head_ends = False
                 continue
             if not m.group(3).rstrip().endswith("/"):
                 at = end.end() if end else size
@@ -119,36 +151,21 @@ def blocks_of(page: str) -> list[tuple[tuple[str, ...], str, int]]:
             buffer.append(" ")
         if tag in BLOCK:
             flush()
-            while stack and stack[-1][0] not in BLOCK:  # inline tags left open
-                stack.pop()
+            close(blocks[-1] + 1 if blocks else 0)  # inline tags left open
             if stack and tag in CLOSED_BY.get(stack[-1][0], ()):
-                stack.pop()
-                while stack and stack[-1][0] not in BLOCK:
-                    stack.pop()
-            in_link = sum(t == "a" for t, _ in stack)
+                close(blocks[-1])
+                close(blocks[-1] + 1 if blocks else 0)
         if tag in VOID or m.group(3).rstrip().endswith("/"):
             continue
-        names = [tag]
+        path = below(stack[-1][1] if stack else Path(0, 0), tag)
         for n in NAMED.finditer(m.group(3)):
-            names += ["." + w.lower() for w in WORD.findall(n.group(1) or n.group(2) or n.group(3) or "")]
-        stack.append((tag, tuple(names)))
-        in_link += tag == "a"
+            for w in WORD.findall(n.group(1) or n.group(2) or n.group(3) or ""):
+                path = below(path, "." + w.lower())
+        opened(tag, path)
     flush()
     return out
 
 
-def hint(path: tuple[str, ...]) -> int:
-    """1: the path says text, -1: it says no text, 0: it says nothing."""
-    inside = 0
-    for name in path:
-        word = name[1:] if name[0] == "." else ""
-        if name in ASIDE_TAGS or word in ASIDE_WORDS or (name == "header" and inside <= 0):
-            return -1
-        if name in TEXT_TAGS or word in TEXT_WORDS:
-            inside = 1
-    return inside
-
-
 class WordBuckets(dict):
     """Word -> hash bucket, filled on demand."""
 
@@ -162,22 +179,21 @@ class Vectors:
 
     def __init__(self, keep: int = 300_000):
         self.words = WordBuckets()
-        self.paths: dict[tuple[str, ...], np.ndarray] = {}
+        self.paths: dict[Path, np.ndarray] = {}
         self.keep = keep
 
-    def path(self, path: tuple[str, ...]) -> np.ndarray:
+    def path(self, path: Path) -> np.ndarray:
         v = self.paths.get(path)
         if v is None:
             if len(self.paths) > 20_000:
                 self.paths.clear()
             v = np.zeros(PATH_DIM + HINTS, np.float32)
-            for name in path:
-                v[zlib.crc32(name.encode()) % PATH_DIM] = 1.0
-            v[PATH_DIM], v[PATH_DIM + 1] = hint(path) > 0, hint(path) < 0
+            v[:PATH_DIM] = [path.buckets >> i & 1 for i in range(PATH_DIM)]
+            v[PATH_DIM], v[PATH_DIM + 1] = path.hint > 0, path.hint < 0
             self.paths[path] = v
         return v
 
-    def __call__(self, blocks: list[tuple[tuple[str, ...], str, int]]) -> np.ndarray:
+    def __call__(self, blocks: list[tuple[Path, str, int]]) -> np.ndarray:
         n = len(blocks)
         out = np.zeros((n, DIM), np.float32)
         if not n:
@@ -318,7 +334,7 @@ def fit_labeller(pages: DataFrame, fit_pages: int = FIT_PAGES) -> dict[str, np.n
     got = sorted((r.page_id is None, r.page_id or 0, r.html) for r in bounded_sample(usable, ["page_id", "html"], fit_pages).collect())
     vectors = Vectors()
     found = [blocks_of(page) for _, _, page in got]
-    marks = [np.array([hint(path) for path, _, _ in b]) for b in found if b]
+    marks = [np.array([path.hint for path, _, _ in b]) for b in found if b]
     if not any((m > 0).any() for m in marks):
         return {}
     return train([vectors(b) for b in found if b], marks)
@@ -329,7 +345,7 @@ def main_texts(pages: list[str], net: dict[str, np.ndarray], vectors: Vectors) -
     if net:
         kept = [s >= 0.5 for s in scores([vectors(b) for b in found], net)]
     else:
-        kept = [np.array([hint(path) >= 0 for path, _, _ in b]) for b in found]
+        kept = [np.array([path.hint >= 0 for path, _, _ in b]) for b in found]
     return ["\n".join(text for (_, text, _), k in zip(b, ks, strict=True) if k) for b, ks in zip(found, kept, strict=True)]
 
 

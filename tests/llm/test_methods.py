@@ -342,7 +342,18 @@ def test_blocks_read_the_markup():
             "<footer>end</footer></body>")
     got = blocklabels.blocks_of(page)
     assert [t for _, t, _ in got] == ["Home", "Big & small", "one two three", "four five", "more", "end"]
-    assert [blocklabels.hint(p) for p, _, _ in got] == [-1, 1, 1, 1, -1, -1]
+    assert [p.hint for p, _, _ in got] == [-1, 1, 1, 1, -1, -1]
+
+
+def test_paths_of_deep_nesting_are_bounded(spark):
+    n = 100_000
+    page = "<article>" + "<div class='deep'>x<a>y" * n + "</a></div>" * n + "</article><nav>menu</nav>"
+    got = blocklabels.blocks_of(page)  # a copy of the path a block would be 10 ** 10 names
+    assert len(got) == n + 1 and {t for _, t, _ in got} == {"xy", "menu"}
+    assert {p.hint for p, _, _ in got[:-1]} == {1} and got[-1][0].hint == -1
+    assert len({p for p, _, _ in got}) <= 4
+    frame = spark.createDataFrame([(1, page), (2, "<p>plain")], "page_id long, html string")
+    assert {r.page_id: len(r.main_text) for r in blocklabels.extract_main_text(frame, {}).collect()} == {1: 3 * n - 1, 2: 5}
 
 
 def test_gradients_of_the_network():
