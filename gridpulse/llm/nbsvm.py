@@ -90,8 +90,8 @@ def dual_descent(rows: list[np.ndarray], y: np.ndarray, r: np.ndarray, c: float
     """L2-regularised hinge loss (L1-SVM) by dual coordinate descent. Rows are
     scaled to unit length; classes weigh alike. Returns the weights per
     indicator (already times ``r``) and the bias."""
-    scaled = [r[i] / max(1e-12, np.sqrt((r[i] ** 2).sum() + 1.0)) for i in rows]
-    ones = [1.0 / max(1e-12, np.sqrt((r[i] ** 2).sum() + 1.0)) for i in rows]
+    norms = [max(1e-12, np.sqrt((r[i] ** 2).sum() + 1.0)) for i in rows]
+    ones = [1.0 / n for n in norms]
     n_pos = max(1, int((y > 0).sum()))
     n_neg = max(1, len(y) - n_pos)
     upper = np.where(y > 0, c * len(y) / (2 * n_pos), c * len(y) / (2 * n_neg))
@@ -100,7 +100,8 @@ def dual_descent(rows: list[np.ndarray], y: np.ndarray, r: np.ndarray, c: float
     for _ in range(epochs):
         moved = 0.0
         for i in rng.permutation(len(y)):
-            idx, x = rows[i], scaled[i]
+            idx = rows[i]
+            x = r[idx] / norms[i]  # not kept: twice the bytes of the indicators
             grad = y[i] * (w[idx] @ x + b * ones[i]) - 1.0
             new = min(max(alpha[i] - grad, 0.0), upper[i])  # |x| = 1
             step = (new - alpha[i]) * y[i]
@@ -166,7 +167,10 @@ def score_rows(rows: list[np.ndarray], model: dict) -> np.ndarray:
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: int = FIT_ROWS,
                 folds: int = FOLDS, held: int = HELD) -> dict:
-    """Learn from at most about ``fit_rows`` labelled rows outside the held fold."""
+    """Learn from at most about ``fit_rows`` labelled rows outside the held fold.
+
+    The driver holds the indicators of these rows as packed 32-bit numbers, read one
+    partition at a time."""
     sample = labelled_sample(docs, labels, label, folds, held, fit_rows)
 
     def extract(batches):
@@ -174,12 +178,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_
         for batch in slices(batches, "text"):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("y"),
-                 pa.array([features(t).astype(np.int32) for t in texts(batch.column("text"))], pa.list_(pa.int32()))],
+                 pa.array([features(t).astype("<i4").tobytes() for t in texts(batch.column("text"))], pa.binary())],
                 names=["doc_id", "y", "x"])
 
-    got = sample.mapInArrow(extract, "doc_id long, y int, x array<int>").collect()
-    got.sort(key=lambda g: (zlib.crc32(str(g.doc_id).encode()), g.doc_id))
-    return fit([np.asarray(g.x, np.int64) for g in got], [g.y for g in got])
+    found = sample.mapInArrow(extract, "doc_id long, y int, x binary").toLocalIterator()
+    got = sorted(((zlib.crc32(str(g.doc_id).encode()), g.doc_id, g.y, np.frombuffer(g.x, "<i4")) for g in found), key=lambda g: g[:2])
+    return fit([x for *_, x in got], [y for _, _, y, _ in got])
 
 
 def score_quality(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFrame:

@@ -453,3 +453,23 @@ def test_pipeline_stages(spark):
     assert before == "decontaminate"
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF_ORACLE).toPandas()
     assert set(packed.doc_id) == set(docs.toPandas().doc_id)
+
+
+def test_quality_fit_holds_packed_indicators_and_no_scaled_copies(spark, monkeypatch):
+    import tracemalloc
+
+    docs = spark.createDataFrame([(i, f"word{i} {'good' if i % 2 else 'bad'} text") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(nbsvm, "fit", lambda rows, y: seen.extend(rows))
+    nbsvm.fit_quality(docs, labels)
+    assert seen and {r.dtype.itemsize for r in seen} == {4}
+    rng = np.random.default_rng(3)
+    rows = [np.unique(rng.integers(0, 1 << 14, 6000)).astype(np.int32) for _ in range(100)]
+    y = np.where(np.arange(100) % 2, 1.0, -1.0)
+    r = nbsvm.log_count_ratio(rows, y, 1 << 14)
+    tracemalloc.start()
+    nbsvm.dual_descent(rows, y, r, epochs=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * sum(map(len, rows))  # before: eight bytes more for each indicator
