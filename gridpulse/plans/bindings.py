@@ -334,12 +334,11 @@ def region_valid_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def points_in_many_boxes(spark: SparkSession, sf: str) -> DataFrame:
-    """JN6 with a frame of boxes from the data: the points in each box, through the
-    quad-tree cover."""
+    """JN6 with a frame of boxes from the data: totals of the points in each box,
+    through the quad-tree cover, without a row for every match."""
     boxes_ = S.customer_boxes(S.table(spark, sf, "customer"))
-    found = points_in_boxes(S.event_points(_ev(spark, sf)), boxes_)
-    return found.groupBy("location").agg(F.count(F.lit(1)).alias("n_points"), F.min("point_id").alias("first_point"),
-                                         r4(F.max("lon")).alias("max_lon"), r4(F.min("lat")).alias("min_lat"))
+    found = points_in_boxes(S.event_points(_ev(spark, sf)), boxes_, totals="point_id")
+    return found.select("location", "n_points", "first_point", r4("max_lon").alias("max_lon"), r4("min_lat").alias("min_lat"))
 
 
 def region_by_priority(spark: SparkSession, sf: str) -> DataFrame:
