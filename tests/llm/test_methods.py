@@ -2,9 +2,11 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -277,6 +279,38 @@ def test_backoff_against_brute_force(spark, order, least, size):
     assert all(math.isclose(r.score, want[r.doc_id], abs_tol=1e-9) for r in got)
 
 
+def test_backoff_numbers_take_the_bytes_they_need():
+    for width in range(1, 9):
+        values = np.array([0, (1 << (8 * width)) - 1, 1 << (8 * width - 8), 1], np.uint64)
+        assert len(backoff.packed(values)) == 1 + width * len(values)
+        assert (backoff.unpacked(backoff.packed(values), np.uint64) == values).all()
+    assert len(backoff.unpacked(backoff.packed(np.zeros(0, np.int64)))) == 0
+
+
+def test_backoff_counts_pieces_one_by_one(spark):
+    """The count table of a partition never holds a place for every entry of every piece."""
+    def peak(n_pieces):
+        hashes = np.arange(1, 100_001, dtype=np.uint64) << np.uint64(20)
+        rows = pa.table({"part": [0] * n_pieces, "slice": list(range(n_pieces)), "hashes": [backoff.packed_hashes(hashes)] * n_pieces,
+                         "counts": [backoff.packed(np.ones(100_000, np.int64))] * n_pieces})
+        tracemalloc.start()
+        got = add(rows)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert all((backoff.unpacked(x) == n_pieces).all() for x in got.column("counts").to_pylist())
+        return most
+
+    class Requests:
+        def groupBy(self, _):
+            return self
+
+        def applyInArrow(self, function, _):
+            return function
+
+    add = backoff.counted(Requests())
+    assert peak(40) - peak(10) < 30 * 100_000 * 30  # bytes an entry: two copies of its hash while they are sorted, and its reply
+
+
 # --- 5 ---
 
 def brute_groups(docs, size, percent):
