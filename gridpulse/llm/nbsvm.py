@@ -31,6 +31,7 @@ from gridpulse.llm.common import labelled_sample, slices, texts
 
 BITS = 18
 FIT_ROWS = 6000
+PIECE_BYTES = 1 << 20  # of text whose indicators a task holds at a time
 FOLDS, HELD = 5, 0
 THRESHOLD = 0.3
 
@@ -50,7 +51,7 @@ def shape(token: str) -> str:
 class Features:
     """Hashed n-gram indicators of texts; token hashes are kept per worker."""
 
-    def __init__(self, bits: int = BITS, keep: int = 400_000):
+    def __init__(self, bits: int = BITS, keep: int = 100_000):
         self.mask, self.keep = np.uint64((1 << bits) - 1), keep
         self.seen: dict[str, int] = {}
 
@@ -175,7 +176,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_
 
     def extract(batches):
         features = Features()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", PIECE_BYTES):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("y"),
                  pa.array([features(t).astype("<i4").tobytes() for t in texts(batch.column("text"))], pa.binary())],
@@ -195,7 +196,7 @@ def score_quality(docs: DataFrame, model: dict, threshold: float = THRESHOLD) ->
 
     def score(batches):
         features, m = Features(), held.value
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", PIECE_BYTES):
             s = score_rows([features(t) for t in texts(batch.column("text"))], m)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))],

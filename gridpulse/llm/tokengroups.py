@@ -40,6 +40,7 @@ SIZE, PERCENT = 4, 85
 SAMPLE_DOCS, MOST_FREQUENT = 4000, 1 << 19
 BLOCK_DOCS, BLOCK_SHINGLES = 256, 200_000
 COLUMNS = 4096
+PIECE_BYTES = 2 << 20  # of text whose sets a task holds at a time
 
 # Prefixes are longer than one common shingle needs, so that links have one in
 # SHARED_EVERY of a set's shingles in common there: passages that many documents
@@ -66,7 +67,7 @@ def mixed(v: np.ndarray) -> np.ndarray:
 class Shingles:
     """Sorted distinct shingle hashes of texts; word hashes are kept per worker."""
 
-    def __init__(self, size: int = SIZE, keep: int = 250_000):
+    def __init__(self, size: int = SIZE, keep: int = 100_000):
         self.size, self.codes = size, Memo(xxhash.xxh3_64_intdigest, keep)
 
     def __call__(self, text: bytes) -> np.ndarray:
@@ -86,7 +87,7 @@ def frequent_shingles(docs: DataFrame, size: int = SIZE, sample_docs: int = SAMP
     most, the rarest first. They only set the order: any order gives the same links."""
     def count(batches):
         shingles = Shingles(size)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", PIECE_BYTES):
             sets = [shingles(t) for t in text_bytes(batch.column("text"))]
             token, n = np.unique(np.concatenate([*sets, np.empty(0, np.uint64)]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n)], names=["token", "n"])
@@ -104,7 +105,7 @@ def sketches(docs: DataFrame, frequent: np.ndarray, size: int = SIZE, percent: i
 
     def sketch(batches):
         shingles, (known, rank) = Shingles(size), held.value
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", PIECE_BYTES):
             n, digest, prefix = [], [], []
             for t in text_bytes(batch.column("text")):
                 v = shingles(t)
@@ -203,7 +204,7 @@ def open_pairs(docs: DataFrame, members: DataFrame, pairs: DataFrame, reps: Data
     """(rep, root, links): the stars of the links in every pair of blocks."""
     def load(batches):
         shingles = Shingles(size)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", PIECE_BYTES):
             sets = [shingles(t) for t in text_bytes(batch.column("text"))]
             own = [xxhash.xxh3_128_digest(s.tobytes()) == d for s, d in zip(sets, batch.column("digest").to_pylist(), strict=True)]
             out = pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("weight"), batch.column("block"),

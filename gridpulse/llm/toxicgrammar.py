@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, namedtuple
+from collections import Counter, defaultdict, namedtuple
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +43,7 @@ from gridpulse.llm.nbsvm import logistic_fit
 
 FOLDS, HELD = 4, 2
 FIT_ROWS = 12_000
+PIECE_BYTES, COUNTED = 1 << 20, 100_000  # of text, and entries with a count, that a task holds at a time
 THRESHOLD = 0.3
 SCOPE = 3
 LEVEL = 25.0  # smallest likelihood gain (G2) of a learned entry
@@ -184,7 +185,7 @@ class Lexicon:
     """Word -> (class, weight); entries ending in ``$`` are whole words, the
     others stems. Looked-up words are kept per worker."""
 
-    def __init__(self, entries: dict[str, float], keep: int = 400_000):
+    def __init__(self, entries: dict[str, float], keep: int = 100_000):
         self.entries, self.keep = entries, keep
         self.seen: dict[str, tuple[int, float]] = {}
 
@@ -286,8 +287,8 @@ def needed_entries(sample: DataFrame, entries: dict[str, float]) -> dict[str, fl
         return min([rank.get(word + "$", none), *(rank.get(word[:n], none) for n in STEMS if n <= len(word))])
 
     def attribute(batches):
-        seen = Memo(best, 200_000)
-        for batch in slices(batches, "text"):
+        seen = Memo(best, 50_000)
+        for batch in slices(batches, "text", PIECE_BYTES):
             found = [min((seen[w] for w in set(WORD.findall(t.lower()))), default=none) for t in texts(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), batch.column("y")], names=["place", "y"])
 
@@ -309,20 +310,19 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", fit_r
         return {"constant": float(n_t > 0) if n_t or n_c else 0.0}
 
     def count(batches):
-        counts: Counter = Counter()
-        for batch in slices(batches, "text"):
+        counts: defaultdict = defaultdict(Counter)  # by label and part
+        for batch in slices(batches, "text", PIECE_BYTES):
             for y, part, text in zip(*(batch.column(c).to_pylist() for c in ("y", "part", "text")), strict=True):
-                counts.update((e, y > 0, part) for e in entries_of(text))
-            if len(counts) > 500_000:
-                yield from flushed(counts)
-                counts.clear()
+                counts[y > 0, part].update(entries_of(text))
+                if sum(map(len, counts.values())) > COUNTED:
+                    yield from flushed(counts)
+                    counts.clear()
         yield from flushed(counts)
 
     def flushed(counts):
-        if counts:
-            e, y, p = zip(*counts, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(e), pa.array(y), pa.array(p), pa.array(counts.values(), pa.int64())],
-                                             names=["entry", "toxic", "part", "n"])
+        for (y, part), found in counts.items():
+            yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array([y] * len(found)), pa.array([part] * len(found)),
+                                              pa.array(found.values(), pa.int64())], names=["entry", "toxic", "part", "n"])
 
     def when(toxic, n):
         return F.sum(F.when(F.col("toxic") if toxic else ~F.col("toxic"), n).otherwise(0))
@@ -344,7 +344,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", fit_r
 
     def held_sums(batches):
         lexicon, none = Lexicon(first), np.zeros(len(marks))
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", PIECE_BYTES):
             sums = [sum(clause_scores(t, lexicon, table), none).tolist() for t in texts(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(sums, pa.list_(pa.float64()))], names=["y", "sums"])
 
@@ -368,7 +368,7 @@ def score_toxicity(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -
         m = held.value
         table = grammar(m.get("factors", FACTORS))
         lexicon = Lexicon(m.get("entries", {}))
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", PIECE_BYTES):
             scores, matched = [], []
             for t in texts(batch.column("text")):
                 clauses = clause_scores(t, lexicon, table)

@@ -244,6 +244,32 @@ def test_a_long_benchmark_item_is_dealt_to_bounded_blocks(spark):
     assert got == {1: (15, ["long"]), 2: (10, ["long"]), 3: (2, ["short"])}
 
 
+# --- memory of the pipeline's workers ---
+
+def test_word_caches_stay_small():
+    """Texts of ever new words leave no more than a bounded cache in a worker."""
+    features, lexicon, shingles = nbsvm.Features(), toxicgrammar.Lexicon({}), tokengroups.Shingles()
+    for k in range(5):
+        new = [f"w{k}x{i}" for i in range(60_000)]
+        features(" ".join(new))
+        lexicon.classes(new)
+        shingles(" ".join(new).encode())
+    assert max(len(features.seen), len(lexicon.seen)) <= 160_000
+    assert len(shingles.codes) + len(shingles.codes.old) <= 200_000
+
+
+def test_small_pieces_and_counts_give_the_same_models(spark, monkeypatch):
+    docs = table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    labels = table(spark, SF_SMALL, "labels")
+    toxic, quality = toxicgrammar.fit_toxicity(docs, labels), nbsvm.fit_quality(docs, labels)
+    monkeypatch.setattr(toxicgrammar, "COUNTED", 300)
+    monkeypatch.setattr(toxicgrammar, "PIECE_BYTES", 500)
+    monkeypatch.setattr(nbsvm, "PIECE_BYTES", 500)
+    again = nbsvm.fit_quality(docs, labels)
+    assert toxicgrammar.fit_toxicity(docs, labels) == toxic
+    assert all(np.array_equal(quality[k], again[k]) for k in quality)
+
+
 # --- 4 ---
 
 def brute_backoff(docs, order, least, alpha=0.4):
