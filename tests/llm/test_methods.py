@@ -14,6 +14,7 @@ import corpus_pipeline
 from conftest import SF_ORACLE, SF_SMALL
 from gridpulse.llm import backoff, blocklabels, langid, nbsvm, packing, spotsigs, tokengroups, toxicgrammar, warc, wumanber
 from gridpulse.llm.common import fold_is, table
+from gridpulse.llm.queries import QUERIES
 
 
 def near_copies(seed=3, n=60):
@@ -337,6 +338,14 @@ def test_backoff_counts_pieces_one_by_one(spark):
     assert peak(40) - peak(10) < 30 * 100_000 * 30  # bytes an entry: two copies of its hash while they are sorted, and its reply
 
 
+def test_backoff_query_of_texts_without_words(spark, tmp_path):
+    rows = [(1, "aa bb aa"), (2, None), (3, " . "), (None, ""), (2, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: tuple(r)[1:] for r in QUERIES["op4_stupid_backoff"](spark, str(tmp_path)).collect()}
+    assert got.pop(1)[0] == 3
+    assert got == {2: (0, 0.0, None), 3: (0, 0.0, None), None: (0, 0.0, None)}
+
+
 # --- 5 ---
 
 def brute_groups(docs, size, percent):
