@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from conftest import SF_ORACLE, SF_SMALL
 from gridpulse.llm import backoff, blocklabels, langid, nbsvm, packing, spotsigs, tokengroups, toxicgrammar, warc, wumanber
-from gridpulse.llm.common import fold_is, table
+from gridpulse.llm.common import BATCH_BYTES, BATCH_LIMIT, fold_is, table
 from gridpulse.llm.queries import QUERIES
 
 
@@ -542,3 +542,24 @@ def test_quality_fit_holds_packed_indicators_and_no_scaled_copies(spark, monkeyp
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 4 * sum(map(len, rows))  # before: eight bytes more for each indicator
+
+
+def test_pipeline_stages_send_texts_in_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    docs = table(spark, SF_SMALL, "documents")
+    large = spark.range(2000, numPartitions=1).select(F.repeat(F.lit("word "), 1000).alias("text"))  # 10 MB, one batch before
+    had = spark.conf.get(BATCH_LIMIT, None)
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.unset(BATCH_LIMIT)
+            stage(spark, docs, SF_SMALL)
+            got = large.mapInArrow(sizes, "n long, size long").collect()
+            assert sum(r.n for r in got) == 2000 and max(r.size for r in got) < BATCH_BYTES + 20_000
+        spark.conf.set(BATCH_LIMIT, "1m")
+        corpus_pipeline.pack(spark, docs, SF_SMALL)
+        assert spark.conf.get(BATCH_LIMIT) == "1m"  # the session's own
+    finally:
+        spark.conf.unset(BATCH_LIMIT) if had is None else spark.conf.set(BATCH_LIMIT, had)
